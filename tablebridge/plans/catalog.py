@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from tablebridge.plans import queries_rows  # noqa: F401
+from tablebridge.plans import queries_merge, queries_resolve, queries_rows  # noqa: F401
 from tablebridge.plans.registry import ORACLES, QUERIES
 
 FLAGSHIP = "merge_if_changed"
