@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,15 +26,16 @@ def extract_refs(
     `patterns` maps a kind to (regular expression, group) searched in the whole text; `paths` maps
     a kind to a JSON path read from the parsed text.
     """
+
+    def tagged(kind: str) -> Callable[[Column], Column]:
+        return lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("ref"))
+
     hits = [
-        F.transform(
-            F.regexp_extract_all(F.col(text), F.lit(shape), group),
-            lambda v, kind=kind: F.struct(F.lit(kind).alias("kind"), v.alias("ref")),
-        )
+        F.transform(F.regexp_extract_all(F.col(text), F.lit(shape), group), tagged(kind))
         for kind, (shape, group) in patterns.items()
     ]
     for kind, path in (paths or {}).items():
-        hits.append(F.array(F.struct(F.lit(kind).alias("kind"), F.get_json_object(F.col(text), path).alias("ref"))))
+        hits.append(F.array(tagged(kind)(F.get_json_object(F.col(text), path))))
     return (
         df.select(row_id, F.explode(F.concat(*hits)).alias("h"))
         .select(row_id, "h.kind", "h.ref")

@@ -104,8 +104,8 @@ def repair_ids(run_log: DataFrame, issues: DataFrame, max_span: int = 100_000) -
     listed = F.when(span.isNull() | (span < 1), F.array().cast("array<bigint>")).when(
         span <= max_span, F.sequence("first_id", "last_id")
     ).otherwise(F.array("first_id", "last_id"))
-    ranges = failed.select(F.explode(listed).cast("string").alias("source_id"))
-    lists = failed.select(F.explode("ids").cast("string").alias("source_id"))
+    ranges = failed.select(F.explode(listed.cast("array<string>")).alias("source_id"))
+    lists = failed.select(F.explode(F.col("ids").cast("array<string>")).alias("source_id"))
     records = issues.select(F.col("record_id").alias("source_id"))
     ids = ranges.unionByName(lists).unionByName(records).select(null_if_blank(F.col("source_id")).alias("source_id"))
     return ids.filter("source_id is not null").distinct()

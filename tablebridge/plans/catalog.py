@@ -1,6 +1,12 @@
 """All registered queries."""
 
-from tablebridge.plans import queries_merge, queries_resolve, queries_rows  # noqa: F401
+from tablebridge.plans import (  # noqa: F401
+    queries_documents,
+    queries_merge,
+    queries_reports,
+    queries_resolve,
+    queries_rows,
+)
 from tablebridge.plans.registry import ORACLES, QUERIES
 
 FLAGSHIP = "merge_if_changed"

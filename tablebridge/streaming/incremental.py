@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tablebridge.operators.dedup import distinct_on
 from tablebridge.operators.merge import ACTION, MergeSpec, merge_insert_only
 from tablebridge.operators.sets import multiset_missing
 
@@ -26,56 +27,51 @@ def read_arrivals(
     return reader.load(path)
 
 
-class VersionedTable:
-    """A table kept as numbered folders below one path; the newest complete one is current.
+class BatchFolders:
+    """Numbered folders below one path, each written by one batch; only complete ones are read.
 
-    A version is named by the batch that wrote it. A batch that is run again after a failure
-    starts from the version before it and replaces its own folder, so replays change nothing.
+    A batch that is run again after a failure replaces its own folder and never sees it or later
+    ones, so replays change nothing.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType) -> None:
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        jvm = spark.sparkContext._jvm
-        self._root = jvm.org.apache.hadoop.fs.Path(self.path)
-        self._fs = self._root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._new_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        root = self._new_path(self.path)
+        self._fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _complete(self, name: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        return self._fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}/_SUCCESS"))
+    def folder(self, number: int) -> str:
+        return f"{self.path}/batch={number}"
 
-    def versions(self) -> list[int]:
-        if not self._fs.exists(self._root):
+    def complete(self, before: int | None = None) -> list[int]:
+        root = self._new_path(self.path)
+        if not self._fs.exists(root):
             return []
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._root)]
-        return sorted(int(n[2:]) for n in names if n.startswith("v=") and self._complete(n))
+        names = [s.getPath().getName() for s in self._fs.listStatus(root)]
+        numbers = sorted(int(n[6:]) for n in names if n.startswith("batch="))
+        known = [n for n in numbers if self._fs.exists(self._new_path(self.folder(n) + "/_SUCCESS"))]
+        return [n for n in known if before is None or n < before]
 
-    def read(self, before: int | None = None) -> DataFrame:
-        known = [v for v in self.versions() if before is None or v < before]
-        if not known:
+    def _read(self, numbers: Sequence[int]) -> DataFrame:
+        if not numbers:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v={known[-1]}")
+        return self.spark.read.schema(self.schema).parquet(*[self.folder(n) for n in numbers])
 
-    def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
+    def read_all(self, before: int | None = None) -> DataFrame:
+        """The rows of all batches: a table that only grows."""
+        return self._read(self.complete(before))
 
+    def read_last(self, before: int | None = None) -> DataFrame:
+        """The rows of the newest batch: a table rewritten by each batch."""
+        return self._read(self.complete(before)[-1:])
 
-def incremental_load(
-    arrivals: DataFrame,
-    table: VersionedTable,
-    merge: Callable[[DataFrame, DataFrame], DataFrame],
-    checkpoint: str,
-) -> StreamingQuery:
-    """Merge all files that arrived since the last run into the table, then stop.
+    def write(self, df: DataFrame, number: int) -> None:
+        df.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(self.folder(number))
 
-    The position advances only after a batch is written.
-    """
-
-    def load(batch: DataFrame, batch_id: int) -> None:
-        merged = merge(table.read(before=batch_id), batch)
-        table.write(merged.select(*table.schema.fieldNames()), batch_id)
 
+def _run_once(arrivals: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     query = (
-        arrivals.writeStream.foreachBatch(load)
+        arrivals.writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -84,6 +80,37 @@ def incremental_load(
     return query
 
 
+def incremental_append(
+    arrivals: DataFrame, table: BatchFolders, keys: Sequence[str], order: Sequence[Column], checkpoint: str
+) -> StreamingQuery:
+    """Load all files that arrived since the last run, insert-only, then stop.
+
+    A batch writes only its new rows: the first of each key that no earlier batch holds. Of the
+    table it reads the key columns. The position advances only after the write.
+    """
+
+    def load(batch: DataFrame, number: int) -> None:
+        first = distinct_on(batch, keys, order)
+        held = table.read_all(before=number).select(*keys)
+        table.write(first.join(held, list(keys), "left_anti"), number)
+
+    return _run_once(arrivals, load, checkpoint)
+
+
+def incremental_load(
+    arrivals: DataFrame, table: BatchFolders, merge: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str
+) -> StreamingQuery:
+    """Merge all files that arrived since the last run into the table, then stop.
+
+    For write modes that change existing rows; each batch writes the next version of the table.
+    """
+
+    def load(batch: DataFrame, number: int) -> None:
+        table.write(merge(table.read_last(before=number), batch), number)
+
+    return _run_once(arrivals, load, checkpoint)
+
+
 def catch_up_late(
     source: DataFrame,
     snapshot: DataFrame,
