@@ -2,6 +2,7 @@
 
 from tablebridge.plans import (  # noqa: F401
     queries_documents,
+    queries_loads,
     queries_merge,
     queries_reports,
     queries_resolve,

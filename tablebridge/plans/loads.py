@@ -1,10 +1,17 @@
-"""Table loads: compositions of the operators into end-to-end jobs."""
+"""Table loads: one composition of the operators, driven by a spec."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablebridge.functions.clean import null_if_blank
+from tablebridge.operators import document, merge, quality, resolve
+from tablebridge.operators.dedup import distinct_on
+from tablebridge.operators.merge import MergeSpec
+from tablebridge.spec import TableSpec
 
 # Care 1 outpatient, 2 inpatient; method 1 cash, 2 default, 3 invoice; rights by method.
 CASH_RIGHTS = ("1", "2")
@@ -16,3 +23,129 @@ def payment_method(care: Column, right: Column) -> Column:
     invoiced = (care == "2") | ((care == "1") & right.isin(*INVOICE_RIGHTS))
     cash = (care == "1") & right.isin(*CASH_RIGHTS)
     return F.when(invoiced, "3").when(cash, "1").otherwise("2")
+
+
+@dataclass(frozen=True)
+class LoadResult:
+    """New target rows with `merge_action`, the issues found, and the shaped source rows."""
+
+    rows: DataFrame
+    issues: DataFrame
+    shaped: DataFrame
+
+    def log(self) -> DataFrame:
+        return quality.issue_log([self.issues])
+
+
+def shape_rows(spec: TableSpec, staging: DataFrame) -> DataFrame:
+    """Cleansed, deduplicated and resolved source rows; rows without a full key stay behind."""
+    raw = {f.source for f in spec.fields} | {r.source for r in spec.relations} | set(spec.order)
+    base = staging.select(
+        *[F.col(c).alias(f"_raw_{c}") for c in sorted(raw)],
+        *[f.clean(F.col(f.source)).alias(f.name) for f in spec.fields],
+    )
+    for key in spec.keys:
+        base = base.filter(F.col(key).isNotNull())
+    if spec.keys and spec.mode != "append":
+        base = distinct_on(base, spec.keys, [F.col(f"_raw_{c}") for c in spec.order])
+    for r in spec.relations:
+        source = null_if_blank(F.col(f"_raw_{r.source}").cast("string"))
+        if r.sentinels:
+            source = F.when(~source.isin(*r.sentinels), source)
+        if r.placeholder is not None:
+            base = resolve.lookup_preferred(
+                base, r.parent, source, r.parent_keys, r.id_col, r.placeholder(), r.name
+            )
+        else:
+            parent = r.parent.select(
+                F.col(r.parent_keys[0]).cast("string").alias("_legacy"), F.col(r.id_col).alias(r.id_col)
+            )
+            base = resolve.lookup_first(
+                base.withColumn("_legacy_key", source), parent, "_legacy_key", "_legacy", r.id_col, r.name
+            ).drop("_legacy_key")
+    if spec.transform is not None:
+        base = spec.transform(base)
+    return base.drop(*[c for c in base.columns if c.startswith("_raw_")])
+
+
+def find_issues(spec: TableSpec, staging: DataFrame) -> DataFrame:
+    """Lost values and unresolved relations of all staging rows, duplicates included."""
+    rules = [
+        quality.FieldRule(f.name, f.source, f.clean(F.col(f.source)), f.reason, required=f.required)
+        for f in spec.fields
+        if f.reason
+    ]
+    found = None
+    if rules:
+        found = quality.field_issues(staging, F.col(spec.record_id), rules).drop("mapped")
+    for r in spec.relations:
+        fold = lambda c: F.lower(null_if_blank(F.col(c).cast("string")))
+        known = None
+        for key in r.parent_keys:
+            part = r.parent.select(fold(key).alias("_folded")).filter("_folded is not null")
+            known = part if known is None else known.unionByName(part)
+        asked = staging.select(
+            F.col(spec.record_id).cast("string").alias("record_id"),
+            F.col(r.source).cast("string").alias("source_raw"),
+            fold(r.source).alias("_folded"),
+        ).filter("_folded is not null")
+        if r.sentinels:
+            asked = asked.filter(~F.col("_folded").isin(*r.sentinels))
+        lost = asked.join(known, "_folded", "left_anti").select(
+            "record_id", F.lit(r.name).alias("field"), F.lit(f"{r.name}_not_resolved").alias("reason"), "source_raw"
+        )
+        found = lost if found is None else found.unionByName(lost)
+    return found
+
+
+def run_load(spec: TableSpec, staging: DataFrame, target: DataFrame) -> LoadResult:
+    """Cleanse, deduplicate, resolve, merge under the spec's write mode, and report."""
+    shaped = shape_rows(spec, staging)
+    plan = MergeSpec(spec.keys, spec.id_col, policies=spec.policies, keep=spec.keep)
+    if spec.mode == "append":
+        rows = merge.append_log(target, shaped.select(*[c for c in target.columns if c in shaped.columns]))
+        rows = rows.withColumn(merge.ACTION, F.lit("appended"))
+    else:
+        write = {
+            "insert_only": merge.merge_insert_only,
+            "overwrite": merge.merge_overwrite,
+            "if_changed": merge.merge_if_changed,
+            "fill_null": merge.fill_null_only,
+            "prefer_source": merge.prefer_source_keep_target,
+            "policy": merge.column_policy_merge,
+            "replace": merge.replace_keep_id,
+        }[spec.mode]
+        rows = write(target, shaped, plan)
+    if spec.post_load is not None:
+        rows = spec.post_load(rows)
+    return LoadResult(rows, find_issues(spec, staging), shaped)
+
+
+def enrich_with_prior_result(
+    appointments: DataFrame, exams: DataFrame, findings: DataFrame, is_signed: Column
+) -> tuple[DataFrame, DataFrame]:
+    """Give each appointment the findings of the patient's last signed exam before its day.
+
+    `appointments`: id, party, at, payload. `exams`: exam_id, party, appointment. `findings`:
+    exam_id, found_at, finding_id. An exam made for the appointment itself is passed over.
+    Returns (appointments, further parts of lists too long for one cell, by exam and part).
+    """
+    signed = (
+        findings.withColumn("_signed", is_signed)
+        .groupBy("exam_id")
+        .agg(F.max("found_at").alias("exam_at"), F.bool_or("_signed").alias("_any"))
+        .filter("_any")
+        .drop("_any")
+    )
+    candidates = exams.join(signed, "exam_id").filter("party is not null")
+    picked = resolve.asof_before_day(
+        appointments, candidates, "party", "at", "exam_at", "exam_id", ("id", "appointment"), "picked_exam"
+    )
+    # Findings are gathered once per picked exam, not once per appointment.
+    wanted = picked.select(F.col("picked_exam").alias("exam_id")).filter("exam_id is not null").distinct()
+    lists = document.group_to_struct_array(
+        findings.join(wanted, "exam_id", "left_semi"), ["exam_id"], [F.col("finding_id")], ["finding_id"], "found"
+    ).withColumn("payload", F.to_json("found"))
+    first = lists.filter("part = 0").select("exam_id", "payload")
+    filled = document.denormalise_to_parent(picked, "picked_exam", first, "exam_id", ["payload"])
+    return filled, lists.filter("part > 0").select("exam_id", "part", "payload")
