@@ -80,14 +80,11 @@ def build_snapshot_doc(
             rows, [child.fk], [F.col(c) for c in child.order], child.fields, child.name, max_items
         )
         lists.append(grouped.withColumnRenamed(child.fk, "_doc"))
-    numbers = doc.select("_doc", F.lit(0).alias("part"))
-    for grouped in lists:
-        numbers = numbers.unionByName(grouped.filter("part > 0").select("_doc", "part"))
-    # Only parts beyond the first can repeat, so most parents are not aggregated again.
-    spread = numbers.filter("part = 0").unionByName(numbers.filter("part > 0").distinct())
-    out = spread.join(doc, "_doc")
-    for grouped in lists:
-        out = out.join(grouped, ["_doc", "part"], "left")
+    kids = lists[0]
+    for grouped in lists[1:]:
+        kids = kids.join(grouped, ["_doc", "part"], "full_outer")
+    # Children that exist fill part 0 first, so a parent without any is the only one to lack it.
+    out = doc.join(kids, "_doc", "left").withColumn("part", F.coalesce("part", F.lit(0)))
     arrays = []
     for child, grouped in zip(children, lists, strict=True):
         empty = F.array().cast(grouped.schema[child.name].dataType)
@@ -171,7 +168,7 @@ def denormalise_to_parent(
     The payload is one row per key, built once however many parents pick it.
     """
     looked = payload.select(F.col(payload_key).alias(picked), *[F.col(c).alias(f"_p_{c}") for c in columns])
-    joined = left_lookup(parent, looked.withColumn("_hit", F.lit(True)), [picked])
+    joined = left_lookup(parent, looked.withColumn("_hit", F.lit(True)), [picked], sparse=True)
     hit = F.coalesce("_hit", F.lit(False))
     differs = changed([F.col(c) for c in columns], [F.col(f"_p_{c}") for c in columns])
     out = joined.withColumn("is_updated", hit & differs)

@@ -282,7 +282,7 @@ def backfill_from_lookup(
     found = lookup.groupBy(F.col(lookup_key).alias("_key")).agg(F.min(value).alias("_value"))
     marked = df.withColumn("_key", F.when(F.col(column).isNull() & (F.col(key) > 0), F.col(key)))
     return (
-        left_lookup(marked, found, ["_key"])
+        left_lookup(marked, found, ["_key"], sparse=True)
         .withColumn(column, F.coalesce(F.col(column), F.col("_value")))
         .drop("_key", "_value")
     )

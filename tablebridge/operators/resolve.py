@@ -53,7 +53,9 @@ def lookup_preferred(
     exact = keys.filter("_key_rank = 0").groupBy("_spelling").agg(best.alias("_exact"))
     folded = keys.groupBy("_folded").agg(best.alias("_any"))
     marked = df.withColumn("_spelling", norm_key(key)).withColumn("_folded", F.lower("_spelling"))
-    joined = left_lookup(left_lookup(marked, exact, ["_spelling"]), folded, ["_folded"])
+    joined = left_lookup(
+        left_lookup(marked, exact, ["_spelling"], sparse=True), folded, ["_folded"], sparse=True
+    )
     # The exact match is preferred unless it is a placeholder and another spelling is real.
     chosen = F.when(
         F.col("_exact").isNotNull() & (F.col("_exact._fake") <= F.col("_any._fake")),
@@ -69,7 +71,7 @@ def lookup_first(
     first = parent.filter(F.col(parent_key).isNotNull()).groupBy(F.col(parent_key).alias(key)).agg(
         F.min(id_col).alias(out)
     )
-    return left_lookup(df, first, [key])
+    return left_lookup(df, first, [key], sparse=True)
 
 
 def null_invalid_fk(
@@ -79,7 +81,7 @@ def null_invalid_fk(
     known = parent.select(F.col(pk).cast(df.schema[fk].dataType).alias(fk)).filter(
         F.col(fk).isNotNull()
     ).distinct().withColumn("_known", F.lit(True))
-    checked = left_lookup(df, known, [fk])
+    checked = left_lookup(df, known, [fk], sparse=True)
     bad = F.col(fk).isNotNull() & F.col("_known").isNull()
     issues = checked.filter(bad).select(
         F.col(record_id).cast("string").alias("record_id"),
@@ -138,7 +140,7 @@ def find_or_create_dim(
     created = assign_ids(names.join(known, name, "left_anti"), [F.col(name)], dim, id_col)
     mapping = known.unionByName(created.select(name, id_col))
     keyed = df.withColumn("_name", norm_key(F.col(column)))
-    resolved = left_lookup(keyed, mapping.withColumnRenamed(name, "_name"), ["_name"]).drop("_name")
+    resolved = left_lookup(keyed, mapping.withColumnRenamed(name, "_name"), ["_name"], sparse=True).drop("_name")
     return resolved, dim.unionByName(created, allowMissingColumns=True)
 
 
@@ -189,32 +191,35 @@ def match_by_name_phone(
     Both ways look up aggregates per name and per (name, phone), so a name carried by a third of
     all people costs one row, not all pairs.
     """
-    names = [clean_person_name(F.col(first)).alias("_first"), clean_person_name(F.col(last)).alias("_last")]
-    searchable = is_searchable_name(F.col("_first")) & is_searchable_name(F.col("_last"))
-    digits = phone_digit_set(*[F.col(p) for p in phones])
-    pool = people.select(F.col(person_id).alias("_person"), *names, digits.alias("_phones")).filter(searchable)
-    probes = df.select(row_id, *names, digits.alias("_phones"))
+    first_name, last_name = clean_person_name(F.col(first)), clean_person_name(F.col(last))
+    searchable = is_searchable_name(first_name) & is_searchable_name(last_name)
+    names = [F.when(searchable, first_name).alias("_first"), F.when(searchable, last_name).alias("_last")]
+    digits = phone_digit_set(*[F.col(p) for p in phones]).alias("_phones")
+    pool = people.select(F.col(person_id).alias("_person"), *names, digits).filter("_first is not null")
     by_name = pool.groupBy("_first", "_last").agg(
         F.min("_person").alias("_low"), F.count(F.lit(1)).alias("name_matches")
     )
     by_phone = (
         pool.select("_first", "_last", "_person", F.explode("_phones").alias("_phone"))
         .groupBy("_first", "_last", "_phone")
-        .agg(F.min("_person").alias("_low"), F.max("_person").alias("_high"))
-    )
-    named = left_lookup(probes.filter(searchable), by_name, ["_first", "_last"]).unionByName(
-        probes.filter(~searchable), allowMissingColumns=True
+        .agg(F.min("_person").alias("_phone_low"), F.max("_person").alias("_phone_high"))
     )
-    named = named.withColumn("name_matches", F.coalesce("name_matches", F.lit(0).cast("bigint")))
-    doubtful = (
-        named.filter("name_matches > 1")
-        .select(row_id, "_first", "_last", F.explode("_phones").alias("_phone"))
-        .join(by_phone, ["_first", "_last", "_phone"])
+    named = left_lookup(df.select(row_id, *names, digits), by_name, ["_first", "_last"], sparse=True)
+    # Only rows whose name is shared look at their phones; the others keep one row without any.
+    calls = named.select(
+        row_id, "_first", "_last", "_low", F.coalesce("name_matches", F.lit(0)).alias("name_matches"),
+        F.explode_outer(F.when(F.col("name_matches") > 1, F.col("_phones"))).alias("_phone"),
+    )
+    tried = (
+        left_lookup(calls, by_phone, ["_first", "_last", "_phone"], sparse=True)
         .groupBy(row_id)
-        .agg(F.min("_low").alias("_phone_low"), F.max("_high").alias("_phone_high"))
-    )
+        .agg(
+            F.max("name_matches").alias("name_matches"), F.min("_low").alias("_low"),
+            F.min("_phone_low").alias("_phone_low"), F.max("_phone_high").alias("_phone_high"),
+        )
+    )
     by_number = F.when(F.col("_phone_low") == F.col("_phone_high"), F.col("_phone_low"))
-    return named.join(doubtful, row_id, "left").select(
+    return tried.select(
         row_id,
         "name_matches",
         F.when(F.col("name_matches") == 1, F.col("_low")).otherwise(by_number).alias(person_id),
@@ -233,7 +238,7 @@ def fallback_same_day(
     )
     marked = df.withColumn("_day", F.when(F.col(fk).isNull(), F.to_date(ts)))
     return (
-        left_lookup(marked, daily, [party, "_day"])
+        left_lookup(marked, daily, [party, "_day"], sparse=True)
         .withColumn(fk, F.coalesce(F.col(fk), F.col("_candidate")))
         .drop("_day", "_candidate")
     )
@@ -319,7 +324,7 @@ def lookup_slot(
     """The first non-special slot for a clock time. A clock has at most 1440 values."""
     plain = slots if special is None else slots.filter(~F.coalesce(special, F.lit(False)))
     first = plain.groupBy(F.col(slot_clock).alias("_clock")).agg(F.min(slot_id).alias(out))
-    return left_lookup(df.withColumn("_clock", clock), first, ["_clock"]).drop("_clock")
+    return left_lookup(df.withColumn("_clock", clock), first, ["_clock"], sparse=True).drop("_clock")
 
 
 def new_rows_only(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -366,78 +371,94 @@ def pair_renamed(
         whole = whole & F.col(c).isNotNull()
     sought = missing.filter(whole).withColumn("_new", fold(spec.pid)).filter("_new is not null")
 
-    # Candidates have a key of their own, and none of their keys is one that is missing.
-    wanted = sought.select(F.col("_new").alias("_key")).distinct()
+    # What is known about a key: it lives in the source, it is one of the missing ones.
+    flag = lambda df, key, live: df.select(
+        key.alias("_key"), F.lit(live).alias("_live"), F.lit(not live).alias("_wanted")
+    )
+    about = (
+        flag(live_keys, fold("pid"), True)
+        .unionByName(flag(sought, F.col("_new"), False))
+        .filter("_key is not null")
+        .groupBy("_key")
+        .agg(F.max("_live").alias("_live"), F.max("_wanted").alias("_wanted"))
+    )
     keyed = existing.select(
         F.col(spec.row_id).alias("_id"), fold(spec.pid).alias("_a"), fold(spec.other_pid).alias("_b"),
         *identity, F.col(spec.national).alias("_national"), F.col(spec.pid).alias("_old_pid"),
     ).filter("_a is not null or _b is not null")
-    keyed = keyed.join(wanted, F.col("_a") == F.col("_key"), "left_anti").join(
-        wanted, F.col("_b") == F.col("_key"), "left_anti"
-    )
-    live = live_keys.select(F.lower(norm_key(F.col("pid"))).alias("_live")).filter("_live is not null").distinct()
-    live_a = live.select(F.col("_live").alias("_a"), F.lit(True).alias("_a_alive"))
-    live_b = live.select(F.col("_live").alias("_b"), F.lit(True).alias("_b_alive"))
-    keyed = left_lookup(left_lookup(keyed, live_a, ["_a"]), live_b, ["_b"]).withColumn(
-        "_stale", F.col("_a_alive").isNull() & F.col("_b_alive").isNull()
+    for key in ("_a", "_b"):
+        named = about.select(F.col("_key").alias(key), F.col("_live").alias(f"{key}_live"), F.col("_wanted").alias(f"{key}_wanted"))
+        keyed = left_lookup(keyed, named, [key], sparse=True)
+    either = lambda what: F.coalesce(f"_a_{what}", F.lit(False)) | F.coalesce(f"_b_{what}", F.lit(False))
+    # Candidates have a key of their own, and none of their keys is one that is missing.
+    keyed = keyed.filter(~either("wanted")).withColumn("_stale", ~either("live"))
+    row = F.struct("_id", "_old_pid", "_national", "_stale")
+    span = [F.min(row).alias("_low"), F.max(row).alias("_high")]
+
+    # Route by log: one lookup per (old key, birth date, first or last name).
+    either_name = F.explode(F.array(F.struct(F.lit("f").alias("k"), F.col(spec.first).alias("v")), F.struct(F.lit("l").alias("k"), F.col(spec.last).alias("v"))))
+    traits = ["_old", spec.birth, "_kind", "_name"]
+    by_old = (
+        keyed.select("*", F.explode(F.array_distinct(F.array("_a", "_b"))).alias("_old"))
+        .filter("_old is not null")
+        .select("*", either_name.alias("_n"))
+        .withColumns({"_kind": F.col("_n.k"), "_name": F.col("_n.v")})
+        .groupBy(*traits)
+        .agg(*span)
     )
-
-    by_old = keyed.select("*", F.explode(F.array_distinct(F.array("_a", "_b"))).alias("_old")).filter(
-        "_old is not null"
+    log = rename_log.select(fold("new_pid").alias("_new"), fold("old_pid").alias("_old")).filter("_new <> _old")
+    via_log = (
+        sought.select("_new", spec.birth, either_name.alias("_n"))
+        .withColumns({"_kind": F.col("_n.k"), "_name": F.col("_n.v")})
+        .join(log.distinct(), "_new")
+        .join(by_old, traits)
+        .groupBy("_new")
+        .agg(F.min("_low").alias("_log_low"), F.max("_high").alias("_log_high"))
     )
-    span = [F.min("_id").alias("_low"), F.max("_id").alias("_high")]
-    log = rename_log.select(
-        F.lower(norm_key(F.col("new_pid"))).alias("_new"), F.lower(norm_key(F.col("old_pid"))).alias("_old")
-    ).filter("_new <> _old").distinct()
-    traced = sought.join(log, "_new")
-    hits = None
-    for name in (spec.first, spec.last):
-        per_key = by_old.groupBy("_old", spec.birth, name).agg(*span)
-        part = traced.join(per_key, ["_old", spec.birth, name]).select("_new", "_low", "_high")
-        hits = part if hits is None else hits.unionByName(part)
-    via_log = hits.groupBy("_new").agg(F.min("_low").alias("_log_low"), F.max("_high").alias("_log_high"))
-
+    # Route by identity: counts on both sides.
     stale = keyed.filter("_stale").filter(whole).groupBy(*identity).agg(
-        F.count(F.lit(1)).alias("_stale_n"), F.min("_id").alias("_stale_id")
+        F.count(F.lit(1)).alias("_stale_n"), F.min(row).alias("_stale_row")
     )
     twins = sought.groupBy(*identity).agg(F.count(F.lit(1)).alias("_twins"))
     found = left_lookup(left_lookup(left_lookup(sought, via_log, ["_new"]), stale, identity), twins, identity)
+
     logged = F.col("_log_low").isNotNull()
+    unclear = F.when(logged & (F.col("_log_low._id") != F.col("_log_high._id")), "log_points_to_several").when(
+        ~logged & ((F.col("_stale_n") > 1) | (F.col("_twins") > 1)), "identity_not_unique"
+    )
     picked = (
         found.filter(logged | F.col("_stale_n").isNotNull())
         .withColumn("route", F.when(logged, "log").otherwise("identity"))
+        .withColumn("_unclear", unclear)
         .withColumn(
-            "_unclear",
-            F.when(logged & (F.col("_log_low") != F.col("_log_high")), "log_points_to_several")
-            .when(~logged & ((F.col("_stale_n") > 1) | (F.col("_twins") > 1)), "identity_not_unique"),
-        )
-        .withColumn(
-            "_id",
-            F.when(F.col("_unclear").isNull(), F.when(logged, F.col("_log_low")).otherwise(F.col("_stale_id"))),
+            "_pick",
+            F.when(F.col("_unclear").isNull(), F.when(logged, F.col("_log_low")).otherwise(F.col("_stale_row"))),
         )
+        .withColumn("_id", F.col("_pick._id"))
     )
-    details = keyed.select("_id", "_old_pid", F.col("_national").alias("_old_national"), "_stale")
-    held = blocked.select(F.lower(norm_key(F.col("pid"))).alias("_new")).distinct().withColumn("_held", F.lit(True))
-    judged = left_lookup(left_lookup(picked, details, ["_id"]), held, ["_new"]).withColumn(
+    held = blocked.select(fold("pid").alias("_new")).distinct().withColumn("_held", F.lit(True))
+    judged = left_lookup(picked, held, ["_new"]).withColumn(
         "_reason",
         F.coalesce(
             F.col("_unclear"),
-            F.when(F.col(spec.national) != F.col("_old_national"), "national_id_differs"),
+            F.when(F.col(spec.national) != F.col("_pick._national"), "national_id_differs"),
             F.when(F.col("_held"), "placeholder_exists"),
         ),
     )
-    claims = judged.filter("_reason is null").groupBy("_id").agg(F.count(F.lit(1)).alias("_claims"))
+    # Of the rows that passed, one existing row may be claimed once only.
+    fit = F.when(F.col("_reason").isNull(), F.col("_id"))
+    claims = judged.groupBy(fit.alias("_fit")).agg(F.count(F.lit(1)).alias("_claims")).filter("_fit is not null")
     reason = F.when(F.col("_reason").isNotNull(), F.col("_reason")).when(
         F.col("_claims") > 1, "claimed_by_several"
     )
-    return left_lookup(judged, claims, ["_id"]).select(
+    return left_lookup(judged.withColumn("_fit", fit), claims, ["_fit"], sparse=True).select(
         F.col(spec.pid).alias("new_pid"),
         F.col("_id").alias("row_id"),
-        F.col("_old_pid").alias("old_pid"),
+        F.col("_pick._old_pid").alias("old_pid"),
         "route",
         reason.isNull().alias("is_paired"),
         reason.alias("reason"),
-        (~F.col("_stale")).alias("old_pid_alive"),
+        (~F.col("_pick._stale")).alias("old_pid_alive"),
     )
 
 
@@ -455,7 +476,7 @@ def relink_fk(
         .drop("_high")
     )
     fakes = generated.select(F.col(parent_id).alias(fk)).distinct().withColumn("_fake", F.lit(True))
-    joined = left_lookup(left_lookup(df, clear, [row_id]), fakes, [fk])
+    joined = left_lookup(left_lookup(df, clear, [row_id]), fakes, [fk], sparse=True)
     moves = F.col("_fake") & (F.col("_real") != F.col(fk))
     marked = joined.withColumn("_moves", F.coalesce(moves, F.lit(False)))
     freed = marked.filter("_moves").select(F.col(fk).alias(parent_id)).distinct()
@@ -497,7 +518,7 @@ def attribute_by_login(
     per_login = dim.filter(match_key(F.col(dim_login)).isNotNull()).groupBy(
         match_key(F.col(dim_login)).alias("_login")
     ).agg(F.min_by(F.struct(*fills.values()), F.struct(*fills.values())).alias("_dim"))
-    joined = left_lookup(df.withColumn("_login", match_key(F.col(login))), per_login, ["_login"])
+    joined = left_lookup(df.withColumn("_login", match_key(F.col(login))), per_login, ["_login"], sparse=True)
     hit = F.col("_dim").isNotNull()
     changed = F.lit(False)
     for column, source in fills.items():

@@ -30,7 +30,7 @@ def dictionary_remap(
     table = mapping.groupBy(table_key.alias("_code")).agg(F.min("new_value").alias("_mapped"))
     miss = {"null": F.lit(None).cast("string"), "keep": text, "upper": F.upper(text)}[on_miss]
     return (
-        left_lookup(df.withColumn("_code", key), table, ["_code"])
+        left_lookup(df.withColumn("_code", key), table, ["_code"], sparse=True)
         .withColumn(column, F.coalesce("_mapped", miss))
         .drop("_code", "_mapped")
     )

@@ -71,18 +71,21 @@ def rank_in_group(
     return calm.unionByName(ranked.select(*df.columns, name))
 
 
-def left_lookup(df: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
+def left_lookup(df: DataFrame, lookup: DataFrame, keys: Sequence[str], sparse: bool = False) -> DataFrame:
     """Left join to a table that is unique on `keys`.
 
-    Rows without a key match nothing, and hashing would send them all to one task; they are spread
-    by the partition they come from instead. Hot keys that do match are split by the adaptive skew
-    join. Whether a side is broadcast is left to the optimizer, which knows its size.
+    Hot keys are split by the adaptive skew join. Whether a side is broadcast is left to the
+    optimizer, which knows its size. With `sparse`, for key columns that are null in many rows,
+    those rows are not hashed to one task, as they match nothing: they are spread by the partition
+    they come from, at the price of shuffling the lookup once more.
     """
+    added = [c for c in lookup.columns if c not in keys]
+    if not sparse:
+        return df.join(lookup, list(keys), "left").select(*df.columns, *added)
     has_key = F.lit(True)
     for key in keys:
         has_key = has_key & F.col(key).isNotNull()
     left = df.withColumn("_spread", F.when(has_key, F.lit(0)).otherwise(F.spark_partition_id()))
     # Always 0, but not a constant: a constant would be folded out of the join keys.
     right = lookup.withColumn("_spread", F.pmod(F.hash(*keys), F.lit(1)))
-    added = [c for c in lookup.columns if c not in keys]
     return left.join(right, [*keys, "_spread"], "left").select(*df.columns, *added)
