@@ -22,11 +22,16 @@ NO_WORDS = ("0", "false", "False", "N", "n", "f", "F")
 YES_WORDS_SQL = ("1", "true", "t", "y", "yes")
 NO_WORDS_SQL = ("0", "false", "f", "n", "no")
 
-# Accepted number, code list and uuid shapes.
+# Accepted number, code list, date and uuid shapes.
 REAL_SHAPE = r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
 CODE_LIST_SHAPE = r'^[\d\s,;|\[\]"-]+$'
 UUID_SHAPE = r"^[0-9a-f]{8}-[0-9a-f]{4}-[1-5][0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
 
+# A hand-typed number without its white space: leading plus, trailing sign, decimal comma and
+# trailing dot are tolerated. Groups: whole part, fraction, exponent, fraction behind a comma.
+TYPED_REAL = (
+    r"(?s)^(?:\+?(-?[0-9]+)(?:(?:\.([0-9]+))?([eE][+-]?[0-9]+)?[+-]?|,([0-9]+)[+-]?|\.)|.*)$"
+)
 ERA_OFFSET = 543
 
 
@@ -49,8 +54,7 @@ def norm_key(c: Column) -> Column:
 
 def match_key(c: Column) -> Column:
     """Key for comparing spellings: lower case, and numbers lose leading zeros."""
-    key = F.lower(norm_key(c))
-    return F.when(key.rlike("^0+[0-9]+$"), F.regexp_replace(key, "^0+(?=[0-9])", "")).otherwise(key)
+    return F.regexp_replace(F.lower(norm_key(c)), "^0+(?=[0-9]+$)", "")
 
 
 def clamp_text(c: Column, n: int = 255) -> tuple[Column, Column]:
@@ -60,26 +64,19 @@ def clamp_text(c: Column, n: int = 255) -> tuple[Column, Column]:
 
 
 def to_int_strict(c: Column, max_digits: int = 18, signed: bool = True) -> Column:
-    text = null_if_blank(c)
+    """Whole number of at most `max_digits` digits. One match trims, checks and extracts."""
     sign = "-?" if signed else ""
-    return F.when(text.rlike(f"^{sign}[0-9]{{1,{max_digits}}}$"), text.try_cast("bigint"))
-
-
-def _tidy_number(c: Column) -> Column:
-    text = F.regexp_replace(c.cast("string"), WHITE_SPACE_CLASS + "+", "")
-    text = F.regexp_replace(text, r"^\+", "")
-    text = F.regexp_replace(text, r"([0-9])[+-]$", "$1")
-    text = F.regexp_replace(text, r"^(-?[0-9]+),([0-9]+)$", "$1.$2")
-    return F.regexp_replace(text, r"^(-?[0-9]+)\.$", "$1")
+    shape = f"^{WHITE_SPACE_CLASS}*({sign}[0-9]{{1,{max_digits}}}){WHITE_SPACE_CLASS}*$"
+    return F.regexp_extract(c.cast("string"), shape, 1).try_cast("bigint")
 
 
 def to_real_lenient(c: Column, money: bool = False) -> Column:
     """Number from hand-typed text; with money, commas separate thousands and the result is decimal."""
     if money:
         text = F.regexp_replace(strip(c), ",", "")
-        return F.when(text.rlike(REAL_SHAPE), text.try_cast("decimal(19,4)"))
-    text = _tidy_number(c)
-    return F.when(text.rlike(REAL_SHAPE), text.try_cast("double"))
+        return F.regexp_extract(text, REAL_SHAPE, 0).try_cast("decimal(19,4)")
+    text = F.translate(c.cast("string"), WHITE_SPACE, "")
+    return F.regexp_replace(text, TYPED_REAL, "$1.$2$4$3").try_cast("double")
 
 
 def to_bool(c: Column, vocab: str = "js", default: bool | None = None) -> Column:
@@ -98,27 +95,19 @@ def to_int_flag(c: Column) -> Column:
     return F.coalesce(to_bool(c).cast("bigint"), to_int_strict(c))
 
 
-def _wall_clock_parts(c: Column, threshold: int, time_after_t: bool) -> dict[str, Column]:
-    text = null_if_blank(c)
-    shaped = text.rlike(r"^[0-9]{4}-[0-9]{2}.[0-9]{2}")
-    year = F.substring(text, 1, 4).try_cast("int")
-    rest = strip(F.substring(text, 11, 40))
-    if time_after_t:
-        rest = F.regexp_replace(rest, "^[Tt]", "")
-    timed = rest.rlike("^[0-9]{2}.[0-9]{2}.[0-9]{2}")
+def _date_time_text(c: Column, time_after_t: bool) -> Column:
+    """`yyyy-mm-dd hh:mm:ss`, `yyyy-mm-dd ::` without a readable time, `-- ::` if not a date."""
+    space = WHITE_SPACE_CLASS + "*"
+    before_time = space + "[Tt]?" if time_after_t else space
+    day = "([0-9]{4})-([0-9]{2}).([0-9]{2})"
+    time = "([0-9]{2}).([0-9]{2}).([0-9]{2})"
+    shape = f"(?s)^(?:{space}{day}(?:{before_time}{time})?.*|.*)$"
+    return F.regexp_replace(c.cast("string"), shape, "$1-$2-$3 $4:$5:$6")
 
-    def time_part(start: int) -> Column:
-        return F.when(timed, F.substring(rest, start, 2)).otherwise("00")
 
-    return {
-        "shaped": F.coalesce(shaped, F.lit(False)),
-        "year": F.when(year >= threshold, year - ERA_OFFSET).otherwise(year),
-        "month": F.substring(text, 6, 2),
-        "day": F.substring(text, 9, 2),
-        "hour": time_part(1),
-        "minute": time_part(4),
-        "second": time_part(7),
-    }
+def _shifted_year(text: Column, threshold: int) -> Column:
+    year = F.substring(text, 1, 4).try_cast("int")
+    return year - (year >= threshold).cast("int") * ERA_OFFSET
 
 
 def be_to_timestamp(
@@ -130,27 +119,22 @@ def be_to_timestamp(
     the common era. Impossible dates give null. An unreadable time gives midnight; with
     `time_after_t` off, so does a time behind a letter T.
     """
-    p = _wall_clock_parts(c, threshold, time_after_t)
-    clock = [p[k].try_cast("int") if keep_time else F.lit(0) for k in ("hour", "minute", "second")]
-    made = F.try_make_timestamp_ntz(
-        p["year"],
-        p["month"].try_cast("int"),
-        p["day"].try_cast("int"),
-        clock[0],
-        clock[1],
-        clock[2].cast("decimal(8,6)"),
+    text = _date_time_text(c, time_after_t)
+
+    def number(start: int) -> Column:
+        return F.substring(text, start, 2).try_cast("int")
+
+    clock = [F.coalesce(number(i), F.lit(0)) if keep_time else F.lit(0) for i in (12, 15, 18)]
+    return F.try_make_timestamp_ntz(
+        _shifted_year(text, threshold), number(6), number(9), clock[0], clock[1], clock[2].cast("decimal(8,6)")
     )
-    return F.when(p["shaped"], made)
 
 
 def be_to_text(c: Column, threshold: int, time_after_t: bool = True) -> Column:
     """The shifted date and time as text, without a calendar check."""
-    p = _wall_clock_parts(c, threshold, time_after_t)
-    text = F.concat(
-        F.lpad(p["year"].cast("string"), 4, "0"), F.lit("-"), p["month"], F.lit("-"), p["day"],
-        F.lit(" "), p["hour"], F.lit(":"), p["minute"], F.lit(":"), p["second"],
-    )
-    return F.when(p["shaped"], text)
+    text = _date_time_text(c, time_after_t)
+    year = F.lpad(_shifted_year(text, threshold).cast("string"), 4, "0")
+    return F.regexp_replace(F.concat(year, F.substring(text, 5, 20)), " ::$", " 00:00:00")
 
 
 def parse_iso_date(c: Column) -> Column:
@@ -265,8 +249,7 @@ def is_searchable_name(c: Column) -> Column:
 
 
 def guard_uuid(c: Column) -> Column:
-    text = F.lower(null_if_blank(c))
-    return F.when(text.rlike(UUID_SHAPE), text)
+    return F.nullif(F.regexp_extract(F.lower(strip(c)), UUID_SHAPE, 0), F.lit(""))
 
 
 def to_json_array(c: Column, null_as_empty: bool = False) -> Column:

@@ -7,43 +7,58 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tablebridge.functions.clean import REAL_SHAPE, null_if_blank, strip
+from tablebridge.functions.clean import REAL_SHAPE, strip
 from tablebridge.operators.skew import rank_in_group
 
 
-def canonical_value(c: Column) -> Column:
-    """Comparable text: blank equals null, numbers in one form whatever their type."""
-    text = null_if_blank(c.cast("string"))
-    whole = F.when(
-        text.rlike("^-?[0-9]{1,38}$"), F.concat(F.lit("n:"), text.try_cast("decimal(38,0)").cast("string"))
+def _number_text(real: Column) -> Column:
+    """n: for whole numbers in integer form, f: for others."""
+    whole = (real == F.floor(real)) & (F.abs(real) < 1e15)
+    return F.when(whole, F.concat(F.lit("n:"), real.cast("decimal(38,0)").cast("string"))).otherwise(
+        F.concat(F.lit("f:"), real.cast("string"))
     )
-    real = text.try_cast("double")
-    near_whole = F.when(
-        (real == F.floor(real)) & (F.abs(real) < 1e15), F.concat(F.lit("n:"), real.cast("decimal(38,0)").cast("string"))
-    ).otherwise(F.concat(F.lit("f:"), real.cast("string")))
-    number = F.when(text.rlike(REAL_SHAPE), near_whole)
+
+
+def canonical_value(c: Column, data_type: T.DataType | None = None) -> Column:
+    """Comparable text: blank equals null, numbers in one form whatever their type.
+
+    Typed columns need no parsing; text is read as a whole number, a decimal number, or itself.
+    """
+    kind = data_type or T.StringType()
+    if isinstance(kind, T.IntegralType):
+        return F.concat(F.lit("n:"), c.cast("string"))
+    if isinstance(kind, T.NumericType):
+        return _number_text(c.cast("double"))
+    if isinstance(kind, T.BinaryType):
+        return F.concat(F.lit("t:"), F.lower(F.hex(c)))
+    if not isinstance(kind, T.StringType):
+        return F.concat(F.lit("t:"), c.cast("string"))
+    text = strip(c)
+    whole = F.regexp_extract(text, "^-?[0-9]{1,38}$", 0).try_cast("decimal(38,0)").cast("string")
+    real = F.regexp_extract(text, REAL_SHAPE, 0).try_cast("double")
     # Text keeps its outer space: only blank and null are the same.
-    return F.when(text.isNull(), None).otherwise(
-        F.coalesce(whole, number, F.concat(F.lit("t:"), c.cast("string")))
+    return F.coalesce(
+        F.concat(F.lit("n:"), whole), _number_text(real), F.when(text != "", F.concat(F.lit("t:"), c))
     )
 
 
-def canonical_hash(columns: Sequence[str]) -> Column:
-    fields = sorted(columns, key=str.lower)
-    return F.sha2(
-        F.to_json(
-            F.struct(*[canonical_value(F.col(c)).alias(c.lower()) for c in fields]),
-            {"ignoreNullFields": "false"},
-        ),
-        256,
-    )
+def canonical_columns(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
+    return {c: canonical_value(F.col(c), df.schema[c].dataType) for c in columns}
+
+
+def canonical_hash(df: DataFrame, columns: Sequence[str]) -> Column:
+    """SHA-256 of a row in canonical form, columns in the order of their lower-case names."""
+    values = canonical_columns(df, sorted(columns, key=str.lower))
+    row = F.struct(*[v.alias(n.lower()) for n, v in values.items()])
+    return F.sha2(F.to_json(row, {"ignoreNullFields": "false"}), 256)
 
 
 def hash_overlap(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows of each side and the size of their multiset intersection by canonical row hash."""
-    left = a.groupBy(canonical_hash(columns).alias("h")).agg(F.count(F.lit(1)).alias("_a"))
-    right = b.groupBy(canonical_hash(columns).alias("h")).agg(F.count(F.lit(1)).alias("_b"))
+    left = a.groupBy(canonical_hash(a, columns).alias("h")).agg(F.count(F.lit(1)).alias("_a"))
+    right = b.groupBy(canonical_hash(b, columns).alias("h")).agg(F.count(F.lit(1)).alias("_b"))
     both = left.join(right, "h", "full_outer")
     n_a, n_b = F.coalesce("_a", F.lit(0)), F.coalesce("_b", F.lit(0))
     return both.agg(
@@ -73,18 +88,21 @@ def compare_by_key(left: DataFrame, right: DataFrame, spec: CompareSpec) -> Data
     names of the differing fields. All rows are kept; a report may show fewer.
     """
 
+    waivable = {c for cols, _ in spec.waivers for c in cols}
+
     def side(df: DataFrame, key: str, prefix: str) -> DataFrame:
         rows = df.withColumn("key", F.col(key).cast("string")).filter("key is not null")
         ranked = rank_in_group(rows, ["key"], [F.col(c) for c in spec.order], "k")
-        return ranked.select(
-            "key", "k", *[F.col(c).alias(prefix + c) for c in spec.columns], F.lit(True).alias(prefix + "in")
-        )
+        # Values meet in canonical form; columns a waiver reads also come as they are.
+        values = [v.alias(f"{prefix}{c}_value") for c, v in canonical_columns(df, spec.columns).items()]
+        plain = [F.col(c).alias(prefix + c) for c in spec.columns if c in waivable]
+        return ranked.select("key", "k", *values, *plain, F.lit(True).alias(prefix + "in"))
 
     pairs = side(left, spec.left_key, "_l_").join(side(right, spec.right_key, "_r_"), ["key", "k"], "full_outer")
     waived = {c: F.coalesce(cond, F.lit(False)) for cols, cond in spec.waivers for c in cols}
 
     def differs(c: str) -> Column:
-        unequal = ~canonical_value(F.col(f"_l_{c}")).eqNullSafe(canonical_value(F.col(f"_r_{c}")))
+        unequal = ~F.col(f"_l_{c}_value").eqNullSafe(F.col(f"_r_{c}_value"))
         return unequal & ~waived[c] if c in waived else unequal
 
     fields = F.filter(

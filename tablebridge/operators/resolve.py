@@ -269,19 +269,23 @@ def asof_before_day(
         F.col(cand_id).alias("_id"),
         (F.col(cand_own) if cand_own else F.lit(None).cast("bigint")).alias("_owner"),
     )
-    # Best per owner first: a hot (party, day) is already small when its two best owners are picked.
-    per_owner = cand.groupBy("_party", "_day", "_owner").agg(F.max(F.struct("_ts", "_id", "_owner")).alias("_c"))
-    best = per_owner.groupBy("_party", "_day").agg(F.max("_c").alias("_best"))
     if own:
-        rivals = (
-            per_owner.join(best, ["_party", "_day"])
-            .filter(~F.col("_owner").eqNullSafe(F.col("_best._owner")))
+        # The two best of each party and day with different owners. The ranking stops at two, so
+        # Spark cuts every group to two rows before the shuffle.
+        per_owner = cand.groupBy("_party", "_day", "_owner").agg(F.max(F.struct("_ts", "_id", "_owner")).alias("_c"))
+        place = F.row_number().over(W.partitionBy("_party", "_day").orderBy(F.col("_c").desc()))
+        daily = (
+            per_owner.withColumn("_place", place)
+            .filter("_place <= 2")
             .groupBy("_party", "_day")
-            .agg(F.max("_c").alias("_rival"))
+            .agg(
+                F.max(F.when(F.col("_place") == 1, F.col("_c"))).alias("_best"),
+                F.max(F.when(F.col("_place") == 2, F.col("_c"))).alias("_rival"),
+            )
         )
-        daily = best.join(rivals, ["_party", "_day"], "left")
     else:
-        daily = best.withColumn("_rival", F.lit(None).cast(best.schema["_best"].dataType))
+        daily = cand.groupBy("_party", "_day").agg(F.max(F.struct("_ts", "_id", "_owner")).alias("_best"))
+        daily = daily.withColumn("_rival", F.lit(None).cast(daily.schema["_best"].dataType))
 
     marked = df.withColumn("_party", F.col(party)).withColumn("_day", F.to_date(ts))
     asked = marked.select("_party", "_day").filter(
@@ -308,7 +312,7 @@ def asof_before_day(
         .withColumn("_second", F.lag("_second_upto").over(by_day))
         .select("_party", "_day", F.col("_prior").alias("_first"), "_second")
     )
-    joined = left_lookup(marked, line, ["_party", "_day"])
+    joined = left_lookup(marked, line, ["_party", "_day"], sparse=True)
     if own:
         is_own = F.col("_first._owner").eqNullSafe(F.col(row_own))
         chosen = F.when(is_own, F.col("_second._id")).otherwise(F.col("_first._id"))

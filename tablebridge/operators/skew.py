@@ -18,7 +18,7 @@ def with_position(df: DataFrame, order: Sequence[Column], name: str = "position"
     """1-based position under a total order, without a window over the whole table.
 
     Rows are spread by ranges of the full order, numbered inside their range, and shifted by the
-    sizes of the ranges before. The checkpoint pins the ranges, so both reads see the same ones;
+    sizes of the ranges before. Writing them pins the ranges, so both reads see the same ones;
     the table of range sizes has one row per shuffle partition, which bounds the broadcast.
     """
     spark = df.sparkSession

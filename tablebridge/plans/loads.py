@@ -141,10 +141,9 @@ def enrich_with_prior_result(
     picked = resolve.asof_before_day(
         appointments, candidates, "party", "at", "exam_at", "exam_id", ("id", "appointment"), "picked_exam"
     )
-    # Findings are gathered once per picked exam, not once per appointment.
-    wanted = picked.select(F.col("picked_exam").alias("exam_id")).filter("exam_id is not null").distinct()
+    # Findings are gathered once per exam, not once per appointment.
     lists = document.group_to_struct_array(
-        findings.join(wanted, "exam_id", "left_semi"), ["exam_id"], [F.col("finding_id")], ["finding_id"], "found"
+        findings, ["exam_id"], [F.col("finding_id")], ["finding_id"], "found"
     ).withColumn("payload", F.to_json("found"))
     first = lists.filter("part = 0").select("exam_id", "payload")
     filled = document.denormalise_to_parent(picked, "picked_exam", first, "exam_id", ["payload"])

@@ -430,7 +430,7 @@ def canonical_value(t: Tables):
     status = F.when(col("o_orderstatus") == "P", "  ").otherwise(col("o_orderstatus"))
     return t.orders.select(
         "o_orderkey", compare.canonical_value(padded).alias("key_text"),
-        compare.canonical_value(col("o_totalprice")).alias("price_text"),
+        compare.canonical_value(col("o_totalprice"), t.orders.schema["o_totalprice"].dataType).alias("price_text"),
         compare.canonical_value(col("o_orderpriority")).alias("priority_text"),
         compare.canonical_value(status).alias("status_text"),
     )
