@@ -169,9 +169,8 @@ def slot_label(c: Column) -> Column:
     """8:5 becomes 08:05; text without a colon is kept."""
     text = null_if_blank(c)
     parts = F.split(text, ":")
-    return F.when(F.size(parts) < 2, text).otherwise(
-        F.concat_ws(":", _pad_two(F.get(parts, F.lit(0))), _pad_two(F.get(parts, F.lit(1))))
-    )
+    padded = F.concat_ws(":", _pad_two(F.get(parts, F.lit(0))), _pad_two(F.get(parts, F.lit(1))))
+    return F.when(F.size(parts) >= 2, padded).otherwise(text)
 
 
 def digits_or_text(c: Column) -> Column:
