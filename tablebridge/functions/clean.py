@@ -63,20 +63,26 @@ def clamp_text(c: Column, n: int = 255) -> tuple[Column, Column]:
     return F.substring(text, 1, n), F.coalesce(F.char_length(text) > n, F.lit(False))
 
 
+def matched(text: Column, shape: str, group: int = 0) -> Column:
+    """The match, or null. Casts must not see text they reject: each rejection costs an exception."""
+    return F.nullif(F.regexp_extract(text, shape, group), F.lit(""))
+
+
 def to_int_strict(c: Column, max_digits: int = 18, signed: bool = True) -> Column:
     """Whole number of at most `max_digits` digits. One match trims, checks and extracts."""
     sign = "-?" if signed else ""
     shape = f"^{WHITE_SPACE_CLASS}*({sign}[0-9]{{1,{max_digits}}}){WHITE_SPACE_CLASS}*$"
-    return F.regexp_extract(c.cast("string"), shape, 1).try_cast("bigint")
+    return matched(c.cast("string"), shape, 1).try_cast("bigint")
 
 
 def to_real_lenient(c: Column, money: bool = False) -> Column:
     """Number from hand-typed text; with money, commas separate thousands and the result is decimal."""
     if money:
         text = F.regexp_replace(strip(c), ",", "")
-        return F.regexp_extract(text, REAL_SHAPE, 0).try_cast("decimal(19,4)")
+        return matched(text, REAL_SHAPE).try_cast("decimal(19,4)")
     text = F.translate(c.cast("string"), WHITE_SPACE, "")
-    return F.regexp_replace(text, TYPED_REAL, "$1.$2$4$3").try_cast("double")
+    number = F.regexp_replace(text, TYPED_REAL, "$1.$2$4$3")
+    return F.nullif(number, F.lit(".")).try_cast("double")
 
 
 def to_bool(c: Column, vocab: str = "js", default: bool | None = None) -> Column:
@@ -96,13 +102,15 @@ def to_int_flag(c: Column) -> Column:
 
 
 def _date_time_text(c: Column, time_after_t: bool) -> Column:
-    """`yyyy-mm-dd hh:mm:ss`, `yyyy-mm-dd ::` without a readable time, `-- ::` if not a date."""
+    """`yyyy-mm-dd hh:mm:ss`, midnight without a readable time, null if not a date."""
     space = WHITE_SPACE_CLASS + "*"
     before_time = space + "[Tt]?" if time_after_t else space
     day = "([0-9]{4})-([0-9]{2}).([0-9]{2})"
     time = "([0-9]{2}).([0-9]{2}).([0-9]{2})"
     shape = f"(?s)^(?:{space}{day}(?:{before_time}{time})?.*|.*)$"
-    return F.regexp_replace(c.cast("string"), shape, "$1-$2-$3 $4:$5:$6")
+    parts = F.regexp_replace(c.cast("string"), shape, "$1-$2-$3 $4:$5:$6")
+    timed = F.when(F.char_length(parts) == 13, F.concat(F.substring(parts, 1, 11), F.lit("00:00:00"))).otherwise(parts)
+    return F.nullif(timed, F.lit("-- ::"))
 
 
 def _shifted_year(text: Column, threshold: int) -> Column:
@@ -124,7 +132,7 @@ def be_to_timestamp(
     def number(start: int) -> Column:
         return F.substring(text, start, 2).try_cast("int")
 
-    clock = [F.coalesce(number(i), F.lit(0)) if keep_time else F.lit(0) for i in (12, 15, 18)]
+    clock = [number(i) if keep_time else F.lit(0) for i in (12, 15, 18)]
     return F.try_make_timestamp_ntz(
         _shifted_year(text, threshold), number(6), number(9), clock[0], clock[1], clock[2].cast("decimal(8,6)")
     )
@@ -134,7 +142,7 @@ def be_to_text(c: Column, threshold: int, time_after_t: bool = True) -> Column:
     """The shifted date and time as text, without a calendar check."""
     text = _date_time_text(c, time_after_t)
     year = F.lpad(_shifted_year(text, threshold).cast("string"), 4, "0")
-    return F.regexp_replace(F.concat(year, F.substring(text, 5, 20)), " ::$", " 00:00:00")
+    return F.concat(year, F.substring(text, 5, 20))
 
 
 def parse_iso_date(c: Column) -> Column:
@@ -248,7 +256,7 @@ def is_searchable_name(c: Column) -> Column:
 
 
 def guard_uuid(c: Column) -> Column:
-    return F.nullif(F.regexp_extract(F.lower(strip(c)), UUID_SHAPE, 0), F.lit(""))
+    return matched(F.lower(strip(c)), UUID_SHAPE)
 
 
 def to_json_array(c: Column, null_as_empty: bool = False) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablebridge.functions.clean import REAL_SHAPE, strip
+from tablebridge.functions.clean import REAL_SHAPE, matched, strip
 from tablebridge.operators.skew import rank_in_group
 
 
@@ -36,8 +36,8 @@ def canonical_value(c: Column, data_type: T.DataType | None = None) -> Column:
     if not isinstance(kind, T.StringType):
         return F.concat(F.lit("t:"), c.cast("string"))
     text = strip(c)
-    whole = F.regexp_extract(text, "^-?[0-9]{1,38}$", 0).try_cast("decimal(38,0)").cast("string")
-    real = F.regexp_extract(text, REAL_SHAPE, 0).try_cast("double")
+    whole = matched(text, "^-?[0-9]{1,38}$").try_cast("decimal(38,0)").cast("string")
+    real = matched(text, REAL_SHAPE).try_cast("double")
     # Text keeps its outer space: only blank and null are the same.
     return F.coalesce(
         F.concat(F.lit("n:"), whole), _number_text(real), F.when(text != "", F.concat(F.lit("t:"), c))
@@ -199,7 +199,7 @@ def key_alias_range(
     df: DataFrame, key: str, low: object = None, high: object = None, numeric: bool = True, alias: str = "key"
 ) -> DataFrame:
     """Rows whose key, under its own name on this side, lies in an inclusive range."""
-    value = F.col(key).try_cast("decimal(38,0)") if numeric else F.col(key).cast("string")
+    value = matched(F.col(key).cast("string"), "^ *-?[0-9]{1,38} *$").try_cast("decimal(38,0)") if numeric else F.col(key).cast("string")
     keep = F.lit(True)
     if low is not None:
         keep = keep & (value >= F.lit(low))
