@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tablebridge.functions.clean import null_if_blank
 from tablebridge.operators.document import group_to_struct_array
+from tablebridge.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -29,23 +30,24 @@ class FieldRule:
 
 
 def _issue(rule: FieldRule) -> Column:
+    # A lost value is null by definition; only a flagged one has something to show.
+    mapped = F.lit(None).cast("string") if rule.flag is None else rule.mapped.cast("string")
     return F.when(
         rule.failed(),
         F.struct(
             F.lit(rule.field).alias("field"),
             F.lit(rule.reason).alias("reason"),
             F.col(rule.raw).cast("string").alias("source_raw"),
-            rule.mapped.cast("string").alias("mapped"),
+            mapped.alias("mapped"),
         ),
     )
 
 
 def field_issues(df: DataFrame, record_id: Column, rules: Sequence[FieldRule]) -> DataFrame:
     """One row per field that held text but could not be mapped. One pass over the table."""
-    found = F.filter(F.array(*[_issue(r) for r in rules]), lambda x: x.isNotNull())
-    return df.select(record_id.cast("string").alias("record_id"), F.explode(found).alias("i")).select(
-        "record_id", "i.*"
-    )
+    found = F.explode(F.array(*[_issue(r) for r in rules])).alias("i")
+    rows = df.select(record_id.cast("string").alias("record_id"), found)
+    return rows.filter("i is not null").select("record_id", "i.*")
 
 
 @dataclass(frozen=True)
@@ -87,6 +89,8 @@ def issue_log(issues: Sequence[DataFrame], max_items: int = 1000) -> DataFrame:
     for more in issues[1:]:
         out = out.unionByName(more, allowMissingColumns=True)
     fields = ["field", "reason", "source_raw"]
+    # Finding issues is the expensive part; grouping reads them more than once.
+    out = cut_lineage(out.select("record_id", *fields))
     return group_to_struct_array(
         out, ["record_id"], [F.col(c) for c in fields], fields, "issues", max_items
     )

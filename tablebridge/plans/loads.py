@@ -11,6 +11,7 @@ from tablebridge.functions.clean import null_if_blank
 from tablebridge.operators import document, merge, quality, resolve
 from tablebridge.operators.dedup import distinct_on
 from tablebridge.operators.merge import MergeSpec
+from tablebridge.session import cut_lineage
 from tablebridge.spec import TableSpec
 
 # Care 1 outpatient, 2 inpatient; method 1 cash, 2 default, 3 invoice; rights by method.
@@ -47,7 +48,8 @@ def shape_rows(spec: TableSpec, staging: DataFrame) -> DataFrame:
     for key in spec.keys:
         base = base.filter(F.col(key).isNotNull())
     if spec.keys and spec.mode != "append":
-        base = distinct_on(base, spec.keys, [F.col(f"_raw_{c}") for c in spec.order])
+        kept = [f.name for f in spec.fields] + sorted({f"_raw_{r.source}" for r in spec.relations})
+        base = distinct_on(base, spec.keys, [F.col(f"_raw_{c}") for c in spec.order], kept)
     for r in spec.relations:
         source = null_if_blank(F.col(f"_raw_{r.source}").cast("string"))
         if r.sentinels:
@@ -99,8 +101,13 @@ def find_issues(spec: TableSpec, staging: DataFrame) -> DataFrame:
 
 
 def run_load(spec: TableSpec, staging: DataFrame, target: DataFrame) -> LoadResult:
-    """Cleanse, deduplicate, resolve, merge under the spec's write mode, and report."""
+    """Cleanse, deduplicate, resolve, merge under the spec's write mode, and report.
+
+    A merge reads its source several times, so the shaped rows are staged once.
+    """
     shaped = shape_rows(spec, staging)
+    if spec.mode != "append":
+        shaped = cut_lineage(shaped)
     plan = MergeSpec(spec.keys, spec.id_col, policies=spec.policies, keep=spec.keep)
     if spec.mode == "append":
         rows = merge.append_log(target, shaped.select(*[c for c in target.columns if c in shaped.columns]))
