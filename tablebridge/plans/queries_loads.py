@@ -510,12 +510,12 @@ WITH t AS ({plain(INCOME_TARGET)}), s AS (
   UNION ALL SELECT 'old:' || old_id, CAST(receipt AS DECIMAL(19,4)), kind FROM ({plain(INCOME_OLD)}) WHERE old_id + 500 NOT IN (SELECT old_id FROM ({plain(INCOME_MAIN)})))
 SELECT t.id, t.old_key, t.receipt, s.kind, CASE WHEN s.kind = 'F' THEN 'service' ELSE t.purpose END AS purpose FROM t JOIN s USING (old_key)
 UNION ALL SELECT (SELECT max(id) FROM t) + row_number() OVER (ORDER BY old_key), old_key, receipt, kind, 'service' FROM s WHERE old_key NOT IN (SELECT old_key FROM t)""")
-def load_center_income(t: Tables):
+def load_income(t: Tables):
     rows = drop_archived_copies(t.derive(INCOME_MAIN), t.derive(INCOME_OLD), "old_id", 500).withColumn(
         "old_key", k.composite_key(F.when(col("source_rank") == 0, "old").otherwise("main"), col("old_id"), sep=":")
     )
     spec = TableSpec(
-        "center_income", "old_key", ["old_key"], ["source_rank", "old_id"],
+        "income", "old_key", ["old_key"], ["source_rank", "old_id"],
         [
             FieldSpec("old_key", "old_key"),
             FieldSpec("receipt", "receipt", lambda x: c.to_real_lenient(x, money=True), "numeric_parse_failed"),
