@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablebridge.llm import decontaminate, mpeg, rans, simhash
+from tablebridge.llm import cross_entropy, decontaminate, mpeg, pii, quality, rans, simhash
 from tablebridge.llm.staging import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,19 @@ def op7_rans_tokens(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_mpeg_audio(spark: SparkSession, folder: str) -> DataFrame:
     return mpeg.stored_features(table(spark, folder, "documents")).drop("frame_offsets")
+
+
+@query
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.assess(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op5_cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
+    good = table(spark, folder, "labels").where("quality = 1 and toxic = 0")
+    return cross_entropy.score(table(spark, folder, "documents"), good)
+
+
+@query
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.report(table(spark, folder, "documents"))
