@@ -18,10 +18,10 @@ begin there; the first one begins the block.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,61 +31,87 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tablebridge.llm.staging import rows_of, stage
 from tablebridge.session import new_run_folder
 
-BITS, LANES, STEPS, BLOCK = 20, 256, 128, 131_072
+BITS, LANES, STEPS, BLOCK = 20, 1024, 128, 524_288
 LOW = np.uint64(1 << 31)
 HEAD = struct.Struct("<4sBBHQIIIII")
-#: Distinct words whose ids a Python worker keeps at once.
+#: After so many distinct words a Python worker lays them aside; it forgets those laid aside before.
 KEPT_WORDS = 400_000
 
 
 class Encoder:
     """Ids of whole texts as bytes, equal to the library's, with the ids of words remembered.
 
-    The tokenizer splits before a space that precedes a word and after a line break, so a text
-    without further white space beside these falls into words whose ids don't depend on their
-    neighbours. Any other text goes to the library whole.
+    The tokenizer splits before a space that precedes a word and at a line break, so a text without
+    further white space beside these falls into words whose ids don't depend on their neighbours.
+    Any other text goes to the library whole. It also splits between a letter and punctuation, so a
+    word that ends in punctuation is put together from two. Words not met lately are forgotten.
     """
 
-    ODD = re.compile(r"^\s|\s$|\s\s|[\x1c-\x1f\x85]|<\|")
+    #: Texts with these, or with a space or line break at an end, are not cut into words.
+    ODD = ("  ", " \n", "\n ", "\n\n", "\x1c", "<|")
+    ENDS = ".,;:!?|*#%&$)"
 
     def __init__(self, path: str, dtype: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.library, self.dtype, self.words = Tokenizer.from_file(path), np.dtype(dtype), {}
+        self.library, self.dtype, self.words, self.older = Tokenizer.from_file(path), np.dtype(dtype), {}, {}
+        self.model, kept = self.library.model, [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in kept]
+        self.letters = {b: b for b in kept} | {b: 256 + i for i, b in enumerate(rest)}  # the byte-level alphabet
 
     def raw(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.dtype).tobytes() for x in found]
 
+    def learn(self, words: list[str]) -> None:
+        """Words of Latin letters after a space are one piece for the splitter, so the merges alone encode them."""
+        plain = [w for w in words if w[1:].isalpha() and w[0] == " " and max(w) < "\u0250"]
+        for w in plain:
+            found = self.model.tokenize(w.encode().decode("latin-1").translate(self.letters))
+            self.words[w] = np.array([x.id for x in found], self.dtype).tobytes()
+        rest = list(set(words).difference(plain))
+        self.words.update(zip(rest, self.raw(rest), strict=True))
+
+    def remember(self, wanted: set[str]) -> None:
+        if len(self.words) > KEPT_WORDS:
+            self.older, self.words = self.words, {}
+        missing = wanted.difference(self.words)
+        for w in missing & self.older.keys():
+            self.words[w] = self.older[w]
+        missing.difference_update(self.older)
+        ended = {w: s for w in missing if (s := w.rstrip(self.ENDS)) != w and s[-1:].isalpha()}
+        stems, tails = set(ended.values()), {w[len(s) :] for w, s in ended.items()}
+        plain = ((missing - ended.keys()) | stems | tails).difference(self.words)
+        self.learn(list(plain))
+        for w, s in ended.items():
+            self.words[w] = self.words[s] + self.words[w[len(s) :]]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         parts: list[list[str] | None] = []
-        whole = []
-        for i, t in enumerate(texts):
-            t = t or ""
-            if self.ODD.search(t):
-                parts.append(None)
-                whole.append(i)
-            else:
-                p = t.replace("\n", "\x1c\n").replace(" ", "\x1c ").split("\x1c") if t else []
-                parts.append(p)
-        wanted = set().union(*(p for p in parts if p)) if parts else set()
-        missing = list(wanted.difference(self.words))
-        if len(self.words) + len(missing) > KEPT_WORDS:
-            self.words, missing = {}, list(wanted)
-        self.words.update(zip(missing, self.raw(missing), strict=True))
+        for t in texts:
+            odd = t and (t[0] in " \n" or t[-1] in " \n" or any(x in t for x in self.ODD))
+            parts.append(None if odd else t.replace("\n", "\x1c\n").replace(" ", "\x1c ").split("\x1c") if t else [])
+        self.remember(set().union(*(p for p in parts if p)))
         get = self.words.__getitem__
         out = [b"" if p is None else b"".join(map(get, p)) for p in parts]
+        whole = [i for i, p in enumerate(parts) if p is None]
         for i, x in zip(whole, self.raw([texts[i] for i in whole]), strict=True):
             out[i] = x
         return out
 
 
+@lru_cache(2)
+def encoder_of(path: str, dtype: str) -> Encoder:
+    """The encoder of a Python worker, which may serve several tasks."""
+    return Encoder(path, dtype)
+
+
 def token_ids(docs: DataFrame, path: str, end_id: int, dtype: str = "<u2") -> DataFrame:
     """(doc_id, text) -> (doc_id, n_tokens, ids_crc32, ids); null texts are empty; end_id closes each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(path, dtype), np.array([end_id], dtype).tobytes()
+        encoder, end = encoder_of(path, dtype), np.array([end_id], dtype).tobytes()
         for b in rows_of(batches, chars=4_000_000):
             ids = [x + end for x in encoder.encode(b.column(1).to_pylist())]
             n = [len(x) // encoder.dtype.itemsize for x in ids]
@@ -101,10 +127,9 @@ def id_counts(tokens: DataFrame, dtype: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for b in batches:
-            for x in b.column(0):
-                n = np.bincount(np.frombuffer(x.as_py(), dtype), minlength=len(total))
-                n[: len(total)] += total
-                total = n
+            n = np.bincount(np.frombuffer(b"".join(b.column(0).to_pylist()), dtype), minlength=len(total))
+            n[: len(total)] += total
+            total = n
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 
