@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablebridge.llm import cross_entropy, decontaminate, mpeg, pii, quality, rans, simhash
+from tablebridge.llm import cross_entropy, decontaminate, html_text, mpeg, pii, quality, rans, simhash
 from tablebridge.llm.staging import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,8 @@ def op5_cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.report(table(spark, folder, "documents"))
+
+
+@query
+def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
