@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablebridge.llm import cross_entropy, decontaminate, html_text, mpeg, pii, quality, rans, simhash
+from tablebridge.llm import cross_entropy, decontaminate, html_text, mpeg, pii, quality, rans, simhash, substrings
 from tablebridge.llm.staging import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,22 @@ def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages"))
+
+
+@query
+def op2_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.deduplicated(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLES["op2_substrings"] = r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    spans AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS t FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+    firsts AS (SELECT t, min(doc_id) AS least FROM spans GROUP BY t),
+    gone AS (SELECT doc_id, list(DISTINCT i + k) AS g FROM spans JOIN firsts USING (t), range(0, 13) AS r(k) WHERE least < doc_id GROUP BY doc_id),
+    kept AS (
+        SELECT doc_id, len(w) AS n, [x[1] FOR x IN list_zip(w, range(1, len(w) + 1)) IF NOT list_contains(coalesce(g, []), x[2])] AS k
+        FROM d LEFT JOIN gone USING (doc_id)
+    )
+    SELECT doc_id, n AS n_words, n - len(k) AS n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept
+"""
