@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from tablebridge.llm.staging import rows_of, stage
@@ -51,15 +52,28 @@ def ids_of(text: str | None, words: dict[str, int]) -> np.ndarray:
     return np.array([START, *(get(w, UNKNOWN) for w in (text or "").lower().split())], np.int64)
 
 
-def pair_counts(docs: DataFrame, words: dict[str, int]) -> DataFrame:
-    """(doc_id, text, is_target) -> (pair, target, total): how often a pair of ids occurs, in target documents and in all."""
+def encoded(docs: DataFrame, words: dict[str, int]) -> DataFrame:
+    """(doc_id, text) -> (doc_id, ids): the ids of each text, two bytes each, compressed; a shuffle of them moves less than one of the texts."""
     sent = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((2, SIZE * SIZE), np.int64)
+        squeeze = zstandard.ZstdCompressor(3).compress
         for b in rows_of(batches):
-            for text, target in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                ids = ids_of(text, sent.value)
+            ids = [squeeze(ids_of(t, sent.value).astype(np.uint16).tobytes()) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
+
+
+def pair_counts(docs: DataFrame) -> DataFrame:
+    """(ids, is_target) -> (pair, target, total): how often a pair of ids occurs, in target documents and in all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((2, SIZE * SIZE), np.int64)
+        open_ = zstandard.ZstdDecompressor().decompress
+        for b in batches:
+            for pack, target in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                ids = np.frombuffer(open_(pack), np.uint16).astype(np.int64)
                 pairs, n = np.unique(ids[:-1] * SIZE + ids[1:], return_counts=True)
                 held[1, pairs] += n
                 if target:
@@ -69,7 +83,7 @@ def pair_counts(docs: DataFrame, words: dict[str, int]) -> DataFrame:
             some = used[i : i + (1 << 18)]
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(held[0, some]), pa.array(held[1, some])], ["pair", "target", "total"])
 
-    counted = docs.select("doc_id", "text", "is_target").mapInArrow(run, "pair long, target long, total long")
+    counted = docs.select("ids", "is_target").mapInArrow(run, "pair long, target long, total long")
     return counted.groupBy("pair").agg(F.sum("target").alias("target"), F.sum("total").alias("total"))
 
 
@@ -103,8 +117,8 @@ def fit(docs: DataFrame, target: DataFrame) -> Models:
     Counts cover all documents; the tables that reach the driver have at most SIZE**2 rows.
     """
     words = vocabulary(docs)
-    marked = docs.select("doc_id", "text").join(target.select("doc_id").distinct().withColumn("is_target", F.lit(True)), "doc_id", "left")
-    pairs = stage(pair_counts(marked, words), "pairs")
+    mark = target.select("doc_id").distinct().withColumn("is_target", F.lit(True))
+    pairs = stage(pair_counts(encoded(docs, words).join(mark.hint("merge"), "doc_id", "left")), "pairs")
     counts = np.zeros((2, SIZE * SIZE))
     for part in range(0, SIZE, 256):  # a bounded piece of a bounded table at a time
         rows = pairs.where(F.col("pair").between(part * SIZE, (part + 256) * SIZE - 1)).toArrow()
