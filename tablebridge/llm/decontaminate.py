@@ -157,3 +157,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         found = docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
         out = found if out is None else out.unionByName(found)
     return spark.createDataFrame([], SCHEMA) if out is None else out
+
+
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows, with all their columns, that hold no passage within its budget."""
+    at = docs.columns.index("text")
+    for items in blocks(benchmark):
+        sent = docs.sparkSession.sparkContext.broadcast(items)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(sent.value)
+            for b in batches:
+                yield b.filter(pa.array([not matcher.matches(t) for t in b.column(at).to_pylist()], pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

@@ -108,3 +108,15 @@ def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     found = score(docs, fit(docs, labels))
     return found.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, trees: Trees) -> DataFrame:
+    """The rows, with all their columns, whose text scores at least 0.5."""
+    sent, at = docs.sparkSession.sparkContext.broadcast(trees), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = np.array([statistics(t) for t in b.column(at).to_pylist()]).reshape(b.num_rows, len(NAMES))
+            yield b.filter(pa.array(sent.value.score(x) >= 0.5))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablebridge.llm import cross_entropy, decontaminate, html_text, mpeg, pii, quality, rans, simhash, substrings
+from tablebridge.llm import cross_entropy, decontaminate, html_text, mpeg, pii, quality, rans, sentence_pieces, simhash, substrings
 from tablebridge.llm.staging import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,9 @@ ORACLES["op2_substrings"] = r"""
     )
     SELECT doc_id, n AS n_words, n - len(k) AS n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept
 """
+
+
+@query
+def op9_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    found = sentence_pieces.encode(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_pieces", F.crc32(F.array_join("ids", " ")).alias("ids_crc32"), F.length("decoded").cast("long").alias("n_chars"), "exact")
