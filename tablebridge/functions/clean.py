@@ -68,10 +68,11 @@ def matched(text: Column, shape: str, group: int = 0) -> Column:
     return F.nullif(F.regexp_extract(text, shape, group), F.lit(""))
 
 
-def to_int_strict(c: Column, max_digits: int = 18, signed: bool = True) -> Column:
-    """Whole number of at most `max_digits` digits. One match trims, checks and extracts."""
+def to_int_strict(c: Column, max_digits: int | None = None, signed: bool = True) -> Column:
+    """Whole number, of at most `max_digits` digits if given; null beyond 64 bits. One match trims, checks and extracts."""
     sign = "-?" if signed else ""
-    shape = f"^{WHITE_SPACE_CLASS}*({sign}[0-9]{{1,{max_digits}}}){WHITE_SPACE_CLASS}*$"
+    digits = "+" if max_digits is None else f"{{1,{max_digits}}}"
+    shape = f"^{WHITE_SPACE_CLASS}*({sign}[0-9]{digits}){WHITE_SPACE_CLASS}*$"
     return matched(c.cast("string"), shape, 1).try_cast("bigint")
 
 
@@ -160,7 +161,7 @@ def to_epoch(c: Column, threshold: int = 2400, time_after_t: bool = False) -> Co
     text = null_if_blank(c)
     return (
         F.when(text.isin("0", "1"), None)
-        .when(text.rlike("^-?[0-9]{1,18}$"), text.try_cast("bigint"))
+        .when(text.rlike("^-?[0-9]+$"), text.try_cast("bigint"))
         .otherwise(epoch_seconds(be_to_timestamp(c, threshold, time_after_t=time_after_t)))
     )
 

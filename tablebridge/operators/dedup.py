@@ -11,13 +11,13 @@ from tablebridge.functions.clean import norm_key
 
 
 def distinct_on(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], columns: Sequence[str] | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], columns: Sequence[str] | None = None, last: bool = False
 ) -> DataFrame:
-    """The first row of each key under a total order, with all or some of its columns.
+    """The first (or last) row of each key under a total order, with all or some of its columns.
 
     Aggregates before the shuffle, so a hot key costs one row per task.
     """
-    first = F.min_by(F.struct(*(columns or df.columns)), F.struct(*order))
+    first = (F.max_by if last else F.min_by)(F.struct(*(columns or df.columns)), F.struct(*order))
     return df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(first.alias("_row")).select("_row.*")
 
 

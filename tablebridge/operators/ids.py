@@ -14,11 +14,11 @@ def assign_ids(
     df: DataFrame, order: Sequence[Column], existing: DataFrame | None = None, id_col: str = "id"
 ) -> DataFrame:
     """Number rows behind the highest existing id, in a total order; an empty table starts at 1."""
-    top = 0
+    top = F.lit(0)
     if existing is not None:
-        top = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("bigint")).first()[0]
+        top = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("bigint")).scalar()
     return (
         with_position(df, order, "_position")
-        .withColumn(id_col, F.col("_position") + F.lit(top))
+        .withColumn(id_col, F.col("_position") + top)
         .drop("_position")
     )

@@ -7,6 +7,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablebridge.session import cut_lineage
+
 # Reference shapes searched in configuration text.
 URL_SHAPE = r"https?://[^\s'\"\\]+"
 UUID_IN_TEXT = r"(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
@@ -43,32 +45,31 @@ def extract_refs(
     )
 
 
-def walk_json_paths(
-    df: DataFrame, row_id: str, json: str, key_shape: str = ROLE_KEY_SHAPE, max_depth: int = 5
-) -> DataFrame:
-    """(path, value) of every key whose name matches, at any level down to `max_depth`.
+def walk_json_paths(df: DataFrame, row_id: str, json: str, key_shape: str = ROLE_KEY_SHAPE) -> DataFrame:
+    """(path, value) of every key whose name matches, at any depth.
 
-    Each level explodes the objects and arrays of the one above.
+    Each level explodes the objects and arrays of the one above, which is staged, so the text is
+    parsed once and a level is read from its parent only. The walk ends at a level without any.
     """
-    level = df.select(F.col(row_id), F.lit("").alias("path"), F.try_parse_json(json).alias("node"))
+    level = df.select(
+        F.col(row_id), F.lit("").alias("path"), F.lit(None).cast("string").alias("name"), F.try_parse_json(json).alias("node")
+    )
     found = None
-    for _ in range(max_depth):
-        view = level.filter("node is not null")
-        inner = view.lateralJoin(
-            view.sparkSession.tvf.variant_explode(F.col("node").outer())
-        )
+    while True:
+        level = cut_lineage(level.filter("node is not null").select(row_id, "path", "name", F.to_json("node").alias("node")))
+        hits = level.filter(F.col("name").rlike(key_shape)).select(row_id, "path", F.col("node").alias("value"))
+        found = hits if found is None else found.unionByName(hits)
+        inner = level.filter(F.substring("node", 1, 1).isin("{", "["))
+        if inner.isEmpty():
+            return found
+        inner = inner.withColumn("node", F.parse_json("node"))
+        inner = inner.lateralJoin(inner.sparkSession.tvf.variant_explode(F.col("node").outer()))
         step = F.when(F.col("key").isNotNull(), F.concat(F.when(F.col("path") != "", F.lit(".")).otherwise(""), F.col("key"))).otherwise(
             F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))
         )
         level = inner.select(
-            row_id, F.concat("path", step).alias("path"), F.col("value").alias("node"), F.col("key").alias("name")
-        )
-        hits = level.filter(F.col("name").rlike(key_shape)).select(
-            row_id, "path", F.to_json("node").alias("value")
+            row_id, F.concat("path", step).alias("path"), F.col("key").alias("name"), F.col("value").alias("node")
         )
-        found = hits if found is None else found.unionByName(hits)
-        level = level.filter(F.schema_of_variant("node").rlike("^(OBJECT|ARRAY)")).drop("name")
-    return found
 
 
 def missing_refs(refs: DataFrame, present: DataFrame, ref: str, name: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablebridge.operators.skew import rank_in_group, with_position
+from tablebridge.operators.skew import with_position
 
 
 def null_first(order: Sequence[str]) -> list[Column]:
@@ -73,12 +73,8 @@ def row_index_range(df: DataFrame, order: Sequence[Column], first: int, last: in
 def split_point(df: DataFrame, key: str, is_read: Column) -> DataFrame:
     """Where reading stopped: highest read key, lowest unread key, whether these are in order, and
     the highest key before the first unread one."""
-    ends = df.agg(
-        F.max(F.when(is_read, F.col(key))).alias("max_read"),
-        F.min(F.when(~is_read, F.col(key))).alias("min_unread"),
-    ).first()
-    low = ends["min_unread"]
-    before = F.max(F.col(key)) if low is None else F.max(F.when(F.col(key) < F.lit(low), F.col(key)))
+    low = df.agg(F.min(F.when(~is_read, F.col(key)))).scalar()
+    before = F.max(F.when(low.isNull() | (F.col(key) < low), F.col(key)))
     max_read = F.max(F.when(is_read, F.col(key)))
     min_unread = F.min(F.when(~is_read, F.col(key)))
     return df.agg(
@@ -91,10 +87,8 @@ def split_point(df: DataFrame, key: str, is_read: Column) -> DataFrame:
 
 def gap_ids(ordered: DataFrame, present: DataFrame, key: str) -> DataFrame:
     """Source keys before the last present one that the target lacks."""
-    last = present.join(ordered.select(key), key, "left_semi").agg(F.max(key)).first()[0]
-    if last is None:
-        return ordered.select(key).filter(F.lit(False))
-    return ordered.select(key).filter(F.col(key) < F.lit(last)).join(present.select(key), key, "left_anti")
+    last = present.join(ordered.select(key), key, "left_semi").agg(F.max(key)).scalar()
+    return ordered.select(key).filter(F.col(key) < last).join(present.select(key), key, "left_anti")
 
 
 def ordered_limit(df: DataFrame, order: Sequence[Column], n: int | None) -> DataFrame:
@@ -106,9 +100,3 @@ def cap_to_snapshot(df: DataFrame, snapshot: DataFrame, keys: Sequence[str]) ->
     """Only the rows that were counted when the snapshot was taken."""
     return df.join(snapshot.select(*keys), list(keys), "left_semi")
 
-
-def page_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
-    """Page number of every row inside its key."""
-    return rank_in_group(df, keys, order, "_rank").withColumn(
-        "page", F.floor((F.col("_rank") - 1) / k).cast("bigint")
-    ).drop("_rank")

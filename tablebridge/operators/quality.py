@@ -13,6 +13,10 @@ from tablebridge.operators.document import group_to_struct_array
 from tablebridge.session import cut_lineage
 
 
+# Ids listed from one row.
+SLICE = 10_000
+
+
 @dataclass(frozen=True)
 class FieldRule:
     """One mapped field: raw source column, mapped value, and the reason to give if it is lost."""
@@ -96,19 +100,20 @@ def issue_log(issues: Sequence[DataFrame], max_items: int = 1000) -> DataFrame:
     )
 
 
-def repair_ids(run_log: DataFrame, issues: DataFrame, max_span: int = 100_000) -> DataFrame:
+def repair_ids(run_log: DataFrame, issues: DataFrame) -> DataFrame:
     """Ids to load again: failed ranges and lists of the latest run, plus records with issues.
 
-    `run_log` holds run_id, status, first_id, last_id and ids. A range wider than `max_span` is
-    not expanded; its two ends are taken.
+    `run_log` holds run_id, status, first_id, last_id and ids. Every id of a range is taken, however
+    wide: a range is cut into slices of `SLICE` ids before these are listed, so no row holds a long list.
     """
-    latest = run_log.groupBy().agg(F.max("run_id")).first()[0]
-    failed = run_log.filter((F.col("run_id") == F.lit(latest)) & (F.col("status") == "failed"))
-    span = F.col("last_id") - F.col("first_id") + 1
-    listed = F.when(span.isNull() | (span < 1), F.array().cast("array<bigint>")).when(
-        span <= max_span, F.sequence("first_id", "last_id")
-    ).otherwise(F.array("first_id", "last_id"))
-    ranges = failed.select(F.explode(listed.cast("array<string>")).alias("source_id"))
+    latest = run_log.agg(F.max("run_id")).scalar()
+    failed = run_log.filter((F.col("run_id") == latest) & (F.col("status") == "failed"))
+    slices = failed.filter("first_id <= last_id").select(
+        F.explode(F.sequence(F.col("first_id").cast("bigint"), F.col("last_id").cast("bigint"), F.lit(SLICE).cast("bigint"))).alias("_from"),
+        F.col("last_id").alias("_last"),
+    )
+    listed = F.sequence("_from", F.least(F.col("_from") + SLICE - 1, F.col("_last"))).cast("array<string>")
+    ranges = slices.select(F.explode(listed).alias("source_id"))
     lists = failed.select(F.explode(F.col("ids").cast("array<string>")).alias("source_id"))
     records = issues.select(F.col("record_id").alias("source_id"))
     ids = ranges.unionByName(lists).unionByName(records).select(null_if_blank(F.col("source_id")).alias("source_id"))

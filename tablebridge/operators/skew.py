@@ -10,16 +10,15 @@ from pyspark.sql import functions as F
 
 from tablebridge.session import cut_lineage
 
-# Groups up to this many rows are ranked inside one task.
-HOT_ROWS = 500_000
-
-
-def with_position(df: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:
+def with_position(
+    df: DataFrame, order: Sequence[Column], name: str = "position", range_name: str | None = None
+) -> DataFrame:
     """1-based position under a total order, without a window over the whole table.
 
     Rows are spread by ranges of the full order, numbered inside their range, and shifted by the
     sizes of the ranges before. Writing them pins the ranges, so both reads see the same ones;
     the table of range sizes has one row per shuffle partition, which bounds the broadcast.
+    `range_name` keeps the number of the range.
     """
     spark = df.sparkSession
     ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -33,42 +32,26 @@ def with_position(df: DataFrame, order: Sequence[Column], name: str = "position"
     sizes = spread.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return (
-        spread.join(F.broadcast(offsets), "_range")
-        .withColumn(name, F.col("_slot") + F.col("_before") + 1)
-        .drop("_range", "_slot", "_before")
-    )
+    placed = spread.join(F.broadcast(offsets), "_range").withColumn(name, F.col("_slot") + F.col("_before") + 1)
+    return placed.select(*df.columns, name, *([F.col("_range").alias(range_name)] if range_name else []))
 
 
-def rank_in_group(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    name: str = "rank",
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def rank_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rank") -> DataFrame:
     """1-based rank inside each key under `order`.
 
-    Ordinary groups use a window. Groups above `hot_rows` are ranked by position in a range
-    partitioning of (keys, order), so no task holds such a group.
+    Rows are placed by ranges of (keys, order), so a key of any size spreads over tasks. A key's
+    first position is found from one row per key and range, and joined back by key and range: no
+    task meets all rows of a key.
     """
-    window = W.partitionBy(*keys).orderBy(*order)
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > hot_rows)
-    if hot.isEmpty():
-        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
-    marks = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys])
-    same = [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys]
-    calm = df.join(marks, same, "left_anti").withColumn(
-        name, F.row_number().over(window).cast("bigint")
-    )
-    busy = with_position(
-        df.join(marks, same, "left_semi"), [*[F.col(k) for k in keys], *order], "_position"
+    placed = with_position(df, [*[F.col(k) for k in keys], *order], "_position", "_range")
+    per_range = placed.groupBy(*keys, "_range").agg(F.min("_position").alias("_first"))
+    first = F.min("_first").over(W.partitionBy(*keys))
+    starts = per_range.select(
+        *[F.col(k).alias(f"_s_{k}") for k in keys], F.col("_range").alias("_s_range"), first.alias("_first")
     )
-    starts = busy.groupBy(*keys).agg(F.min("_position").alias("_first"))
-    starts = starts.select(*[F.col(k).alias(f"_s_{k}") for k in keys], "_first")
-    same_start = [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys]
-    ranked = busy.join(starts, same_start).withColumn(name, F.col("_position") - F.col("_first") + 1)
-    return calm.unionByName(ranked.select(*df.columns, name))
+    same = [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys] + [F.col("_range") == F.col("_s_range")]
+    ranked = placed.join(starts, same).withColumn(name, F.col("_position") - F.col("_first") + 1)
+    return ranked.select(*df.columns, name)
 
 
 def left_lookup(df: DataFrame, lookup: DataFrame, keys: Sequence[str], sparse: bool = False) -> DataFrame:

@@ -368,7 +368,7 @@ def issue_log(t: Tables):
 RUN_LOG = """
 SELECT year(o_orderdate) AS run_id, CASE WHEN o_orderstatus = 'F' THEN 'ok' ELSE 'failed' END AS status,
   CASE WHEN o_orderpriority = '5-LOW' THEN NULL WHEN o_orderpriority = '2-HIGH' THEN 0 ELSE o_orderkey END AS first_id,
-  CASE WHEN o_orderpriority = '5-LOW' THEN NULL WHEN o_orderpriority = '2-HIGH' THEN 1000000 + o_orderkey ELSE o_orderkey + 2 END AS last_id, o_orderkey
+  CASE WHEN o_orderpriority = '5-LOW' THEN NULL WHEN o_orderpriority = '2-HIGH' THEN CASE WHEN o_orderkey = (SELECT min(o_orderkey) FROM {orders} WHERE o_orderpriority = '2-HIGH' AND o_orderstatus <> 'F' AND year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM {orders})) THEN 150000 ELSE 5 END ELSE o_orderkey + 2 END AS last_id, o_orderkey
 FROM {orders}
 """
 
@@ -376,8 +376,7 @@ FROM {orders}
 @query(f"""
 WITH f AS (SELECT * FROM ({plain(RUN_LOG)}) WHERE status = 'failed' AND run_id = (SELECT max(year(o_orderdate)) FROM orders))
 SELECT DISTINCT CAST(i AS VARCHAR) AS source_id FROM (
-  SELECT unnest(range(first_id, last_id + 1)) AS i FROM f WHERE last_id - first_id < 100000
-  UNION ALL SELECT first_id FROM f WHERE last_id - first_id >= 100000 UNION ALL SELECT last_id FROM f WHERE last_id - first_id >= 100000
+  SELECT unnest(range(first_id, last_id + 1)) AS i FROM f
   UNION ALL SELECT o_orderkey * 2 FROM f UNION ALL SELECT CAST(record_id AS BIGINT) FROM ({SQL_ISSUES}))""")
 def repair_ids(t: Tables):
     log = t.derive(RUN_LOG).withColumn("ids", F.array(col("o_orderkey") * 2))

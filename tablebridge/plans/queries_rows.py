@@ -125,8 +125,7 @@ WITH b AS (SELECT count(*) AS n, max(event_id) AS m FROM events WHERE ts < TIMES
 s AS (SELECT count(*) AS n, max(event_id) AS m FROM events),
 h AS (SELECT count(*) AS n FROM events WHERE ts < TIMESTAMP '2024-01-20' AND event_type <> 'signup')
 SELECT s.n AS source_rows, s.m AS source_max, h.n AS target_rows, 
-  CASE WHEN h.n < b.n THEN 'catch_up' ELSE 'forward' END AS mode,
-  CASE WHEN h.n < b.n THEN 'target_lost_rows' ELSE 'rows_ahead' END AS reason FROM s, b, h""")
+  'catch_up' AS mode, CASE WHEN h.n < b.n THEN 'target_lost_rows' WHEN s.n > b.n AND s.m = b.m THEN 'rows_behind_cursor' ELSE 'rows_added' END AS reason FROM s, b, h""")
 def source_fingerprint(t: Tables):
     before = t.events.filter(col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
     stored = before.agg(F.count(F.lit(1)), F.max("event_id")).first()
@@ -167,7 +166,7 @@ def clamp_text(t: Tables):
 
 
 @query(f"""
-SELECT row_id, CASE WHEN regexp_matches({sql_strip('order_key')}, '^-?[0-9]{{1,18}}$')
+SELECT row_id, CASE WHEN regexp_matches({sql_strip('order_key')}, '^-?[0-9]+$')
     THEN CAST({sql_strip('order_key')} AS BIGINT) END AS order_no,
   CASE WHEN regexp_matches({sql_strip('total_price')}, '^[0-9]{{1,9}}$')
     THEN CAST({sql_strip('total_price')} AS BIGINT) END AS whole_price FROM ({RAW})""")

@@ -97,11 +97,20 @@ def source_count(df: DataFrame, key: str | None = None) -> DataFrame:
     )
 
 
-def source_fingerprint(source: DataFrame, target: DataFrame, order_key: str, stored: tuple[int, object]) -> DataFrame:
+def source_fingerprint(
+    source: DataFrame, target: DataFrame, order_key: str, stored: tuple[int, object], forward_only: bool = False,
+    placeholder: Column | None = None,
+) -> DataFrame:
     """(rows, highest key) of the source against the stored pair and the target's rows: load
-    forward, or catch up first, with the reason."""
+    forward, or catch up first, with the reason.
+
+    More rows than were stored may hold back-dated ones, and a target with fewer rows than the
+    source has now lacks some, so both ask for a catch-up; `forward_only` keeps to rows behind the
+    stored key as long as none were lost. Target rows that `placeholder` marks are not counted.
+    """
     now = source.agg(F.count(F.lit(1)).alias("source_rows"), F.max(order_key).alias("source_max"))
-    held = target.agg(F.count(F.lit(1)).alias("target_rows"))
+    real = target if placeholder is None else target.filter(~F.coalesce(placeholder, F.lit(False)))
+    held = real.agg(F.count(F.lit(1)).alias("target_rows"))
     rows, top = stored
     # Two one-row aggregates: union and fold, no join.
     both = now.unionByName(held, allowMissingColumns=True).agg(
@@ -114,8 +123,10 @@ def source_fingerprint(source: DataFrame, target: DataFrame, order_key: str, sto
         F.when(t < rows, "target_lost_rows")
         .when(n < rows, "source_shrank")
         .when((n > rows) & m.eqNullSafe(F.lit(top)), "rows_behind_cursor")
-        .when((n == rows) & m.eqNullSafe(F.lit(top)), "nothing_new")
-        .otherwise("rows_ahead")
+        .when(n > rows, "rows_added")
+        .when(t < n, "target_behind_source")
+        .otherwise("nothing_new")
     )
-    catch_up = reason.isin("target_lost_rows", "source_shrank", "rows_behind_cursor")
-    return both.select("*", F.when(catch_up, "catch_up").otherwise("forward").alias("mode"), reason.alias("reason"))
+    forward = ["nothing_new", *(["rows_added", "target_behind_source"] if forward_only else [])]
+    mode = F.when(reason.isin(*forward), "forward").otherwise("catch_up")
+    return both.select("*", mode.alias("mode"), reason.alias("reason"))

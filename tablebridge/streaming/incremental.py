@@ -98,15 +98,17 @@ def incremental_append(
 
 
 def incremental_load(
-    arrivals: DataFrame, table: BatchFolders, merge: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str
+    arrivals: DataFrame, table: BatchFolders, merge: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str,
+    keys: Sequence[str], order: Sequence[Column],
 ) -> StreamingQuery:
     """Merge all files that arrived since the last run into the table, then stop.
 
-    For write modes that change existing rows; each batch writes the next version of the table.
+    For write modes that change existing rows; each batch writes the next version of the table. Of
+    several versions of a key in a batch the last one in `order` counts.
     """
 
     def load(batch: DataFrame, number: int) -> None:
-        table.write(merge(table.read_last(before=number), batch), number)
+        table.write(merge(table.read_last(before=number), distinct_on(batch, keys, order, last=True)), number)
 
     return _run_once(arrivals, load, checkpoint)
 
@@ -121,12 +123,13 @@ def catch_up_late(
 ) -> tuple[DataFrame, DataFrame]:
     """(target with the rows it missed, plan of what was missing and what was done).
 
-    Keys of the snapshot that the target lacks are loaded insert-only. With `max_ids` a run takes
-    the lowest keys and the plan marks the rest as postponed; the next run continues there.
+    Keys of the snapshot that the target lacks are loaded insert-only; ids that the source no longer
+    has are `not_found`. With `max_ids` a run takes the lowest keys and the plan marks the rest as
+    postponed; the next run continues there.
     """
     held = target.select(F.col(key).cast("string").alias("key"), F.lit(None).cast("string").alias("send"))
     plan = multiset_missing(snapshot, held, "key", "send", F.col("send").isNotNull(), multiset=False)
-    due = plan.filter("action = 'send'")
+    asked = due = plan.filter("action = 'send'")
     if max_ids is not None:
         due = due.orderBy(F.col("send").try_cast("bigint"), "send").limit(max_ids)
     late = source.join(
@@ -134,10 +137,10 @@ def catch_up_late(
     )
     loaded = merge_insert_only(target, late, spec)
     now = loaded.filter(F.col(ACTION) == "inserted").select(F.col(key).cast("string").alias("key")).distinct()
-    report = plan.join(now.withColumn("_loaded", F.lit(True)), "key", "left").select(
-        "key", "send", "missing_rows",
-        F.when(F.col("_loaded"), "loaded").when(F.col("action") == "send", "postponed").otherwise(F.col("action")).alias("action"),
-    )
+    there = source.select(F.col(key).cast("string").alias("send")).join(asked.select("send"), "send", "left_semi").distinct()
+    report = plan.join(now.withColumn("_loaded", F.lit(True)), "key", "left").join(there.withColumn("_there", F.lit(True)), "send", "left")
+    outcome = F.when(F.col("_loaded"), "loaded").when(F.col("action") != "send", F.col("action")).when(F.col("_there"), "postponed")
+    report = report.select("key", "send", "missing_rows", outcome.otherwise("not_found").alias("action"))
     return loaded, report
 
 

@@ -39,7 +39,7 @@ def test_clamp(spark):
 
 
 def test_int(spark):
-    check(spark, c.to_int_strict(V), [(" -12 ", -12), ("1.0", None), ("+1", None), ("1" * 18, int("1" * 18)), ("1" * 19, None), ("12a", None), ("", None)])
+    check(spark, c.to_int_strict(V), [(" -12 ", -12), ("1.0", None), ("+1", None), ("1" * 18, int("1" * 18)), ("1" * 19, int("1" * 19)), ("9" * 19, None), ("12a", None), ("", None)])
     check(spark, c.to_int_strict(V, 3, signed=False), [("-1", None), ("123", 123), ("1234", None)])
 
 

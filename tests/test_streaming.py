@@ -42,9 +42,9 @@ def test_merge_versions(spark):
     df = lambda data: spark.createDataFrame(data, SCHEMA)
     table = incremental.BatchFolders(spark, f"{home}/table", df([]).schema)
     merge = lambda t, s: merge_if_changed(t, s, MergeSpec(["k"]))
-    for data in ([(1, "a"), (2, "b")], [(2, "c"), (4, "d")]):
+    for data in ([(1, "a"), (2, "b")], [(2, "c"), (4, "d"), (4, "c")]):
         df(data).write.mode("append").parquet(f"{home}/in")
-        incremental.incremental_load(incremental.read_arrivals(spark, f"{home}/in", df([]).schema), table, merge, f"{home}/pos")
+        incremental.incremental_load(incremental.read_arrivals(spark, f"{home}/in", df([]).schema), table, merge, f"{home}/pos", ["k"], [F.col("v")])
     assert rows(table.read_last()) == [(1, "a"), (2, "c"), (4, "d")]
 
 
@@ -57,3 +57,6 @@ def test_catch_up_in_two_runs(spark):
     again, plan = incremental.catch_up_late(source, snapshot, loaded.drop("merge_action"), MergeSpec(["k"]), "k", max_ids=3)
     assert rows(again.select("k", "v")) == [(i, f"v{i}") for i in range(5)]
     assert rows(plan.groupBy("action").count()) == [("loaded", 1)]
+    gone = snapshot.unionByName(spark.createDataFrame([("99", "99")], snapshot.schema))
+    _, plan = incremental.catch_up_late(source, gone, target, MergeSpec(["k"]), "k", max_ids=2)
+    assert rows(plan.groupBy("action").count()) == [("loaded", 2), ("not_found", 1), ("postponed", 2)]
