@@ -103,6 +103,21 @@ def shared(asking: DataFrame) -> DataFrame:
     return found.where("known or least < most").groupBy("doc_id").agg(F.collect_set("gram").alias("grams"))
 
 
+def digest_of(raw: bytes) -> bytes:
+    return hashlib.blake2b(raw, digest_size=16).digest()
+
+
+def keys(docs: DataFrame) -> DataFrame:
+    """(doc_id, key): a digest of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in rows_of(batches):
+            found = [digest_of((t or "").encode("utf-8", "surrogatepass")) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], ["doc_id", "key"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, key binary")
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """(doc_id, key, pack): a digest of each text and the text compressed, for shuffles."""
 
@@ -110,15 +125,15 @@ def packed(docs: DataFrame) -> DataFrame:
         squeeze = zstandard.ZstdCompressor(3).compress
         for b in rows_of(batches):
             raw = [(t or "").encode("utf-8", "surrogatepass") for t in b.column(1).to_pylist()]
-            keys = [hashlib.blake2b(x, digest_size=16).digest() for x in raw]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.binary()), pa.array([squeeze(x) for x in raw], pa.binary())], ["doc_id", "key", "pack"])
+            found = [digest_of(x) for x in raw]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary()), pa.array([squeeze(x) for x in raw], pa.binary())], ["doc_id", "key", "pack"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, key binary, pack binary")
 
 
 def copies(texts: DataFrame) -> DataFrame:
-    """(doc_id, copied): digests of the document's texts that a smaller id holds too. Least ids are aggregated before the shuffle."""
-    own = stage(texts.where("doc_id is not null").select("doc_id", "key").distinct(), "keys")
+    """(doc_id, key) -> (doc_id, copied): digests of the document's texts that a smaller id holds too. Least ids are aggregated before the shuffle."""
+    own = stage(texts.where("doc_id is not null").distinct(), "keys")
     first = stage(own.groupBy("key").agg(F.min("doc_id").alias("first_id")), "first")
     return own.join(first, "key").where("first_id < doc_id").groupBy("doc_id").agg(F.collect_set("key").alias("copied"))
 
@@ -145,7 +160,7 @@ def fragments(texts: DataFrame) -> DataFrame:
                 gram, first, n = samples(words)
                 for k in np.flatnonzero(np.isin(gram, np.array(grams, np.int64))).tolist():
                     f = b" ".join(words[first[k] : first[k] + n[k] + SPAN - 1])
-                    rows.append((doc, key, int(first[k]), int(gram[k]), hashlib.blake2b(f, digest_size=16).digest(), f))
+                    rows.append((doc, key, int(first[k]), int(gram[k]), digest_of(f), f))
                 if len(rows) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
                     rows = []
@@ -284,7 +299,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     an empty table gives an empty one.
     """
     texts = packed(docs)
-    side = stage(shared(asked(docs)).join(copies(texts), "doc_id", "full_outer"), "shared")
+    side = stage(shared(asked(docs)).join(copies(keys(docs)), "doc_id", "full_outer"), "shared")
     spans = stage(repeated_windows(stage(texts.join(side.where("grams is not null"), "doc_id"), "candidates", "none")), "spans")
     answers = side.select("doc_id", "copied").join(spans, "doc_id", "full_outer").where("copied is not null or spans is not null")
 
