@@ -274,13 +274,15 @@ def layout(texts: list[str], r: random.Random) -> tuple[list[Leaf], np.ndarray]:
 
 
 def fit(pages: DataFrame) -> Labeller:
-    """A labeller trained on at most SAMPLE_PAGES pages, chosen by hashes of their ids and texts, as they are and in made-up layouts.
+    """A labeller trained on at most SAMPLE_PAGES pages, chosen by hashes of their ids, as they are and in made-up layouts.
 
     The pages' own blocks are labelled by the names of their elements; those names are what the
     network must learn to read, in any company. Only the sample comes to the driver.
     """
     sized = pages.where(F.length("html") <= SAMPLE_CHARS)
-    chosen = sized.select("page_id", "html").orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(SAMPLE_PAGES).collect()
+    ids = sized.select("page_id").where("page_id is not null").orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_PAGES).distinct()
+    own = sized.select("page_id", "html").join(F.broadcast(ids), "page_id")
+    chosen = own.orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(SAMPLE_PAGES).collect()
     data, r = [], random.Random(1)
     for row in chosen:
         own = [x for x in leaves(row.html) if x.text]
