@@ -139,7 +139,7 @@ def eligible_targets(
     reported = ids.distinct().withColumn("_report", F.lit(True))
     kept = history.select(F.col(history_fk).alias(general_id)).distinct().withColumn("_kept", F.lit(True))
     rows = general.filter(F.col(general_fk).isNotNull()).select(F.col(general_fk).alias(key), general_id)
-    per_parent = left_lookup(rows, kept, [general_id]).groupBy(key).agg(
+    per_parent = left_lookup(rows, kept, [general_id], sparse=True).groupBy(key).agg(
         F.min(general_id).alias("general_id"), F.max("_kept").alias("_kept")
     )
     flagged = left_lookup(left_lookup(parent, reported, [key]), per_parent, [key])
@@ -161,20 +161,22 @@ def signed_at(*times: Column, fallback: Column) -> Column:
 
 
 def denormalise_to_parent(
-    parent: DataFrame, picked: str, payload: DataFrame, payload_key: str, columns: Sequence[str]
+    parent: DataFrame, picked: str, payload: DataFrame, payload_key: str, columns: Sequence[str], part: str | None = None
 ) -> DataFrame:
     """Copy payload columns of the picked row to the parent and mark the rows that change.
 
-    The payload is one row per key, built once however many parents pick it.
+    The payload is one row per key, built once however many parents pick it. With `part` it is one
+    row per key and part, and so is the result; a parent that picks nothing has part 0.
     """
-    looked = payload.select(F.col(payload_key).alias(picked), *[F.col(c).alias(f"_p_{c}") for c in columns])
+    number = [F.col(part)] if part else []
+    looked = payload.select(F.col(payload_key).alias(picked), *[F.col(c).alias(f"_p_{c}") for c in columns], *number)
     joined = left_lookup(parent, looked.withColumn("_hit", F.lit(True)), [picked], sparse=True)
     hit = F.coalesce("_hit", F.lit(False))
     differs = changed([F.col(c) for c in columns], [F.col(f"_p_{c}") for c in columns])
     out = joined.withColumn("is_updated", hit & differs)
     for c in columns:
         out = out.withColumn(c, F.when(hit, F.col(f"_p_{c}")).otherwise(F.col(c)))
-    return out.select(*parent.columns, "is_updated")
+    return out.select(*parent.columns, *[F.coalesce(c, F.lit(0)).alias(part) for c in number], "is_updated")
 
 
 def nested_sample(

@@ -196,13 +196,27 @@ def replace_keep_id(target: DataFrame, source: DataFrame, spec: MergeSpec) -> Da
     return out.unionByName(_new_rows(target, source, spec))
 
 
+def holds_objects(column: str) -> Column:
+    """Whether the first element of a JSON array is an object; a text that begins with a brace is none."""
+    first = F.try_variant_get(F.try_parse_json(column), "$[0]", "variant")
+    return F.coalesce(F.schema_of_variant(first).startswith("OBJECT"), F.lit(False))
+
+
 def array_overwrite_unless_object(
     target: DataFrame, source: DataFrame, spec: MergeSpec, column: str
 ) -> DataFrame:
     """Replace a JSON array unless its first element already is an object."""
-    first = F.get_json_object(F.col(column), "$[0]")
-    is_object = F.coalesce(first.startswith("{"), F.lit(False))
-    return _write(target, source, spec, lambda c, old, new: new, when=~is_object, insert=False)
+    return _write(target, source, spec, lambda c, old, new: new, when=~holds_objects(column), insert=False)
+
+
+def array_parts_unless_object(
+    target: DataFrame, source: DataFrame, key: str, column: str, part: str = "part"
+) -> DataFrame:
+    """The same for arrays stored in parts, one row per (key, part): all parts of a key or none are replaced."""
+    state = target.groupBy(key).agg(F.max(holds_objects(column)).alias("_object"))
+    fresh = source.join(state.filter(~F.col("_object")).select(key), key, "left_semi")
+    kept = target.join(fresh.select(key).distinct(), key, "left_anti").withColumn(ACTION, F.lit("kept"))
+    return kept.unionByName(fresh.select(*target.columns).withColumn(ACTION, F.lit("updated")))
 
 
 def exists_complete(
@@ -316,5 +330,17 @@ def derive_if_null(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     )
 
 
-def merge_metrics(merged: DataFrame) -> DataFrame:
-    return merged.groupBy(ACTION).agg(F.count(F.lit(1)).alias("rows"))
+def merge_metrics(merged: DataFrame, source: DataFrame | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows per action. With the source as it was read, also `skipped`, its rows without a full key,
+    and `duplicate`, its rows beyond the first of their key."""
+    actions = merged.groupBy(ACTION).agg(F.count(F.lit(1)).alias("rows"))
+    if source is None:
+        return actions
+    full = F.lit(True)
+    for k in keys:
+        full = full & F.col(k).isNotNull()
+    per_key = source.withColumn("_full", full).groupBy("_full", *[F.when(full, F.col(k)).alias(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    name = F.when(F.col("_full"), "duplicate").otherwise("skipped")
+    beyond = F.when(F.col("_full"), F.col("_n") - 1).otherwise(F.col("_n"))
+    read = per_key.groupBy(name.alias(ACTION)).agg(F.sum(beyond).alias("rows")).filter("rows > 0")
+    return actions.unionByName(read)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablebridge.operators.skew import left_lookup
+
 
 def union_all(*tables: DataFrame) -> DataFrame:
     """All rows of tables with different column types: every column becomes text."""
@@ -55,4 +57,5 @@ def multiset_missing(
     action = (
         F.when(F.col("_started"), "partial").when(sendable, "send").otherwise("unsendable")
     )
-    return short.join(started, send, "left").select(key, send, "missing_rows", action.alias("action"))
+    # An id to send may be that of many keys: shuffled apart from the aggregate, it can be split.
+    return left_lookup(short, started, [send], sparse=True).select(key, send, "missing_rows", action.alias("action"))

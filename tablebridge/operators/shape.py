@@ -41,7 +41,8 @@ def signed_state(
 ) -> DataFrame:
     """State from membership in the set of signed reports."""
     keys = signed.select(F.col(signed_key).alias(key)).filter(F.col(key).isNotNull()).distinct()
-    flagged = left_lookup(df, keys.withColumn("_signed", F.lit(True)), [key])
+    # A lookup straight from an aggregate could not be split by the adaptive skew join.
+    flagged = left_lookup(df, keys.withColumn("_signed", F.lit(True)), [key], sparse=True)
     return flagged.withColumn(out, F.when(F.col("_signed"), yes).otherwise(F.lit(no))).drop("_signed")
 
 

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import replace
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablebridge.functions.clean import null_if_blank
+from tablebridge.functions.clean import norm_key
 from tablebridge.operators import document, merge, quality, resolve
 from tablebridge.operators.dedup import distinct_on
 from tablebridge.operators.merge import MergeSpec
 from tablebridge.session import cut_lineage
-from tablebridge.spec import TableSpec
+from tablebridge.spec import RelationSpec, TableSpec
 
 # Care 1 outpatient, 2 inpatient; method 1 cash, 2 default, 3 invoice; rights by method.
 CASH_RIGHTS = ("1", "2")
@@ -26,18 +27,44 @@ def payment_method(care: Column, right: Column) -> Column:
     return F.when(invoiced, "3").when(cash, "1").otherwise("2")
 
 
-@dataclass(frozen=True)
 class LoadResult:
-    """New target rows with `merge_action`, the issues found, and the shaped source rows."""
+    """A load on demand: `shaped` source rows, `issues` found, new target `rows` with `merge_action`.
 
-    rows: DataFrame
-    issues: DataFrame
-    shaped: DataFrame
+    Nothing is computed before it is asked for. A merge reads its source several times, so it
+    stages the shaped rows once.
+    """
+
+    def __init__(self, spec: TableSpec, staging: DataFrame, target: DataFrame) -> None:
+        self.spec, self.staging, self.target = spec, staging, target
+
+    @cached_property
+    def shaped(self) -> DataFrame:
+        return shape_rows(self.spec, self.staging)
+
+    @cached_property
+    def issues(self) -> DataFrame:
+        return find_issues(self.spec, self.staging)
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        rows = _written(self.spec, self.shaped, self.target)
+        return rows if self.spec.post_load is None else self.spec.post_load(rows)
 
     def log(self) -> DataFrame:
         return quality.issue_log([self.issues])
 
 
+def relation_key(c: Column) -> Column:
+    """How a key is spelled for resolving it and for reporting that it can't be: trimmed, small letters."""
+    return F.lower(norm_key(c.cast("string")))
+
+
+def asked_key(r: RelationSpec) -> Column:
+    """The key a staging row asks for, as it is spelled; sentinels, compared as they are written, ask for none."""
+    text = norm_key(F.col(r.source).cast("string"))
+    return F.when(~text.isin(*r.sentinels), text) if r.sentinels else text
+
+
 def shape_rows(spec: TableSpec, staging: DataFrame) -> DataFrame:
     """Cleansed, deduplicated and resolved source rows; rows without a full key stay behind."""
     raw = {f.source for f in spec.fields} | {r.source for r in spec.relations} | set(spec.order)
@@ -51,19 +78,17 @@ def shape_rows(spec: TableSpec, staging: DataFrame) -> DataFrame:
         kept = [f.name for f in spec.fields] + sorted({f"_raw_{r.source}" for r in spec.relations})
         base = distinct_on(base, spec.keys, [F.col(f"_raw_{c}") for c in spec.order], kept)
     for r in spec.relations:
-        source = null_if_blank(F.col(f"_raw_{r.source}").cast("string"))
-        if r.sentinels:
-            source = F.when(~source.isin(*r.sentinels), source)
+        source = asked_key(replace(r, source=f"_raw_{r.source}"))
         if r.placeholder is not None:
             base = resolve.lookup_preferred(
                 base, r.parent, source, r.parent_keys, r.id_col, r.placeholder(), r.name
             )
         else:
             parent = r.parent.select(
-                F.col(r.parent_keys[0]).cast("string").alias("_legacy"), F.col(r.id_col).alias(r.id_col)
+                relation_key(F.col(r.parent_keys[0])).alias("_legacy"), F.col(r.id_col).alias(r.id_col)
             )
             base = resolve.lookup_first(
-                base.withColumn("_legacy_key", source), parent, "_legacy_key", "_legacy", r.id_col, r.name
+                base.withColumn("_legacy_key", F.lower(source)), parent, "_legacy_key", "_legacy", r.id_col, r.name
             ).drop("_legacy_key")
     if spec.transform is not None:
         base = spec.transform(base)
@@ -81,18 +106,15 @@ def find_issues(spec: TableSpec, staging: DataFrame) -> DataFrame:
     if rules:
         found = quality.field_issues(staging, F.col(spec.record_id), rules).drop("mapped")
     for r in spec.relations:
-        fold = lambda c: F.lower(null_if_blank(F.col(c).cast("string")))
         known = None
-        for key in r.parent_keys:
-            part = r.parent.select(fold(key).alias("_folded")).filter("_folded is not null")
+        for key in r.parent_keys if r.placeholder is not None else r.parent_keys[:1]:
+            part = r.parent.select(relation_key(F.col(key)).alias("_folded")).filter("_folded is not null")
             known = part if known is None else known.unionByName(part)
         asked = staging.select(
             F.col(spec.record_id).cast("string").alias("record_id"),
             F.col(r.source).cast("string").alias("source_raw"),
-            fold(r.source).alias("_folded"),
+            F.lower(asked_key(r)).alias("_folded"),
         ).filter("_folded is not null")
-        if r.sentinels:
-            asked = asked.filter(~F.col("_folded").isin(*r.sentinels))
         lost = asked.join(known, "_folded", "left_anti").select(
             "record_id", F.lit(r.name).alias("field"), F.lit(f"{r.name}_not_resolved").alias("reason"), "source_raw"
         )
@@ -100,42 +122,36 @@ def find_issues(spec: TableSpec, staging: DataFrame) -> DataFrame:
     return found
 
 
-def run_load(spec: TableSpec, staging: DataFrame, target: DataFrame) -> LoadResult:
-    """Cleanse, deduplicate, resolve, merge under the spec's write mode, and report.
-
-    A merge reads its source several times, so the shaped rows are staged once.
-    """
-    shaped = shape_rows(spec, staging)
-    if spec.mode != "append":
-        shaped = cut_lineage(shaped)
-    plan = MergeSpec(spec.keys, spec.id_col, policies=spec.policies, keep=spec.keep)
+def _written(spec: TableSpec, shaped: DataFrame, target: DataFrame) -> DataFrame:
     if spec.mode == "append":
         rows = merge.append_log(target, shaped.select(*[c for c in target.columns if c in shaped.columns]))
-        rows = rows.withColumn(merge.ACTION, F.lit("appended"))
-    else:
-        write = {
-            "insert_only": merge.merge_insert_only,
-            "overwrite": merge.merge_overwrite,
-            "if_changed": merge.merge_if_changed,
-            "fill_null": merge.fill_null_only,
-            "prefer_source": merge.prefer_source_keep_target,
-            "policy": merge.column_policy_merge,
-            "replace": merge.replace_keep_id,
-        }[spec.mode]
-        rows = write(target, shaped, plan)
-    if spec.post_load is not None:
-        rows = spec.post_load(rows)
-    return LoadResult(rows, find_issues(spec, staging), shaped)
+        return rows.withColumn(merge.ACTION, F.lit("appended"))
+    write = {
+        "insert_only": merge.merge_insert_only,
+        "overwrite": merge.merge_overwrite,
+        "if_changed": merge.merge_if_changed,
+        "fill_null": merge.fill_null_only,
+        "prefer_source": merge.prefer_source_keep_target,
+        "policy": merge.column_policy_merge,
+        "replace": merge.replace_keep_id,
+    }[spec.mode]
+    plan = MergeSpec(spec.keys, spec.id_col, policies=spec.policies, keep=spec.keep)
+    return write(target, cut_lineage(shaped), plan)
+
+
+def run_load(spec: TableSpec, staging: DataFrame, target: DataFrame) -> LoadResult:
+    """Cleanse, deduplicate, resolve, merge under the spec's write mode, and report, each when asked for."""
+    return LoadResult(spec, staging, target)
 
 
 def enrich_with_prior_result(
-    appointments: DataFrame, exams: DataFrame, findings: DataFrame, is_signed: Column
-) -> tuple[DataFrame, DataFrame]:
+    appointments: DataFrame, exams: DataFrame, findings: DataFrame, is_signed: Column, max_items: int = document.MAX_ITEMS
+) -> DataFrame:
     """Give each appointment the findings of the patient's last signed exam before its day.
 
     `appointments`: id, party, at, payload. `exams`: exam_id, party, appointment. `findings`:
     exam_id, found_at, finding_id. An exam made for the appointment itself is passed over.
-    Returns (appointments, further parts of lists too long for one cell, by exam and part).
+    Lists come in parts: the result has one row per appointment and `part`, part 0 where there is none.
     """
     signed = (
         findings.withColumn("_signed", is_signed)
@@ -150,8 +166,7 @@ def enrich_with_prior_result(
     )
     # Findings are gathered once per exam, not once per appointment.
     lists = document.group_to_struct_array(
-        findings, ["exam_id"], [F.col("finding_id")], ["finding_id"], "found"
-    ).withColumn("payload", F.to_json("found"))
-    first = lists.filter("part = 0").select("exam_id", "payload")
-    filled = document.denormalise_to_parent(picked, "picked_exam", first, "exam_id", ["payload"])
-    return filled, lists.filter("part > 0").select("exam_id", "part", "payload")
+        findings, ["exam_id"], [F.col("finding_id")], ["finding_id"], "found", max_items
+    )
+    parts = lists.select("exam_id", "part", F.to_json("found").alias("payload"))
+    return document.denormalise_to_parent(picked, "picked_exam", parts, "exam_id", ["payload"], "part")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tablebridge.functions import clean as c
 from tablebridge.functions import keys as k
 from tablebridge.operators import document, merge, profile, resolve, shape
-from tablebridge.operators.dedup import distinct_on, drop_archived_copies
+from tablebridge.operators.dedup import distinct_on, drop_archived_copies, duplicate_keys
 from tablebridge.plans import loads
 from tablebridge.plans.inputs import (
     BOM,
@@ -211,6 +211,7 @@ def load_patient_log(t: Tables):
 
 # --- examination ------------------------------------------------------------------------------
 
+DOCTORS = "SELECT DISTINCT CAST(o_orderpriority = '3-MEDIUM' AS BIGINT) + 40 AS id, o_orderpriority AS name FROM {orders} WHERE o_orderpriority IN ('1-URGENT', '3-MEDIUM')"
 EXAM_TARGET = """
 SELECT o_orderkey * 2 AS id, o_orderkey AS exam, o_custkey AS patient, o_orderdate AS examined_at, o_totalprice AS price, CAST(NULL AS BIGINT) AS doctor,
   CAST(NULL AS BIGINT) AS appointment FROM {orders} WHERE o_orderstatus = 'F'
@@ -219,7 +220,9 @@ SELECT o_orderkey * 2 AS id, o_orderkey AS exam, o_custkey AS patient, o_orderda
 
 @query(f"""
 WITH t AS ({plain(EXAM_TARGET)}),
-d AS (SELECT o_orderpriority AS name, row_number() OVER (ORDER BY o_orderpriority) AS id FROM (SELECT DISTINCT o_orderpriority FROM orders)),
+known AS ({plain(DOCTORS)}),
+d AS (SELECT id, name FROM known UNION ALL SELECT (SELECT max(id) FROM known) + row_number() OVER (ORDER BY o_orderpriority), o_orderpriority FROM
+  (SELECT DISTINCT o_orderpriority FROM orders WHERE o_orderpriority NOT IN (SELECT name FROM known))),
 s AS (SELECT try_cast({sql_blank('order_key')} AS BIGINT) AS exam, CASE WHEN cust_key <> '0' THEN (SELECT id FROM ({KNOWN}) WHERE id = CAST(cust_key AS BIGINT)) END AS patient,
   {sql_era(2400, after_t=False)} AS examined_at, {SQL_PRICE} AS price, priority FROM (SELECT *, {SQL_NUMBER} AS n FROM ({RAW}))),
 f AS (SELECT s.exam, s.patient, s.examined_at, s.price, d.id AS doctor, a.id AS appointment FROM s JOIN d ON d.name = s.priority
@@ -234,8 +237,7 @@ def load_examinations(t: Tables):
     )
 
     def finish(df):
-        no_doctors = t.spark.createDataFrame([], "id bigint, name string")
-        named, _ = resolve.find_or_create_dim(df, "doctor_name", no_doctors, "name", "id")
+        named, _ = resolve.find_or_create_dim(df, "doctor_name", t.derive(DOCTORS), "name", "id")
         named = named.withColumnRenamed("id", "doctor").withColumn("appointment", F.lit(None).cast("bigint"))
         return resolve.fallback_same_day(named, bookings, "patient", "examined_at", "booking", "appointment")
 
@@ -320,29 +322,33 @@ def load_exam_general(t: Tables):
     return loads.run_load(spec, t.derive(GENERAL_ROWS), t.derive(GENERAL_TARGET)).rows.drop("merge_action")
 
 
-RECOMMENDED = """SELECT o_orderkey AS exam, CASE WHEN o_orderstatus = 'F' THEN '[{{"side": 1}}]' WHEN o_orderstatus = 'O' THEN '[1]' END AS advice FROM {orders}"""
+RECOMMENDED = """SELECT o_orderkey AS exam, CASE WHEN o_orderstatus = 'F' THEN '[{{"side": 1}}]' WHEN o_orderstatus = 'O' THEN '[1]' ELSE '["{{free text}}"]' END AS advice FROM {orders}"""
 
 
-@query("""
-SELECT o_orderkey AS exam, CASE WHEN o_orderstatus = 'F' THEN '[{"side": 1}]' WHEN a IS NULL THEN CASE WHEN o_orderstatus = 'O' THEN '[1]' END ELSE a END AS advice
-FROM orders LEFT JOIN (SELECT l_orderkey, to_json(list({'line': l_linenumber, 'place': CASE l_returnflag WHEN 'A' THEN 'LEFT' ELSE upper(l_returnflag || 'x') END}
-  ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice)) AS a FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1) ON l_orderkey = o_orderkey""")
+# Elements of a list in one row; longer lists go on in further parts. Small here, so that lists have several.
+ADVICE_ITEMS, FINDING_ITEMS = 3, 2
+
+
+@query(f"""
+WITH l AS (SELECT l_orderkey, list({{'line': l_linenumber, 'place': CASE l_returnflag WHEN 'A' THEN 'LEFT' ELSE upper(l_returnflag || 'x') END}}
+  ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS a FROM lineitem GROUP BY 1),
+p AS (SELECT l_orderkey, a, unnest(range(0, (len(a) + {ADVICE_ITEMS} - 1) // {ADVICE_ITEMS})) AS part FROM l)
+SELECT o_orderkey AS exam, CASE WHEN o_orderstatus = 'F' THEN 0 ELSE coalesce(part, 0) END AS part, CASE WHEN o_orderstatus = 'F' THEN '[{{"side": 1}}]'
+  WHEN a IS NULL THEN CASE o_orderstatus WHEN 'O' THEN '[1]' ELSE '["{{free text}}"]' END ELSE to_json(a[{ADVICE_ITEMS} * part + 1:{ADVICE_ITEMS} * (part + 1)]) END AS advice
+FROM orders LEFT JOIN p ON l_orderkey = o_orderkey AND (o_orderstatus <> 'F' OR part = 0)""")
 def load_recommendations(t: Tables):
     places = t.lineitem.select(F.lower(F.concat(col("l_returnflag"), F.lit("x"))).alias("old_value")).distinct().withColumn(
         "new_value", F.when(col("old_value") == "ax", "LEFT")
     ).filter("new_value is not null")
-    lines = t.lineitem.filter("l_linestatus = 'O'").withColumns(
+    lines = t.lineitem.withColumns(
         {"line": col("l_linenumber"), "place": F.lower(F.concat(col("l_returnflag"), F.lit("x")))}
     )
     lines = shape.dictionary_remap(lines, "place", places, "upper", fold=True)
     order = [col(n) for n in ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")]
-    grouped = document.group_to_struct_array(lines, ["l_orderkey"], order, ["line", "place"], "advice")
+    grouped = document.group_to_struct_array(lines, ["l_orderkey"], order, ["line", "place"], "advice", ADVICE_ITEMS)
     lists = grouped.select(col("l_orderkey").alias("exam"), "part", F.to_json("advice").alias("advice"))
-    target = t.derive(RECOMMENDED)
-    first = lists.filter("part = 0").drop("part")
-    merged = merge.array_overwrite_unless_object(target, first, merge.MergeSpec(["exam"]), "advice")
-    # A list too long for one cell continues in rows of its own.
-    return merged.select("exam", "advice").unionByName(lists.filter("part > 0").drop("part"))
+    target = t.derive(RECOMMENDED).withColumn("part", F.lit(0))
+    return merge.array_parts_unless_object(target, lists, "exam", "advice").drop("merge_action")
 
 
 # --- image sync, procedures, imaging, findings ------------------------------------------------
@@ -401,13 +407,13 @@ IMAGING_TARGET = "SELECT o_orderkey + 4 AS id, o_orderkey AS exam, '[]' AS codes
 @query(f"""
 WITH t AS ({plain(IMAGING_TARGET)}), n AS (SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
 s AS (SELECT o_orderkey AS exam, '[' || o_custkey || ']' AS codes, CASE coalesce(n, 0) WHEN 0 THEN '1' WHEN 1 THEN '2' ELSE '3' END AS mass,
-  CASE coalesce(n, 0) WHEN 0 THEN 'No mass' WHEN 1 THEN 'Single mass' ELSE 'Multiple masses' END AS mass_des, CASE WHEN n > 1 THEN CAST(n AS VARCHAR) ELSE '' END AS mass_number,
+  CASE coalesce(n, 0) WHEN 0 THEN 'none returned' WHEN 1 THEN 'one returned' ELSE 'some returned' END AS mass_des, CASE WHEN n > 1 THEN CAST(n AS VARCHAR) ELSE '' END AS mass_number,
   CASE WHEN o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_linestatus = 'F') THEN '3' ELSE '1' END AS state FROM orders LEFT JOIN n ON l_orderkey = o_orderkey)
 SELECT t.id, s.* FROM t JOIN s USING (exam)
 UNION ALL SELECT (SELECT max(id) FROM t) + row_number() OVER (ORDER BY exam), * FROM s WHERE exam NOT IN (SELECT exam FROM t)""")
 def load_imaging(t: Tables):
     masses = {"mass": (t.lineitem.filter("l_returnflag = 'R'"), "l_orderkey")}
-    labels = {"mass": ("No mass", "Single mass", "Multiple masses")}
+    labels = {"mass": ("none returned", "one returned", "some returned")}
     signed = t.lineitem.filter("l_linestatus = 'F'")
 
     def finish(df):
@@ -476,12 +482,81 @@ def load_pathology(t: Tables):
     return pathology(t, "prefer_source").rows.drop("merge_action")
 
 
+CASES = """
+SELECT concat(CAST(l_orderkey AS STRING), '/', CAST(l_linenumber AS STRING), '/', CAST(l_partkey AS STRING)) AS row_id, CAST(l_suppkey AS STRING) AS old_pid,
+  CASE WHEN l_orderkey % 97 = 0 THEN 'n/a' ELSE CAST(l_orderkey * 10 + l_linenumber AS STRING) END AS sequence, l_returnflag AS point,
+  concat(l_linestatus, repeat('.', l_linenumber * 3)) AS detail, l_partkey AS read_at FROM {lineitem}
+"""
+CASE_TARGET = """
+SELECT min(l_partkey) * 3 AS id, CAST(l_suppkey AS STRING) AS old_pid, l_orderkey * 10 + l_linenumber AS sequence, CAST(NULL AS BIGINT) AS patient, 'Q' AS point,
+  CAST(NULL AS STRING) AS point_text, 'old' AS detail FROM {lineitem} WHERE l_linestatus = 'F' GROUP BY l_suppkey, l_orderkey, l_linenumber
+"""
+DETAIL_LENGTH = 12
+SQL_CASES = f"""SELECT old_pid, try_cast(sequence AS BIGINT) AS sequence, k.id AS patient, point, CASE point WHEN 'A' THEN 'first' WHEN 'R' THEN 'last' END AS point_text, left(detail, {DETAIL_LENGTH}) AS detail
+  FROM (SELECT *, row_number() OVER (PARTITION BY old_pid, sequence ORDER BY read_at, detail, point) AS rn FROM ({plain(CASES)}) WHERE sequence <> 'n/a') LEFT JOIN ({KNOWN}) k ON CAST(k.id AS VARCHAR) = old_pid WHERE rn = 1"""
+
+
+def special_cases(t: Tables):
+    people = t.derive(KNOWN_CUSTOMERS).select(col("id").cast("string").alias("old_id"), "id")
+    points = t.lineitem.select(col("l_returnflag").alias("old_value")).distinct().withColumn(
+        "new_value", F.when(col("old_value") == "A", "first").when(col("old_value") == "R", "last")
+    )
+    text = lambda df: shape.dictionary_remap(df.withColumn("point_text", col("point")), "point_text", points.filter("new_value is not null"))
+    spec = TableSpec(
+        "special_cases", "row_id", ["old_pid", "sequence"], ["read_at", "detail", "point"],
+        [
+            FieldSpec("old_pid", "old_pid", c.int_or_text_id), FieldSpec("sequence", "sequence", integer, "key_not_mappable"),
+            FieldSpec("point", "point"), FieldSpec("detail", "detail", lambda x: c.clamp_text(x, DETAIL_LENGTH)[0]),
+        ],
+        [RelationSpec("patient", "old_pid", people, ["old_id"])], mode="prefer_source", transform=text,
+    )
+    return loads.run_load(spec, t.derive(CASES), t.derive(CASE_TARGET))
+
+
 @query(f"""
-WITH t AS ({plain(PATHO_TARGET)}), s AS ({SQL_PATHO})
-SELECT t.id, t.old_pid, t.surgical, coalesce(t.patient, s.patient) AS patient, coalesce(t.exam, s.exam) AS exam, t.code FROM t LEFT JOIN s USING (old_pid, surgical)
-UNION ALL SELECT (SELECT max(id) FROM t) + row_number() OVER (ORDER BY old_pid, surgical), * FROM s WHERE surgical NOT IN (SELECT surgical FROM t)""")
+WITH t AS ({plain(CASE_TARGET)}), s AS ({SQL_CASES})
+SELECT t.id, t.old_pid, t.sequence, coalesce(s.patient, t.patient) AS patient, coalesce(s.point, t.point) AS point, coalesce(s.point_text, t.point_text) AS point_text, coalesce(s.detail, t.detail) AS detail
+FROM t LEFT JOIN s USING (old_pid, sequence)
+UNION ALL SELECT (SELECT max(id) FROM t) + row_number() OVER (ORDER BY old_pid, sequence), * FROM s WHERE (old_pid, sequence) NOT IN (SELECT (old_pid, sequence) FROM t)""")
 def load_special_cases(t: Tables):
-    return pathology(t, "fill_null").rows.drop("merge_action")
+    return special_cases(t).rows.drop("merge_action")
+
+
+@query(f"""
+SELECT reason, count(*)::BIGINT AS records FROM (
+  SELECT 'key_not_mappable' AS reason FROM ({plain(CASES)}) WHERE sequence = 'n/a'
+  UNION ALL SELECT 'patient_not_resolved' FROM ({plain(CASES)}) WHERE old_pid NOT IN (SELECT CAST(id AS VARCHAR) FROM ({KNOWN}))
+  UNION ALL SELECT 'detail_truncated' FROM ({plain(CASES)}) WHERE length(detail) > {DETAIL_LENGTH}
+  UNION ALL SELECT 'duplicate_key' FROM ({plain(CASES)}) WHERE sequence <> 'n/a' GROUP BY old_pid, sequence HAVING count(*) > 1) GROUP BY 1""")
+def special_case_issues(t: Tables):
+    # Lost keys and relations of the load, texts cut, and keys read more than once.
+    raw = t.derive(CASES)
+    cut = raw.filter(c.clamp_text(col("detail"), DETAIL_LENGTH)[1]).select(F.lit("detail_truncated").alias("reason"))
+    keyed = raw.filter(integer(col("sequence")).isNotNull())
+    twice = duplicate_keys(keyed, ["old_pid", "sequence"]).select(F.lit("duplicate_key").alias("reason"))
+    found = special_cases(t).issues.select("reason").unionByName(cut).unionByName(twice)
+    return found.groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
+
+
+SPELLED = """
+SELECT o_orderkey AS row_id, CASE o_orderpriority WHEN '1-URGENT' THEN lower(c_name) WHEN '2-HIGH' THEN concat('  ', upper(c_name), ' ') WHEN '3-MEDIUM' THEN 'NULL'
+  WHEN '4-NOT SPECIFIED' THEN concat(c_name, '?') ELSE c_name END AS owner, o_orderstatus AS state FROM {orders} JOIN {customer} ON c_custkey = o_custkey
+"""
+
+
+@query(f"""
+SELECT row_id AS id, CASE WHEN owner NOT LIKE '%?' AND owner <> 'NULL' THEN CAST(regexp_extract(owner, '[0-9]+') AS BIGINT) END AS owner,
+  CASE WHEN owner LIKE '%?' THEN 'owner_not_resolved' END AS reason FROM ({plain(SPELLED)})""")
+def load_issues(t: Tables):
+    # Keys that differ from their parents in case and white space, and a sentinel: what a row resolves to, beside its issue.
+    parents = t.customer.select(F.concat(F.lit(" "), col("c_name")).alias("name"), col("c_custkey").alias("id"))
+    spec = TableSpec(
+        "owners", "row_id", ["id"], ["row_id"], [FieldSpec("id", "row_id", lambda x: x.cast("bigint")), FieldSpec("state", "state")],
+        [RelationSpec("owner", "owner", parents, ["name"], sentinels=["NULL"])],
+    )
+    result = loads.run_load(spec, t.derive(SPELLED), t.spark.createDataFrame([], "id bigint, owner bigint, state string"))
+    issues = result.issues.select(col("record_id").cast("bigint").alias("id"), "reason")
+    return result.shaped.join(issues, "id", "left").select("id", "owner", "reason")
 
 
 @query(f"""
@@ -530,11 +605,13 @@ def load_income(t: Tables):
 # --- derivations over the target --------------------------------------------------------------
 
 
-@query("""
+@query(f"""
 WITH se AS (SELECT l_orderkey AS exam_id, max(l_shipdate) AS exam_at, any_value(o_custkey) AS party, any_value(o_orderkey + 1) AS appointment,
-  to_json(list({'finding_id': l_partkey} ORDER BY l_partkey)) AS found FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1 HAVING bool_or(l_returnflag = 'R'))
-SELECT a.o_orderkey AS id, (SELECT found FROM se WHERE se.party = a.o_custkey AND se.exam_at < date_trunc('day', a.o_orderdate) AND se.appointment IS DISTINCT FROM a.o_orderkey
-  ORDER BY se.exam_at DESC, se.exam_id DESC LIMIT 1) AS payload FROM orders a""")
+  list({{'finding_id': l_partkey}} ORDER BY l_partkey) AS found FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1 HAVING bool_or(l_returnflag = 'R')),
+picked AS (SELECT a.o_orderkey AS id, (SELECT exam_id FROM se WHERE se.party = a.o_custkey AND se.exam_at < date_trunc('day', a.o_orderdate) AND se.appointment IS DISTINCT FROM a.o_orderkey
+  ORDER BY se.exam_at DESC, se.exam_id DESC LIMIT 1) AS exam FROM orders a),
+parts AS (SELECT exam_id, found, unnest(range(0, (len(found) + {FINDING_ITEMS} - 1) // {FINDING_ITEMS})) AS part FROM se)
+SELECT id, coalesce(part, 0) AS part, to_json(found[{FINDING_ITEMS} * part + 1:{FINDING_ITEMS} * (part + 1)]) AS payload FROM picked LEFT JOIN parts ON exam_id = exam""")
 def prior_result_enrichment(t: Tables):
     appointments = t.orders.select(
         col("o_orderkey").alias("id"), col("o_custkey").alias("party"), col("o_orderdate").alias("at"), F.lit(None).cast("string").alias("payload")
@@ -543,8 +620,8 @@ def prior_result_enrichment(t: Tables):
     findings = t.lineitem.select(
         col("l_orderkey").alias("exam_id"), col("l_shipdate").alias("found_at"), col("l_partkey").alias("finding_id"), "l_returnflag"
     )
-    filled, _ = loads.enrich_with_prior_result(appointments, exams, findings, col("l_returnflag") == "R")
-    return filled.select("id", "payload")
+    filled = loads.enrich_with_prior_result(appointments, exams, findings, col("l_returnflag") == "R", FINDING_ITEMS)
+    return filled.select("id", "part", "payload")
 
 
 @query("""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablebridge.operators import ids, merge
+from tablebridge.operators.dedup import distinct_on
 from tablebridge.operators.merge import MergeSpec
 from tablebridge.plans.inputs import KNOWN_CUSTOMERS, ORDERS_SOURCE, ORDERS_TARGET, PEOPLE
 from tablebridge.plans.registry import Tables, plain, query
@@ -206,16 +207,17 @@ SELECT o_orderkey AS bill, o_totalprice AS total,
   CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS last_total, CAST(NULL AS DOUBLE) AS final_total,
   CASE WHEN o_orderpriority = '2-HIGH' THEN '0' WHEN o_orderpriority = '1-URGENT' THEN '2' END AS method,
   CAST(NULL AS BOOLEAN) AS is_invoice, CAST(NULL AS BOOLEAN) AS is_overtime,
-  CAST(o_custkey % 3 + 1 AS STRING) AS care, CAST(o_custkey % 9 AS STRING) AS right_code, o_orderdate AS visit_at,
-  o_custkey % 30 AS slot FROM {orders}
+  CAST(o_custkey % 3 + 1 AS STRING) AS care, CAST(o_custkey % 9 AS STRING) AS right_code, CASE WHEN o_custkey % 7 > 0 THEN o_orderdate END AS visit_at,
+  o_custkey % 30 AS slot, o_custkey % 4 AS location FROM {orders}
 """
+OVERTIME_SLOTS, EXEMPT_LOCATION = (3, 11, 19), 2
 
 
 @query(f"""
 WITH b AS (SELECT *, coalesce(nullif(method, '0'), CASE WHEN care = '2' OR (care = '1' AND right_code BETWEEN '3' AND '6') THEN '3'
     WHEN care = '1' AND right_code IN ('1', '2') THEN '1' ELSE '2' END) AS pay FROM ({plain(BILLS)}))
 SELECT bill, coalesce(last_total, total) AS last_total, coalesce(receipt, total) AS final_total, pay AS method, pay = '3' AS is_invoice,
-  slot IN (25, 26, 27, 28) OR isodow(visit_at) IN (6, 7) AS is_overtime FROM b""")
+  CASE WHEN visit_at IS NOT NULL THEN location <> {EXEMPT_LOCATION} AND (slot IN {OVERTIME_SLOTS} OR isodow(visit_at) IN (6, 7)) END AS is_overtime FROM b""")
 def derive_if_null(t: Tables):
     from tablebridge.functions.clean import is_weekend
     from tablebridge.plans.loads import payment_method
@@ -227,7 +229,10 @@ def derive_if_null(t: Tables):
         "final_total": F.coalesce(col("receipt"), col("total")),
         "method": method,
         "is_invoice": method == "3",
-        "is_overtime": col("slot").isin(25, 26, 27, 28) | is_weekend(col("visit_at")),
+        "is_overtime": F.when(
+            col("visit_at").isNotNull(),
+            (col("location") != EXEMPT_LOCATION) & (col("slot").isin(*OVERTIME_SLOTS) | is_weekend(col("visit_at"))),
+        ),
     }
     return merge.derive_if_null(bills, rules).select("bill", *rules)
 
@@ -244,7 +249,7 @@ def exists_complete(t: Tables):
 
 
 ARRAYS = """
-SELECT event_id, CASE WHEN event_type = 'click' THEN concat('[', props, ']') WHEN event_type = 'view' THEN '[1,2]' END AS codes FROM {events}
+SELECT event_id, CASE WHEN event_type = 'click' THEN concat('[', props, ']') WHEN event_type = 'view' THEN '[1,2]' WHEN event_type = 'error' THEN '["{{free text}}"]' END AS codes FROM {events}
 """
 NEW_ARRAYS = "SELECT event_id, concat('[', CAST(user_id AS STRING), ']') AS codes FROM {events} WHERE event_type <> 'signup'"
 
@@ -260,7 +265,12 @@ def array_overwrite_unless_object(t: Tables):
 
 
 @query(f"""
-WITH m AS ({merged_sql("s.cust_key", "s.total", "s.status")}) SELECT merge_action, count(*)::BIGINT AS rows FROM m GROUP BY 1""")
+WITH m AS ({merged_sql("s.cust_key", "s.total", "s.status")}) SELECT merge_action, count(*)::BIGINT AS rows FROM m GROUP BY 1
+UNION ALL SELECT CASE status WHEN 'P' THEN 'skipped' ELSE 'duplicate' END, count(*)::BIGINT FROM ({plain(ORDERS_SOURCE)}) WHERE status IN ('P', 'F') GROUP BY 1""")
 def merge_metrics(t: Tables):
-    return merge.merge_metrics(merge.merge_if_changed(*sides(t), ORDERS))
+    target, source = sides(t)
+    unkeyed = source.filter("status = 'P'").withColumn("order_key", F.lit(None).cast("bigint"))
+    read = source.unionByName(unkeyed).unionByName(source.filter("status = 'F'"))
+    loaded = distinct_on(read.filter("order_key is not null"), ["order_key"], [col("total")])
+    return merge.merge_metrics(merge.merge_if_changed(target, loaded, ORDERS), read, ["order_key"])
 
