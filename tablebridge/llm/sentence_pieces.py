@@ -23,7 +23,7 @@ LONGEST = 256
 #: A unit: spaces and the letters, or the other characters, after them. No piece of the vocabulary joins letters and others, or letters before a space.
 UNIT = re.compile(rf"{SPACE}{{0,{LONGEST}}}[^\W\d_]{{1,{LONGEST}}}|{SPACE}{{0,{LONGEST}}}(?:(?!{SPACE})[\W\d_]){{1,{LONGEST}}}|{SPACE}{{1,{LONGEST}}}")
 #: Characters of text in a block of documents that share one list of units.
-BLOCK_CHARS = 32_000_000
+BLOCK_CHARS = 8_000_000
 #: The model's scores are ranks of merges, not chances; a piece of rank r weighs -log(EVEN + r). A character without a piece weighs the least of them less PENALTY.
 EVEN, PENALTY = 100.0, 10.0
 
@@ -130,15 +130,39 @@ def segmented(units: DataFrame, table: list[tuple[str, float]]) -> DataFrame:
     return found.groupBy("unit").agg(F.array_sort(F.collect_list(edge)).alias("edges")).select("unit", viterbi(F.col("edges")).alias("ids"))
 
 
-def spelled(ids: list[int], byte: int) -> list[int]:
-    """Ids with each character that has no piece as the pieces of its bytes."""
-    return [x for i in ids for x in ([i] if i >= 0 else [byte + b for b in chr(-i - 1).encode("utf-8", "surrogatepass")])]
+class Spelling:
+    """The ids of numbered units in one array, with each character that has no piece as the pieces of its bytes."""
 
+    def __init__(self, no: list[int], ids: list[str], byte: int) -> None:
+        flat = np.fromstring(" ".join(ids), np.int32, sep=" ")
+        sizes = np.fromiter((x.count(" ") + 1 for x in ids), np.int64, len(ids))
+        odd = np.flatnonzero(flat < 0)
+        spelled = [chr(-i - 1).encode("utf-8", "surrogatepass") for i in flat[odd].tolist()]
+        each = np.ones(len(flat), np.int64)
+        each[odd] = [len(x) for x in spelled]
+        begins = np.cumsum(each) - each
+        self.flat = np.repeat(flat, each)
+        for at, raw in zip(begins[odd].tolist(), spelled, strict=True):
+            self.flat[at : at + len(raw)] = [byte + b for b in raw]
+        heads = np.cumsum(sizes) - sizes
+        self.start, self.size = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+        if len(ids):
+            self.start[no], self.size[no] = begins[heads], np.add.reduceat(each, heads)
 
-def text_of(ids: list[int], table: list[tuple[str, float]], byte: int) -> str:
+    def of(self, numbers: np.ndarray) -> np.ndarray:
+        size = self.size[numbers]
+        return self.flat[np.repeat(self.start[numbers] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+
+
+def bytes_of(table: list[tuple[str, float]]) -> list[bytes]:
+    """What each id stands for."""
+    byte = first_byte(table)
+    return [bytes([i - byte]) if byte <= i < byte + 256 else p.encode() for i, (p, _) in enumerate(table)]
+
+
+def text_of(ids: list[int], raw: list[bytes]) -> str:
     """The text that ids stand for: byte pieces are joined as UTF-8, the space before the first word goes."""
-    out = b"".join(bytes([i - byte]) if byte <= i < byte + 256 else table[i][0].encode() for i in ids)
-    return out.decode("utf-8", "replace").replace(SPACE, " ")[1:]
+    return b"".join([raw[i] for i in ids]).decode("utf-8", "replace").replace(SPACE, " ")[1:]
 
 
 def first_byte(table: list[tuple[str, float]]) -> int:
@@ -166,24 +190,21 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     sent, byte = spark.sparkContext.broadcast(table), first_byte(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, open_ = sent.value, zstandard.ZstdDecompressor().decompress
+        raw, open_ = bytes_of(sent.value), zstandard.ZstdDecompressor().decompress
         kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.string(), pa.bool_())
         names = [x.split()[0] for x in SCHEMA.split(", ")]
         for b in batches:
             for k in range(b.num_rows):
-                no, ids = b.column(1)[k].values, b.column(2)[k].values
-                of: list[np.ndarray] = [np.zeros(0, np.int32)] * (0 if no is None else len(no))
-                for n, x in zip(no.to_pylist() if no is not None else (), ids.to_pylist() if ids is not None else (), strict=True):
-                    of[n] = np.array(spelled(list(map(int, x.split(" "))), byte), np.int32)
+                no, ids = (b.column(c)[k].as_py() or [] for c in (1, 2))
+                units = Spelling(no, ids, byte)
                 rows, size = [], 0
                 for batch in pa.ipc.open_stream(open_(b.column(0)[k].as_py())):
                     for doc, total, numbers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                        own = [of[n] for n in np.frombuffer(numbers, np.uint32).tolist()]
-                        joined = np.concatenate(own) if own else np.zeros(0, np.int32)
-                        text = text_of(joined.tolist(), table, byte)
+                        joined = units.of(np.frombuffer(numbers, np.uint32))
+                        text = text_of(joined.tolist(), raw)
                         rows.append((doc, len(joined), joined, text, xxhash.xxh64_intdigest(text.encode()) == total))
                         size += len(joined)
-                        if size > 1_000_000:
+                        if size > 300_000:
                             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
                             rows, size = [], 0
                 if rows:
