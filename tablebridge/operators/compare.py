@@ -181,18 +181,22 @@ def pair_multiset_equal(left_home: Column, left_biz: Column, right_home: Column,
     return F.array_sort(left) == F.array_sort(_digit_list(right_home, right_biz))
 
 
-def parity_check(checks: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """Per named check: rows on both sides and whether they agree."""
-    out = None
-    for name, (source, target) in checks.items():
-        s = source.agg(F.count(F.lit(1)).alias("n")).select(F.lit("s").alias("side"), "n")
-        t = target.agg(F.count(F.lit(1)).alias("n")).select(F.lit("t").alias("side"), "n")
-        part = s.unionByName(t).agg(
-            F.max(F.when(F.col("side") == "s", F.col("n"))).alias("source_rows"),
-            F.max(F.when(F.col("side") == "t", F.col("n"))).alias("target_rows"),
-        ).select(F.lit(name).alias("check_name"), "*")
-        out = part if out is None else out.unionByName(part)
-    return out.withColumn("is_ok", F.col("source_rows") == F.col("target_rows"))
+def parity_check(source: DataFrame, target: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
+    """Per named check, a predicate over either side: rows on both sides, whether they agree, and the reason.
+
+    All checks are counted in one pass over each side.
+    """
+    counts = [F.count_if(F.coalesce(p, F.lit(False))).cast("bigint").alias(f"c{i}") for i, p in enumerate(checks.values())]
+    both = source.agg(*counts).withColumn("side", F.lit("s")).unionByName(target.agg(*counts).withColumn("side", F.lit("t")))
+    of = lambda side, i: F.max(F.when(F.col("side") == side, F.col(f"c{i}")))
+    rows = [
+        F.struct(F.lit(name).alias("check_name"), of("s", i).alias("source_rows"), of("t", i).alias("target_rows"))
+        for i, name in enumerate(checks)
+    ]
+    out = both.agg(F.array(*rows).alias("rows")).select(F.explode("rows").alias("r")).select("r.*")
+    s, t = F.col("source_rows"), F.col("target_rows")
+    reason = F.when(t < s, "target_short").when(t > s, "target_surplus").otherwise("equal")
+    return out.withColumn("is_ok", s == t).withColumn("reason", reason)
 
 
 def key_alias_range(

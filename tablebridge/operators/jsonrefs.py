@@ -26,7 +26,7 @@ def extract_refs(
     """References of each kind in a text column, one row per hit with its row id.
 
     `patterns` maps a kind to (regular expression, group) searched in the whole text; `paths` maps
-    a kind to a JSON path read from the parsed text.
+    a kind to a JSON path. The text is parsed once for all paths; a list gives one reference per element.
     """
 
     def tagged(kind: str) -> Callable[[Column], Column]:
@@ -36,8 +36,17 @@ def extract_refs(
         F.transform(F.regexp_extract_all(F.col(text), F.lit(shape), group), tagged(kind))
         for kind, (shape, group) in patterns.items()
     ]
-    for kind, path in (paths or {}).items():
-        hits.append(F.array(tagged(kind)(F.get_json_object(F.col(text), path))))
+    def at(parsed: Column) -> Column:
+        found = []
+        for kind, path in (paths or {}).items():
+            node = F.try_variant_get(parsed, path, "variant")
+            is_list = F.coalesce(F.schema_of_variant(node).startswith("ARRAY"), F.lit(False))
+            one = F.array(F.try_variant_get(node, "$", "string"))
+            found.append(F.transform(F.when(is_list, F.try_variant_get(node, "$", "array<string>")).otherwise(one), tagged(kind)))
+        return F.concat(*found)
+
+    if paths:
+        hits.append(F.flatten(F.transform(F.array(F.try_parse_json(text)), at)))
     return (
         df.select(row_id, F.explode(F.concat(*hits)).alias("h"))
         .select(row_id, "h.kind", "h.ref")

@@ -32,10 +32,14 @@ def keyset_page(df: DataFrame, order: Sequence[str], cursor: Mapping[str, object
     return rows.orderBy(*null_first(order)).limit(k)
 
 
-def count_after_cursor(df: DataFrame, order: Sequence[str], cursor: Mapping[str, object]) -> DataFrame:
+def count_after_cursor(
+    df: DataFrame, order: Sequence[str], cursor: Mapping[str, object], offset: int | None = None
+) -> DataFrame:
+    """Rows, rows behind the cursor, and the position: rows up to it, or the stored offset if that is less."""
     after = F.count_if(after_cursor(order, cursor)).cast("bigint")
     total = F.count(F.lit(1))
-    return df.agg(total.alias("total"), after.alias("after"), (total - after).alias("position"))
+    position = total - after if offset is None else F.least(total - after, F.lit(offset).cast("bigint"))
+    return df.agg(total.alias("total"), after.alias("after"), position.alias("position"))
 
 
 def next_cursor(page: DataFrame, order: Sequence[str]) -> DataFrame:

@@ -120,15 +120,18 @@ def repair_ids(run_log: DataFrame, issues: DataFrame) -> DataFrame:
     return ids.filter("source_id is not null").distinct()
 
 
-def repair_summary(planned: DataFrame, failed: DataFrame, not_found: DataFrame, key: str) -> DataFrame:
-    """One row per outcome; each planned id has exactly one."""
+def repair_outcomes(planned: DataFrame, failed: DataFrame, not_found: DataFrame, key: str) -> DataFrame:
+    """The outcome of each planned id: lists of any length, one row an id."""
     bad = failed.select(key).distinct().withColumn("_bad", F.lit(True))
     lost = not_found.select(key).distinct().withColumn("_lost", F.lit(True))
     outcome = F.when(F.col("_lost"), "not_found").when(F.col("_bad"), "failed").otherwise("success")
-    return (
-        planned.select(key).distinct().join(bad, key, "left").join(lost, key, "left")
-        .groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("ids"))
-    )
+    ids = planned.select(key).distinct()
+    return ids.join(bad, key, "left").join(lost, key, "left").select(key, outcome.alias("outcome"))
+
+
+def repair_summary(planned: DataFrame, failed: DataFrame, not_found: DataFrame, key: str) -> DataFrame:
+    """One row per outcome; each planned id has exactly one."""
+    return repair_outcomes(planned, failed, not_found, key).groupBy("outcome").agg(F.count(F.lit(1)).alias("ids"))
 
 
 def quarantine_bad_rows(df: DataFrame, rules: Sequence[FieldRule]) -> tuple[DataFrame, DataFrame]:

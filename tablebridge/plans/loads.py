@@ -37,9 +37,21 @@ class LoadResult:
     def __init__(self, spec: TableSpec, staging: DataFrame, target: DataFrame) -> None:
         self.spec, self.staging, self.target = spec, staging, target
 
+    @cached_property
+    def made_parents(self) -> dict[str, DataFrame]:
+        """The parents to create, by relation."""
+        return {
+            r.name: cut_lineage(resolve.missing_parents(self.staging, asked_key(r), r.parent, r.ensure))
+            for r in self.spec.relations if r.ensure is not None
+        }
+
     @cached_property
     def shaped(self) -> DataFrame:
-        return shape_rows(self.spec, self.staging)
+        relations = [
+            replace(r, parent=r.parent.unionByName(self.made_parents[r.name], allowMissingColumns=True)) if r.ensure else r
+            for r in self.spec.relations
+        ]
+        return shape_rows(replace(self.spec, relations=relations), self.staging)
 
     @cached_property
     def issues(self) -> DataFrame:
@@ -96,7 +108,8 @@ def shape_rows(spec: TableSpec, staging: DataFrame) -> DataFrame:
 
 
 def find_issues(spec: TableSpec, staging: DataFrame) -> DataFrame:
-    """Lost values and unresolved relations of all staging rows, duplicates included."""
+    """Lost values and unresolved relations of all staging rows, duplicates included. A relation whose
+    parents are made has none of the latter."""
     rules = [
         quality.FieldRule(f.name, f.source, f.clean(F.col(f.source)), f.reason, required=f.required)
         for f in spec.fields
@@ -106,6 +119,8 @@ def find_issues(spec: TableSpec, staging: DataFrame) -> DataFrame:
     if rules:
         found = quality.field_issues(staging, F.col(spec.record_id), rules).drop("mapped")
     for r in spec.relations:
+        if r.ensure is not None:
+            continue
         known = None
         for key in r.parent_keys if r.placeholder is not None else r.parent_keys[:1]:
             part = r.parent.select(relation_key(F.col(key)).alias("_folded")).filter("_folded is not null")

@@ -133,12 +133,16 @@ def extract_refs(t: Tables):
 
 @query("""
 SELECT event_id AS flow_id, 'url' AS kind, 'https://h' || user_id || '.example.org/x' AS ref FROM events
-UNION ALL SELECT event_id, 'collection', event_type FROM events""")
+UNION ALL SELECT event_id, 'collection', event_type FROM events
+UNION ALL SELECT event_id, 'folder', unnest(['f' || user_id, 'f' || event_id]) FROM events""")
 def extract_config_refs(t: Tables):
+    # A list of folders beside the rest: each of them is a reference.
+    folders = F.concat(F.lit(', "folders": ["f'), F.regexp_extract("options", '"role": "r([0-9]+)"', 1), F.lit('", "f'), col("flow_id").cast("string"), F.lit('"]}'))
+    flows = t.derive(FLOWS).withColumn("options", F.concat(F.regexp_replace("options", "}$", ""), folders))
     return jsonrefs.extract_refs(
-        t.derive(FLOWS), "flow_id", "options",
+        flows, "flow_id", "options",
         {"url": (jsonrefs.URL_SHAPE, 0), "uuid": (jsonrefs.UUID_IN_TEXT, 0)},
-        {"collection": "$.collection", "cron": "$.cron", "permissions": "$.permissions"},
+        {"collection": "$.collection", "cron": "$.cron", "permissions": "$.permissions", "folder": "$.folders"},
     )
 
 

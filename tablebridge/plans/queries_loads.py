@@ -133,7 +133,9 @@ LABELS = {"no_show": "no show", "completed": "completed", "default": "waiting"}
 
 @query(f"""
 WITH t AS ({plain(APPOINTMENT_TARGET)}), crowd AS ({CROWD}),
-known AS (SELECT pid, first_name, id FROM crowd),
+asked AS (SELECT DISTINCT 'Customer#' || lpad(cust_key, 9, '0') AS pid FROM ({RAW})),
+known AS (SELECT pid, first_name, id FROM crowd UNION ALL SELECT pid, 'INFERRED', (SELECT max(id) FROM crowd) + row_number() OVER (ORDER BY pid)
+  FROM asked WHERE lower(pid) NOT IN (SELECT lower(pid) FROM crowd)),
 s AS (SELECT {sql_blank('order_key')} AS schedule, {sql_era(2200)} AS visit_at, 'Customer#' || lpad(cust_key, 9, '0') AS party, is_done FROM ({RAW}) WHERE {sql_blank('order_key')} IS NOT NULL),
 f AS (SELECT schedule, visit_at, CASE WHEN is_done = 'P' THEN 'no show' WHEN visit_at < TIMESTAMP '1999-06-01' THEN 'completed' ELSE 'waiting' END AS status,
   (SELECT id FROM known WHERE lower(pid) = lower(party) ORDER BY first_name = 'INFERRED', pid <> party, id LIMIT 1) AS patient,
@@ -161,7 +163,12 @@ def load_appointments(t: Tables):
             FieldSpec("visit_at", "order_date", era(2200), "datetime_parse_failed"),
             FieldSpec("is_done", "is_done", lambda x: c.to_bool(x, "sql")),
         ],
-        [RelationSpec("patient", "party", people, ["pid"], placeholder=lambda: c.is_placeholder(col("first_name"), "INFERRED"))],
+        [
+            RelationSpec(
+                "patient", "party", people, ["pid"], placeholder=lambda: c.is_placeholder(col("first_name"), "INFERRED"),
+                ensure=resolve.ParentTemplate("pid", "id", "first_name", "last_name", "INFERRED", "PID "),
+            )
+        ],
         mode="policy", transform=finish,
         policies={"status": merge.only_if("waiting"), "channel": merge.only_if_null},
     )
@@ -173,14 +180,14 @@ def load_appointments(t: Tables):
 
 RESCHEDULES = """
 SELECT event_id AS row_id, CAST(user_id * 7 AS STRING) AS schedule, concat(CAST(year(ts) + 543 AS STRING), substr(CAST(ts AS STRING), 5, 15)) AS moved_to
-FROM {events} WHERE event_type = 'view'
+FROM {events} WHERE event_type <> 'click'
 """
 
 
 @query(f"""
 SELECT event_id AS log_id, NULL::BIGINT AS appointment, ts AS moved_to, NULL::BIGINT AS slot FROM events WHERE event_type = 'click'
 UNION ALL SELECT NULL, (SELECT o_orderkey FROM orders WHERE o_orderkey = user_id * 7), date_trunc('second', ts),
-  (SELECT min(e.event_id) FROM events e WHERE strftime(e.ts, '%H:%M') = strftime(events.ts, '%H:%M')) FROM events WHERE event_type = 'view'""")
+  (SELECT min(e.event_id) FROM events e WHERE strftime(e.ts, '%H:%M') = strftime(events.ts, '%H:%M')) FROM events WHERE event_type <> 'click'""")
 def load_reschedule_log(t: Tables):
     slots = t.events.select(col("event_id").alias("slot_id"), c.clock_slot(col("ts")).alias("clock"))
     appointments = t.orders.select(col("o_orderkey").cast("string").alias("old_id"), col("o_orderkey").alias("id"))

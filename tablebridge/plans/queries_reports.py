@@ -193,9 +193,9 @@ def keyset_page(t: Tables):
 
 
 @query(f"""
-SELECT count(*)::BIGINT AS total, count_if({SQL_AFTER})::BIGINT AS after, (count(*) - count_if(coalesce({SQL_AFTER}, false)))::BIGINT AS position FROM ({plain(HOURLY)})""")
+SELECT count(*)::BIGINT AS total, count_if({SQL_AFTER})::BIGINT AS after, least(count(*) - count_if(coalesce({SQL_AFTER}, false)), 150)::BIGINT AS position FROM ({plain(HOURLY)})""")
 def count_after_cursor(t: Tables):
-    return page.count_after_cursor(hourly(t), ORDER, CURSOR)
+    return page.count_after_cursor(hourly(t), ORDER, CURSOR, offset=150)
 
 
 @query(f"""
@@ -384,13 +384,21 @@ def repair_ids(t: Tables):
     return quality.repair_ids(log, issues)
 
 
+def repaired(t: Tables):
+    return t.orders, t.orders.filter("o_orderstatus = 'P'"), t.orders.filter("o_orderpriority = '5-LOW'"), "o_orderkey"
+
+
 @query("""
 SELECT CASE WHEN o_orderpriority = '5-LOW' THEN 'not_found' WHEN o_orderstatus = 'P' THEN 'failed' ELSE 'success' END AS outcome, count(*)::BIGINT AS ids
 FROM orders GROUP BY 1""")
 def repair_summary(t: Tables):
-    return quality.repair_summary(
-        t.orders, t.orders.filter("o_orderstatus = 'P'"), t.orders.filter("o_orderpriority = '5-LOW'"), "o_orderkey"
-    )
+    return quality.repair_summary(*repaired(t))
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN 'not_found' WHEN o_orderstatus = 'P' THEN 'failed' ELSE 'success' END AS outcome FROM orders""")
+def repair_outcomes(t: Tables):
+    return quality.repair_outcomes(*repaired(t))
 
 
 @query(f"""
@@ -509,15 +517,13 @@ def pair_multiset_equal(t: Tables):
 
 
 @query("""
-SELECT check_name, s AS source_rows, h AS target_rows, s = h AS is_ok FROM (
+SELECT check_name, s AS source_rows, h AS target_rows, s = h AS is_ok, CASE WHEN h < s THEN 'target_short' WHEN h > s THEN 'target_surplus' ELSE 'equal' END AS reason FROM (
   SELECT 'all' AS check_name, count(*)::BIGINT AS s, count_if(event_type <> 'signup' OR value > 50)::BIGINT AS h FROM events
   UNION ALL SELECT event_type, count(*)::BIGINT, count_if(event_type <> 'signup' OR value > 50)::BIGINT FROM events GROUP BY 1 HAVING event_type IN ('signup', 'purchase'))""")
 def parity_check(t: Tables):
     held = t.events.filter((col("event_type") != "signup") | (col("value") > 50))
-    of = lambda df, kind: df.filter(col("event_type") == kind)
-    checks = {"all": (t.events, held)}
-    checks |= {kind: (of(t.events, kind), of(held, kind)) for kind in ("signup", "purchase")}
-    return compare.parity_check(checks)
+    checks = {"all": F.lit(True)} | {kind: col("event_type") == kind for kind in ("signup", "purchase")}
+    return compare.parity_check(t.events, held, checks)
 
 
 @query(f"""

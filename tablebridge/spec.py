@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 
 from tablebridge.functions.clean import null_if_blank
+from tablebridge.operators.resolve import ParentTemplate
 
 
 @dataclass(frozen=True)
@@ -26,7 +27,8 @@ class RelationSpec:
     """A reference column: the legacy key in staging and the parent it resolves in.
 
     With `placeholder` (a predicate over the parent) the preferred lookup over several parent keys
-    is used, else the lowest id of the first key.
+    is used, else the lowest id of the first key. With `ensure`, parents that staging rows ask for
+    and that do not exist are made by that template before rows are resolved.
     """
 
     name: str
@@ -36,6 +38,7 @@ class RelationSpec:
     id_col: str = "id"
     placeholder: Callable[[], Column] | None = None
     sentinels: Sequence[str] = ()
+    ensure: ParentTemplate | None = None
 
 
 @dataclass(frozen=True)

@@ -46,3 +46,25 @@ def test_filters_and_columns_reach_the_scan(spark, folder):
 def test_top_n_groups_are_limited_before_the_shuffle(spark, folder):
     plan = catalog.QUERIES["asof_before_day"](spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_a_report_of_a_load_starts_no_job_before_it_is_asked_for(spark, folder):
+    spark.sparkContext.setJobGroup("lazy", "lazy")
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup("lazy"))
+    reads = 0
+    original = type(spark.read).parquet
+
+    def counted(self, *paths, **options):
+        nonlocal reads
+        reads += 1
+        return original(self, *paths, **options)
+
+    type(spark.read).parquet = counted
+    try:
+        catalog.QUERIES["load_quality_report"](spark, folder)
+    finally:
+        type(spark.read).parquet = original
+        spark.sparkContext.setJobGroup(None, None)
+    # A read looks at the schema of a file in one job.
+    assert len(tracker.getJobIdsForGroup("lazy")) - before <= reads
