@@ -205,7 +205,7 @@ def incremental_load(t: Tables):
         col("o_orderkey").alias("order_key"), col("o_custkey").alias("cust_key"), (col("o_totalprice") + 1).alias("total")
     )
     home = new_run_folder(t.spark, "load")
-    table = incremental.BatchFolders(t.spark, f"{home}/table", rows.schema)
+    table = incremental.VersionedBuckets(t.spark, f"{home}/table", rows.schema, ["order_key"])
     merge = lambda target, batch: merge_if_changed(target, batch, MergeSpec(["order_key"]))
     inbox = f"{home}/inbox"
     # Two nights: the second brings two versions of each changed row and continues behind the first.
@@ -213,8 +213,8 @@ def incremental_load(t: Tables):
     for night in (rows, changed.unionByName(earlier)):
         night.write.mode("append").parquet(inbox)
         stream = incremental.read_arrivals(t.spark, inbox, rows.schema)
-        incremental.incremental_load(stream, table, merge, f"{home}/position", ["order_key"], [col("total")])
-    return table.read_last()
+        incremental.incremental_load(stream, table, merge, f"{home}/position", [col("total")])
+    return table.current()
 
 
 SQL_LATE = f"SELECT order_key, cust_key, total, status FROM ({plain(ORDERS_TARGET)})"

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tablebridge.operators.dedup import distinct_on
 from tablebridge.operators.merge import ACTION, MergeSpec, merge_insert_only
 from tablebridge.operators.sets import multiset_missing
+from tablebridge.session import cut_lineage
 
 
 def read_arrivals(
@@ -61,14 +62,46 @@ class BatchFolders:
         """The rows of all batches: a table that only grows."""
         return self._read(self.complete(before))
 
-    def read_last(self, before: int | None = None) -> DataFrame:
-        """The rows of the newest batch: a table rewritten by each batch."""
-        return self._read(self.complete(before)[-1:])
-
     def write(self, df: DataFrame, number: int) -> None:
         df.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(self.folder(number))
 
 
+class VersionedBuckets(BatchFolders):
+    """A table in buckets of its keys; a batch writes new versions of the buckets it touches.
+
+    The present table is the newest version of each bucket, so a small batch reads and rewrites
+    only its part of a large table.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], buckets: int = 64) -> None:
+        super().__init__(spark, path, schema)
+        self.keys, self.buckets = list(keys), buckets
+
+    def bucket_of(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def current(self, before: int | None = None, only: Sequence[int] | None = None) -> DataFrame:
+        """The newest version of all or some buckets."""
+        newest: dict[int, str] = {}
+        for number in self.complete(before):
+            for status in self._fs.listStatus(self._new_path(self.folder(number))):
+                name = status.getPath().getName()
+                if name.startswith("bucket="):
+                    newest[int(name[7:])] = f"{self.folder(number)}/{name}"
+        paths = [p for b, p in sorted(newest.items()) if only is None or b in only]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def touched(self, rows: DataFrame) -> list[int]:
+        """The buckets that rows fall into: at most `buckets` numbers."""
+        return [r[0] for r in rows.select(self.bucket_of()).distinct().collect()]
+
+    def write(self, df: DataFrame, number: int) -> None:
+        rows = df.select(*self.schema.fieldNames(), self.bucket_of().alias("bucket"))
+        rows.repartition("bucket", *self.keys).write.mode("overwrite").partitionBy("bucket").parquet(self.folder(number))
+
+
 def _run_once(arrivals: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     query = (
         arrivals.writeStream.foreachBatch(step)
@@ -98,17 +131,20 @@ def incremental_append(
 
 
 def incremental_load(
-    arrivals: DataFrame, table: BatchFolders, merge: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str,
-    keys: Sequence[str], order: Sequence[Column],
+    arrivals: DataFrame, table: VersionedBuckets, merge: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str,
+    order: Sequence[Column],
 ) -> StreamingQuery:
     """Merge all files that arrived since the last run into the table, then stop.
 
-    For write modes that change existing rows; each batch writes the next version of the table. Of
-    several versions of a key in a batch the last one in `order` counts.
+    For write modes that change existing rows by key; `merge` sees the touched buckets only, so it
+    must not number new rows by the highest id of the table. Of several versions of a key in a
+    batch the last one in `order` counts.
     """
 
     def load(batch: DataFrame, number: int) -> None:
-        table.write(merge(table.read_last(before=number), distinct_on(batch, keys, order, last=True)), number)
+        rows = cut_lineage(distinct_on(batch, table.keys, order, last=True))
+        held = table.current(before=number, only=table.touched(rows))
+        table.write(merge(held, rows), number)
 
     return _run_once(arrivals, load, checkpoint)
 

@@ -40,12 +40,17 @@ def test_append_advances_and_ignores_replays(spark):
 def test_merge_versions(spark):
     home = new_run_folder(spark, "test")
     df = lambda data: spark.createDataFrame(data, SCHEMA)
-    table = incremental.BatchFolders(spark, f"{home}/table", df([]).schema)
+    table = incremental.VersionedBuckets(spark, f"{home}/table", df([]).schema, ["k"], buckets=4)
     merge = lambda t, s: merge_if_changed(t, s, MergeSpec(["k"]))
     for data in ([(1, "a"), (2, "b")], [(2, "c"), (4, "d"), (4, "c")]):
         df(data).write.mode("append").parquet(f"{home}/in")
-        incremental.incremental_load(incremental.read_arrivals(spark, f"{home}/in", df([]).schema), table, merge, f"{home}/pos", ["k"], [F.col("v")])
-    assert rows(table.read_last()) == [(1, "a"), (2, "c"), (4, "d")]
+        incremental.incremental_load(incremental.read_arrivals(spark, f"{home}/in", df([]).schema), table, merge, f"{home}/pos", [F.col("v")])
+    assert rows(table.current()) == [(1, "a"), (2, "c"), (4, "d")]
+    # The second batch wrote only the buckets of its keys.
+    first, second = table.complete()
+    written = lambda n: spark.read.parquet(table.folder(n))
+    assert {r.bucket for r in written(second).collect()} == set(table.touched(df([(2, ""), (4, "")])))
+    assert rows(table.current(before=second)) == rows(written(first).select("k", "v"))
 
 
 def test_catch_up_in_two_runs(spark):
