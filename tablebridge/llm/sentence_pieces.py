@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,9 @@ LONGEST = 256
 #: A unit: spaces and the letters, or the other characters, after them. No piece of the vocabulary joins letters and others, or letters before a space.
 UNIT = re.compile(rf"{SPACE}{{0,{LONGEST}}}[^\W\d_]{{1,{LONGEST}}}|{SPACE}{{0,{LONGEST}}}(?:(?!{SPACE})[\W\d_]){{1,{LONGEST}}}|{SPACE}{{1,{LONGEST}}}")
 #: Characters of text in a block of documents that share one list of units.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 12_000_000
+#: Buckets of units by hash.
+BUCKETS = 1024
 #: The model's scores are ranks of merges, not chances; a piece of rank r weighs -log(EVEN + r). A character without a piece weighs the least of them less PENALTY.
 EVEN, PENALTY = 100.0, 10.0
 
@@ -44,50 +47,76 @@ def units_of(text: str) -> list[str]:
     return UNIT.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
+class Block:
+    """The distinct units of a stretch of documents, numbered as they come, and its documents as numbers."""
+
+    def __init__(self) -> None:
+        self.units: dict[str, int] = {}
+        self.words: dict[str, bytes] = {}
+        self.docs: list[tuple[int | None, int, bytes]] = []
+        self.size = 0
+
+    def numbers(self, units: list[str]) -> bytes:
+        known = self.units
+        return np.array([known.setdefault(u, len(known)) for u in units], np.uint32).tobytes()
+
+    def add(self, doc: int | None, text: str) -> None:
+        if not text or text[0] == " " or text[-1] == " " or "  " in text or SPACE in text:
+            own = self.numbers(units_of(text))
+        else:  # no unit goes over a single space, so words are looked up
+            words = text.split(" ")
+            for w in set(words).difference(self.words):
+                self.words[w] = self.numbers(UNIT.findall(SPACE + w))
+            own = b"".join(map(self.words.__getitem__, words))
+        self.docs.append((doc, xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")), own))
+        self.size += len(text)
+
+    def closed(self, block: int) -> Iterator[pa.RecordBatch]:
+        """A row for each bucket with its units in order, then one with the documents, whose numbers follow the order of buckets and units."""
+        bucket = {u: xxhash.xxh32_intdigest(u.encode("utf-8", "surrogatepass")) % BUCKETS for u in self.units}
+        order = sorted(self.units, key=lambda u: (bucket[u], u))
+        place = np.empty(len(order), np.uint32)
+        place[[self.units[u] for u in order]] = np.arange(len(order), dtype=np.uint32)
+        grouped = [(k, " ".join(g)) for k, g in groupby(order, bucket.__getitem__)]
+        cols = [[k for k, _ in grouped], [block] * len(grouped), [x for _, x in grouped], [None] * len(grouped)]
+        yield self.batch(cols)
+        table = pa.table(
+            [
+                pa.array([d for d, _, _ in self.docs], pa.int64()), pa.array([h for _, h, _ in self.docs], pa.uint64()),
+                pa.array([place[np.frombuffer(n, np.uint32)].tobytes() for _, _, n in self.docs], pa.binary()),
+            ],
+            ["doc_id", "sum", "numbers"],
+        )
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as out:
+            out.write_table(table, 1000)
+        yield self.batch([[-1], [block], [None], [zstandard.ZstdCompressor(3).compress(sink.getvalue())]])
+
+    @staticmethod
+    def batch(cols: list[list]) -> pa.RecordBatch:
+        kinds = (pa.int32(), pa.int64(), pa.string(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds, strict=True)], ["bucket", "block", "units", "pack"])
+
+
 def coded(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) -> (block, no, unit, pack): each block's distinct units with numbers, then its documents as numbers (unit null).
+    """(doc_id, text) -> (bucket, block, units, pack): each block's distinct units by buckets of their hash, joined by spaces, and its documents.
 
     A block is a bounded stretch of one partition; its name is the partition and the place in it, the
     same whenever a lost task runs again.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seq, squeeze = TaskContext.get().partitionId(), 0, zstandard.ZstdCompressor(3).compress
-        numbers: dict[str, int] = {}
-        held: list[tuple] = []
-        size = 0
-
-        def close() -> Iterator[pa.RecordBatch]:
-            nonlocal seq, size
-            block, rows = part << 32 | seq, list(numbers.items())
-            names = ["block", "no", "unit", "pack"]
-            for i in range(0, len(rows), 50_000):
-                some = rows[i : i + 50_000]
-                cols = [[block] * len(some), [n for _, n in some], [u for u, _ in some], [None] * len(some)]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int64(), pa.int32(), pa.string(), pa.binary()), strict=True)], names)
-            ids = pa.array([d for d, _, _ in held], pa.int64())
-            table = pa.record_batch([ids, pa.array([s for _, s, _ in held], pa.uint64()), pa.array([n for _, _, n in held], pa.binary())], ["doc_id", "sum", "numbers"])
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, table.schema) as out:
-                out.write_batch(table)
-            pack = squeeze(sink.getvalue().to_pybytes())
-            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([-1], pa.int32()), pa.array([None], pa.string()), pa.array([pack], pa.binary())], names)
-            seq, size = seq + 1, 0
-            numbers.clear()
-            held.clear()
-
+        name, block = TaskContext.get().partitionId() << 32, Block()
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                text = text or ""
-                own = [numbers.setdefault(u, len(numbers)) for u in units_of(text)]
-                held.append((doc, xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")), np.array(own, np.uint32).tobytes()))
-                size += len(text)
-                if size >= BLOCK_CHARS:
-                    yield from close()
-        if held:
-            yield from close()
+                block.add(doc, text or "")
+                if block.size >= BLOCK_CHARS:
+                    yield from block.closed(name)
+                    name, block = name + 1, Block()
+        if block.docs:
+            yield from block.closed(name)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "block long, no int, unit string, pack binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "bucket int, block long, units string, pack binary")
 
 
 def viterbi(edges: Column) -> Column:
@@ -113,27 +142,32 @@ def viterbi(edges: Column) -> Column:
 
 
 def segmented(units: DataFrame, table: list[tuple[str, float]]) -> DataFrame:
-    """(unit) -> (unit, ids), one row per distinct unit; a character without a piece stands as minus its code point less one.
+    """(bucket, unit, kept) of distinct units -> (bucket, unit, ids, kept); a character without a piece stands as minus its code point less one.
 
-    The piece table is the vocabulary's: its size is fixed by the model, so it is broadcast.
+    Rows that come partitioned by bucket stay where they are. Substring 0 of a unit is none: it
+    carries `kept` past the explosion. The piece table is the vocabulary's: its size is fixed by the
+    model, so it is broadcast.
     """
     spark, longest = units.sparkSession, max(len(p) for p, w in table if not math.isnan(w))
     known = [(p, i, w) for i, (p, w) in enumerate(table) if not math.isnan(w)]
     lookup = spark.createDataFrame(known, "piece string, id int, weight double")
     least = min(w for _, _, w in known) - PENALTY
     n = F.length("unit")
-    starts = units.select("unit").distinct().select("unit", F.explode(F.sequence(F.lit(0), n - 1)).alias("start"))
-    spans = starts.select("unit", "start", F.explode(F.sequence(F.lit(1), F.least(n - F.col("start"), F.lit(longest)))).alias("size"))
-    found = spans.withColumn("piece", F.expr("substring(unit, start + 1, size)")).join(F.broadcast(lookup), "piece", "left").where("id is not null or size = 1")
+    starts = units.select("bucket", "unit", "kept", F.explode(F.sequence(F.lit(-1), n - 1)).alias("start"))
+    starts = starts.select("bucket", "unit", "start", F.when(F.col("start") < 0, F.col("kept")).alias("kept"))
+    sizes = F.when(F.col("start") < 0, F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), F.least(n - F.col("start"), F.lit(longest))))
+    spans = starts.select("bucket", "unit", "kept", "start", F.explode(sizes).alias("size"))
+    found = spans.withColumn("piece", F.expr("substring(unit, start + 1, size)")).join(F.broadcast(lookup), "piece", "left").where("id is not null or size < 2")
     code = -F.ascii("piece") - 1
     edge = F.struct((F.col("start") + F.col("size")).alias("end"), "start", F.coalesce("id", code).alias("id"), F.coalesce("weight", F.lit(least)).alias("weight"))
-    return found.groupBy("unit").agg(F.array_sort(F.collect_list(edge)).alias("edges")).select("unit", viterbi(F.col("edges")).alias("ids"))
+    gathered = found.groupBy("bucket", "unit").agg(F.array_sort(F.collect_list(F.when(F.col("size") > 0, edge))).alias("edges"), F.first("kept", ignorenulls=True).alias("kept"))
+    return gathered.select("bucket", "unit", viterbi(F.col("edges")).alias("ids"), "kept")
 
 
 class Spelling:
     """The ids of numbered units in one array, with each character that has no piece as the pieces of its bytes."""
 
-    def __init__(self, no: list[int], ids: list[str], byte: int) -> None:
+    def __init__(self, ids: list[str], byte: int) -> None:
         flat = np.fromstring(" ".join(ids), np.int32, sep=" ")
         sizes = np.fromiter((x.count(" ") + 1 for x in ids), np.int64, len(ids))
         odd = np.flatnonzero(flat < 0)
@@ -145,9 +179,7 @@ class Spelling:
         for at, raw in zip(begins[odd].tolist(), spelled, strict=True):
             self.flat[at : at + len(raw)] = [byte + b for b in raw]
         heads = np.cumsum(sizes) - sizes
-        self.start, self.size = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
-        if len(ids):
-            self.start[no], self.size[no] = begins[heads], np.add.reduceat(each, heads)
+        self.start, self.size = begins[heads], np.add.reduceat(each, heads) if len(ids) else heads
 
     def of(self, numbers: np.ndarray) -> np.ndarray:
         size = self.size[numbers]
@@ -177,16 +209,21 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     A text's only loss is that of the model: its space sign becomes a space. Null and empty texts
     have no pieces and decode to an empty text. Repeated rows and null ids stay. Other columns are not
-    read. An empty table gives an empty one. Units travel once for each block that holds them, so
-    frequent words bring no hot key: a unit's rows are one a block.
+    read. An empty table gives an empty one. Units travel in lists, once for each block that holds
+    them, so a frequent word brings one entry a block. Buckets of hashes are dealt out once: distinct
+    units, lattice, fold and answers need no further shuffle of units.
     """
     spark: SparkSession = docs.sparkSession
     table = pieces(path)
     both = coded(docs)
-    asked = both.where("unit is not null").select("block", "no", "unit")
-    lexicon = segmented(asked, table).select("unit", F.array_join("ids", " ").alias("ids"))
-    lists = asked.join(lexicon, "unit").groupBy("block").agg(F.collect_list("no").alias("no"), F.collect_list("ids").alias("ids"))
-    packs = both.where("unit is null").select("block", "pack")
+    listed = both.where("pack is null").select("bucket", "block", "units").repartition("bucket")
+    placed = listed.select("bucket", "block", F.posexplode(F.split("units", " ")).alias("at", "unit"))
+    distinct = placed.groupBy("bucket", "unit").agg(F.collect_list(F.struct("block", "at")).alias("kept"))
+    answers = segmented(distinct, table).select("bucket", F.array_join("ids", " ").alias("ids"), F.explode("kept").alias("p"))
+    told = answers.groupBy("bucket", "p.block").agg(F.array_sort(F.collect_list(F.struct("p.at", "ids"))).alias("l"))
+    told = told.select("block", "bucket", F.array_join(F.transform("l", lambda x: x["ids"]), ",").alias("ids"))
+    lists = told.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "ids"))).alias("l")).select("block", F.col("l.ids").alias("ids"))
+    packs = both.where("pack is not null").select("block", "pack")
     sent, byte = spark.sparkContext.broadcast(table), first_byte(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,8 +232,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         names = [x.split()[0] for x in SCHEMA.split(", ")]
         for b in batches:
             for k in range(b.num_rows):
-                no, ids = (b.column(c)[k].as_py() or [] for c in (1, 2))
-                units = Spelling(no, ids, byte)
+                units = Spelling([x for bucket in b.column(1)[k].as_py() or () for x in bucket.split(",")], byte)
                 rows, size = [], 0
                 for batch in pa.ipc.open_stream(open_(b.column(0)[k].as_py())):
                     for doc, total, numbers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -210,4 +246,4 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    return packs.join(lists, "block", "left").select("pack", "no", "ids").mapInArrow(run, SCHEMA)
+    return packs.join(lists, "block", "left").select("pack", "ids").mapInArrow(run, SCHEMA)
