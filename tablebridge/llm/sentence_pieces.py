@@ -25,8 +25,8 @@ LONGEST = 256
 UNIT = re.compile(rf"{SPACE}{{0,{LONGEST}}}[^\W\d_]{{1,{LONGEST}}}|{SPACE}{{0,{LONGEST}}}(?:(?!{SPACE})[\W\d_]){{1,{LONGEST}}}|{SPACE}{{1,{LONGEST}}}")
 #: Characters of text in a block of documents that share one list of units.
 BLOCK_CHARS = 12_000_000
-#: Buckets of units by hash.
-BUCKETS = 1024
+#: Buckets of units by hash, and partitions that they are dealt to at least: few units each, so that the lattice is sorted in memory.
+BUCKETS, PARTITIONS = 4096, 256
 #: The model's scores are ranks of merges, not chances; a piece of rank r weighs -log(EVEN + r). A character without a piece weighs the least of them less PENALTY.
 EVEN, PENALTY = 100.0, 10.0
 
@@ -216,7 +216,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     spark: SparkSession = docs.sparkSession
     table = pieces(path)
     both = coded(docs)
-    listed = both.where("pack is null").select("bucket", "block", "units").repartition("bucket")
+    parts = max(PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    listed = both.where("pack is null").select("bucket", "block", "units").repartition(parts, "bucket")
     placed = listed.select("bucket", "block", F.posexplode(F.split("units", " ")).alias("at", "unit"))
     distinct = placed.groupBy("bucket", "unit").agg(F.collect_list(F.struct("block", "at")).alias("kept"))
     answers = segmented(distinct, table).select("bucket", F.array_join("ids", " ").alias("ids"), F.explode("kept").alias("p"))

@@ -37,6 +37,7 @@ def test_segmentation_equals_brute_force(spark):
 
 
 def test_round_trips(spark, monkeypatch):
+    monkeypatch.setattr(p, "PARTITIONS", 5)
     r = random.Random(9)
     bits = ["the", " ", "  ", "\n", "é", "日本", "123", "!?", "\t", "😀", "word", "Ünïcode", "\x00", "_x_", " a"]
     texts = ["".join(r.choice(bits) for _ in range(r.randrange(30))) for _ in range(300)]
