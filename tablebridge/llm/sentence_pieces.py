@@ -18,13 +18,15 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tablebridge.llm.staging import rows_of
+
 SPACE = "▁"
 #: Longest stretch of letters (or other characters, or spaces) that is segmented in one go, in code points.
 LONGEST = 256
 #: A unit: spaces and the letters, or the other characters, after them. No piece of the vocabulary joins letters and others, or letters before a space.
 UNIT = re.compile(rf"{SPACE}{{0,{LONGEST}}}[^\W\d_]{{1,{LONGEST}}}|{SPACE}{{0,{LONGEST}}}(?:(?!{SPACE})[\W\d_]){{1,{LONGEST}}}|{SPACE}{{1,{LONGEST}}}")
 #: Characters of text in a block of documents that share one list of units.
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 4_000_000
 #: Buckets of units by hash, and partitions that they are dealt to at least: few units each, so that the lattice is sorted in memory.
 BUCKETS, PARTITIONS = 4096, 256
 #: The model's scores are ranks of merges, not chances; a piece of rank r weighs -log(EVEN + r). A character without a piece weighs the least of them less PENALTY.
@@ -107,7 +109,7 @@ def coded(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, block = TaskContext.get().partitionId() << 32, Block()
-        for b in batches:
+        for b in rows_of(batches, chars=2_000_000):
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 block.add(doc, text or "")
                 if block.size >= BLOCK_CHARS:

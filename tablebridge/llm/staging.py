@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from tablebridge.session import new_run_folder
@@ -24,7 +25,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def rows_of(batches: Iterator[pa.RecordBatch], at_most: int = 4096, chars: int = 8_000_000) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches: at most so many rows and, unless one text is longer, so many bytes of column 1."""
     for batch in batches:
-        sizes = [len(x) if x is not None else 0 for x in batch.column(1).cast(pa.large_binary()).to_pylist()] if batch.num_rows else []
+        sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist() if batch.num_rows else []
         start = total = 0
         for i, n in enumerate(sizes):
             if i > start and (i - start >= at_most or total + n > chars):
