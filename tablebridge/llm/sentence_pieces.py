@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import math
 import re
+import struct
+import zlib
 from collections.abc import Iterator
-from itertools import groupby
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,7 @@ LONGEST = 256
 #: A unit: spaces and the letters, or the other characters, after them. No piece of the vocabulary joins letters and others, or letters before a space.
 UNIT = re.compile(rf"{SPACE}{{0,{LONGEST}}}[^\W\d_]{{1,{LONGEST}}}|{SPACE}{{0,{LONGEST}}}(?:(?!{SPACE})[\W\d_]){{1,{LONGEST}}}|{SPACE}{{1,{LONGEST}}}")
 #: Characters of text in a block of documents that share one list of units.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 8_000_000
 #: Buckets of units by hash, and partitions that they are dealt to at least: few units each, so that the lattice is sorted in memory.
 BUCKETS, PARTITIONS = 4096, 256
 #: The model's scores are ranks of merges, not chances; a piece of rank r weighs -log(EVEN + r). A character without a piece weighs the least of them less PENALTY.
@@ -45,10 +47,20 @@ def pieces(path: str) -> list[tuple[str, float]]:
     return out
 
 
+#: A number as four bytes.
+NUMBER = struct.Struct("<I").pack
+
+
 def units_of(text: str) -> list[str]:
     return UNIT.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
+@lru_cache(200_000)
+def units_of_word(word: str) -> tuple[str, ...]:
+    """The units of a word after a single space; letters alone are one."""
+    return (SPACE + word,) if word.isalpha() and len(word) <= LONGEST else tuple(UNIT.findall(SPACE + word))
+
+
 class Block:
     """The distinct units of a stretch of documents, numbered as they come, and its documents as numbers."""
 
@@ -67,21 +79,24 @@ class Block:
             own = self.numbers(units_of(text))
         else:  # no unit goes over a single space, so words are looked up
             words = text.split(" ")
+            known = self.units
             for w in set(words).difference(self.words):
-                self.words[w] = self.numbers(UNIT.findall(SPACE + w))
+                self.words[w] = b"".join([NUMBER(known.setdefault(u, len(known))) for u in units_of_word(w)])
             own = b"".join(map(self.words.__getitem__, words))
         self.docs.append((doc, xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")), own))
         self.size += len(text)
 
     def closed(self, block: int) -> Iterator[pa.RecordBatch]:
         """A row for each bucket with its units in order, then one with the documents, whose numbers follow the order of buckets and units."""
-        bucket = {u: xxhash.xxh32_intdigest(u.encode("utf-8", "surrogatepass")) % BUCKETS for u in self.units}
-        order = sorted(self.units, key=lambda u: (bucket[u], u))
+        units = list(self.units)
+        bucket = np.fromiter(map(zlib.crc32, map(str.encode, units)), np.uint32, len(units)) % BUCKETS
+        order = np.argsort(bucket, kind="stable")
         place = np.empty(len(order), np.uint32)
-        place[[self.units[u] for u in order]] = np.arange(len(order), dtype=np.uint32)
-        grouped = [(k, " ".join(g)) for k, g in groupby(order, bucket.__getitem__)]
-        cols = [[k for k, _ in grouped], [block] * len(grouped), [x for _, x in grouped], [None] * len(grouped)]
-        yield self.batch(cols)
+        place[order] = np.arange(len(order), dtype=np.uint32)
+        bucket, units = bucket[order], [units[i] for i in order.tolist()]
+        edges = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(units)] if units else [0]
+        lists = [" ".join(units[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
+        yield self.batch([bucket[edges[:-1]].tolist(), [block] * len(lists), lists, [None] * len(lists)])
         table = pa.table(
             [
                 pa.array([d for d, _, _ in self.docs], pa.int64()), pa.array([h for _, h, _ in self.docs], pa.uint64()),
