@@ -65,13 +65,12 @@ def walk_json_paths(df: DataFrame, row_id: str, json: str, key_shape: str = ROLE
     )
     found = None
     while True:
-        level = cut_lineage(level.filter("node is not null").select(row_id, "path", "name", F.to_json("node").alias("node")))
-        hits = level.filter(F.col("name").rlike(key_shape)).select(row_id, "path", F.col("node").alias("value"))
+        level = cut_lineage(level.filter("node is not null"))
+        hits = level.filter(F.col("name").rlike(key_shape)).select(row_id, "path", F.to_json("node").alias("value"))
         found = hits if found is None else found.unionByName(hits)
-        inner = level.filter(F.substring("node", 1, 1).isin("{", "["))
+        inner = level.filter(F.schema_of_variant("node").rlike("^(OBJECT|ARRAY)"))
         if inner.isEmpty():
             return found
-        inner = inner.withColumn("node", F.parse_json("node"))
         inner = inner.lateralJoin(inner.sparkSession.tvf.variant_explode(F.col("node").outer()))
         step = F.when(F.col("key").isNotNull(), F.concat(F.when(F.col("path") != "", F.lit(".")).otherwise(""), F.col("key"))).otherwise(
             F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))
