@@ -1,151 +1,226 @@
-"""Cross-entropy difference of two bigram models that share one vocabulary."""
+"""Cross-entropy difference of two bigram models over all words of the corpus."""
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tablebridge.llm.staging import rows_of, stage
 
-#: Words of the shared vocabulary, with the unknown word and the start of a document: the models are dense tables of SIZE x SIZE.
-SIZE, UNKNOWN, START = 2048, 0, 1
+#: Places of the uniform model below the unigrams at least; there are two more than words where the corpus has more. The vocabulary has no bound.
+SIZE = 2048
 #: Weight of the unigram model under the bigram counts, and of a word under the unigram counts.
 BELOW, FLOOR = 20.0, 0.5
-#: Distinct words that a task holds before it passes their counts on.
-HELD = 200_000
+#: Words of text that a chunk takes before it is closed; its n-grams are counted before they are passed on.
+HELD = 500_000
+MIX, TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
+#: Set apart the keys of a word as the first of a pair and as the second; the lowest bit of a key marks the latter.
+FIRST, SECOND, ONE = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344), np.uint64(1)
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, n) over all texts; a task passes on each word's count once for every HELD distinct words."""
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> TURN) * MIX
+    return x ^ x >> TURN
 
-    def rows(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+
+def pack(*columns: np.ndarray) -> bytes:
+    """Columns of 64 bits, byte by byte of all values, compressed."""
+    planes = b"".join(np.ascontiguousarray(np.ascontiguousarray(c).view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns)
+    return zstandard.ZstdCompressor(1).compress(planes)
+
+
+def unpack(blob: bytes, n: int) -> list[np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    size = len(planes) // n
+    return [np.ascontiguousarray(p.reshape(8, size // 8).T).view(np.uint64).ravel() for p in planes.reshape(n, size)]
+
+
+@dataclass(frozen=True)
+class Grams:
+    """The n-grams of a chunk of texts, by their positions in sorted `keys`.
+
+    Keys are 64-bit hashes of a pair of words, of a word that a pair begins with, and of one that it ends with.
+    """
+
+    keys: np.ndarray
+    pair: np.ndarray  # of each token: the number of its pair
+    place: np.ndarray  # of each pair: where its key is
+    before: np.ndarray  # of each pair: where the key of its first word is
+    after: np.ndarray  # of each pair: where the key of its second word is
+    lengths: np.ndarray  # words of each text
+
+    @classmethod
+    def of(cls, texts: list[str]) -> Grams:
+        ids: defaultdict[str, int] = defaultdict()
+        ids.default_factory = lambda: len(ids) + 1
+        found = [[ids[w] for w in t.lower().split()] for t in texts]
+        lengths = np.array([len(x) for x in found], np.int64)
+        second = np.fromiter((k for x in found for k in x), np.int64, int(lengths.sum()))
+        first = np.roll(second, 1)
+        first[(np.cumsum(lengths) - lengths)[lengths > 0]] = 0  # the start of a document
+        digest = xxhash.xxh3_64_intdigest
+        word = np.array([0, *(digest(w.encode("utf-8", "surrogatepass")) for w in ids)], np.uint64)
+        pairs, pair = np.unique(first * len(word) + second, return_inverse=True)
+        a, b = pairs // len(word), pairs % len(word)
+        keys = np.concatenate([mixed(mixed(word[a]) + word[b]), mixed(word ^ FIRST), mixed(word ^ SECOND)]) & ~ONE
+        keys[len(keys) - len(word) :] |= ONE
+        keys, place = np.unique(keys, return_inverse=True)
+        return cls(keys, pair, place[: len(pairs)], place[len(pairs) + a], place[len(pairs) + len(word) + b], lengths)
+
+    def counts(self, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How often each key occurs in marked texts, and in all."""
+        out = []
+        for weights in (np.repeat(marks, self.lengths).astype(float), None):
+            n = np.bincount(self.pair, weights, len(self.place))
+            out.append(sum(np.bincount(at, n, len(self.keys)) for at in (self.place, self.before, self.after)).astype(np.uint64))
+        return out[0], out[1]
+
+    def losses(self, counts: np.ndarray, scale: float, total: float, places: int) -> np.ndarray:
+        """The mean loss of a word of each text (nan without words), from the counts of the keys in the whole corpus."""
+        n = counts * scale
+        below = BELOW * (n[self.after] + FLOOR) / (total * scale + FLOOR * places)
+        loss = np.log(n[self.before] + BELOW) - np.log(n[self.place] + below)
+        of = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        with np.errstate(invalid="ignore"):
+            return np.bincount(of, loss[self.pair], len(self.lengths)) / self.lengths
+
+
+CHUNK = "chunk long, ids array<long>, marks array<boolean>, n_words long, n_target long, texts binary"
+
+
+def chunks(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, is_target) -> `CHUNK`: texts gathered up to HELD words; no row is changed or lost."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        base, n, held = TaskContext.get().partitionId() << 32, 0, []
+
+        def closed() -> pa.RecordBatch:
+            ids, texts, marks, sizes = (list(x) for x in zip(*held, strict=True))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, pa.schema([("text", pa.large_string())])) as w:
+                w.write_batch(pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], ["text"]))
+            values = [base + n, ids, marks, sum(sizes), sum(s for s, m in zip(sizes, marks, strict=True) if m), zstandard.ZstdCompressor(3).compress(sink.getvalue())]
+            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.int64(), pa.int64(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], [x.split()[0] for x in CHUNK.split(", ")])
+
+        total = 0
         for b in rows_of(batches):
-            for t in b.column(1).to_pylist():
-                counts.update((t or "").lower().split())
-            if len(counts) > HELD:
-                yield rows(counts)
-                counts = Counter()
-        if counts:
-            yield rows(counts)
+            for row in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                size = len((row[1] or "").split())
+                held.append((row[0], row[1] or "", bool(row[2]), size))
+                total += size + 1
+                if total >= HELD:
+                    yield closed()
+                    n, held, total = n + 1, [], 0
+        if held:
+            yield closed()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("doc_id", "text", "is_target").mapInArrow(run, CHUNK)
 
 
-def vocabulary(docs: DataFrame) -> dict[str, int]:
-    """The most frequent words of all documents (ties: in the order of the words), SIZE - 2 at most."""
-    top = word_counts(docs).orderBy(F.desc("n"), "word").limit(SIZE - 2).collect()
-    return {r.word: k + 2 for k, r in enumerate(top)}
+def texts_of(blob: bytes) -> list[str]:
+    return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(blob)).read_all()["text"].to_pylist()
 
 
-def ids_of(text: str | None, words: dict[str, int]) -> np.ndarray:
-    get = words.get
-    return np.array([START, *(get(w, UNKNOWN) for w in (text or "").lower().split())], np.int64)
+def shares(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Where the keys of each of 2**bits buckets begin in sorted keys, and the end."""
+    return np.searchsorted(keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
 
 
-def encoded(docs: DataFrame, words: dict[str, int]) -> DataFrame:
-    """(doc_id, text) -> (doc_id, ids): the ids of each text, two bytes each, compressed; a shuffle of them moves less than one of the texts."""
-    sent = docs.sparkSession.sparkContext.broadcast(words)
+BLOB = "chunk long, bucket long, blob binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(3).compress
-        for b in rows_of(batches):
-            ids = [squeeze(ids_of(t, sent.value).astype(np.uint16).tobytes()) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
+def blobs(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [x.split()[0] for x in BLOB.split(", ")])
 
 
-def pair_counts(docs: DataFrame) -> DataFrame:
-    """(ids, is_target) -> (pair, target, total): how often a pair of ids occurs, in target documents and in all."""
+def asked(held: DataFrame, bits: int) -> DataFrame:
+    """Chunks -> `BLOB`: of each chunk and bucket the keys and their counts in the chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((2, SIZE * SIZE), np.int64)
-        open_ = zstandard.ZstdDecompressor().decompress
         for b in batches:
-            for pack, target in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ids = np.frombuffer(open_(pack), np.uint16).astype(np.int64)
-                pairs, n = np.unique(ids[:-1] * SIZE + ids[1:], return_counts=True)
-                held[1, pairs] += n
-                if target:
-                    held[0, pairs] += n
-        used = np.flatnonzero(held[1])
-        for i in range(0, len(used), 1 << 18):
-            some = used[i : i + (1 << 18)]
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(held[0, some]), pa.array(held[1, some])], ["pair", "target", "total"])
+            for chunk, marks, texts in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                grams = Grams.of(texts_of(texts))
+                some, every = grams.counts(np.array(marks))
+                ends = shares(grams.keys, bits).tolist()
+                yield blobs([(chunk, k, pack(np.diff(grams.keys[i:j], prepend=np.uint64(0)), some[i:j], every[i:j])) for k, (i, j) in enumerate(zip(ends, ends[1:], strict=False)) if j > i])
 
-    counted = docs.select("ids", "is_target").mapInArrow(run, "pair long, target long, total long")
-    return counted.groupBy("pair").agg(F.sum("target").alias("target"), F.sum("total").alias("total"))
+    return held.select("chunk", "marks", "texts").mapInArrow(run, BLOB)
 
 
-def log_chances(counts: np.ndarray) -> np.ndarray:
-    """log P(word | word before): bigram counts over a smoothed unigram model, dense."""
-    after = counts.sum(axis=0) + FLOOR
-    chances = (counts + BELOW * (after / after.sum())) / (counts.sum(axis=1, keepdims=True) + BELOW)
-    return np.log(chances).astype(np.float32)
+def groups(batches: Iterator[pa.RecordBatch], by: int) -> Iterator[list[tuple]]:
+    """Rows in the order of column `by`, gathered by its values."""
+    rows: list[tuple] = []
+    for b in batches:
+        for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if rows and rows[0][by] != row[by]:
+                yield rows
+                rows = []
+            rows.append(row)
+    if rows:
+        yield rows
 
 
-@dataclass(frozen=True)
-class Models:
-    words: dict[str, int]
-    target: np.ndarray
-    background: np.ndarray
-
-    def losses(self, text: str | None) -> tuple[int, float | None, float | None]:
-        """Number of words and the mean loss of a word under either model; None for a text without words."""
-        ids = ids_of(text, self.words)
-        if len(ids) == 1:
-            return 0, None, None
-        a, b = ids[:-1], ids[1:]
-        return len(b), float(-self.target[a, b].mean(dtype=np.float64)), float(-self.background[a, b].mean(dtype=np.float64))
-
-
-def fit(docs: DataFrame, target: DataFrame) -> Models:
-    """docs (doc_id, text) and target (doc_id) -> the two models.
-
-    Both share the vocabulary, the order and the smoothing; the background, counted over all
-    documents, is scaled to the target's number of words, so that smoothing weighs alike in both.
-    Counts cover all documents; the tables that reach the driver have at most SIZE**2 rows.
-    """
-    words = vocabulary(docs)
-    mark = target.select("doc_id").distinct().withColumn("is_target", F.lit(True))
-    pairs = stage(pair_counts(encoded(docs, words).join(mark.hint("merge"), "doc_id", "left")), "pairs")
-    counts = np.zeros((2, SIZE * SIZE))
-    for part in range(0, SIZE, 256):  # a bounded piece of a bounded table at a time
-        rows = pairs.where(F.col("pair").between(part * SIZE, (part + 256) * SIZE - 1)).toArrow()
-        at = np.asarray(rows["pair"])
-        counts[0, at], counts[1, at] = np.asarray(rows["target"]), np.asarray(rows["total"])
-    counts = counts.reshape(2, SIZE, SIZE)
-    scale = counts[0].sum() / counts[1].sum() if counts[1].sum() else 1.0
-    return Models(words, log_chances(counts[0]), log_chances(counts[1] * (scale or 1.0)))
+def answered(requests: DataFrame, parts: int) -> DataFrame:
+    """The same rows with each key's counts over all chunks instead of the keys; and one row (null, words that end a pair, empty) a bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in groups(batches, 1):
+            found = [unpack(r[2], 3) for r in rows]
+            keys, at = np.unique(np.concatenate([np.cumsum(f[0], dtype=np.uint64) for f in found]), return_inverse=True)
+            totals = [np.bincount(at, np.concatenate([f[k] for f in found]).astype(float), len(keys)).astype(np.uint64) for k in (1, 2)]
+            ends = np.cumsum([0, *(len(f[0]) for f in found)]).tolist()
+            out = [(r[0], r[1], pack(*(t[at[i:j]] for t in totals))) for r, i, j in zip(rows, ends, ends[1:], strict=False)]
+            yield blobs([*out, (None, int((keys & ONE)[totals[1] > 0].sum()), b"")])
+
+    return requests.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(run, BLOB)
 
 
 SCHEMA = "doc_id long, n_tokens long, target_loss double, background_loss double, difference double"
 
 
 def score(docs: DataFrame, target: DataFrame) -> DataFrame:
-    """(doc_id, text) -> `SCHEMA`: mean losses per word and target minus background; lower is nearer to the target.
+    """docs (doc_id, text) and target (doc_id) -> `SCHEMA`: mean losses per word and target minus background; lower is nearer to the target.
 
     Words are lower-cased runs between white space; the start of a document precedes its first word.
-    Texts without words (also null) have 0 tokens and null losses. Without target documents the
-    target model is uniform. Repeated rows and null ids stay; null ids are no target.
+    Both models share all words of the corpus, the order and the smoothing (bigrams over unigrams
+    over a uniform model); the background, counted over all documents, is scaled to the target's
+    number of words, so that smoothing weighs alike in both. Texts without words (also null) have 0
+    tokens and null losses. Without target documents the target model is uniform. Repeated rows and
+    null ids stay; null ids are no target.
+
+    Each chunk of texts counts its own n-grams and sends one row of them to each bucket of keys; the
+    buckets send back the counts over all chunks, in the same order. A frequent n-gram is one value a
+    chunk, and there are as many buckets as chunks, so that no task grows with the corpus.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, target))  # two tables of SIZE**2 floats and SIZE words
+    mark = target.select("doc_id").where("doc_id is not null").distinct().withColumn("is_target", F.lit(True))
+    held = stage(chunks(docs.select("doc_id", "text").join(mark, "doc_id", "left")), "chunks")
+    n, words, marked = held.agg(F.count("*"), F.sum("n_words"), F.sum("n_target")).first()
+    bits = max(3, (n - 1).bit_length())
+    parts = 1 << bits
+    answers = stage(answered(asked(held, bits), parts), "answers")
+    places = max(SIZE, 2 + (answers.where("chunk is null").agg(F.sum("bucket")).first()[0] or 0))
+    words, marked = words or 0, marked or 0
+    scale = marked / words if marked else 1.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in rows_of(batches):
-            n, t, g = zip(*map(sent.value.losses, b.column(1).to_pylist()), strict=True)
-            d = [None if x is None else x - y for x, y in zip(t, g, strict=True)]
-            cols = [b.column(0), pa.array(n, pa.int64()), *(pa.array(c, pa.float64()) for c in (t, g, d))]
-            yield pa.RecordBatch.from_arrays(cols, [x.split()[0] for x in SCHEMA.split(", ")])
-
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+        for rows in groups(batches, 0):
+            ids, grams = rows[0][3], Grams.of(texts_of(rows[0][2]))
+            found = [unpack(r[2], 2) for r in rows[1:]]
+            some, every = (np.concatenate([f[k] for f in found]).astype(float) for k in range(2))
+            t, g = grams.losses(some, 1.0, marked, places), grams.losses(every, scale, words, places)
+            losses = [pa.array(x, pa.float64(), mask=grams.lengths == 0) for x in (t, g, t - g)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(grams.lengths), *losses], [x.split()[0] for x in SCHEMA.split(", ")])
+
+    own = held.select("chunk", F.lit(-1).cast("long").alias("bucket"), F.col("texts").alias("blob"), "ids")
+    back = answers.where("chunk is not null").withColumn("ids", F.lit(None).cast("array<long>"))
+    return own.unionByName(back).repartition(parts, "chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(run, SCHEMA)

@@ -53,3 +53,18 @@ def test_scores_equal_plain_counting(spark, monkeypatch):
     mean = lambda odd: [x.difference for x in got if x.doc_id in range(60) and x.doc_id % 2 == odd]
     assert sum(mean(1)) / 30 < sum(mean(0)) / 30
     assert ce.score(df.limit(0), mark).count() == 0 and ce.score(df, mark.limit(0)).count() == len(docs)
+
+
+def test_rare_words_tell_texts_apart(spark, monkeypatch):
+    monkeypatch.setattr(ce, "HELD", 700)
+    common = [f"c{i}" for i in range(2060)]
+    docs = [(0, " ".join(common * 3)), (1, "red sun red sun red sun"), (2, "red sun"), (3, "dry ice"), (4, "dry ice dry"), (5, "")]
+    target = {0, 1}
+    want, vocab = brute(docs, target, len({w for _, t in docs for w in t.split()}) + 2)
+    got = {x.doc_id: x for x in ce.score(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(i,) for i in target], "doc_id long")).collect()}
+    for (i, ids), (t, b) in want.items():
+        if i == 0:
+            continue
+        assert got[i].n_tokens == len(ids) - 1 and (t is None) == (got[i].target_loss is None)
+        assert t is None or (got[i].target_loss == pytest.approx(t) and got[i].background_loss == pytest.approx(b))
+    assert got[2].difference < got[3].difference - 1
