@@ -17,15 +17,18 @@ from pyspark.sql import DataFrame, functions as F
 from tablebridge.llm.staging import rows_of
 
 #: Elements whose content is no text of the page, elements without content, and elements that stay within a block.
-SILENT = "script|style|template|noscript|svg|math|textarea|select|iframe|object|title"
+SILENT = "script|style|template|noscript|svg|textarea|select|iframe|object|title"
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset(
-    "a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br img input".split()
+    "a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br img input "
+    "math annotation annotation-xml maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle "
+    "msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
 )
 #: An element that opens closes an open one of these, up to the element named last.
 CLOSES = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr"), "th": ("td th", "tr"), "option": ("option", "select")}
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<silent>{SILENT})\b[^>]*+(?:>.*?(?:</(?P=silent)\s*+>|\Z)|\Z)"
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<svg(?=[\s/])(?:[^>\"'/]|\"[^\"]*+\"|'[^']*+'|/(?!>))*+/>"
+    rf"|<(?P<silent>{SILENT})(?=[\s/>]|\Z)[^>]*+(?:>.*?(?:</(?P=silent)(?=[\s/>])[^>]*+(?:>|\Z)|\Z)|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attributes>(?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+)(?:>|\Z)|</?[a-zA-Z][^>]*+(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)",
     re.S | re.I,
 )

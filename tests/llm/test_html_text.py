@@ -24,6 +24,17 @@ def test_leaves():
     h.leaves("<p class='" * 20_000 + "<" * 20_000 + "<!--" * 20_000)
 
 
+def test_leaves_of_custom_and_self_closed_elements():
+    assert texts('<p>a <svg class="i"/> b</p><p>rest</p>') == [("a b", ("p",)), ("rest", ("p",))]
+    assert texts("<p>a <svg title='x/>y' d=\"1>2\" /> b<svg/>c") == [("a bc", ("p",))]
+    assert texts("<p>a <svg><path d='x'/><text>no</text></svg> b") == [("a b", ("p",))]
+    assert texts("<svg-icon>x</svg-icon><p>y") == [("x", ("svg-icon",)), ("y", ("p",))]
+    assert texts("<title-bar>x</title-bar><select-box class='k'>y</select-box><p>z") == [("x", ("title-bar",)), ("y", ("select-box", ".k")), ("z", ("p",))]
+    assert texts("<p>if <math><mi>x</mi><mo>=</mo><mn>2</mn></math> then <math/>go<p>on") == [("if x=2 then go", ("p",)), ("on", ("p",))]
+    assert texts("<script>no</scripted>no</script x><p>y<title") == [("y", ("p",))]
+    h.leaves("<svg a" * 20_000 + "<svg '" * 20_001 + '<svg "' * 20_001)
+
+
 def test_gradients_equal_differences():
     rng = np.random.default_rng(3)
     x, mask, y = h.padded([(rng.normal(size=(n, h.PATH + h.WORDS + h.MORE)).astype(np.float32), rng.integers(0, 2, n)) for n in (4, 2)])
