@@ -35,8 +35,10 @@ TOKEN = re.compile(
 NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 PATH, WORDS, MORE, HIDDEN = 128, 32, 6, 16
-#: Pages the labeller is trained on at most, their greatest size, made-up layouts of each, and rounds.
-SAMPLE_PAGES, SAMPLE_CHARS, LAYOUTS, ROUNDS, BATCH, STEP = 160, 30_000, 3, 12, 48, 0.01
+#: Pages the labeller is trained on, blocks of each at most and characters of their texts for layouts, made-up layouts of each, and rounds.
+SAMPLE_PAGES, SAMPLE_BLOCKS, SAMPLE_CHARS, LAYOUTS, ROUNDS, BATCH, STEP = 160, 512, 30_000, 3, 12, 48, 0.01
+#: Texts for the layouts that stand in where a table has fewer pages.
+NEUTRAL = ["text", "Some words.", "One, two and three", "A sentence of a few words follows here.", "This is a longer text, with a part and another part, and it ends after some more words.", "2020", "More", "Who reads this? Nobody knows!"]
 
 
 @dataclass
@@ -276,21 +278,52 @@ def layout(texts: list[str], r: random.Random) -> tuple[list[Leaf], np.ndarray]:
     return leaves("<html><body>" + "".join(x for x, _ in made) + "</body></html>"), np.array([y for _, y in made if y >= 0], np.float32)
 
 
+def stretch(found: list[Leaf], page: str) -> slice:
+    """At most SAMPLE_BLOCKS neighbouring blocks of a page; where they begin in a longer one follows from a checksum of it."""
+    spare = max(0, len(found) - SAMPLE_BLOCKS)
+    start = zlib.crc32(page.encode("utf-8", "surrogatepass")) % (spare + 1)
+    return slice(start, start + SAMPLE_BLOCKS)
+
+
+def lessons(chosen: DataFrame) -> DataFrame:
+    """(html) -> (vectors, labels, texts): what the labeller learns from a page of any size, bounded by SAMPLE_BLOCKS and SAMPLE_CHARS."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = {"vectors": pa.binary(), "labels": pa.list_(pa.bool_()), "texts": pa.list_(pa.string())}
+        for b in batches:
+            for page in b.column(0):
+                page = page.as_py()
+                found = leaves(page)
+                part = stretch(found, page)
+                texts, room = [], SAMPLE_CHARS
+                for x in found[part]:
+                    if room > 0:
+                        texts.append(x.text[:room].strip())
+                        room -= len(x.text)
+                row = (vectors(found)[part].tobytes(), [is_article(x.path) for x in found[part]], texts)
+                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds.values(), strict=True)], list(kinds))
+
+    return chosen.select("html").mapInArrow(run, "vectors binary, labels array<boolean>, texts array<string>")
+
+
 def fit(pages: DataFrame) -> Labeller:
-    """A labeller trained on at most SAMPLE_PAGES pages, chosen by hashes of their ids, as they are and in made-up layouts.
+    """A labeller trained on SAMPLE_PAGES pages of any size, chosen by hashes of their ids, as they are and in made-up layouts.
 
     The pages' own blocks are labelled by the names of their elements; those names are what the
-    network must learn to read, in any company. Only the sample comes to the driver.
+    network must learn to read, in any company. Layouts of neutral texts take the place of pages that
+    a small table lacks. Only the sample's blocks come to the driver.
     """
-    sized = pages.where(F.length("html") <= SAMPLE_CHARS)
-    ids = sized.select("page_id").where("page_id is not null").orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_PAGES).distinct()
-    own = sized.select("page_id", "html").join(F.broadcast(ids), "page_id")
-    chosen = own.orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(SAMPLE_PAGES).collect()
+    held = pages.where("html is not null")
+    ids = held.select("page_id").where("page_id is not null").orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_PAGES).distinct()
+    own = held.select("page_id", "html").join(F.broadcast(ids), "page_id")
+    chosen = own.orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(SAMPLE_PAGES)
     data, r = [], random.Random(1)
-    for row in chosen:
-        own = [x for x in leaves(row.html) if x.text]
-        data.append((vectors(own), np.array([is_article(x.path) for x in own], np.float32)))
-        data += [(vectors(found), y) for found, y in (layout([x.text for x in own], r) for _ in range(LAYOUTS)) if len(found) == len(y)]
+    taught = lessons(chosen).collect()
+    for row in taught:
+        data.append((np.frombuffer(row.vectors, np.float32).reshape(-1, PATH + WORDS + MORE), np.array(row.labels, np.float32)))
+        data += [(vectors(found), y) for found, y in (layout(row.texts, r) for _ in range(LAYOUTS)) if len(found) == len(y)]
+    made = [layout(NEUTRAL, r) for _ in range((SAMPLE_PAGES - len(taught)) * LAYOUTS)]
+    data += [(vectors(found), y) for found, y in made if len(found) == len(y)]
     labeller = Labeller()
     labeller.train(data)
     return labeller

@@ -86,3 +86,16 @@ def test_odd_rows_and_empty_tables(spark):
     got = h.extract(df, labeller).collect()
     assert len(got) == 5 and [r.text for r in got if r.page_id != 3] == ["", "", ""]
     assert h.extract(df.limit(0)).count() == 0 and h.extract(df.where("html is null")).count() == 1
+
+
+def test_tables_of_long_pages_and_of_none_teach_the_labeller(spark):
+    schema = "page_id long, url string, html string"
+    body = "".join(f"<p>Sentence {i} of a long article, with some more words.</p>" for i in range(900))
+    beside = '<nav><ul><li><a href="/x">Menu</a></li></ul></nav>', "<footer>Imprint</footer>"
+    rows = [(i, "u", f"<html><body>{beside[0]}<article>{body}</article>{beside[1]}</body></html>") for i in range(6)]
+    got = h.extract(spark.createDataFrame(rows, schema)).collect()
+    want = "\n".join(f"Sentence {i} of a long article, with some more words." for i in range(900))
+    assert len(rows[0][2]) > 30_000 and [r.text for r in got] == [want] * 6
+    labeller = h.fit(spark.createDataFrame([], schema))
+    short = spark.createDataFrame([(1, "u", f"<html><body>{beside[0]}<article><h1>Title</h1><p>First words of it.</p></article>{beside[1]}</body></html>")], schema)
+    assert [r.text for r in h.extract(short, labeller).collect()] == ["Title\nFirst words of it."]
