@@ -149,10 +149,10 @@ def resampled(docs: DataFrame, target: DataFrame) -> DataFrame:
     if named < n:
         parts.append((F.col("doc_id").isNull().cast("long"), 1))
     if named:
-        # The difference may wrap beyond 63 bits; read as unsigned it is right.
-        wide = (F.col("doc_id").cast("decimal(20,0)") - F.lit(low_id).cast("decimal(20,0)")) if high_id - low_id >= 1 << 63 else None
-        value = F.col("doc_id") - F.lit(low_id) if wide is None else F.when(wide >= F.lit(1 << 63), wide - F.lit(1 << 64)).otherwise(wide).cast("long")
-        parts.append((F.coalesce(value, F.lit(0)), (high_id - low_id).bit_length()))
+        # An offset from the least id; where that would not fit, the id with its sign turned, which as unsigned has the same order.
+        far = high_id - low_id >= 1 << 63
+        value = F.col("doc_id").bitwiseXOR(F.lit(-(1 << 63))) if far else F.col("doc_id") - F.lit(low_id)
+        parts.append((F.coalesce(value, F.lit(0)), 64 if far else (high_id - low_id).bit_length()))
     ordered = radix_order(able.withColumn("row", F.col("place")), digits(parts))
     if not digits(parts):  # one score and one id only
         ordered = radix_order(able.withColumn("row", F.col("place")), [F.lit(0)])
