@@ -92,7 +92,11 @@ def signature(found: np.ndarray, band: int, spent: np.ndarray) -> tuple[np.ndarr
 
 def sketch(found: np.ndarray, band: int) -> np.ndarray:
     """Bits that count shingles modulo 2, some eight a difference allowed: sets differ at least as much as their sketches."""
-    words = min(SKETCH, 1 << (most_unlike(band) // 8).bit_length())
+    return parity(found, min(SKETCH, 1 << (most_unlike(band) // 8).bit_length()))
+
+
+def parity(found: np.ndarray, words: int) -> np.ndarray:
+    """64 * words bits (words: a power of two), each telling whether an odd number of members falls on it."""
     at = mixed(found + MIX) >> np.uint64(20) & np.uint64(64 * words - 1)
     odd = np.flatnonzero(np.bincount(at.astype(np.int64), minlength=64 * words) & 1)
     out = np.zeros(words, np.uint64)
