@@ -91,12 +91,14 @@ def compare_by_key(left: DataFrame, right: DataFrame, spec: CompareSpec) -> Data
     waivable = {c for cols, _ in spec.waivers for c in cols}
 
     def side(df: DataFrame, key: str, prefix: str) -> DataFrame:
-        rows = df.withColumn("key", F.col(key).cast("string")).filter("key is not null")
-        ranked = rank_in_group(rows, ["key"], [F.col(c) for c in spec.order], "k")
+        needed = dict.fromkeys([*spec.order, *spec.columns])
+        rows = df.select(F.col(key).cast("string").alias("key"), *[F.col(c).alias(f"_c_{c}") for c in needed]).filter("key is not null")
+        ranked = rank_in_group(rows, ["key"], [F.col(f"_c_{c}") for c in spec.order], "k")
+        both = ranked.select("key", "k", *[F.col(f"_c_{c}").alias(c) for c in needed])
         # Values meet in canonical form; columns a waiver reads also come as they are.
-        values = [v.alias(f"{prefix}{c}_value") for c, v in canonical_columns(df, spec.columns).items()]
+        values = [v.alias(f"{prefix}{c}_value") for c, v in canonical_columns(both, spec.columns).items()]
         plain = [F.col(c).alias(prefix + c) for c in spec.columns if c in waivable]
-        return ranked.select("key", "k", *values, *plain, F.lit(True).alias(prefix + "in"))
+        return both.select("key", "k", *values, *plain, F.lit(True).alias(prefix + "in"))
 
     pairs = side(left, spec.left_key, "_l_").join(side(right, spec.right_key, "_r_"), ["key", "k"], "full_outer")
     waived = {c: F.coalesce(cond, F.lit(False)) for cols, cond in spec.waivers for c in cols}

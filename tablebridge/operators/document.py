@@ -47,11 +47,16 @@ class ChildCollection:
     order: Sequence[str]
     fields: Sequence[str]
 
+    def of(self, parents: DataFrame) -> DataFrame:
+        """The children of some parents (a column named like `fk`), with the columns a document needs."""
+        needed = dict.fromkeys([self.fk, *self.order, *self.fields])
+        return self.rows.select(*needed).join(parents, self.fk, "left_semi")
+
 
 def nest_child(parent_rows: DataFrame, parent_key: str, child: ChildCollection) -> DataFrame:
     """Parent rows with their children as JSON text (for a collection inside a collection)."""
     lists = group_to_struct_array(
-        child.rows.filter(F.col(child.fk).isNotNull()), [child.fk],
+        child.of(parent_rows.select(F.col(parent_key).alias(child.fk))), [child.fk],
         [F.col(c) for c in child.order], child.fields, child.name,
     )
     texts = lists.select(F.col(child.fk).alias(parent_key), "part", child.name)
@@ -68,14 +73,14 @@ def build_snapshot_doc(
 ) -> DataFrame:
     """One JSON document per parent: its fields and one array per child table.
 
-    Children are aggregated on their own before they meet the parent. A parent whose children
+    Children of the chosen parents are aggregated on their own before they meet the parent. A parent whose children
     exceed `max_items` gets further numbered parts instead of a cut or an endless row.
     """
     chosen = parent if eligible is None else parent.filter(eligible)
     doc = chosen.select(F.col(key).alias("_doc"), F.struct(*fields).alias("_head"))
     lists = []
     for child in children:
-        rows = child.rows.filter(F.col(child.fk).isNotNull())
+        rows = child.of(chosen.select(F.col(key).alias(child.fk)))
         grouped = group_to_struct_array(
             rows, [child.fk], [F.col(c) for c in child.order], child.fields, child.name, max_items
         )

@@ -54,30 +54,55 @@ def extract_refs(
     )
 
 
+# Levels of a JSON text that one pass unfolds.
+LEVELS = 5
+
+
+def _members(node: Column) -> Column:
+    """Name, step and node of each member of an object or element of an array; none of a leaf."""
+    fields = F.map_entries(F.try_variant_get(node, "$", "map<string,variant>"))
+    member = lambda name, step, value: F.struct(name.alias("name"), step.alias("step"), value.alias("node"))
+    named = F.transform(fields, lambda e: member(e["key"], F.concat(F.lit("."), e["key"]), e["value"]))
+    nameless = F.lit(None).cast("string")
+    listed = F.transform(
+        F.try_variant_get(node, "$", "array<variant>"),
+        lambda x, i: member(nameless, F.concat(F.lit("["), i.cast("string"), F.lit("]")), x),
+    )
+    return F.coalesce(named, listed, F.array().cast("array<struct<name:string,step:string,node:variant>>"))
+
+
+def _unfolded(node: Column, key_shape: str, levels: int) -> Column:
+    """Matching members down to so many levels, and the containers of the last one, with their paths."""
+
+    def each(m: Column) -> Column:
+        hit = F.coalesce(m["name"].rlike(key_shape), F.lit(False))
+        more = F.coalesce(F.schema_of_variant(m["node"]).rlike("^(OBJECT|ARRAY)"), F.lit(False)) if levels == 1 else F.lit(False)
+        own = F.array(F.struct(m["step"].alias("path"), m["node"].alias("node"), hit.alias("hit"), more.alias("more")))
+        own = F.filter(own, lambda x: x["hit"] | x["more"])
+        if levels == 1:
+            return own
+        deeper = lambda x: F.struct(F.concat(m["step"], x["path"]).alias("path"), x["node"].alias("node"), x["hit"].alias("hit"), x["more"].alias("more"))
+        return F.concat(own, F.transform(_unfolded(m["node"], key_shape, levels - 1), deeper))
+
+    return F.flatten(F.transform(_members(node), each))
+
+
 def walk_json_paths(df: DataFrame, row_id: str, json: str, key_shape: str = ROLE_KEY_SHAPE) -> DataFrame:
     """(path, value) of every key whose name matches, at any depth.
 
-    Each level explodes the objects and arrays of the one above, which is staged, so the text is
-    parsed once and a level is read from its parent only. The walk ends at a level without any.
+    A pass unfolds LEVELS levels of each text inside one expression and stages what matches and the containers
+    that go deeper; leaves are not stored. The walk ends at a pass without such containers.
     """
-    level = df.select(
-        F.col(row_id), F.lit("").alias("path"), F.lit(None).cast("string").alias("name"), F.try_parse_json(json).alias("node")
-    )
+    level = df.select(F.col(row_id), F.lit("").alias("path"), F.try_parse_json(json).alias("node"))
     found = None
     while True:
-        level = cut_lineage(level.filter("node is not null"))
-        hits = level.filter(F.col("name").rlike(key_shape)).select(row_id, "path", F.to_json("node").alias("value"))
+        inner = level.select(row_id, "path", F.explode(_unfolded(F.col("node"), key_shape, LEVELS)).alias("m"))
+        level = cut_lineage(inner.select(row_id, F.concat("path", "m.path").alias("path"), "m.node", "m.hit", "m.more"))
+        hits = level.filter("hit").select(row_id, F.regexp_replace("path", "^[.]", "").alias("path"), F.to_json("node").alias("value"))
         found = hits if found is None else found.unionByName(hits)
-        inner = level.filter(F.schema_of_variant("node").rlike("^(OBJECT|ARRAY)"))
-        if inner.isEmpty():
+        level = level.filter("more").select(row_id, "path", "node")
+        if level.isEmpty():
             return found
-        inner = inner.lateralJoin(inner.sparkSession.tvf.variant_explode(F.col("node").outer()))
-        step = F.when(F.col("key").isNotNull(), F.concat(F.when(F.col("path") != "", F.lit(".")).otherwise(""), F.col("key"))).otherwise(
-            F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))
-        )
-        level = inner.select(
-            row_id, F.concat("path", step).alias("path"), F.col("key").alias("name"), F.col("value").alias("node")
-        )
 
 
 def missing_refs(refs: DataFrame, present: DataFrame, ref: str, name: str) -> DataFrame:
