@@ -118,7 +118,7 @@ def max_per_column(
         "_party", "_day", *[F.max(c).over(upto).alias(c) for c in columns]
     )
     marked = probes.withColumn("_party", F.col(party)).withColumn("_day", F.col(day).cast("date"))
-    return left_lookup(marked, line, ["_party", "_day"]).drop("_party", "_day")
+    return left_lookup(marked, line, ["_party", "_day"], sparse=True).drop("_party", "_day")
 
 
 def be_date_text(c: Column) -> Column:
@@ -226,7 +226,7 @@ def top_n_history(
         "_party", "_day", F.last("_seen", ignorenulls=True).over(upto).alias("_seen")
     )
     marked = probes.withColumn("_party", F.col(party)).withColumn("_day", F.col(day).cast("date"))
-    found = left_lookup(marked, line, ["_party", "_day"])
+    found = left_lookup(marked, line, ["_party", "_day"], sparse=True)
     chosen = F.coalesce(F.get(F.filter("_seen", has_value), F.lit(0)), F.get("_seen", F.lit(0)))
     return found.withColumn("_pick", chosen).select(
         *probes.columns, *[F.col(f"_pick.{f}").alias(f"history_{f}") for f in fields]

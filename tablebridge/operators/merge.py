@@ -224,7 +224,7 @@ def exists_complete(
 ) -> DataFrame:
     """Set a default status to completed where a child exists."""
     present = child.select(F.col(child_key).alias(key)).filter(F.col(key).isNotNull()).distinct()
-    joined = left_lookup(target, present.withColumn("_present", F.lit(True)), [key])
+    joined = left_lookup(target, present.withColumn("_present", F.lit(True)), [key], sparse=True)
     turns = F.coalesce(F.col("_present"), F.lit(False)) & (F.col(status) == default)
     return (
         joined.withColumn(ACTION, F.when(turns, "updated").otherwise("kept"))

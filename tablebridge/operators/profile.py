@@ -27,7 +27,7 @@ def child_count_summary(
         n = F.coalesce("_n", F.lit(0))
         none, single, multiple = labels[name]
         out = (
-            left_lookup(out, counts, [key])
+            left_lookup(out, counts, [key], sparse=True)
             .withColumn(name, F.when(n == 0, "1").when(n == 1, "2").otherwise("3"))
             .withColumn(f"{name}_des", F.when(n == 0, none).when(n == 1, single).otherwise(multiple))
             .withColumn(f"{name}_number", F.when(n > 1, n.cast("string")).otherwise(""))

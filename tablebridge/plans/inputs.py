@@ -84,6 +84,9 @@ SELECT o_orderkey + 10 AS id, o_orderkey AS order_key,
 FROM {orders} WHERE year(o_orderdate) < 2000
 """
 
+# Both sides whole, for row-by-row rules.
+WHOLE_TARGET = ORDERS_TARGET.replace(" WHERE year(o_orderdate) < 2000", "")
+
 # The source of a nightly run: rows dated 1996 and later; one status comes without a customer.
 ORDERS_SOURCE = """
 SELECT o_orderkey AS order_key,
@@ -92,6 +95,8 @@ SELECT o_orderkey AS order_key,
 FROM {orders} WHERE year(o_orderdate) >= 1996
 """
 
+WHOLE_SOURCE = ORDERS_SOURCE.replace(" WHERE year(o_orderdate) >= 1996", "")
+
 # A copy of orders with some differences, for comparison.
 ORDERS_COPY = """
 SELECT o_orderkey, o_custkey,

@@ -13,7 +13,7 @@ from tablebridge.plans.inputs import FLOWS, ORDERS_TARGET
 from tablebridge.plans.registry import Tables, plain, query
 from tablebridge.session import new_run_folder
 from tablebridge.sources.sinks import key_snapshot
-from tablebridge.streaming import incremental
+from tablebridge.streaming import incremental, progress
 
 col = F.col
 
@@ -59,11 +59,11 @@ def nested_sample(t: Tables):
 @query("""
 SELECT user_id, concat_ws(chr(10), CASE WHEN p IS NOT NULL THEN 'Purchase dated ' || strftime(p, '%d/%m/') || (year(p) + 543) END,
   CASE WHEN e IS NOT NULL THEN 'Error dated ' || strftime(e, '%d/%m/') || (year(e) + 543) END) AS lines FROM (
-  SELECT user_id, max(CASE WHEN event_type = 'purchase' THEN ts END) AS p, max(CASE WHEN event_type = 'error' AND value > 150 THEN ts END) AS e FROM events GROUP BY 1)""")
+  SELECT user_id, max(CASE WHEN event_type = 'purchase' THEN ts END) AS p, max(CASE WHEN event_type = 'error' THEN ts END) AS e FROM events GROUP BY 1)""")
 def history_lines(t: Tables):
     last = t.events.groupBy("user_id").agg(
         F.max(F.when(col("event_type") == "purchase", col("ts"))).alias("p"),
-        F.max(F.when((col("event_type") == "error") & (col("value") > 150), col("ts"))).alias("e"),
+        F.max(F.when(col("event_type") == "error", col("ts"))).alias("e"),
     )
     lines = document.history_lines([("Purchase dated", col("p")), ("Error dated", col("e"))])
     return last.select("user_id", lines.alias("lines"))
@@ -217,6 +217,26 @@ def incremental_load(t: Tables):
     return table.current()
 
 
+@query("""
+SELECT check_name, a AS source_value, b AS target_value, a = b AS is_ok, CASE WHEN a = b THEN 'equal' ELSE reason END AS reason FROM (
+  SELECT 'batches' AS check_name, '2' AS a, '2' AS b, '' AS reason
+  UNION ALL SELECT 'rows', (SELECT count(*)::VARCHAR FROM events), (SELECT count(*)::VARCHAR FROM events WHERE event_type <> 'error'), 'behind'
+  UNION ALL SELECT 'keys', (SELECT count(*)::VARCHAR FROM events WHERE event_type <> 'error'), (SELECT count(*)::VARCHAR FROM events WHERE event_type <> 'error' AND (event_type <> 'click' OR value <= 50)), 'behind'
+  UNION ALL SELECT 'highest_key', (SELECT max(event_id)::VARCHAR FROM events WHERE event_type <> 'error'), (SELECT max(event_id)::VARCHAR FROM events WHERE event_type <> 'error' AND (event_type <> 'click' OR value <= 50)), 'behind')""")
+def parity_progress(t: Tables):
+    # Two deliveries are loaded, a third one waits in the inbox, and the target has lost some rows since.
+    home = new_run_folder(t.spark, "progress")
+    rows = t.events.select("event_id", "user_id", "event_type", "value")
+    table = incremental.BatchFolders(t.spark, f"{home}/table", rows.schema)
+    for part in ("event_type IN ('click', 'view')", "event_type NOT IN ('click', 'view', 'error')"):
+        rows.filter(part).write.mode("append").parquet(f"{home}/inbox")
+        stream = incremental.read_arrivals(t.spark, f"{home}/inbox", rows.schema)
+        incremental.incremental_append(stream, table, ["event_id"], [col("event_id")], f"{home}/position")
+    rows.filter("event_type = 'error'").write.mode("append").parquet(f"{home}/inbox")
+    held = table.read_all().filter("event_type <> 'click' OR value <= 50")
+    return progress.parity_progress(t.spark.read.schema(rows.schema).parquet(f"{home}/inbox"), held, f"{home}/position", "event_id")
+
+
 SQL_LATE = f"SELECT order_key, cust_key, total, status FROM ({plain(ORDERS_TARGET)})"
 
 

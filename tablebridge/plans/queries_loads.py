@@ -238,13 +238,30 @@ f AS (SELECT s.exam, s.patient, s.examined_at, s.price, d.id AS doctor, a.id AS
 SELECT *, 'kept' AS merge_action FROM t UNION ALL
 SELECT (SELECT max(id) FROM t) + row_number() OVER (ORDER BY exam), *, 'inserted' FROM f WHERE exam NOT IN (SELECT exam FROM t)""")
 def load_examinations(t: Tables):
+    return exam_load(t)[0].rows
+
+
+@query(f"""
+WITH known AS ({plain(DOCTORS)})
+SELECT id, name FROM known UNION ALL SELECT (SELECT max(id) FROM known) + row_number() OVER (ORDER BY o_orderpriority), o_orderpriority FROM
+  (SELECT DISTINCT o_orderpriority FROM orders WHERE o_orderpriority NOT IN (SELECT name FROM known))""")
+def load_exam_doctors(t: Tables):
+    # The dimension as the load leaves it: exams refer to the doctors it made.
+    load, made = exam_load(t)
+    load.shaped  # noqa: B018
+    return made["doctors"].select("id", "name")
+
+
+def exam_load(t: Tables):
+    """(the load, other tables it changes: filled when its rows are shaped)."""
+    made = {}
     parents = t.derive(KNOWN_CUSTOMERS).select(col("id").cast("string").alias("old_id"), "id")
     bookings = t.orders.filter("o_orderstatus = 'O'").select(
         col("o_custkey").alias("patient"), col("o_orderdate").alias("examined_at"), col("o_orderkey").alias("booking")
     )
 
     def finish(df):
-        named, _ = resolve.find_or_create_dim(df, "doctor_name", t.derive(DOCTORS), "name", "id")
+        named, made["doctors"] = resolve.find_or_create_dim(df, "doctor_name", t.derive(DOCTORS), "name", "id")
         named = named.withColumnRenamed("id", "doctor").withColumn("appointment", F.lit(None).cast("bigint"))
         return resolve.fallback_same_day(named, bookings, "patient", "examined_at", "booking", "appointment")
 
@@ -258,7 +275,7 @@ def load_examinations(t: Tables):
         ],
         [RelationSpec("patient", "cust_key", parents, ["old_id"], sentinels=["0"])], mode="insert_only", transform=finish,
     )
-    return loads.run_load(spec, t.derive(RAW_ORDERS), t.derive(EXAM_TARGET)).rows
+    return loads.run_load(spec, t.derive(RAW_ORDERS), t.derive(EXAM_TARGET)), made
 
 
 # --- billing ----------------------------------------------------------------------------------
@@ -271,9 +288,9 @@ SELECT o_orderkey + 7 AS id, o_orderkey AS exam, CAST(NULL AS BIGINT) AS patient
 
 @query(f"""
 WITH t AS ({plain(BILL_TARGET)}),
-s AS (SELECT try_cast({sql_blank('order_key')} AS BIGINT) AS exam, (SELECT id FROM ({KNOWN}) WHERE id = CAST(cust_key AS BIGINT)) AS patient, {SQL_PRICE} AS total, is_done
+s AS (SELECT try_cast({sql_blank('order_key')} AS BIGINT) AS exam, (SELECT id FROM ({KNOWN}) WHERE id = CAST(cust_key AS BIGINT)) AS patient, {SQL_PRICE} AS total, is_done, priority[1] AS care_right
   FROM (SELECT *, {SQL_NUMBER} AS n FROM ({RAW})) WHERE {sql_blank('order_key')} IS NOT NULL),
-f AS (SELECT exam, patient, total, total AS final_total, CASE WHEN is_done = 'Y' THEN '3' ELSE '2' END AS method FROM s)
+f AS (SELECT exam, patient, total, total AS final_total, CASE WHEN is_done = 'Y' OR is_done = 'No' AND care_right IN ('3', '4', '5', '6') THEN '3' WHEN is_done = 'No' THEN '1' ELSE '2' END AS method FROM s)
 SELECT t.id, t.exam, CASE WHEN f.exam IS NULL THEN t.patient ELSE f.patient END AS patient, CASE WHEN f.exam IS NULL THEN t.total ELSE f.total END AS total,
   CASE WHEN f.exam IS NULL THEN t.total ELSE f.total END AS final_total, CASE WHEN f.exam IS NULL THEN '2' ELSE f.method END AS method, t.finance_work, CASE WHEN f.exam IS NULL THEN t.remark END AS remark
 FROM t LEFT JOIN f USING (exam)
@@ -290,10 +307,11 @@ def load_billing(t: Tables):
         [
             FieldSpec("exam", "order_key", integer, "invalid_key"),
             FieldSpec("total", "total_price", real, "numeric_parse_failed"),
-            FieldSpec("care", "is_done"),
+            FieldSpec("care", "is_done", lambda x: F.when(x == "Y", "2").when(x == "No", "1")),
+            FieldSpec("right", "priority", lambda x: F.substring(x, 1, 1)),
         ],
         [RelationSpec("patient", "cust_key", parents, ["old_id"])], mode="replace", keep=["finance_work"],
-        transform=lambda df: df.withColumn("method", F.when(col("care") == "Y", loads.payment_method(F.lit("2"), F.lit("0")))),
+        transform=lambda df: df.withColumn("method", loads.payment_method(col("care"), col("right"))),
         post_load=derive,
     )
     return loads.run_load(spec, t.derive(RAW_ORDERS), t.derive(BILL_TARGET)).rows.drop("merge_action")
@@ -582,7 +600,7 @@ def load_quality_report(t: Tables):
 
 
 INCOME_MAIN = "SELECT o_orderkey AS old_id, o_custkey AS party, concat(' ', CAST(o_totalprice AS STRING)) AS receipt, CASE WHEN o_orderstatus = 'P' THEN 'NULL' ELSE o_orderstatus END AS kind FROM {orders} WHERE o_orderpriority <> '5-LOW'"
-INCOME_OLD = "SELECT o_orderkey - 500 AS old_id, o_custkey AS party, CAST(o_totalprice AS STRING) AS receipt, o_orderstatus AS kind FROM {orders} WHERE o_orderstatus <> 'P'"
+INCOME_OLD = "SELECT o_orderkey - 500 AS old_id, o_custkey AS party, CAST(o_totalprice AS STRING) AS receipt, o_orderstatus AS kind FROM {orders} WHERE o_orderstatus <> 'P' OR o_orderpriority = '5-LOW'"
 INCOME_TARGET = "SELECT o_orderkey AS id, concat('main:', CAST(o_orderkey AS STRING)) AS old_key, CAST(o_totalprice AS DECIMAL(19,4)) AS receipt, o_orderstatus AS kind, 'chosen' AS purpose FROM {orders} WHERE o_orderpriority = '1-URGENT'"
 
 

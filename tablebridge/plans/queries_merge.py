@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tablebridge.operators import ids, merge
 from tablebridge.operators.dedup import distinct_on
 from tablebridge.operators.merge import MergeSpec
-from tablebridge.plans.inputs import KNOWN_CUSTOMERS, ORDERS_SOURCE, ORDERS_TARGET, PEOPLE
+from tablebridge.plans.inputs import KNOWN_CUSTOMERS, ORDERS_SOURCE, ORDERS_TARGET, PEOPLE, WHOLE_TARGET
 from tablebridge.plans.registry import Tables, plain, query
 
 col = F.col
@@ -240,11 +240,11 @@ def derive_if_null(t: Tables):
 @query(f"""
 SELECT order_key, CASE WHEN turns THEN 'done' ELSE status END AS status, CASE WHEN turns THEN 'updated' ELSE 'kept' END AS merge_action
 FROM (SELECT order_key, status, status = 'N' AND order_key IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R') AS turns
-  FROM ({plain(ORDERS_TARGET)}))""")
+  FROM ({plain(WHOLE_TARGET)}))""")
 def exists_complete(t: Tables):
     returned = t.lineitem.filter("l_returnflag = 'R'")
     return merge.exists_complete(
-        t.derive(ORDERS_TARGET).select("order_key", "status"), returned, "order_key", "l_orderkey", "status", "N", "done"
+        t.derive(WHOLE_TARGET).select("order_key", "status"), returned, "order_key", "l_orderkey", "status", "N", "done"
     )
 
 

@@ -13,6 +13,8 @@ from tablebridge.plans.inputs import (
     ORDERS_SOURCE,
     ORDERS_TARGET,
     RAW_ORDERS,
+    WHOLE_SOURCE,
+    WHOLE_TARGET,
     sql_blank,
     sql_strip,
 )
@@ -279,9 +281,9 @@ def union_distinct(t: Tables):
 
 @query(f"""
 SELECT s.order_key, s.cust_key IS NOT DISTINCT FROM t.cust_key AND s.total IS NOT DISTINCT FROM t.total AS is_same
-FROM ({plain(ORDERS_SOURCE)}) s JOIN ({plain(ORDERS_TARGET)}) t USING (order_key)""")
+FROM ({plain(WHOLE_SOURCE)}) s JOIN ({plain(WHOLE_TARGET)}) t USING (order_key)""")
 def null_safe_equal(t: Tables):
-    s, o = t.derive(ORDERS_SOURCE).alias("s"), t.derive(ORDERS_TARGET).alias("o")
+    s, o = t.derive(WHOLE_SOURCE).alias("s"), t.derive(WHOLE_TARGET).alias("o")
     same = k.null_safe_equal([col("s.cust_key"), col("s.total")], [col("o.cust_key"), col("o.total")])
     return s.join(o, "order_key").select("order_key", same.alias("is_same"))
 

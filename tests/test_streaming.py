@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tablebridge.operators.merge import MergeSpec, merge_if_changed
 from tablebridge.session import new_run_folder
-from tablebridge.streaming import incremental
+from tablebridge.streaming import incremental, progress
 
 SCHEMA = "k bigint, v string"
 
@@ -65,3 +65,19 @@ def test_catch_up_in_two_runs(spark):
     gone = snapshot.unionByName(spark.createDataFrame([("99", "99")], snapshot.schema))
     _, plan = incremental.catch_up_late(source, gone, target, MergeSpec(["k"]), "k", max_ids=2)
     assert rows(plan.groupBy("action").count()) == [("loaded", 2), ("not_found", 1), ("postponed", 2)]
+
+
+def test_progress_tells_behind_from_ahead(spark):
+    home = new_run_folder(spark, "test")
+    df = lambda data: spark.createDataFrame(data, SCHEMA)
+    table = incremental.BatchFolders(spark, f"{home}/table", df([]).schema)
+    df([(1, "a"), (2, "b")]).write.parquet(f"{home}/in")
+    incremental.incremental_append(incremental.read_arrivals(spark, f"{home}/in", df([]).schema), table, ["k"], [F.col("v")], f"{home}/pos")
+    inbox = lambda: spark.read.schema(df([]).schema).parquet(f"{home}/in")
+    checked = lambda target: {r.check_name: (r.source_value, r.target_value, r.is_ok, r.reason) for r in progress.parity_progress(inbox(), target, f"{home}/pos", "k").collect()}
+    assert {r[3] for r in checked(table.read_all()).values()} == {"equal"}
+    found = checked(table.read_all().unionByName(df([(9, "z")])))
+    assert found["keys"] == ("2", "3", False, "ahead") and found["highest_key"] == ("2", "9", False, "ahead") and found["rows"][3] == "equal"
+    df([(3, "c")]).write.mode("append").parquet(f"{home}/in")
+    found = checked(table.read_all().filter("k < 2"))
+    assert found["rows"] == ("3", "2", False, "behind") and found["highest_key"] == ("2", "1", False, "behind") and found["batches"] == ("1", "1", True, "equal")
