@@ -125,3 +125,68 @@ def canonical_json_fingerprint(
     names = sorted(c for c in df.columns if c not in drop)
     payload = F.to_json(F.struct(*[field(c) for c in names]), {"ignoreNullFields": "false"})
     return df.select(id_col, payload.alias("payload")).withColumn("fingerprint", F.sha2("payload", 256))
+
+
+def operation_refs(
+    ops: DataFrame, op_type: str, options: str, rules: Sequence[tuple[str, str, str]], context: Sequence[str]
+) -> DataFrame:
+    """References that depend on the kind of operation, one row each with its context columns: (context, kind, ref).
+
+    A rule is (beginning of the type, JSON path, kind). Options are parsed once; a list gives one row per
+    element; templated and empty references are left out.
+    """
+
+    def tagged(kind: str) -> Callable[[Column], Column]:
+        return lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("ref"))
+
+    def at(parsed: Column) -> Column:
+        found = []
+        for prefix, path, kind in rules:
+            node = F.when(F.col(op_type).startswith(prefix), F.try_variant_get(parsed, path, "variant"))
+            listed = F.try_variant_get(node, "$", "array<string>")
+            one = F.array(F.try_variant_get(node, "$", "string"))
+            found.append(F.transform(F.coalesce(listed, one), tagged(kind)))
+        return F.concat(*found)
+
+    hits = F.flatten(F.transform(F.array(F.try_parse_json(options)), at))
+    return ops.select(*context, F.explode(hits).alias("h")).select(*context, "h.kind", "h.ref").filter("ref <> '' and not ref like '{{%'")
+
+
+def reachable(starts: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node) of every node that `edges` (a, b) lead to from `starts` (node), these included.
+
+    Breadth first: a round follows the edges of the nodes found last and keeps what is new, so cycles end
+    and a round costs its own nodes. There are as many rounds as the longest way has steps.
+    """
+    edges = cut_lineage(edges.filter("a is not null and b is not null").distinct())
+    found = last = cut_lineage(starts.filter("node is not null").distinct())
+    while True:
+        ahead = last.join(edges, F.col("node") == F.col("a")).select(F.col("b").alias("node")).distinct()
+        last = cut_lineage(ahead.join(found, "node", "left_anti"))
+        if last.isEmpty():
+            return found
+        found = found.unionByName(last)
+
+
+def flow_graph_issues(flows: DataFrame, ops: DataFrame, trigger: str = "trigger") -> DataFrame:
+    """(flow_id, op_id, issue, detail) of a set of automation flows.
+
+    `flows`: flow_id, first_op. `ops`: op_id, flow_id, op_type, options (JSON), resolve, reject. Issues:
+    `trigger_missing` (an operation starts a flow that does not exist), `next_missing` (the operation after
+    a success or failure does not exist), `next_elsewhere` (it belongs to another flow), `unreachable` (no way
+    leads to it from its flow's first operation).
+    """
+    issue = lambda df, name, detail: df.select("flow_id", "op_id", F.lit(name).alias("issue"), detail.cast("string").alias("detail"))
+    refs = operation_refs(ops, "op_type", "options", [(trigger, "$.flow", "flow")], ["flow_id", "op_id"])
+    lost = refs.join(flows.select(F.col("flow_id").cast("string").alias("ref")).distinct(), "ref", "left_anti")
+    steps = ops.select("flow_id", "op_id", F.explode(F.array("resolve", "reject")).alias("next")).filter("next is not null")
+    known = ops.select(F.col("op_id").alias("next"), F.col("flow_id").alias("_there"))
+    placed = cut_lineage(steps.join(known, "next", "left"))
+    inside = placed.filter("_there = flow_id")
+    way = reachable(flows.select(F.col("first_op").alias("node")), inside.select(F.col("op_id").alias("a"), F.col("next").alias("b")))
+    return (
+        issue(lost, "trigger_missing", F.col("ref"))
+        .unionByName(issue(placed.filter("_there is null"), "next_missing", F.col("next")))
+        .unionByName(issue(placed.filter("_there <> flow_id"), "next_elsewhere", F.col("next")))
+        .unionByName(issue(ops.join(way.withColumnRenamed("node", "op_id"), "op_id", "left_anti"), "unreachable", F.lit(None)))
+    )

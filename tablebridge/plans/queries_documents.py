@@ -157,6 +157,41 @@ def walk_json_paths(t: Tables):
     return jsonrefs.walk_json_paths(t.derive(FLOWS).withColumn("options", deep), "flow_id", "options")
 
 
+# Flows of operations, each followed by two others; some lead nowhere, into another flow, or start a flow that is not there.
+OPS_BY_FLOW = "SELECT event_id, user_id, event_type, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM {events}"
+FLOW_OPERATIONS = f"""
+SELECT a.event_id AS op_id, a.user_id AS flow_id, CASE a.event_type WHEN 'purchase' THEN 'trigger' WHEN 'click' THEN 'item-read' ELSE a.event_type END AS op_type,
+  CASE a.event_type WHEN 'purchase' THEN concat('{{{{"flow": "', CAST(a.user_id * 2 AS STRING), '"}}}}')
+    WHEN 'click' THEN concat('{{{{"collection": ["c', CAST(a.user_id AS STRING), '", "{{{{{{{{own}}}}}}}}"]}}}}') ELSE '{{{{"flow": "none"}}}}' END AS options,
+  CASE WHEN a.event_type = 'error' AND a.value > 40 THEN -1 - a.event_id WHEN a.event_type = 'signup' AND a.value > 90 THEN d.event_id ELSE b.event_id END AS resolve,
+  c.event_id AS reject
+FROM ({OPS_BY_FLOW}) a LEFT JOIN ({OPS_BY_FLOW}) b ON b.user_id = a.user_id AND b.rn = a.rn * 2
+  LEFT JOIN ({OPS_BY_FLOW}) c ON c.user_id = a.user_id AND c.rn = a.rn * 2 + 1 LEFT JOIN ({OPS_BY_FLOW}) d ON d.user_id = a.user_id + 1 AND d.rn = 1
+"""
+FLOW_STARTS = "SELECT user_id AS flow_id, min(event_id) AS first_op FROM {events} GROUP BY user_id"
+
+
+@query("""
+SELECT event_id AS op_id, user_id AS flow_id, 'flow' AS kind, CAST(user_id * 2 AS VARCHAR) AS ref FROM events WHERE event_type = 'purchase'
+UNION ALL SELECT event_id, user_id, 'collection', 'c' || user_id FROM events WHERE event_type = 'click'""")
+def operation_refs(t: Tables):
+    rules = [("item-", "$.collection", "collection"), ("trigger", "$.flow", "flow")]
+    return jsonrefs.operation_refs(t.derive(FLOW_OPERATIONS), "op_type", "options", rules, ["op_id", "flow_id"])
+
+
+@query(f"""
+WITH RECURSIVE o AS ({plain(FLOW_OPERATIONS)}), f AS ({plain(FLOW_STARTS)}),
+steps AS (SELECT op_id, flow_id, unnest([resolve, reject]) AS next FROM o),
+placed AS (SELECT s.*, o.flow_id AS there FROM steps s LEFT JOIN o ON o.op_id = s.next WHERE next IS NOT NULL),
+way AS (SELECT first_op AS node FROM f UNION SELECT next FROM way JOIN placed ON op_id = node WHERE there = flow_id)
+SELECT flow_id, op_id, 'trigger_missing' AS issue, CAST(flow_id * 2 AS VARCHAR) AS detail FROM o WHERE op_type = 'trigger' AND flow_id * 2 NOT IN (SELECT flow_id FROM f)
+UNION ALL SELECT flow_id, op_id, 'next_missing', CAST(next AS VARCHAR) FROM placed WHERE there IS NULL
+UNION ALL SELECT flow_id, op_id, 'next_elsewhere', CAST(next AS VARCHAR) FROM placed WHERE there <> flow_id
+UNION ALL SELECT flow_id, op_id, 'unreachable', NULL FROM o WHERE op_id NOT IN (SELECT node FROM way)""")
+def flow_graph_issues(t: Tables):
+    return jsonrefs.flow_graph_issues(t.derive(FLOW_STARTS), t.derive(FLOW_OPERATIONS))
+
+
 @query("""
 WITH l AS (SELECT page_id, html, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS ref FROM pages)
 SELECT page_id, ref FROM l WHERE ref NOT IN (SELECT ref FROM l WHERE html LIKE '%lang="en"%')""")
