@@ -46,7 +46,8 @@ def parity_progress(arrivals: DataFrame, target: DataFrame, checkpoint: str, key
     )
     held = target.agg(F.count_distinct(key).alias("held"), F.max(key).alias("held_top"))
     steps = begun.agg(F.count(F.lit(1)).alias("begun"), F.count_if("is_committed").alias("committed"))
-    one = source.withColumn("_j", F.lit(1)).join(held.withColumn("_j", F.lit(1)), "_j").join(steps.withColumn("_j", F.lit(1)), "_j")
+    sides = source.unionByName(held, allowMissingColumns=True).unionByName(steps, allowMissingColumns=True)
+    one = sides.agg(*[F.max(c).alias(c) for c in sides.columns])
 
     def check(name: str, a: str, b: str, gap: Column) -> Column:
         return F.struct(F.lit(name).alias("check_name"), F.col(a).cast("string").alias("source_value"), F.col(b).cast("string").alias("target_value"), gap.cast("double").alias("_gap"))
