@@ -196,6 +196,19 @@ def replace_keep_id(target: DataFrame, source: DataFrame, spec: MergeSpec) -> Da
     return out.unionByName(_new_rows(target, source, spec))
 
 
+def replace_new_id(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
+    """Replace the rows of each source key by rows with new ids, as a delete and an insert would."""
+    keys = list(spec.keys)
+    incoming = source.select(*keys).distinct()
+    kept = target.join(incoming, keys, "left_anti").select(*target.columns, F.lit("kept").alias(ACTION))
+    known = target.select(*keys).join(incoming, keys, "left_semi").distinct().withColumn("_known", F.lit(True))
+    # Ids go on behind all of the old ones, those of replaced rows included.
+    nobody = target.select(*[F.lit(None).cast(t).alias(c) if c in keys else F.col(c) for c, t in target.dtypes])
+    fresh = left_lookup(_new_rows(nobody, source, spec), known, keys)
+    action = F.when(F.col("_known"), "replaced").otherwise("inserted")
+    return kept.unionByName(fresh.select(*target.columns, action.alias(ACTION)))
+
+
 def holds_objects(column: str) -> Column:
     """Whether the first element of a JSON array is an object; a text that begins with a brace is none."""
     first = F.try_variant_get(F.try_parse_json(column), "$[0]", "variant")

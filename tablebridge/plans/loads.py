@@ -149,6 +149,7 @@ def _written(spec: TableSpec, shaped: DataFrame, target: DataFrame) -> DataFrame
         "prefer_source": merge.prefer_source_keep_target,
         "policy": merge.column_policy_merge,
         "replace": merge.replace_keep_id,
+        "replace_new": merge.replace_new_id,
     }[spec.mode]
     plan = MergeSpec(spec.keys, spec.id_col, policies=spec.policies, keep=spec.keep)
     return write(target, cut_lineage(shaped), plan)

@@ -407,11 +407,13 @@ SELECT concat(CAST(l_orderkey AS STRING), '_', CAST(l_linenumber AS STRING)) AS
 """
 
 
-@query("""
+SQL_PROCEDURES = """
 SELECT l_orderkey || '_' || l_linenumber AS old_key, o_orderkey AS exam, CASE WHEN o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_linestatus = 'F') THEN '3' ELSE '1' END AS state,
   l_returnflag = 'A' AS is_repeat FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice) AS rn FROM lineitem)
-LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') ON o_orderkey = l_orderkey WHERE rn = 1""")
-def load_procedures(t: Tables):
+LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') ON o_orderkey = l_orderkey WHERE rn = 1"""
+
+
+def procedure_load(t: Tables, mode: str = "if_changed"):
     exams = t.orders.filter("o_orderstatus <> 'P'").select(col("o_orderkey").cast("string").alias("old_id"), col("o_orderkey").alias("id"))
     signed = t.lineitem.filter("l_linestatus = 'F'")
     spec = TableSpec(
@@ -420,10 +422,51 @@ def load_procedures(t: Tables):
             FieldSpec("old_key", "old_key"), FieldSpec("token", "token", c.guard_uuid),
             FieldSpec("is_repeat", "flag", lambda x: F.coalesce(c.null_if_blank(x) == "A", F.lit(False))),
         ],
-        [RelationSpec("exam", "exam", exams, ["old_id"])],
+        [RelationSpec("exam", "exam", exams, ["old_id"])], mode=mode,
         transform=lambda df: shape.signed_state(df, signed, "exam", "l_orderkey", "3", "1"),
     )
-    return loads.shape_rows(spec, t.derive(PROCEDURES)).select("old_key", "exam", "state", "is_repeat")
+    return loads.run_load(spec, t.derive(PROCEDURES), t.derive(PROCEDURE_TARGET))
+
+
+@query(SQL_PROCEDURES)
+def load_procedures(t: Tables):
+    return procedure_load(t).shaped.select("old_key", "exam", "state", "is_repeat")
+
+
+# Loaded before: lines that were finished, some without their exam, none with the repeat mark; and some that the source has not.
+PROCEDURE_TARGET = """
+SELECT l_orderkey * 1000 + l_linenumber AS id, concat(CAST(l_orderkey AS STRING), '_', CAST(l_linenumber AS STRING)) AS old_key,
+  CASE WHEN min(l_returnflag) <> 'R' THEN l_orderkey END AS exam, '9' AS state, CAST(NULL AS BOOLEAN) AS is_repeat
+FROM {lineitem} WHERE l_linestatus = 'F' GROUP BY l_orderkey, l_linenumber
+UNION ALL SELECT 900000000 + o_orderkey, concat('old_', CAST(o_orderkey AS STRING)), o_orderkey, '2', true FROM {orders} WHERE o_orderstatus = 'P'
+"""
+
+
+@query(f"""
+WITH t AS ({plain(PROCEDURE_TARGET)}), s AS ({SQL_PROCEDURES})
+SELECT t.id, t.old_key, coalesce(t.exam, s.exam) AS exam, t.state, coalesce(t.is_repeat, s.is_repeat) AS is_repeat, CASE WHEN s.old_key IS NULL THEN 'kept' ELSE 'filled' END AS merge_action
+FROM t LEFT JOIN s USING (old_key)
+UNION ALL SELECT (SELECT max(id) FROM t) + row_number() OVER (ORDER BY old_key), old_key, exam, state, is_repeat, 'inserted' FROM s WHERE old_key NOT IN (SELECT old_key FROM t)""")
+def load_procedures_filled(t: Tables):
+    # What the target has wins; its empty columns take the source's values.
+    return procedure_load(t, "fill_null").rows
+
+
+@query(f"""
+WITH t AS ({plain(PROCEDURE_TARGET)}), s AS ({SQL_PROCEDURES})
+SELECT *, 'kept' AS merge_action FROM t WHERE old_key NOT IN (SELECT old_key FROM s)
+UNION ALL SELECT (SELECT max(id) FROM t) + row_number() OVER (ORDER BY old_key), old_key, exam, state, is_repeat,
+  CASE WHEN old_key IN (SELECT old_key FROM t) THEN 'replaced' ELSE 'inserted' END FROM s""")
+def load_procedures_replaced(t: Tables):
+    # Rows of a reloaded key are deleted and written anew: their ids are not kept.
+    return procedure_load(t, "replace_new").rows
+
+
+@query("""
+SELECT l_orderkey || '_' || l_linenumber AS record_id, 'exam' AS field, 'exam_not_resolved' AS reason, CAST(l_orderkey AS VARCHAR) AS source_raw
+FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')""")
+def load_procedure_issues(t: Tables):
+    return procedure_load(t).issues
 
 
 IMAGING_TARGET = "SELECT o_orderkey + 4 AS id, o_orderkey AS exam, '[]' AS codes, '0' AS mass, 'none' AS mass_des, '' AS mass_number, '1' AS state FROM {orders} WHERE o_orderstatus = 'F'"
