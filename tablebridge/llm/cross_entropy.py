@@ -15,12 +15,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from tablebridge.llm.staging import rows_of, stage
 
-#: Places of the uniform model below the unigrams at least; there are two more than words where the corpus has more. The vocabulary has no bound.
-SIZE = 2048
 #: Weight of the unigram model under the bigram counts, and of a word under the unigram counts.
 BELOW, FLOOR = 20.0, 0.5
-#: Words of text that a chunk takes before it is closed; its n-grams are counted before they are passed on.
-HELD = 500_000
+#: Words of text that a chunk takes before it is closed (its n-grams are counted before they are passed on), and words whose n-grams a bucket holds at once.
+HELD, BUCKET = 2_000_000, 4_000_000
 MIX, TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
 #: Set apart the keys of a word as the first of a pair and as the second; the lowest bit of a key marks the latter.
 FIRST, SECOND, ONE = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344), np.uint64(1)
@@ -93,29 +91,29 @@ class Grams:
             return np.bincount(of, loss[self.pair], len(self.lengths)) / self.lengths
 
 
-CHUNK = "chunk long, ids array<long>, marks array<boolean>, n_words long, n_target long, texts binary"
+CHUNK = "chunk long, ids array<long>, sizes array<long>, texts binary"
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, is_target) -> `CHUNK`: texts gathered up to HELD words; no row is changed or lost."""
+    """(doc_id, text) -> `CHUNK`: texts and their numbers of words, gathered up to HELD words; no row is changed or lost."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, n, held = TaskContext.get().partitionId() << 32, 0, []
 
         def closed() -> pa.RecordBatch:
-            ids, texts, marks, sizes = (list(x) for x in zip(*held, strict=True))
+            ids, texts, sizes = (list(x) for x in zip(*held, strict=True))
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, pa.schema([("text", pa.large_string())])) as w:
                 w.write_batch(pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], ["text"]))
-            values = [base + n, ids, marks, sum(sizes), sum(s for s, m in zip(sizes, marks, strict=True) if m), zstandard.ZstdCompressor(3).compress(sink.getvalue())]
-            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.int64(), pa.int64(), pa.binary()]
+            values = [base + n, ids, sizes, zstandard.ZstdCompressor(3).compress(sink.getvalue())]
+            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], [x.split()[0] for x in CHUNK.split(", ")])
 
         total = 0
         for b in rows_of(batches):
-            for row in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-                size = len((row[1] or "").split())
-                held.append((row[0], row[1] or "", bool(row[2]), size))
+            for doc, text in zip(*(b.column(k).to_pylist() for k in range(2)), strict=True):
+                size = len((text or "").split())
+                held.append((doc, text or "", size))
                 total += size + 1
                 if total >= HELD:
                     yield closed()
@@ -123,7 +121,18 @@ def chunks(docs: DataFrame) -> DataFrame:
         if held:
             yield closed()
 
-    return docs.select("doc_id", "text", "is_target").mapInArrow(run, CHUNK)
+    return docs.select("doc_id", "text").mapInArrow(run, CHUNK)
+
+
+def marked(held: DataFrame, target: DataFrame) -> DataFrame:
+    """Chunks and target (doc_id) -> (chunk, places, n_target): where the target's texts stand in a chunk and their words; chunks without any are absent.
+
+    Only ids meet here; the texts stay where they are.
+    """
+    mark = target.select("doc_id").where("doc_id is not null").distinct()
+    rows = held.select("chunk", F.posexplode(F.arrays_zip(F.col("ids").alias("doc_id"), F.col("sizes").alias("size"))).alias("place", "x"))
+    found = rows.select("chunk", "place", "x.doc_id", "x.size").join(mark, "doc_id", "left_semi")
+    return found.groupBy("chunk").agg(F.collect_list("place").alias("places"), F.sum("size").alias("n_target"))
 
 
 def texts_of(blob: bytes) -> list[str]:
@@ -144,17 +153,20 @@ def blobs(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 
 
 def asked(held: DataFrame, bits: int) -> DataFrame:
-    """Chunks -> `BLOB`: of each chunk and bucket the keys and their counts in the chunk."""
+    """(chunk, places, texts) -> `BLOB`: of each chunk and bucket the keys and their counts in the chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for chunk, marks, texts in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+            for k in range(b.num_rows):
+                chunk, places, texts = (b.column(c)[k].as_py() for c in range(3))
                 grams = Grams.of(texts_of(texts))
-                some, every = grams.counts(np.array(marks))
+                marks = np.zeros(len(grams.lengths), bool)
+                marks[places or []] = True
+                some, every = grams.counts(marks)
                 ends = shares(grams.keys, bits).tolist()
                 yield blobs([(chunk, k, pack(np.diff(grams.keys[i:j], prepend=np.uint64(0)), some[i:j], every[i:j])) for k, (i, j) in enumerate(zip(ends, ends[1:], strict=False)) if j > i])
 
-    return held.select("chunk", "marks", "texts").mapInArrow(run, BLOB)
+    return held.select("chunk", "places", "texts").mapInArrow(run, BLOB)
 
 
 def groups(batches: Iterator[pa.RecordBatch], by: int) -> Iterator[list[tuple]]:
@@ -200,27 +212,28 @@ def score(docs: DataFrame, target: DataFrame) -> DataFrame:
 
     Each chunk of texts counts its own n-grams and sends one row of them to each bucket of keys; the
     buckets send back the counts over all chunks, in the same order. A frequent n-gram is one value a
-    chunk, and there are as many buckets as chunks, so that no task grows with the corpus.
+    chunk. Buckets are as many as the n-grams of BUCKET words each need, so that no task grows with the
+    corpus; rows between chunks and buckets never outnumber the n-grams that they carry.
     """
-    mark = target.select("doc_id").where("doc_id is not null").distinct().withColumn("is_target", F.lit(True))
-    held = stage(chunks(docs.select("doc_id", "text").join(mark, "doc_id", "left")), "chunks")
-    n, words, marked = held.agg(F.count("*"), F.sum("n_words"), F.sum("n_target")).first()
-    bits = max(3, (n - 1).bit_length())
-    parts = 1 << bits
-    answers = stage(answered(asked(held, bits), parts), "answers")
-    places = max(SIZE, 2 + (answers.where("chunk is null").agg(F.sum("bucket")).first()[0] or 0))
-    words, marked = words or 0, marked or 0
-    scale = marked / words if marked else 1.0
+    held = stage(chunks(docs), "chunks")
+    places = stage(marked(held, target), "target")
+    n, words = held.agg(F.count("*"), F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()
+    of_target = places.agg(F.sum("n_target")).first()[0] or 0
+    words = words or 0
+    bits = max(3, (-(-words // BUCKET) - 1).bit_length())
+    answers = stage(answered(asked(held.join(places, "chunk", "left"), bits), 1 << bits), "answers")
+    size = 2 + (answers.where("chunk is null").agg(F.sum("bucket")).first()[0] or 0)
+    scale = of_target / words if of_target else 1.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in groups(batches, 0):
             ids, grams = rows[0][3], Grams.of(texts_of(rows[0][2]))
             found = [unpack(r[2], 2) for r in rows[1:]]
             some, every = (np.concatenate([f[k] for f in found]).astype(float) for k in range(2))
-            t, g = grams.losses(some, 1.0, marked, places), grams.losses(every, scale, words, places)
+            t, g = grams.losses(some, 1.0, of_target, size), grams.losses(every, scale, words, size)
             losses = [pa.array(x, pa.float64(), mask=grams.lengths == 0) for x in (t, g, t - g)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(grams.lengths), *losses], [x.split()[0] for x in SCHEMA.split(", ")])
 
     own = held.select("chunk", F.lit(-1).cast("long").alias("bucket"), F.col("texts").alias("blob"), "ids")
     back = answers.where("chunk is not null").withColumn("ids", F.lit(None).cast("array<long>"))
-    return own.unionByName(back).repartition(parts, "chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(run, SCHEMA)
+    return own.unionByName(back).repartition(max(8, n), "chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(run, SCHEMA)

@@ -34,11 +34,12 @@ def brute(docs, target, size):
 
 def test_scores_equal_plain_counting(spark, monkeypatch):
     monkeypatch.setattr(ce, "HELD", 5)
+    monkeypatch.setattr(ce, "BUCKET", 40)
     r = random.Random(7)
     words = [f"W{i}" for i in range(40)]
     docs = [(i, " ".join(r.choice(words[: 10 if i % 2 else 40]) for _ in range(r.randrange(1, 50)))) for i in range(60)] + [(70, None), (71, ""), (None, "w1 w2"), (3, "w3 w3 w3")]
     target = {i for i in range(1, 40, 2)}
-    want, vocab = brute(docs, target, ce.SIZE)
+    want, vocab = brute(docs, target, len({w for _, t in docs for w in (t or "").lower().split()}) + 2)
     df = spark.createDataFrame([(i, t, True) for i, t in docs], "doc_id long, text string, is_target boolean")
     mark = spark.createDataFrame([(i, "x") for i in [*target, 1, None, 500]], "doc_id long, text string")
     got = ce.score(df, mark).collect()
