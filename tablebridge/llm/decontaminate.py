@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 
 from tablebridge.llm.staging import rows_of
 
-#: An item is matched in passages of at most so many words; edits allowed per word; items with fewer words must be the whole document.
+#: An item is matched in passages of at most so many words; edits allowed per word; fewer words must stand in a document unchanged.
 PASSAGE, RATE, LEAST = 24, 0.15, 8
 #: Characters of benchmark text that are matched in one pass over the documents; a larger benchmark takes several passes.
 PASS_CHARS = 16_000_000
@@ -36,7 +36,7 @@ def passages(item: list[str]) -> list[tuple[int, list[str]]]:
 
 
 def budget(n_words: int) -> int:
-    return int(n_words * RATE)
+    return int(n_words * RATE) if n_words >= LEAST else 0
 
 
 def myers(pattern: list[str], text: list[str], whole: bool = False) -> list[int]:
@@ -62,7 +62,7 @@ class Matcher:
     """The pieces of a block of items in one Aho-Corasick automaton over words joined by spaces."""
 
     def __init__(self, items: list[tuple[int | None, str | None]]) -> None:
-        self.units: list[tuple[int | None, int, list[str], int, bool]] = []
+        self.units: list[tuple[int | None, int, list[str], int]] = []
         pieces: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for item, text in items:
             words = words_of(text)
@@ -70,7 +70,7 @@ class Matcher:
                 errors = budget(len(passage))
                 for a, b in cut(len(passage), errors + 1):
                     pieces[f" {' '.join(passage[a:b])} "].append((len(self.units), a))
-                self.units.append((item, k, passage, errors, len(words) < LEAST))
+                self.units.append((item, k, passage, errors))
         self.automaton = ahocorasick.Automaton()
         for piece, where in pieces.items():
             self.automaton.add_word(piece, (len(piece), where))
@@ -91,11 +91,11 @@ class Matcher:
         for end, (size, where) in hits:
             at = bisect_right(begins, end - size + 1) - 1
             for unit, offset in where:
-                _, _, passage, errors, _ = self.units[unit]
+                _, _, passage, errors = self.units[unit]
                 windows[unit].add((max(0, at - offset - errors), min(len(words), at - offset + len(passage) + errors)))
         best: dict[int, tuple] = {}
         for unit, spans in windows.items():
-            item, k, passage, errors, short = self.units[unit]
+            item, k, passage, errors = self.units[unit]
             for a, b in sorted(spans):
                 scores = myers(passage, words[a:b])
                 least = min(scores)
@@ -104,8 +104,6 @@ class Matcher:
                 stop = a + scores.index(least) + 1
                 back = myers(passage[::-1], words[a:stop][::-1], whole=True)
                 start = stop - 1 - back.index(least) if least in back else a
-                if short and (start > 0 or stop < len(words)):
-                    continue
                 row = (least / len(passage), k, start, len(passage), least, stop)
                 if unit not in best or row < best[unit][0]:
                     best[unit] = (row, item)
@@ -138,7 +136,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Words are runs of letters, digits and underscores, lower-cased. A passage of n words may differ
     by int(0.15 n) edits of words; it is cut into one piece more than that, so that an occurrence
-    holds one piece unchanged. Null and empty texts match nothing. Repeated documents and repeated
+    holds one piece unchanged. An item under 8 words counts wherever its words stand unchanged in a row
+    (`n_words` tells its length, should very short ones not be wanted). Null and empty texts match nothing. Repeated documents and repeated
     items each have their rows; null ids stay null. Extra columns are not read. The benchmark is sent
     in blocks of bounded size, each of which is compared with all documents.
     """

@@ -59,8 +59,6 @@ def test_contamination_equals_brute_force(spark):
             found = []
             for k, p in d.passages(text):
                 least = min(distances(p, words), default=99)
-                if len(text) < d.LEAST:
-                    least = 0 if words == text else 99
                 if least <= d.budget(len(p)):
                     found.append((least / len(p), k, len(p), least))
             if found:
@@ -79,5 +77,16 @@ def test_contamination_equals_brute_force(spark):
 def test_null_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (3, "a b c d e f g h")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, None), (2, ""), (3, "A b c d e f g h"), (4, "a")], "item_id long, text string")
-    assert [(x.doc_id, x.item_id, x.distance, x.start_word, x.end_word) for x in d.contamination(docs, bench).collect()] == [(3, 3, 0, 0, 8)]
+    assert [(x.doc_id, x.item_id, x.distance, x.start_word, x.end_word) for x in d.contamination(docs, bench).collect()] == [(3, 3, 0, 0, 8), (3, 4, 0, 0, 1)]
     assert d.contamination(docs, bench.limit(0)).count() == 0 and d.contamination(docs.limit(0), bench).count() == 0
+
+
+def test_short_items_stand_anywhere(spark):
+    docs = [(1, "intro text What is the capital of France and more words"), (2, "what is the capitals of france"), (3, "of France"), (4, "the capital city of France"), (5, "capital of")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "What is the capital of France"), (2, "capital of France"), (3, "of france?"), (4, "one two three four five six seven")], "item_id long, text string")
+    got = {(x.doc_id, x.item_id, x.start_word, x.end_word) for x in d.contamination(docs, bench).collect()}
+    assert got == {(1, 1, 2, 8), (1, 2, 5, 8), (1, 3, 6, 8), (2, 3, 4, 6), (3, 3, 0, 2), (4, 3, 3, 5)}
+    assert {x.doc_id for x in d.clean(docs, bench).collect()} == {5}
+    seven = spark.createDataFrame([(1, "one two three four 5 six seven"), (2, "x one two three four five six seven y")], "doc_id long, text string")
+    assert [x.doc_id for x in d.contamination(seven, bench).collect()] == [2]
