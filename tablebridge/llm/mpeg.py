@@ -228,9 +228,11 @@ def features(streams: DataFrame) -> DataFrame:
 
 
 def stored_features(docs: DataFrame) -> DataFrame:
-    """Store each text as a stream in a table, read the table back and return its features, one row per row.
+    """Store each text as a stream in a table, read it back, store what it holds beside it and return that table, one row per row.
+
+    The second table has the exact duration (samples / hz) and `frame_offsets`, where each frame begins, to seek by.
 
     Equal texts give equal streams. Null doc_ids and repeated rows stay; other columns are not read;
     an empty table gives an empty one.
     """
-    return features(stage(media(docs), "media"))
+    return stage(features(stage(media(docs), "media")), "frames")

@@ -76,3 +76,13 @@ def test_stored_features(spark):
     assert got[3].media_sha256 == got[4].media_sha256
     assert mpeg.features(spark.createDataFrame([(1, None), (2, b"\xff" * 50), (3, b"ID3")], "doc_id long, media binary")).where("frames = 0 and payload_bytes = 0").count() == 3
     assert mpeg.stored_features(df.limit(0)).count() == 0
+
+
+def test_frame_offsets_are_stored_beside_the_media(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b" * 1000), (3, None)], "doc_id long, text string")
+    table = mpeg.stored_features(df)
+    assert table.inputFiles() and all("frames" in x for x in table.inputFiles())
+    streams = {x.doc_id: bytes(x.media) for x in mpeg.media(df).collect()}
+    for x in spark.read.parquet(*table.inputFiles()).select("doc_id", "frame_offsets", "samples", "hz").collect():
+        found = [mpeg.header(streams[x.doc_id][o : o + 4]) for o in x.frame_offsets]
+        assert found and all(found) and x.samples == sum(h["samples"] for h in found) and x.hz == found[0]["hz"]
