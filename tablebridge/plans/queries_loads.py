@@ -225,7 +225,7 @@ SELECT o_orderkey * 2 AS id, o_orderkey AS exam, o_custkey AS patient, o_orderda
 """
 
 
-@query(f"""
+SQL_EXAMS = f"""
 WITH t AS ({plain(EXAM_TARGET)}),
 known AS ({plain(DOCTORS)}),
 d AS (SELECT id, name FROM known UNION ALL SELECT (SELECT max(id) FROM known) + row_number() OVER (ORDER BY o_orderpriority), o_orderpriority FROM
@@ -236,11 +236,34 @@ f AS (SELECT s.exam, s.patient, s.examined_at, s.price, d.id AS doctor, a.id AS
   LEFT JOIN (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, min(o_orderkey) AS id FROM orders WHERE o_orderstatus = 'O' GROUP BY ALL) a
   ON a.o_custkey = s.patient AND a.day = CAST(s.examined_at AS DATE) WHERE s.exam IS NOT NULL)
 SELECT *, 'kept' AS merge_action FROM t UNION ALL
-SELECT (SELECT max(id) FROM t) + row_number() OVER (ORDER BY exam), *, 'inserted' FROM f WHERE exam NOT IN (SELECT exam FROM t)""")
+SELECT (SELECT max(id) FROM t) + row_number() OVER (ORDER BY exam), *, 'inserted' FROM f WHERE exam NOT IN (SELECT exam FROM t)"""
+
+
+@query(SQL_EXAMS)
 def load_examinations(t: Tables):
     return exam_load(t)[0].rows
 
 
+EXAM_BOOKINGS = "SELECT o_orderkey AS id, CASE WHEN o_orderpriority = '5-LOW' THEN '9' ELSE '0' END AS status FROM {orders} WHERE o_orderstatus = 'O'"
+
+
+@query(f"""
+SELECT id, CASE WHEN status = '0' AND e THEN '2' ELSE status END AS status, CASE WHEN status = '0' AND e THEN 'updated' ELSE 'kept' END AS merge_action
+FROM (SELECT *, id IN (SELECT appointment FROM ({SQL_EXAMS}) WHERE appointment IS NOT NULL) AS e FROM ({plain(EXAM_BOOKINGS)}))""")
+def load_exam_bookings(t: Tables):
+    # Bookings that an exam of the load belongs to are completed, unless they have a status of their own.
+    return merge.exists_complete(t.derive(EXAM_BOOKINGS), exam_load(t)[0].rows, "id", "appointment", "status", "0", "2")
+
+
+@query(f"""
+SELECT x.* EXCLUDE (patient), coalesce(patient, CASE WHEN exam > 0 THEN o_custkey END) AS patient
+FROM ({SQL_EXAMS}) x LEFT JOIN (SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus <> 'F') ON o_orderkey = exam""")
+def load_exam_patients(t: Tables):
+    # Exams whose person is not known by the own key take the one that was booked under the same number.
+    booked = t.orders.filter("o_orderstatus <> 'F'")
+    return merge.backfill_from_lookup(exam_load(t)[0].rows, booked, "exam", "o_orderkey", "o_custkey", "patient")
+
+
 @query(f"""
 WITH known AS ({plain(DOCTORS)})
 SELECT id, name FROM known UNION ALL SELECT (SELECT max(id) FROM known) + row_number() OVER (ORDER BY o_orderpriority), o_orderpriority FROM
@@ -496,21 +519,41 @@ def load_imaging(t: Tables):
     return loads.run_load(spec, t.orders, t.derive(IMAGING_TARGET)).rows.drop("merge_action")
 
 
-FINDING_TARGET = "SELECT min(l_partkey) + 11 AS id, l_orderkey AS exam, CAST(l_linenumber AS BIGINT) AS child, 'old' AS shape FROM {lineitem} WHERE l_linestatus = 'F' GROUP BY l_orderkey, l_linenumber"
+FINDING_TARGET = """
+SELECT min(l_partkey) + 11 AS id, l_orderkey AS exam, CAST(l_linenumber AS BIGINT) AS child, 'old' AS shape, CAST(NULL AS BIGINT) AS parent
+FROM {lineitem} WHERE l_linestatus = 'F' GROUP BY l_orderkey, l_linenumber
+"""
+FINDING_PARENTS = """
+SELECT o_orderkey + 4 AS id, CAST(o_orderkey AS STRING) AS old_id FROM {orders} WHERE o_orderstatus <> 'P'
+UNION ALL SELECT o_orderkey + 900, concat(' ', CAST(o_orderkey AS STRING)) FROM {orders} WHERE o_orderpriority = '1-URGENT'
+"""
+SQL_PARENTS = f"SELECT CAST(trim(old_id) AS BIGINT) AS exam, min(id) AS parent FROM ({plain(FINDING_PARENTS)}) GROUP BY 1"
 
 
-@query(f"""
-WITH t AS ({plain(FINDING_TARGET)}), s AS (SELECT l_orderkey AS exam, CAST(l_linenumber AS BIGINT) AS child, l_returnflag AS shape FROM
-  (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice) AS rn FROM lineitem) WHERE rn = 1)
-SELECT t.id, exam, child, s.shape FROM t JOIN s USING (exam, child)
-UNION ALL SELECT (SELECT max(id) FROM t) + row_number() OVER (ORDER BY exam, child), * FROM s WHERE (exam, child) NOT IN (SELECT (exam, child) FROM t)""")
-def load_findings(t: Tables):
+def finding_load(t: Tables):
+    # An exam may have several parent rows: the lowest id is taken.
     spec = TableSpec(
         "findings", "l_orderkey", ["exam", "child"], ["l_partkey", "l_suppkey", "l_extendedprice"],
         [FieldSpec("exam", "l_orderkey", integer), FieldSpec("child", "l_linenumber", integer), FieldSpec("shape", "l_returnflag")],
-        mode="replace",
+        [RelationSpec("parent", "l_orderkey", t.derive(FINDING_PARENTS), ["old_id"])], mode="replace",
     )
-    return loads.run_load(spec, t.lineitem, t.derive(FINDING_TARGET)).rows.drop("merge_action")
+    return loads.run_load(spec, t.lineitem, t.derive(FINDING_TARGET))
+
+
+@query(f"""
+WITH t AS ({plain(FINDING_TARGET)}), p AS ({SQL_PARENTS}), s AS (SELECT l_orderkey AS exam, CAST(l_linenumber AS BIGINT) AS child, l_returnflag AS shape, parent FROM
+  (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice) AS rn FROM lineitem) LEFT JOIN p ON exam = l_orderkey WHERE rn = 1)
+SELECT t.id, exam, child, s.shape, s.parent FROM t JOIN s USING (exam, child)
+UNION ALL SELECT (SELECT max(id) FROM t) + row_number() OVER (ORDER BY exam, child), * FROM s WHERE (exam, child) NOT IN (SELECT (exam, child) FROM t)""")
+def load_findings(t: Tables):
+    return finding_load(t).rows.drop("merge_action")
+
+
+@query(f"""
+SELECT CAST(l_orderkey AS VARCHAR) AS record_id, 'parent' AS field, 'parent_not_resolved' AS reason, CAST(l_orderkey AS VARCHAR) AS source_raw
+FROM lineitem WHERE l_orderkey NOT IN (SELECT exam FROM ({SQL_PARENTS}))""")
+def load_finding_issues(t: Tables):
+    return finding_load(t).issues
 
 
 # --- pathology, special cases, income ---------------------------------------------------------
@@ -642,18 +685,32 @@ def load_quality_report(t: Tables):
     )
 
 
-INCOME_MAIN = "SELECT o_orderkey AS old_id, o_custkey AS party, concat(' ', CAST(o_totalprice AS STRING)) AS receipt, CASE WHEN o_orderstatus = 'P' THEN 'NULL' ELSE o_orderstatus END AS kind FROM {orders} WHERE o_orderpriority <> '5-LOW'"
-INCOME_OLD = "SELECT o_orderkey - 500 AS old_id, o_custkey AS party, CAST(o_totalprice AS STRING) AS receipt, o_orderstatus AS kind FROM {orders} WHERE o_orderstatus <> 'P' OR o_orderpriority = '5-LOW'"
-INCOME_TARGET = "SELECT o_orderkey AS id, concat('main:', CAST(o_orderkey AS STRING)) AS old_key, CAST(o_totalprice AS DECIMAL(19,4)) AS receipt, o_orderstatus AS kind, 'chosen' AS purpose FROM {orders} WHERE o_orderpriority = '1-URGENT'"
+INCOME_MAIN = """
+SELECT o_orderkey AS old_id, o_custkey AS payer, concat(' ', CAST(o_totalprice AS STRING)) AS receipt, CASE WHEN o_orderstatus = 'P' THEN 'NULL' ELSE o_orderstatus END AS kind,
+  CASE WHEN o_orderpriority = '2-HIGH' AND o_orderstatus = 'F' THEN 'soon' ELSE CAST(o_orderdate AS STRING) END AS paid FROM {orders} WHERE o_orderpriority <> '5-LOW'
+"""
+INCOME_OLD = """
+SELECT o_orderkey - 500 AS old_id, o_custkey AS payer, CAST(o_totalprice AS STRING) AS receipt, o_orderstatus AS kind, CAST(o_orderdate AS STRING) AS paid
+FROM {orders} WHERE o_orderstatus <> 'P' OR o_orderpriority = '5-LOW'
+"""
+INCOME_TARGET = """
+SELECT o_orderkey AS id, concat('main:', CAST(o_orderkey AS STRING)) AS old_key, CAST(NULL AS BIGINT) AS party, o_orderdate AS paid_at,
+  CAST(o_totalprice AS DECIMAL(19,4)) AS receipt, o_orderstatus AS kind, 'chosen' AS purpose FROM {orders} WHERE o_orderpriority = '1-URGENT'
+"""
+#: Some persons were made from a reference only, and some keys are known as an older key of another person.
+INCOME_PEOPLE = """
+SELECT c_custkey AS id, CAST(c_custkey AS STRING) AS pid, CAST(c_custkey + 2 AS STRING) AS older_pid, c_custkey % 7 = 0 AS inferred
+FROM {customer} WHERE c_custkey % 5 NOT IN (0, 3)
+"""
+SQL_PAYERS = f"""SELECT pid, id FROM (SELECT pid, id, inferred, 0 AS r FROM ({plain(INCOME_PEOPLE)}) UNION ALL SELECT older_pid, id, inferred, 1 FROM ({plain(INCOME_PEOPLE)}))
+  QUALIFY row_number() OVER (PARTITION BY pid ORDER BY inferred, r, id) = 1"""
+SQL_INCOME = f"""SELECT 'main:' || old_id AS old_key, payer, paid, receipt, nullif(kind, 'NULL') AS kind FROM ({plain(INCOME_MAIN)})
+  UNION ALL SELECT 'old:' || old_id, payer, paid, receipt, kind FROM ({plain(INCOME_OLD)}) WHERE old_id + 500 NOT IN (SELECT old_id FROM ({plain(INCOME_MAIN)}))"""
+#: Clocks of the source's times.
+INCOME_ZONE = "Asia/Bangkok"
 
 
-@query(f"""
-WITH t AS ({plain(INCOME_TARGET)}), s AS (
-  SELECT 'main:' || old_id AS old_key, CAST(trim(receipt) AS DECIMAL(19,4)) AS receipt, nullif(kind, 'NULL') AS kind FROM ({plain(INCOME_MAIN)})
-  UNION ALL SELECT 'old:' || old_id, CAST(receipt AS DECIMAL(19,4)), kind FROM ({plain(INCOME_OLD)}) WHERE old_id + 500 NOT IN (SELECT old_id FROM ({plain(INCOME_MAIN)})))
-SELECT t.id, t.old_key, t.receipt, s.kind, CASE WHEN s.kind = 'F' THEN 'service' ELSE t.purpose END AS purpose FROM t JOIN s USING (old_key)
-UNION ALL SELECT (SELECT max(id) FROM t) + row_number() OVER (ORDER BY old_key), old_key, receipt, kind, 'service' FROM s WHERE old_key NOT IN (SELECT old_key FROM t)""")
-def load_income(t: Tables):
+def income_load(t: Tables):
     rows = drop_archived_copies(t.derive(INCOME_MAIN), t.derive(INCOME_OLD), "old_id", 500).withColumn(
         "old_key", k.composite_key(F.when(col("source_rank") == 0, "old").otherwise("main"), col("old_id"), sep=":")
     )
@@ -663,11 +720,30 @@ def load_income(t: Tables):
             FieldSpec("old_key", "old_key"),
             FieldSpec("receipt", "receipt", lambda x: c.to_real_lenient(x, money=True), "numeric_parse_failed"),
             FieldSpec("kind", "kind", lambda x: c.null_if_blank(x, ["NULL"])),
+            FieldSpec("paid_at", "paid", lambda x: c.wall_clock_to_instant(x.try_cast("timestamp_ntz"), INCOME_ZONE), "timestamp_parse_failed"),
         ],
+        [RelationSpec("party", "payer", t.derive(INCOME_PEOPLE), ["pid", "older_pid"], placeholder=lambda: col("inferred"))],
         mode="policy", transform=lambda df: df.withColumn("purpose", F.lit("service")),
         policies={"purpose": merge.if_condition(col("_s_kind") == "F")},
     )
-    return loads.run_load(spec, rows, t.derive(INCOME_TARGET)).rows.drop("merge_action")
+    return loads.run_load(spec, rows, t.derive(INCOME_TARGET))
+
+
+@query(f"""
+WITH t AS ({plain(INCOME_TARGET)}), p AS ({SQL_PAYERS}),
+s AS (SELECT old_key, p.id AS party, try_cast(paid AS TIMESTAMP) - INTERVAL 7 HOUR AS paid_at, CAST(trim(receipt) AS DECIMAL(19,4)) AS receipt, kind
+  FROM ({SQL_INCOME}) LEFT JOIN p ON p.pid = CAST(payer AS VARCHAR))
+SELECT t.id, t.old_key, s.party, s.paid_at, t.receipt, s.kind, CASE WHEN s.kind = 'F' THEN 'service' ELSE t.purpose END AS purpose FROM t JOIN s USING (old_key)
+UNION ALL SELECT (SELECT max(id) FROM t) + row_number() OVER (ORDER BY old_key), *, 'service' FROM s WHERE old_key NOT IN (SELECT old_key FROM t)""")
+def load_income(t: Tables):
+    return income_load(t).rows.drop("merge_action")
+
+
+@query(f"""
+SELECT old_key AS record_id, 'paid_at' AS field, 'timestamp_parse_failed' AS reason, paid AS source_raw FROM ({SQL_INCOME}) WHERE paid = 'soon'
+UNION ALL SELECT old_key, 'party', 'party_not_resolved', CAST(payer AS VARCHAR) FROM ({SQL_INCOME}) WHERE CAST(payer AS VARCHAR) NOT IN (SELECT pid FROM ({SQL_PAYERS}))""")
+def load_income_issues(t: Tables):
+    return income_load(t).issues
 
 
 # --- derivations over the target --------------------------------------------------------------
