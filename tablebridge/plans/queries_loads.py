@@ -343,31 +343,35 @@ def load_billing(t: Tables):
 # --- exam general, recommendation -------------------------------------------------------------
 
 GENERAL_ROWS = """
-SELECT event_id AS row_id, CAST(user_id AS STRING) AS exam, concat(CAST(user_id AS STRING), '|6') AS screening, event_type AS category, props AS remark FROM {events}
+SELECT event_id AS row_id, CAST(user_id AS STRING) AS exam, concat(CAST(user_id AS STRING), '|6') AS screening, event_type AS category,
+  CASE WHEN event_id % 3 = 0 THEN ' ' ELSE props END AS remark, CASE WHEN event_type = 'view' THEN ' seen ' END AS finding FROM {events}
 """
-GENERAL_TARGET = "SELECT c_custkey + 3 AS id, c_custkey AS exam, '[9]' AS screening, 'x' AS category, 'lost' AS extra FROM {customer} WHERE c_nationkey < 10"
+GENERAL_TARGET = "SELECT c_custkey + 3 AS id, c_custkey AS exam, '[9]' AS screening, 'x' AS category, 'old' AS note, 'lost' AS extra FROM {customer} WHERE c_nationkey < 10"
+#: Meanings of categories as they were entered over time; the first one of each holds.
+CATEGORIES = "SELECT event_type AS old_value, CAST(event_id % 4 + 2 AS STRING) AS new_value, event_id AS entered FROM {events} WHERE event_type IN ('click', 'view')"
 
 
 @query(f"""
-WITH t AS ({plain(GENERAL_TARGET)}), s AS (SELECT user_id AS exam, '[' || CASE WHEN user_id = 6 THEN 20 ELSE user_id END || ',20]' AS screening,
-  CASE event_type WHEN 'click' THEN '2' WHEN 'view' THEN '3' END AS category FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events) WHERE rn = 1)
+WITH t AS ({plain(GENERAL_TARGET)}), d AS (SELECT old_value, new_value FROM ({plain(CATEGORIES)}) QUALIFY row_number() OVER (PARTITION BY old_value ORDER BY entered) = 1),
+s AS (SELECT CAST(exam AS BIGINT) AS exam, '[' || CASE WHEN exam = '6' THEN '20' ELSE exam END || ',20]' AS screening, new_value AS category,
+  nullif(concat_ws(' ', {sql_blank('finding')}, {sql_blank('remark')}), '') AS note
+  FROM (SELECT *, row_number() OVER (PARTITION BY exam ORDER BY row_id) AS rn FROM ({plain(GENERAL_ROWS)})) LEFT JOIN d ON old_value = category WHERE rn = 1)
 SELECT t.id, t.exam, coalesce(s.screening, t.screening) AS screening, CASE WHEN s.exam IS NULL THEN t.category ELSE s.category END AS category,
-  CASE WHEN s.exam IS NULL THEN t.extra END AS extra FROM t LEFT JOIN s USING (exam)
-UNION ALL SELECT (SELECT max(id) FROM t) + row_number() OVER (ORDER BY exam), exam, screening, category, NULL FROM s WHERE exam NOT IN (SELECT exam FROM t)""")
+  CASE WHEN s.exam IS NULL THEN t.note ELSE s.note END AS note, CASE WHEN s.exam IS NULL THEN t.extra END AS extra FROM t LEFT JOIN s USING (exam)
+UNION ALL SELECT (SELECT max(id) FROM t) + row_number() OVER (ORDER BY exam), *, NULL FROM s WHERE exam NOT IN (SELECT exam FROM t)""")
 def load_exam_general(t: Tables):
-    new_value = F.when(col("old_value") == "click", "2").when(col("old_value") == "view", "3")
-    dictionary = t.events.select(col("event_type").alias("old_value")).distinct().withColumn("new_value", new_value)
+    dictionary = distinct_on(t.derive(CATEGORIES), ["old_value"], [col("entered")], ["old_value", "new_value"])
     spec = TableSpec(
         "exam_general", "row_id", ["exam"], ["row_id"],
         [
             FieldSpec("exam", "exam", integer, "invalid_key"),
             FieldSpec("screening", "screening", lambda x: c.remap_code_list(x, {6: 20})),
-            FieldSpec("category", "category"),
+            FieldSpec("category", "category"), FieldSpec("note", "note"),
         ],
-        mode="replace",
-        transform=lambda df: shape.dictionary_remap(df, "category", dictionary.filter("new_value is not null")),
+        mode="replace", transform=lambda df: shape.dictionary_remap(df, "category", dictionary),
     )
-    return loads.run_load(spec, t.derive(GENERAL_ROWS), t.derive(GENERAL_TARGET)).rows.drop("merge_action")
+    staging = t.derive(GENERAL_ROWS).withColumn("note", c.concat_nonblank(col("finding"), col("remark")))
+    return loads.run_load(spec, staging, t.derive(GENERAL_TARGET)).rows.drop("merge_action")
 
 
 RECOMMENDED = """SELECT o_orderkey AS exam, CASE WHEN o_orderstatus = 'F' THEN '[{{"side": 1}}]' WHEN o_orderstatus = 'O' THEN '[1]' ELSE '["{{free text}}"]' END AS advice FROM {orders}"""
