@@ -405,25 +405,47 @@ def load_recommendations(t: Tables):
 
 # --- image sync, procedures, imaging, findings ------------------------------------------------
 
+#: Some persons were made from a reference only, and some keys are known as an older key of another person.
+KEYED_PEOPLE = """
+SELECT c_custkey AS id, CAST(c_custkey AS STRING) AS pid, CAST(c_custkey + 2 AS STRING) AS older_pid, c_custkey % 7 = 0 AS inferred
+FROM {customer} WHERE c_custkey % 5 NOT IN (0, 3)
+"""
+SQL_KEYED = f"""SELECT pid, id FROM (SELECT pid, id, inferred, 0 AS r FROM ({plain(KEYED_PEOPLE)}) UNION ALL SELECT older_pid, id, inferred, 1 FROM ({plain(KEYED_PEOPLE)}))
+  QUALIFY row_number() OVER (PARTITION BY pid ORDER BY inferred, r, id) = 1"""
 SYNC_ROWS = """
-SELECT CASE WHEN event_type = 'error' THEN ' ' ELSE CAST(event_id AS STRING) END AS accession, CAST(user_id AS STRING) AS exam, CAST(ts AS STRING) AS synced, event_type AS modality FROM {events}
+SELECT CASE WHEN event_type = 'error' THEN ' ' ELSE CAST(event_id AS STRING) END AS accession, CAST(user_id AS STRING) AS exam, CAST(ts AS STRING) AS synced,
+  event_type AS modality, CASE WHEN event_id % 10 = 0 THEN '' ELSE CAST(user_id AS STRING) END AS person FROM {events}
+"""
+SYNC_TARGET = """
+SELECT event_id + 1 AS id, CAST(event_id AS STRING) AS accession, CAST(NULL AS BIGINT) AS exam, 'old' AS modality, CAST(NULL AS BIGINT) AS patient, 'none' AS fingerprint
+FROM {events} WHERE event_type = 'view'
 """
-SYNC_TARGET = "SELECT event_id + 1 AS id, CAST(event_id AS STRING) AS accession, CAST(NULL AS BIGINT) AS exam, 'old' AS modality FROM {events} WHERE event_type = 'view'"
 
 
 @query(f"""
-WITH t AS ({plain(SYNC_TARGET)}), r AS (SELECT *, CASE WHEN event_type = 'error' THEN sha256(CAST(user_id AS VARCHAR) || chr(30) || CAST(ts AS VARCHAR) || chr(30) || event_type) END AS d FROM events),
-s AS (SELECT CASE WHEN d IS NULL THEN CAST(event_id AS VARCHAR) ELSE '__blank__' || left(sha256(d || chr(30) || 'ord:' || row_number() OVER (PARTITION BY d ORDER BY event_id)), 40) END AS accession,
-  (SELECT c_custkey FROM customer WHERE c_custkey = user_id) AS exam, event_type AS modality FROM r)
-SELECT t.id, t.accession, coalesce(s.exam, t.exam) AS exam, coalesce(s.modality, t.modality) AS modality FROM t LEFT JOIN s USING (accession)
-UNION ALL SELECT (SELECT max(id) FROM t) + row_number() OVER (ORDER BY accession), accession, exam, modality FROM s WHERE accession NOT IN (SELECT accession FROM t)""")
+WITH t AS ({plain(SYNC_TARGET)}), p AS ({SQL_KEYED}),
+r AS (SELECT *, CASE WHEN event_type = 'error' THEN sha256(CAST(user_id AS VARCHAR) || chr(30) || CAST(ts AS VARCHAR) || chr(30) || event_type) END AS d FROM events),
+n AS (SELECT CASE WHEN d IS NULL THEN CAST(event_id AS VARCHAR) ELSE '__blank__' || left(sha256(d || chr(30) || 'ord:' || row_number() OVER (PARTITION BY d ORDER BY event_id)), 40) END AS accession, * FROM r),
+s AS (SELECT accession, (SELECT c_custkey FROM customer WHERE c_custkey = user_id) AS exam, event_type AS modality, p.id AS patient,
+  sha256('A:' || accession || '|P:' || CASE WHEN event_id % 10 = 0 THEN '~' ELSE CAST(user_id AS VARCHAR) END || '|S:' || CAST(ts AS VARCHAR) || '|M:' || event_type) AS fingerprint
+  FROM n LEFT JOIN p ON p.pid = CAST(user_id AS VARCHAR) AND event_id % 10 <> 0)
+SELECT t.id, t.accession, coalesce(s.exam, t.exam) AS exam, coalesce(s.modality, t.modality) AS modality, coalesce(s.patient, t.patient) AS patient,
+  coalesce(s.fingerprint, t.fingerprint) AS fingerprint FROM t LEFT JOIN s USING (accession)
+UNION ALL SELECT (SELECT max(id) FROM t) + row_number() OVER (ORDER BY accession), accession, exam, modality, patient, fingerprint FROM s WHERE accession NOT IN (SELECT accession FROM t)""")
 def load_image_sync(t: Tables):
     staging = k.synthetic_key(t.derive(SYNC_ROWS), "accession", ["exam", "synced", "modality"], "__blank__")
+    staging = staging.withColumn(
+        "fingerprint", k.row_fingerprint({"A": col("accession"), "P": col("person")}, {"S": col("synced"), "M": col("modality")})
+    )
     exams = t.customer.select(col("c_custkey").cast("string").alias("old_id"), col("c_custkey").alias("id"))
     spec = TableSpec(
         "image_sync", "accession", ["accession"], ["synced", "modality"],
-        [FieldSpec("accession", "accession"), FieldSpec("modality", "modality")],
-        [RelationSpec("exam", "exam", exams, ["old_id"])], mode="replace",
+        [FieldSpec("accession", "accession"), FieldSpec("modality", "modality"), FieldSpec("fingerprint", "fingerprint")],
+        [
+            RelationSpec("exam", "exam", exams, ["old_id"]),
+            RelationSpec("patient", "person", t.derive(KEYED_PEOPLE), ["pid", "older_pid"], placeholder=lambda: col("inferred")),
+        ],
+        mode="replace",
     )
     return loads.run_load(spec, staging, t.derive(SYNC_TARGET)).rows.drop("merge_action")
 
@@ -701,13 +723,6 @@ INCOME_TARGET = """
 SELECT o_orderkey AS id, concat('main:', CAST(o_orderkey AS STRING)) AS old_key, CAST(NULL AS BIGINT) AS party, o_orderdate AS paid_at,
   CAST(o_totalprice AS DECIMAL(19,4)) AS receipt, o_orderstatus AS kind, 'chosen' AS purpose FROM {orders} WHERE o_orderpriority = '1-URGENT'
 """
-#: Some persons were made from a reference only, and some keys are known as an older key of another person.
-INCOME_PEOPLE = """
-SELECT c_custkey AS id, CAST(c_custkey AS STRING) AS pid, CAST(c_custkey + 2 AS STRING) AS older_pid, c_custkey % 7 = 0 AS inferred
-FROM {customer} WHERE c_custkey % 5 NOT IN (0, 3)
-"""
-SQL_PAYERS = f"""SELECT pid, id FROM (SELECT pid, id, inferred, 0 AS r FROM ({plain(INCOME_PEOPLE)}) UNION ALL SELECT older_pid, id, inferred, 1 FROM ({plain(INCOME_PEOPLE)}))
-  QUALIFY row_number() OVER (PARTITION BY pid ORDER BY inferred, r, id) = 1"""
 SQL_INCOME = f"""SELECT 'main:' || old_id AS old_key, payer, paid, receipt, nullif(kind, 'NULL') AS kind FROM ({plain(INCOME_MAIN)})
   UNION ALL SELECT 'old:' || old_id, payer, paid, receipt, kind FROM ({plain(INCOME_OLD)}) WHERE old_id + 500 NOT IN (SELECT old_id FROM ({plain(INCOME_MAIN)}))"""
 #: Clocks of the source's times.
@@ -726,7 +741,7 @@ def income_load(t: Tables):
             FieldSpec("kind", "kind", lambda x: c.null_if_blank(x, ["NULL"])),
             FieldSpec("paid_at", "paid", lambda x: c.wall_clock_to_instant(x.try_cast("timestamp_ntz"), INCOME_ZONE), "timestamp_parse_failed"),
         ],
-        [RelationSpec("party", "payer", t.derive(INCOME_PEOPLE), ["pid", "older_pid"], placeholder=lambda: col("inferred"))],
+        [RelationSpec("party", "payer", t.derive(KEYED_PEOPLE), ["pid", "older_pid"], placeholder=lambda: col("inferred"))],
         mode="policy", transform=lambda df: df.withColumn("purpose", F.lit("service")),
         policies={"purpose": merge.if_condition(col("_s_kind") == "F")},
     )
@@ -734,7 +749,7 @@ def income_load(t: Tables):
 
 
 @query(f"""
-WITH t AS ({plain(INCOME_TARGET)}), p AS ({SQL_PAYERS}),
+WITH t AS ({plain(INCOME_TARGET)}), p AS ({SQL_KEYED}),
 s AS (SELECT old_key, p.id AS party, try_cast(paid AS TIMESTAMP) - INTERVAL 7 HOUR AS paid_at, CAST(trim(receipt) AS DECIMAL(19,4)) AS receipt, kind
   FROM ({SQL_INCOME}) LEFT JOIN p ON p.pid = CAST(payer AS VARCHAR))
 SELECT t.id, t.old_key, s.party, s.paid_at, t.receipt, s.kind, CASE WHEN s.kind = 'F' THEN 'service' ELSE t.purpose END AS purpose FROM t JOIN s USING (old_key)
@@ -745,7 +760,7 @@ def load_income(t: Tables):
 
 @query(f"""
 SELECT old_key AS record_id, 'paid_at' AS field, 'timestamp_parse_failed' AS reason, paid AS source_raw FROM ({SQL_INCOME}) WHERE paid = 'soon'
-UNION ALL SELECT old_key, 'party', 'party_not_resolved', CAST(payer AS VARCHAR) FROM ({SQL_INCOME}) WHERE CAST(payer AS VARCHAR) NOT IN (SELECT pid FROM ({SQL_PAYERS}))""")
+UNION ALL SELECT old_key, 'party', 'party_not_resolved', CAST(payer AS VARCHAR) FROM ({SQL_INCOME}) WHERE CAST(payer AS VARCHAR) NOT IN (SELECT pid FROM ({SQL_KEYED}))""")
 def load_income_issues(t: Tables):
     return income_load(t).issues
 
