@@ -1,6 +1,7 @@
 """All registered queries."""
 
 from tablebridge.plans import (  # noqa: F401
+    queries_billing,
     queries_bookings,
     queries_catchup,
     queries_documents,
