@@ -52,6 +52,50 @@ class ChildCollection:
         needed = dict.fromkeys([self.fk, *self.order, *self.fields])
         return self.rows.select(*needed).join(parents, self.fk, "left_semi")
 
+    def parts(self, parents: DataFrame, max_items: int) -> DataFrame:
+        """(fk, part, the array of the children) of some parents."""
+        return group_to_struct_array(
+            self.of(parents), [self.fk], [F.col(c) for c in self.order], self.fields, self.name, max_items
+        )
+
+
+@dataclass(frozen=True)
+class NestedCollection(ChildCollection):
+    """A collection whose elements, known by the unique column `key`, hold a collection of their own.
+
+    Both levels are cut by one ordering of the innermost rows, in which an element without any counts as one. So a part
+    holds at most `max_items` of these over all of its elements together, an element whose rows continue in the next part
+    is there again with the rest of them, and no row grows with a parent or with an element. Rows without a key take no part.
+    """
+
+    key: str = "id"
+    inner: ChildCollection | None = None
+
+    def of(self, parents: DataFrame) -> DataFrame:
+        needed = dict.fromkeys([self.fk, self.key, *self.order, *self.fields])
+        return self.rows.select(*needed).filter(F.col(self.key).isNotNull()).join(parents, self.fk, "left_semi")
+
+    def parts(self, parents: DataFrame, max_items: int) -> DataFrame:
+        outer = self.of(parents)
+        below = self.inner.of(outer.select(F.col(self.key).alias(self.inner.fk)))
+        leaves = below.select(
+            F.col(self.inner.fk).alias(self.key), F.struct(*self.inner.order).alias("_order"), F.struct(*self.inner.fields).alias("_leaf")
+        )
+        # Either side of an inner join may be split if an element has very many rows, unlike those of an outer join.
+        held, bare = outer.join(leaves, self.key), outer.join(leaves.select(self.key), self.key, "left_anti")
+        every = held.unionByName(bare, allowMissingColumns=True)
+        ranked = rank_in_group(every, [self.fk], [*[F.col(c) for c in self.order], F.col(self.key), F.col("_order")], "_rank")
+        rows = ranked.withColumn("part", F.floor((F.col("_rank") - 1) / max_items).cast("int"))
+        element = {f"_e_{f}": F.col(f) for f in self.fields}
+        per_element = rows.groupBy(self.fk, "part", self.key).agg(
+            F.min("_rank").alias("_at"), *[F.first(c).alias(n) for n, c in element.items()],
+            F.sort_array(F.collect_list(F.when(F.col("_leaf").isNotNull(), F.struct("_rank", "_leaf")))).alias("_leaves"),
+        )
+        inner = F.transform("_leaves", lambda x: x["_leaf"]).alias(self.inner.name)
+        fields = [F.col(n).alias(n[3:]) for n in element]
+        gathered = per_element.groupBy(self.fk, "part").agg(F.sort_array(F.collect_list(F.struct("_at", F.struct(*fields, inner).alias("_element")))).alias("_list"))
+        return gathered.select(self.fk, "part", F.transform("_list", lambda x: x["_element"]).alias(self.name))
+
 
 def nest_child(parent_rows: DataFrame, parent_key: str, child: ChildCollection) -> DataFrame:
     """Parent rows with their children as JSON text (for a collection inside a collection)."""
@@ -80,10 +124,7 @@ def build_snapshot_doc(
     doc = chosen.select(F.col(key).alias("_doc"), F.struct(*fields).alias("_head"))
     lists = []
     for child in children:
-        rows = child.of(chosen.select(F.col(key).alias(child.fk)))
-        grouped = group_to_struct_array(
-            rows, [child.fk], [F.col(c) for c in child.order], child.fields, child.name, max_items
-        )
+        grouped = child.parts(chosen.select(F.col(key).alias(child.fk)), max_items)
         lists.append(grouped.withColumnRenamed(child.fk, "_doc"))
     kids = lists[0]
     for grouped in lists[1:]:

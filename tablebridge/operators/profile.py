@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablebridge.functions.clean import null_if_blank
+from tablebridge.operators.document import MAX_ITEMS, group_to_struct_array
 from tablebridge.operators.skew import left_lookup
 
 
@@ -47,6 +48,29 @@ def group_having_any(df: DataFrame, keys: Sequence[str], flag: Column, ts: str)
     )
 
 
+def group_ids_having_any(
+    df: DataFrame, keys: Sequence[str], flag: Column, ts: str, id_col: str, max_items: int = MAX_ITEMS
+) -> DataFrame:
+    """Groups with at least one flagged row: per part their ordered ids, and in every part the latest time and the
+    number of rows of the whole group. Groups with a null key count like others; rows without an id are counted, not listed.
+
+    A group's rows are only ranked once it is known to be wanted, and are listed in parts of at most `max_items`.
+    """
+    wanted = df.groupBy(*keys).agg(
+        F.max(ts).alias("latest"), F.count(F.lit(1)).alias("members"), F.bool_or(flag).alias("_any")
+    ).filter("_any").drop("_any")
+    renamed = wanted.select(*[F.col(k).alias(f"_w_{k}") for k in keys], "latest", "members")
+    same = [F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in keys]
+    rows = df.select(*dict.fromkeys([*keys, id_col])).filter(F.col(id_col).isNotNull()).join(renamed.select(*[f"_w_{k}" for k in keys]), same, "left_semi")
+    lists = group_to_struct_array(rows, keys, [F.col(id_col)], [id_col], "_ids", max_items)
+    parts = lists.select(*keys, "part", F.transform("_ids", lambda x: x[id_col]).alias("ids"))
+    out = renamed.join(parts, same, "left")
+    empty = F.array().cast(parts.schema["ids"].dataType)
+    return out.select(
+        *[F.col(f"_w_{k}").alias(k) for k in keys], F.coalesce("part", F.lit(0)).alias("part"), F.coalesce("ids", empty).alias("ids"), "latest", "members"
+    )
+
+
 def filtered_counts(df: DataFrame, conditions: Mapping[str, Column], distinct: Mapping[str, str] | None = None) -> DataFrame:
     aggregates = [_count_if(c).alias(n) for n, c in conditions.items()]
     aggregates += [F.count_distinct(c).alias(n) for n, c in (distinct or {}).items()]

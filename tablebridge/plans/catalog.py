@@ -5,6 +5,7 @@ from tablebridge.plans import (  # noqa: F401
     queries_bookings,
     queries_catchup,
     queries_documents,
+    queries_history,
     queries_loads,
     queries_merge,
     queries_reports,

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablebridge.functions.clean import norm_key
-from tablebridge.operators import document, merge, quality, resolve
+from tablebridge.operators import document, merge, profile, quality, resolve
 from tablebridge.operators.dedup import distinct_on
 from tablebridge.operators.merge import MergeSpec
+from tablebridge.operators.skew import left_lookup
 from tablebridge.session import cut_lineage
 from tablebridge.spec import RelationSpec, TableSpec
 
@@ -186,3 +187,27 @@ def enrich_with_prior_result(
     )
     parts = lists.select("exam_id", "part", F.to_json("found").alias("payload"))
     return document.denormalise_to_parent(picked, "picked_exam", parts, "exam_id", ["payload"], "part")
+
+
+def prior_result_with_category(
+    appointments: DataFrame, exams: DataFrame, findings: DataFrame, general: DataFrame, is_signed: Column, max_items: int = document.MAX_ITEMS
+) -> DataFrame:
+    """`enrich_with_prior_result`, and the category of the picked exam beside its findings.
+
+    `appointments` also holds category and is_migrated: appointments of the new system keep what they have. `general`:
+    exam_id, general_id, category; the lowest general_id of an exam counts, also if its category is null. A migrated appointment that picks an exam
+    without a general row gets no category; one that picks nothing keeps its own. `is_updated` tells rows that change.
+    """
+    lists = profile.group_ids_having_any(findings, ["exam_id"], is_signed, "found_at", "finding_id", max_items)
+    first = distinct_on(general.filter("exam_id is not null"), ["exam_id"], [F.col("general_id")], ["exam_id", "category"])
+    signed = lists.filter("part = 0").select("exam_id", F.col("latest").alias("exam_at"))
+    candidates = exams.join(signed, "exam_id").filter("party is not null")
+    asking = appointments.filter(F.coalesce("is_migrated", F.lit(False)))
+    picked = resolve.asof_before_day(asking, candidates, "party", "at", "exam_at", "exam_id", ("id", "appointment"), "picked_exam")
+    payload = left_lookup(
+        lists.select("exam_id", "part", F.to_json(F.transform("ids", lambda x: F.struct(x.alias("finding_id")))).alias("payload")), first, ["exam_id"]
+    )
+    filled = document.denormalise_to_parent(picked, "picked_exam", payload, "exam_id", ["payload", "category"], "part")
+    others = appointments.filter(~F.coalesce("is_migrated", F.lit(False)))
+    plain = others.select("*", F.lit(None).cast(filled.schema["picked_exam"].dataType).alias("picked_exam"), F.lit(0).alias("part"), F.lit(False).alias("is_updated"))
+    return filled.unionByName(plain)
