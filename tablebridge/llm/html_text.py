@@ -20,7 +20,7 @@ from tablebridge.llm.staging import rows_of
 SILENT = "script|style|template|noscript|svg|textarea|select|iframe|object|title"
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset(
-    "a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br img input "
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rb rp rt rtc ruby s samp small span strike strong sub sup time tt u var wbr br img input "
     "math annotation annotation-xml maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle "
     "msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
 )
@@ -35,8 +35,8 @@ TOKEN = re.compile(
 NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 PATH, WORDS, MORE, HIDDEN = 128, 32, 6, 16
-#: Pages the labeller is trained on, blocks of each at most and characters of their texts for layouts, made-up layouts of each, and rounds.
-SAMPLE_PAGES, SAMPLE_BLOCKS, SAMPLE_CHARS, LAYOUTS, ROUNDS, BATCH, STEP = 160, 512, 30_000, 3, 12, 48, 0.01
+#: Pages the labeller is trained on, blocks of each at most and characters of their texts for layouts, made-up layouts of each with and without telling names, and rounds.
+SAMPLE_PAGES, SAMPLE_BLOCKS, SAMPLE_CHARS, LAYOUTS, PLAIN, ROUNDS, BATCH, STEP = 160, 512, 30_000, 3, 3, 12, 48, 0.01
 #: Texts for the layouts that stand in where a table has fewer pages.
 NEUTRAL = ["text", "Some words.", "One, two and three", "A sentence of a few words follows here.", "This is a longer text, with a part and another part, and it ends after some more words.", "2020", "More", "Who reads this? Nobody knows!"]
 
@@ -152,7 +152,8 @@ class Labeller:
             self.p |= {f"w{way}": draw(width, 4 * HIDDEN), f"u{way}": draw(HIDDEN, 4 * HIDDEN), f"b{way}": bias}
         self.p |= {"v": draw(2 * HIDDEN, 1), "c": np.zeros(1, np.float32)}
 
-    def walk(self, x: np.ndarray, mask: np.ndarray, way: str) -> tuple[np.ndarray, list]:
+    def walk(self, x: np.ndarray, mask: np.ndarray, way: str, keep: bool = False) -> tuple[np.ndarray, list]:
+        """(outputs, states of each step); states are kept for training only, so a long page costs its vectors and outputs."""
         w, u, b = (self.p[k + way] for k in "wub")
         steps, pages = mask.shape
         z0 = x @ w + b
@@ -164,7 +165,8 @@ class Labeller:
             i, f, o = gates[:, :HIDDEN], gates[:, HIDDEN : 2 * HIDDEN], gates[:, 2 * HIDDEN :]
             new = f * c + i * g
             tanh = np.tanh(new)
-            kept[t] = (h, c, i, f, o, g, tanh, m)
+            if keep:
+                kept[t] = (h, c, i, f, o, g, tanh, m)
             c = m * new + (1 - m) * c
             h = m * (o * tanh) + (1 - m) * h
             out[t] = h
@@ -175,7 +177,7 @@ class Labeller:
         return sigmoid((both @ self.p["v"])[..., 0] + self.p["c"])
 
     def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-        walks = {way: self.walk(x, mask, way) for way in "fb"}
+        walks = {way: self.walk(x, mask, way, True) for way in "fb"}
         both = np.concatenate([walks[way][0] for way in "fb"], axis=2)
         wrong = (sigmoid((both @ self.p["v"])[..., 0] + self.p["c"]) - y) * mask / mask.sum()
         grad = {"v": np.einsum("tbh,tb->h", both, wrong)[:, None], "c": wrong.sum(keepdims=True).reshape(1)}
@@ -278,6 +280,54 @@ def layout(texts: list[str], r: random.Random) -> tuple[list[Leaf], np.ndarray]:
     return leaves("<html><body>" + "".join(x for x, _ in made) + "</body></html>"), np.array([y for _, y in made if y >= 0], np.float32)
 
 
+#: Elements that say what they hold; without names they are divisions like others.
+TELLING = frozenset("article main nav header footer aside section form menu dialog fieldset button".split())
+#: Layouts without telling names: what may enclose an article, links beside it (before and after | of each), and other short blocks.
+PLAIN_WRAPS = ["|", "<div>|</div>", "<div><div>|</div></div>", '<div class="{0}">|</div>', '<div class="{0}"><div class="{1}">|</div></div>', '<div id="{0}">|</div>', "<table><tr><td>|</td></tr></table>", '<center><div class="{1}">|</div></center>']
+LINKS = ["<ul>|<li><a href='/x'>{}</a></li>|</ul>", "<div>|<div><a href='/x'>{}</a></div>|</div>", "<table><tr>|<td><a href='/x'>{}</a></td>|</tr></table>", "<ol class='{0}'>|<li><a href='/x'>{}</a></li>|</ol>", "|<p><a href='/x'>{}</a></p>|", "<div class='{0}'>|<p><a href='/x'>{}</a></p>|</div>"]
+SHORTS = ["<div>|</div>", "<div><div>|</div></div>", "<div class='{0}'><p>|</p></div>", "<div><small>|</small></div>"]
+PROSE_CHARS = 40
+
+
+def nameless(found: list[Leaf]) -> list[Leaf]:
+    """The same blocks on a page whose elements, classes, ids and roles tell nothing."""
+    return [Leaf(x.text, tuple("div" if n in TELLING else n for n in x.path if n[0] not in ".#@"), x.linked) for x in found]
+
+
+def plain_layout(texts: list[str], r: random.Random) -> tuple[list[Leaf], np.ndarray]:
+    """A page whose names tell nothing: an article is the run of prose, what stands beside it are links and short blocks at either end."""
+    prose, short = [t for t in texts if len(t) >= PROSE_CHARS] or NEUTRAL[3:5], [t for t in texts if len(t) < PROSE_CHARS] or NEUTRAL[:2]
+    names = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(2, 8))) for _ in range(2)]
+    pick = lambda some: html.escape(r.choice(some))
+    made: list[tuple[str, int]] = []
+
+    def beside() -> None:
+        if r.random() < 0.7:
+            before, item, after = r.choice(LINKS).replace("{0}", names[0]).split("|")
+            made.extend([(before, -1), *[(item.format(pick(short)), 0) for _ in range(r.randrange(1, 7))], (after, -1)])
+        else:
+            made.append((r.choice(SHORTS).replace("{0}", names[1]).replace("|", pick(short)), 0))
+
+    for _ in range(r.randrange(0, 4)):
+        beside()
+    opening, closing = r.choice(PLAIN_WRAPS).format(*names).split("|")
+    if r.random() < 0.2:  # one table holds links in a cell and the article in another
+        made.append(("<table><tr><td>", -1))
+        made += [(f"<a href='/x'>{pick(short)}</a>{cell}", 0) for cell in ["</td><td>"] * r.randrange(3) + [r.choice(["</td><td>", "</td></tr><tr><td>"])]]
+        closing += "</td></tr></table>"
+    made.append((opening, -1))
+    if r.random() < 0.7:
+        made.append((f"<h1>{pick(short)}</h1>", 1))
+    for _ in range(r.randrange(1, 10)):
+        if r.random() < 0.1:
+            made.append((f"<h2>{pick(short)}</h2>", 1))
+        made.append((r.choice(BLOCKS[:8]).replace("|", pick(prose)), 1))
+    made.append((closing, -1))
+    for _ in range(r.randrange(0, 4)):
+        beside()
+    return leaves("<html><body>" + "".join(x for x, _ in made) + "</body></html>"), np.array([y for _, y in made if y >= 0], np.float32)
+
+
 def stretch(found: list[Leaf], page: str) -> slice:
     """At most SAMPLE_BLOCKS neighbouring blocks of a page; where they begin in a longer one follows from a checksum of it."""
     spare = max(0, len(found) - SAMPLE_BLOCKS)
@@ -309,8 +359,8 @@ def lessons(chosen: DataFrame) -> DataFrame:
 def fit(pages: DataFrame) -> Labeller:
     """A labeller trained on SAMPLE_PAGES pages of any size, chosen by hashes of their ids, as they are and in made-up layouts.
 
-    The pages' own blocks are labelled by the names of their elements; those names are what the
-    network must learn to read, in any company. Layouts of neutral texts take the place of pages that
+    The pages' own blocks are labelled by the names of their elements, those of layouts by how they are made. Half of the
+    layouts have no name that tells anything, so prose, links and neighbours have to do. Layouts of neutral texts take the place of pages that
     a small table lacks. Only the sample's blocks come to the driver.
     """
     held = pages.where("html is not null")
@@ -321,8 +371,9 @@ def fit(pages: DataFrame) -> Labeller:
     taught = lessons(chosen).collect()
     for row in taught:
         data.append((np.frombuffer(row.vectors, np.float32).reshape(-1, PATH + WORDS + MORE), np.array(row.labels, np.float32)))
-        data += [(vectors(found), y) for found, y in (layout(row.texts, r) for _ in range(LAYOUTS)) if len(found) == len(y)]
-    made = [layout(NEUTRAL, r) for _ in range((SAMPLE_PAGES - len(taught)) * LAYOUTS)]
+        layouts = [*(layout(row.texts, r) for _ in range(LAYOUTS)), *(plain_layout(row.texts, r) for _ in range(PLAIN))]
+        data += [(vectors(found), y) for found, y in layouts if len(found) == len(y)]
+    made = [make(NEUTRAL, r) for make, n in ((layout, LAYOUTS), (plain_layout, PLAIN)) for _ in range((SAMPLE_PAGES - len(taught)) * n)]
     data += [(vectors(found), y) for found, y in made if len(found) == len(y)]
     labeller = Labeller()
     labeller.train(data)

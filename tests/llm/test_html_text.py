@@ -69,12 +69,42 @@ def test_driver_pages_and_new_layouts(spark):
     want = {r.page_id: by_rule(r.html) for r in pages.collect()}
     got = {r.page_id: r for r in h.extract(pages, labeller).collect()}
     assert {i: r.text for i, r in got.items()} == want and all(r.n_chars == len(r.text) for r in got.values())
-    r, right, n = random.Random(77), 0, 0
-    for _ in range(200):
-        found, y = h.layout(["Some words of text here.", "Menu", "More text, and more of it follows.", "ok"], r)
+    assert share(labeller, [h.layout(["Some words of text here.", "Menu", "More text, and more of it follows.", "ok"], r) for r in [random.Random(77)] * 200]) > 0.95
+    # The same pages and layouts with every telling name gone.
+    stripped = [h.leaves(r.html) for r in pages.collect()]
+    assert share(labeller, [(h.nameless(x), [h.is_article(b.path) for b in x]) for x in stripped if x]) > 0.95
+    texts_of = ["Menu", "ok", "About us", "More text, and more of it follows after these words.", "A sentence with quite some words in it stands here as well."]
+    assert share(labeller, [h.plain_layout(texts_of, r) for r in [random.Random(78)] * 200]) > 0.95
+    # Layouts that no generator makes.
+    first, second = "First paragraph with enough words in it.", "The second paragraph, also of some length, follows."
+    prose = f"<h1>Title</h1><p>{first}</p><p>{second}</p>"
+    for page in (f'<div class="wrapper"><div class="txt">{prose}</div></div>', f"<body>{prose}", f"<body><div><span><div>{prose}</div></span></div></body>"):
+        assert labeller.main([h.leaves(page)]) == [["Title", first, second]]
+
+
+def share(labeller, pages):
+    """How many of the blocks are labelled right."""
+    right = n = 0
+    for found, y in pages:
         x, mask, _ = h.padded([(h.vectors(found), y)])
-        right, n = right + int(((labeller.chances(x, mask)[:, 0] >= 0.5) == y).sum()), n + len(y)
-    assert right / n > 0.95
+        right, n = right + int(((labeller.chances(x, mask)[:, 0] >= 0.5) == np.array(y)).sum()), n + len(y)
+    return right / n
+
+
+def test_inline_elements_stay_in_their_block():
+    assert texts("<p>with <acronym>HTML</acronym> and <ruby>a<rp>(</rp><rt>b</rt><rp>)</rp></ruby> <nobr>inside</nobr></p>") == [("with HTML and a(b) inside", ("p",))]
+
+
+def test_names_go_and_nothing_else():
+    found = h.leaves('<main class="post"><p id="x">a <a href="/y">b</a></p><my-box role="main">c</my-box></main>')
+    assert [(x.text, x.path, x.linked) for x in h.nameless(found)] == [("a b", ("div", "p"), found[0].linked), ("c", ("div", "my-box"), 0.0)]
+
+
+def test_a_long_page_keeps_no_states():
+    model, x = h.Labeller(), np.zeros((3000, 1, h.PATH + h.WORDS + h.MORE), np.float32)
+    out, kept = model.walk(x, np.ones((3000, 1), np.float32), "f")
+    again, states = model.walk(x, np.ones((3000, 1), np.float32), "f", True)
+    assert (out == again).all() and kept == [None] * 3000 and len(states[0]) == 8
 
 
 def test_odd_rows_and_empty_tables(spark):
