@@ -187,11 +187,18 @@ def answered(requests: DataFrame, parts: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in groups(batches, 1):
-            found = [unpack(r[2], 3) for r in rows]
-            keys, at = np.unique(np.concatenate([np.cumsum(f[0], dtype=np.uint64) for f in found]), return_inverse=True)
-            totals = [np.bincount(at, np.concatenate([f[k] for f in found]).astype(float), len(keys)).astype(np.uint64) for k in (1, 2)]
-            ends = np.cumsum([0, *(len(f[0]) for f in found)]).tolist()
-            out = [(r[0], r[1], pack(*(t[at[i:j]] for t in totals))) for r, i, j in zip(rows, ends, ends[1:], strict=False)]
+            names, columns = [r[:2] for r in rows], [list(c) for c in zip(*(unpack(r[2], 3) for r in rows), strict=True)]
+            rows.clear()  # what is packed, and each column once it is summed, makes room for the next step
+            ends = np.cumsum([0, *(len(x) for x in columns[0])]).tolist()
+            sums = columns.pop(0)
+            for k, x in enumerate(sums):
+                sums[k] = np.cumsum(x, dtype=np.uint64)
+            joined = np.concatenate(sums)
+            del sums
+            keys, at = np.unique(joined, return_inverse=True)
+            del joined
+            totals = [np.bincount(at, np.concatenate(columns.pop(0), dtype=float, casting="unsafe"), len(keys)).astype(np.uint64) for _ in range(2)]
+            out = [(*name, pack(*(t[at[i:j]] for t in totals))) for name, i, j in zip(names, ends, ends[1:], strict=False)]
             yield blobs([*out, (None, int((keys & ONE)[totals[1] > 0].sum()), b"")])
 
     return requests.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(run, BLOB)
