@@ -18,7 +18,7 @@ from tablebridge.llm.staging import rows_of, stage
 #: Weight of the unigram model under the bigram counts, and of a word under the unigram counts.
 BELOW, FLOOR = 20.0, 0.5
 #: Words of text that a chunk takes before it is closed (its n-grams are counted before they are passed on), and words whose n-grams a bucket holds at once.
-HELD, BUCKET = 2_000_000, 4_000_000
+HELD, BUCKET = 1_000_000, 4_000_000
 MIX, TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
 #: Set apart the keys of a word as the first of a pair and as the second; the lowest bit of a key marks the latter.
 FIRST, SECOND, ONE = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344), np.uint64(1)
