@@ -1,6 +1,6 @@
 """Personal data in texts: base rules, overlapping candidates, boosted trees and calibrated thresholds.
 
-The main path is built-in functions only. The driver fits the trees on a bounded sample of numbers.
+Built-in functions only. Trees and thresholds rest on the candidates of all documents, counted and summed by Spark.
 """
 
 from __future__ import annotations
@@ -9,9 +9,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tablebridge.llm.boosting import Trees, train
+from tablebridge.llm.boosting import Trees, train_table, walk
+from tablebridge.llm.staging import stage
 
 KINDS = ("email", "ip", "card", "phone")
 #: A private-use character marks matches; one in a text is swapped for another of the same length, which no pattern knows either.
@@ -37,8 +38,8 @@ HINTS = (
     r"(?i)(?:card|visa|karte|carte|tarjeta|credit|kredit)[a-z]*[\s:#-]*$",
     r"(?i)(?:mail|contact|kontakt|correo|courriel)[a-z]*[\s:#-]*$",
 )
-#: Documents and candidates the trees are fitted on at most, size of the trees, precision asked of a threshold and cases it must rest on.
-SAMPLE_DOCS, SAMPLE_SPANS, TREES, DEPTH, PRECISION, CASES = 6000, 30_000, 16, 3, 0.95, 20
+#: Size of the trees, precision asked of a threshold and cases it must rest on, steps of a threshold in one unit of log-odds.
+TREES, DEPTH, PRECISION, CASES, STEPS = 16, 3, 0.95, 20, 10_000
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -142,18 +143,9 @@ class Selector:
     threshold: dict[str, float]
 
     def margin(self, x: Column) -> Column:
-        def node(t: int, k: int) -> Column:
-            inner = self.trees.feature.shape[1]
-            if k >= inner:
-                return F.lit(float(self.trees.leaf[t, k - inner]))
-            if not np.isfinite(self.trees.threshold[t, k]):
-                return node(t, 2 * k + 1)
-            below = F.element_at(x, int(self.trees.feature[t, k]) + 1) <= float(self.trees.threshold[t, k])
-            return F.when(below, node(t, 2 * k + 1)).otherwise(node(t, 2 * k + 2))
-
         total = F.lit(self.trees.base)
         for t in range(len(self.trees.leaf)):
-            total = total + node(t, 0)
+            total = total + walk(x, self.trees.feature[t], self.trees.threshold[t], lambda k, t=t: F.lit(float(self.trees.leaf[t, k])))
         return total
 
     def selects(self, candidate: Column) -> Column:
@@ -169,30 +161,34 @@ def overlaps(one: Column, others: Column) -> Column:
     return F.exists(others, lambda o: (o["start"] < one["end"]) & (one["start"] < o["end"]))
 
 
+def cases(docs: DataFrame) -> DataFrame:
+    """(kind, x, aside) -> (n, positive): how many candidates of all documents look like this and how many of them overlap a base span.
+
+    Every fourth document by the hash of its id is set aside.
+    """
+    spans = docs.where("text is not null").select("doc_id", base_spans(F.col("text")).alias("base"), candidates(F.col("text")).alias("found"))
+    each = spans.select((F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0).alias("aside"), "base", F.explode("found").alias("c"))
+    rows = each.select("c.kind", "c.x", "aside", overlaps(F.col("c"), F.col("base")).cast("long").alias("y"))
+    return rows.groupBy("kind", "x", "aside").agg(F.count("*").alias("n"), F.sum("y").alias("positive"))
+
+
 def fit(docs: DataFrame) -> Selector:
-    """Trees and thresholds from the candidates of at most SAMPLE_DOCS documents, chosen by hashes of their ids.
+    """Trees and thresholds from the candidates of all documents.
 
     A candidate counts as personal if it overlaps a base span. Three quarters of the documents grow
     the trees. On the others each kind's threshold is the lowest above which at least PRECISION of
     the candidates, and at least CASES of them, are personal; a kind without such a value selects none.
+    Spark counts and sums; the driver gets histograms, and one threshold a kind.
     """
-    ids = docs.where("doc_id is not null and text is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    spans = docs.select("doc_id", "text").join(F.broadcast(ids.distinct()), "doc_id").select("doc_id", base_spans(F.col("text")).alias("base"), candidates(F.col("text")).alias("found"))
-    rows = spans.select("doc_id", "base", F.explode("found").alias("c")).select("doc_id", "c.kind", "c.start", "c.x", overlaps(F.col("c"), F.col("base")).cast("int").alias("y"))
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "start", "kind", "x").limit(SAMPLE_SPANS).select("kind", "x", "y", (F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0).alias("aside")).collect()
-    x, y = np.array([r.x for r in rows]) if rows else np.zeros((0, 1)), np.array([r.y for r in rows])
-    aside, kinds = np.array([r.aside for r in rows], bool), np.array([r.kind for r in rows])
-    trees = train(x[~aside], y[~aside], TREES, DEPTH)
+    counted = stage(cases(docs), "candidates")
+    trees = train_table(counted.where("not aside"), TREES, DEPTH)
+    scored = counted.where("aside").select("kind", F.floor(Selector(trees, {}).margin(F.col("x")) * STEPS).alias("step"), "n", "positive")
+    above = W.partitionBy("kind").orderBy(F.desc("step")).rowsBetween(W.unboundedPreceding, 0)
+    sums = scored.groupBy("kind", "step").agg(F.sum("n").alias("n"), F.sum("positive").alias("positive"))
+    sums = sums.select("kind", "step", F.sum("n").over(above).alias("n"), F.sum("positive").over(above).alias("positive"))
     threshold = dict.fromkeys(KINDS, float("inf"))
-    for kind in KINDS:
-        own = aside & (kinds == kind)
-        if not own.any():
-            continue
-        margin, true = trees.margin(x[own]), y[own]
-        for t in sorted(set(margin.tolist()), reverse=True):
-            above = margin >= t
-            if above.sum() >= CASES and true[above].mean() >= PRECISION:
-                threshold[kind] = t - 1e-6  # sums may differ in their last bits
+    for r in sums.where(f"n >= {CASES} and positive >= {PRECISION} * n").groupBy("kind").agg(F.min("step").alias("step")).collect():
+        threshold[r.kind] = r.step / STEPS - 1e-6  # a quotient may differ in its last bits
     return Selector(trees, threshold)
 
 

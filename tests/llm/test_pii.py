@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tablebridge.llm import pii
 from tablebridge.llm.staging import table
@@ -86,6 +87,18 @@ def test_selected_candidates_and_redaction(spark):
     assert [x.text for x in pii.redact(more, chosen).orderBy("doc_id").collect()] == [None, "[EMAIL] [PHONE], [CARD], [IP]!", "é😀 [EMAIL]"]
 
 
+def test_every_document_counts_in_the_fit(spark):
+    """Personal numbers stand only in documents that come after 6,000 others by the hash of their ids."""
+    ids = [x.id for x in spark.range(6800).orderBy(F.xxhash64("id"), "id").collect()]
+    texts = {i: f"token {10_000_000 + k}" if k < 6000 else f"word +1 ({200 + k % 700}) 555-{1000 + k} phone" for k, i in enumerate(ids)}
+    lone = "please (415) 555-2671 thanks"
+    df = spark.createDataFrame([*texts.items(), (10_000, lone)], "doc_id long, text string")
+    found = pii.find(df, pii.fit(df)).where("doc_id = 10000").first()
+    assert [lone[s.start : s.end] for s in found.all_spans] == ["(415) 555-2671"]
+    counted = pii.cases(df)
+    assert counted.agg(F.sum("n"), F.sum("positive")).first()[:] == (6801, 800)
+
+
 def test_no_python_on_the_executors(spark):
     plan = pii.report(table(spark, "/root/testdata/sf0.001", "documents"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

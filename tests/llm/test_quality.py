@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from tablebridge.llm import quality
-from tablebridge.llm.boosting import train
+from tablebridge.llm.boosting import train, train_table
 from tablebridge.llm.staging import table
 
 
@@ -30,6 +30,17 @@ def test_trees_learn_an_interaction_and_equal_a_plain_walk():
     assert (train(x, y).leaf == train(x, y).leaf).all()
 
 
+def test_trees_of_a_table_equal_trees_of_its_rows(spark):
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 90, size=(1500, 3)).astype(float)
+    y = ((x[:, 0] > 40) ^ (x[:, 2] > 20)).astype(int)
+    rows = [(r.tolist(), 1, int(c)) for r, c in zip(x, y, strict=True)]
+    got = train_table(spark.createDataFrame([*rows[:1000], *((r, 2, 2 * c) for r, _, c in rows[1000:])], "x array<double>, n long, positive long"), 4, 3)
+    want = train(np.concatenate([x, x[1000:]]), np.concatenate([y, y[1000:]]), 4, 3)
+    assert (got.feature == want.feature).all() and (got.threshold == want.threshold).all()
+    assert np.allclose(got.leaf, want.leaf, atol=1e-4) and got.base == want.base
+
+
 @pytest.mark.parametrize(("y", "low", "high"), [([], 0.5, 0.5), ([1] * 30, 0.9, 1), ([0] * 30, 0, 0.1)])
 def test_trees_without_a_choice(y, low, high):
     score = train(np.ones((len(y), 2)), np.array(y)).score(np.zeros((3, 2)))
