@@ -17,7 +17,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest doc_id stays.
 
-    Near-duplicates share 0.8 or more of their five-word shingles (Jaccard); groups are chains of them. Equal rows become one. Rows without a doc_id stay: no group can name them.
+    Near-duplicates share 0.8 or more of their five-word shingles (Jaccard); groups are chains of them. SimHash links (op1's operator)
+    propose pairs, min-hash bands those that are further apart than its 2 bits; each is verified. Equal rows become one. Rows without a doc_id stay: no group can name them.
     """
     keep = shingles.least_ids(docs.where("doc_id is not null"))
     named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(docs.columns).select(docs.columns)

@@ -1,4 +1,4 @@
-"""Near copies by the Jaccard similarity of word shingles: candidates by min-hash bands, every candidate verified exactly."""
+"""Near copies by the Jaccard similarity of word shingles: candidates by SimHash links and min-hash bands, every candidate verified exactly."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from tablebridge.llm import simhash
 from tablebridge.llm.components import components
 from tablebridge.llm.set_join import parity
 from tablebridge.llm.staging import rows_of, stage
@@ -66,17 +67,30 @@ def sketch(text: str | None) -> tuple[int, np.ndarray, int, np.ndarray]:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) -> (doc_id, point, bands, n, bits), one row per row."""
+    """(doc_id, text) -> (doc_id, fp, point, bands, n, bits), one row per row; fp is the SimHash fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows_of(batches):
-            found = [sketch(t) for t in b.column(1).to_pylist()]
+            texts = b.column(1).to_pylist()
+            prints, found = pa.array([simhash.fingerprint(t) for t in texts], pa.int64()), [sketch(t) for t in texts]
             points = pa.array(np.array([f[0] for f in found], np.uint64).view(np.int64))
             bands = pa.array([f[1].view(np.int64) for f in found], pa.list_(pa.int64()))
             rest = [pa.array([f[2] for f in found], pa.int64()), pa.array([f[3] for f in found], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([b.column(0), points, bands, *rest], ["doc_id", "point", "bands", "n", "bits"])
+            yield pa.RecordBatch.from_arrays([b.column(0), prints, points, bands, *rest], ["doc_id", "fp", "point", "bands", "n", "bits"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long, point long, bands array<long>, n long, bits array<long>")
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, point long, bands array<long>, n long, bits array<long>")
+def simhash_pairs(known: DataFrame) -> DataFrame:
+    """(fp, point) -> (a, b): the points of a fingerprint meet its least point; these meet along the links of the fingerprints.
+
+    Links are those of `simhash.links`, at 2 or fewer bits. Pairs grow with points and links, however many points share a fingerprint.
+    """
+    prints = stage(known.groupBy("fp").agg(F.min("point").alias("head")), "prints")
+    own = known.select("fp", "point").distinct().join(prints.hint("merge"), "fp").select(F.col("head").alias("x"), F.col("point").alias("y"))
+    head = lambda c, n: prints.select(F.col("fp").alias(c), F.col("head").alias(n)).hint("merge")
+    linked = stage(simhash.links(prints), "prints_linked").join(head("a", "x"), "a").join(head("b", "y"), "b").select("x", "y")
+    return own.unionByName(linked).where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -130,8 +144,8 @@ def close(x: str, y: str) -> str:
 def least_ids(docs: DataFrame) -> DataFrame:
     """(doc_id, text), ids not null -> (doc_id): the least id of each group of near copies.
 
-    Groups are the components of all pairs that share a band and reach LEAST. Texts of one set of
-    shingles are one point. Every point of a band's bucket meets one point of it, another one in each
+    Groups are the components of all pairs that reach LEAST among those that SimHash links (see `simhash_pairs`)
+    and those that share a band. Texts of one set of shingles are one point. Every point of a band's bucket meets one point of it, another one in each
     bucket; then points of a bucket meet that no chain of links joins yet. Points meet by their sketches;
     only pairs that these allow become rows and are verified. A bucket of near copies costs its size;
     unlike points that share a bucket cost a comparison of sketches each.
@@ -142,7 +156,8 @@ def least_ids(docs: DataFrame) -> DataFrame:
     heads = keys.groupBy("band").agg(F.min(F.struct(F.xxhash64("point", "band").alias("h"), "point"))["point"].alias("head"), F.count("*").alias("n")).where("n > 1").select("band", "head")
     members = stage(keys.join(stage(heads, "heads").hint("merge"), "band"), "members")
     side = lambda c: points.select(F.col("point").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")).hint("merge")
-    stars = members.where("point <> head").select(F.least("head", "point").alias("a"), F.greatest("head", "point").alias("b")).distinct()
+    stars = members.where("point <> head").select(F.least("head", "point").alias("a"), F.greatest("head", "point").alias("b"))
+    stars = stars.unionByName(simhash_pairs(known)).distinct()
     near = stage(stars.join(side("a"), "a").join(side("b"), "b").where(close("a", "b")).select("a", "b"), "stars")
     links = stage(verified(near, docs, points), "links")
     roots = stage(components(links), "roots")

@@ -3,8 +3,9 @@
 import random
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 
-from tablebridge.llm import shingles
+from tablebridge.llm import shingles, simhash
 from tablebridge.llm.staging import table
 
 
@@ -54,6 +55,26 @@ def test_chains_of_edits_and_short_texts(spark):
     assert shingles.least_ids(df.limit(0)).count() == 0
 
 
+def test_simhash_links_propose_pairs_without_any_band(spark, monkeypatch):
+    real = shingles.sketches
+    monkeypatch.setattr(shingles, "sketches", lambda docs: real(docs).withColumn("bands", F.array("point")))
+    r = random.Random(3)
+    rows, linked = [], 0
+    want = {1, 2}
+    for i in range(10, 130, 3):
+        words = [f"w{r.randrange(10**6)}" for _ in range(900)]
+        one = [w if k != 450 else "edit" for k, w in enumerate(words)]
+        rows += [(i, " ".join(words)), (i + 1, " ".join(one)), (i + 2, " ".join(words))]
+        near = ((simhash.fingerprint(rows[-3][1]) ^ simhash.fingerprint(rows[-2][1])) & 2**64 - 1).bit_count() <= simhash.THRESHOLD
+        linked += near
+        want |= {i} if near else {i, i + 1}
+    # One fingerprint, few shingles in common: SimHash proposes the pair, the exact check keeps both.
+    rows += [(k, "spam " * 2000 + " ".join(f"v{k}x{j}" for j in range(150))) for k in (1, 2)]
+    assert simhash.fingerprint(rows[-1][1]) == simhash.fingerprint(rows[-2][1])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {x.doc_id for x in corpus_pipeline.near_dedup(spark, df, "").collect()} == want and linked > 10
+
+
 def test_sketches_allow_every_pair_of_near_copies(spark):
     r = random.Random(8)
     rows = []
