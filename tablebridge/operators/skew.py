@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from tablebridge.session import cut_lineage
 
+#: Rows of one key that a window may rank in one task.
+HOT_ROWS = 100_000
+
+
 def with_position(
     df: DataFrame, order: Sequence[Column], name: str = "position", range_name: str | None = None
 ) -> DataFrame:
@@ -39,9 +43,25 @@ def with_position(
 def rank_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rank") -> DataFrame:
     """1-based rank inside each key under `order`.
 
-    Rows are placed by ranges of (keys, order), so a key of any size spreads over tasks. A key's
-    first position is found from one row per key and range, and joined back by key and range: no
-    task meets all rows of a key.
+    Keys are counted first. Those of at most HOT_ROWS rows are ranked by a window, which costs one
+    shuffle; rows of larger keys, if there are any, are placed by ranges, so a key of any size
+    spreads over tasks.
+    """
+    ranked = lambda rows: rows.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("bigint"))
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > HOT_ROWS)
+    hot = cut_lineage(counted.select(*[F.col(k).alias(f"_s_{k}") for k in keys]))
+    if hot.isEmpty():
+        return ranked(df)
+    same = [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys]
+    large = _rank_by_ranges(df.join(hot, same, "left_semi"), keys, order, name)
+    return ranked(df.join(hot, same, "left_anti")).unionByName(large)
+
+
+def _rank_by_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+    """The same ranks, with no task that meets all rows of a key.
+
+    Rows are placed by ranges of (keys, order). A key's first position is found from one row per key
+    and range, and joined back by key and range.
     """
     placed = with_position(df, [*[F.col(k) for k in keys], *order], "_position", "_range")
     per_range = placed.groupBy(*keys, "_range").agg(F.min("_position").alias("_first"))

@@ -79,6 +79,21 @@ def test_hot_group_ranks_equal_window_ranks(spark):
     assert sorted(map(tuple, calm.collect()), key=key) == sorted(map(tuple, busy.collect()), key=key)
 
 
+def test_ranks_of_small_keys_take_one_shuffle_and_large_keys_the_same_ranks(spark, monkeypatch):
+    rows = [(k, i % 7, i) for k in (None, 1, 2, 3) for i in range(3 if k == 2 else 40)]
+    df = spark.createDataFrame(rows, "k int, v int, i int").repartition(5, "i")
+    small = skew.rank_in_group(df, ["k"], [col("v").desc(), col("i")], "r")
+    plan = small._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" in plan
+    monkeypatch.setattr(skew, "HOT_ROWS", 10)
+    large = skew.rank_in_group(df, ["k"], [col("v").desc(), col("i")], "r")
+    want = [(k, v, i, n) for x in (None, 1, 2, 3) for n, (k, v, i) in enumerate(sorted((r for r in rows if r[0] == x), key=lambda r: (-r[1], r[2])), 1)]
+    key = lambda r: tuple((x is not None, x) for x in r)
+    assert small.dtypes == large.dtypes
+    for found in (small, large):
+        assert sorted(map(tuple, found.collect()), key=key) == sorted(want, key=key)
+
+
 def test_parts_hold_every_item(spark):
     df = spark.createDataFrame([(1, i) for i in range(25)] + [(2, 1)], "k int, v int")
     parts = document.group_to_struct_array(df, ["k"], [col("v")], ["v"], "items", max_items=10)
