@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from tablebridge.operators.dedup import distinct_on
 from tablebridge.operators.ids import assign_ids
-from tablebridge.operators.skew import left_lookup
+from tablebridge.operators.skew import left_lookup, spread
+from tablebridge.session import cut_lineage
 
 ACTION = "merge_action"
 SOURCE = "_s_"
@@ -225,7 +226,12 @@ def array_overwrite_unless_object(
 def array_parts_unless_object(
     target: DataFrame, source: DataFrame, key: str, column: str, part: str = "part"
 ) -> DataFrame:
-    """The same for arrays stored in parts, one row per (key, part): all parts of a key or none are replaced."""
+    """The same for arrays stored in parts, one row per (key, part): all parts of a key or none are replaced.
+
+    The source is read twice, so it is written once: gathering its lists again would take their memory again.
+    """
+    source = cut_lineage(source)
+    source = spread(source, [key], source.count())
     state = target.groupBy(key).agg(F.max(holds_objects(column)).alias("_object"))
     fresh = source.join(state.filter(~F.col("_object")).select(key), key, "left_semi")
     kept = target.join(fresh.select(key).distinct(), key, "left_anti").withColumn(ACTION, F.lit("kept"))

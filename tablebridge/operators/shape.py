@@ -18,16 +18,21 @@ from tablebridge.functions.clean import (
     to_real_lenient,
 )
 from tablebridge.operators.skew import left_lookup
+from tablebridge.session import cut_lineage
 
 
 def dictionary_remap(
     df: DataFrame, column: str, mapping: DataFrame, on_miss: str = "null", fold: bool = False
 ) -> DataFrame:
-    """Replace codes through a table (old_value, new_value); `on_miss` is null, keep or upper."""
+    """Replace codes through a table (old_value, new_value); `on_miss` is null, keep or upper.
+
+    The table is reduced to a row per code and written first: a few codes with a known size are broadcast, instead of
+    shuffling all rows by a key of a few values.
+    """
     text = null_if_blank(F.col(column))
     key = F.lower(text) if fold else text
     table_key = F.lower("old_value") if fold else F.col("old_value")
-    table = mapping.groupBy(table_key.alias("_code")).agg(F.min("new_value").alias("_mapped"))
+    table = cut_lineage(mapping.groupBy(table_key.alias("_code")).agg(F.min("new_value").alias("_mapped")))
     miss = {"null": F.lit(None).cast("string"), "keep": text, "upper": F.upper(text)}[on_miss]
     return (
         left_lookup(df.withColumn("_code", key), table, ["_code"], sparse=True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -12,6 +12,21 @@ from tablebridge.session import cut_lineage
 
 #: Rows of one key that a window may rank in one task.
 HOT_ROWS = 100_000
+#: Rows that a task sorts or gathers by key, on average.
+ROWS_PER_TASK = 500_000
+
+
+def spread(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """`df`, of which there are `rows` rows, spread by its keys over tasks of about ROWS_PER_TASK rows.
+
+    Otherwise the number of tasks is that of the session, and fewer where adaptive execution joins
+    partitions: it goes by compressed bytes, and 64 MB of narrow columns are millions of rows. The number is never
+    just the session's, as Spark would then take another shuffle by these keys for this one.
+    """
+    tasks = -(-rows // ROWS_PER_TASK)
+    if tasks <= 1:
+        return df
+    return df.repartition(max(tasks, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) + 1), *keys)
 
 
 def with_position(
@@ -40,21 +55,27 @@ def with_position(
     return placed.select(*df.columns, name, *([F.col("_range").alias(range_name)] if range_name else []))
 
 
-def rank_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rank") -> DataFrame:
+def rank_in_group(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rank", even: bool = True
+) -> DataFrame:
     """1-based rank inside each key under `order`.
 
     Keys are counted first. Those of at most HOT_ROWS rows are ranked by a window, which costs one
     shuffle; rows of larger keys, if there are any, are placed by ranges, so a key of any size
-    spreads over tasks.
+    spreads over tasks. With `even` the tasks grow in number with the rows; it costs a shuffle where
+    rows are already shuffled by a part of the keys.
     """
+    total = Observation()
     ranked = lambda rows: rows.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("bigint"))
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > HOT_ROWS)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).observe(total, F.sum("_n").alias("rows"))
+    counted = sizes.filter(F.col("_n") > HOT_ROWS)
     hot = cut_lineage(counted.select(*[F.col(k).alias(f"_s_{k}") for k in keys]))
+    placed = lambda rows: spread(rows, keys, (total.get["rows"] or 0) if even else 0)
     if hot.isEmpty():
-        return ranked(df)
+        return ranked(placed(df))
     same = [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys]
     large = _rank_by_ranges(df.join(hot, same, "left_semi"), keys, order, name)
-    return ranked(df.join(hot, same, "left_anti")).unionByName(large)
+    return ranked(placed(df.join(hot, same, "left_anti"))).unionByName(large)
 
 
 def _rank_by_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:

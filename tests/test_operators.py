@@ -7,8 +7,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tablebridge.functions.clean import is_placeholder
-from tablebridge.operators import compare, dedup, document, ids, jsonrefs, merge, page, quality, resolve, sets, skew
+from tablebridge.operators import compare, dedup, document, ids, jsonrefs, merge, page, quality, resolve, sets, shape, skew
 from tablebridge.operators.merge import ACTION, MergeSpec
+from tablebridge.plans import loads
+from tablebridge.plans.catalog import QUERIES
+from tablebridge.spec import FieldSpec, TableSpec
 
 col = F.col
 SPEC = MergeSpec(["k"], "id")
@@ -288,3 +291,35 @@ def test_refs_skip_templates(spark):
     refs = spark.createDataFrame([("a",), ("{{x}}",), ("b",)], "ref string")
     known = spark.createDataFrame([("a",)], "name string")
     assert data(jsonrefs.missing_refs(refs, known, "ref", "name")) == [("b",)]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tasks_of_a_ranking_grow_with_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 100, raising=False)
+    df = spark.createDataFrame([(i % 300 if i % 9 else None, i) for i in range(1000)], "k int, v int")
+    ranked = skew.rank_in_group(df, ["k"], [col("v")], "r")
+    assert ranked.rdd.getNumPartitions() == 10
+    calm = df.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("v")).cast("bigint"))
+    assert sorted(map(str, ranked.collect())) == sorted(map(str, calm.collect()))
+
+
+def test_lists_in_parts_are_gathered_once(spark):
+    held = spark.createDataFrame([(1, 0, '["a"]'), (2, 0, '[{"b": 1}]'), (3, 0, "[1]"), (None, 0, "[2]")], "k int, part int, items string")
+    rows = spark.createDataFrame([(k, i) for k in (1, 2, None) for i in range(3)], "k int, v int")
+    lists = document.group_to_struct_array(rows, ["k"], [col("v")], ["v"], "items", 2).withColumn("items", F.to_json("items"))
+    merged = merge.array_parts_unless_object(held, lists, "k", "items")
+    assert "Window" not in plan_of(merged)
+    assert sorted(map(str, map(tuple, merged.collect()))) == sorted(map(str, [
+        (1, 0, '[{"v":0},{"v":1}]', "updated"), (1, 1, '[{"v":2}]', "updated"), (2, 0, '[{"b": 1}]', "kept"), (3, 0, "[1]", "kept"), (None, 0, "[2]", "kept"),
+    ]))
+
+
+def test_codes_are_reduced_before_rows_are_remapped(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, " ")], "i int, code string")
+    codes = spark.createDataFrame([("a", "z"), ("a", "y"), ("c", "x")], "old_value string, new_value string")
+    found = shape.dictionary_remap(rows, "code", codes, "upper")
+    assert "Aggregate" not in plan_of(found)
+    assert data(found.select("i", F.coalesce("code", F.lit("-")))) == [(1, "y"), (2, "B"), (3, "-"), (4, "-")]
