@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tablebridge.operators import ids, merge
 from tablebridge.operators.dedup import distinct_on
 from tablebridge.operators.merge import MergeSpec
+from tablebridge.operators.skew import spread
 from tablebridge.plans.inputs import KNOWN_CUSTOMERS, ORDERS_SOURCE, ORDERS_TARGET, PEOPLE, WHOLE_TARGET
 from tablebridge.plans.registry import Tables, plain, query
 
@@ -123,8 +124,10 @@ UNION ALL SELECT 'line', line_id, l_orderkey, part, supplier, price FROM n
 UNION ALL SELECT 'pointer', min(n.line_id), p.l_orderkey, NULL, NULL, NULL FROM p LEFT JOIN n USING (l_orderkey) GROUP BY p.l_orderkey""")
 def replace_children(t: Tables):
     parents = t.orders.filter("o_orderstatus = 'F'").select(col("o_orderkey").alias("l_orderkey"))
+    # One shuffle serves grouping the lines and comparing them with the parents.
+    lines = t.derive(OLD_LINES, lineitem=spread(t.lineitem, ["l_orderkey"], t.lineitem.count()))
     rows, pointers = merge.replace_children(
-        t.derive(OLD_LINES), parents, t.derive(NEW_LINES), "l_orderkey", ["part", "supplier", "price"], "line_id"
+        lines, parents, t.derive(NEW_LINES), "l_orderkey", ["part", "supplier", "price"], "line_id"
     )
     links = pointers.select(F.lit("pointer").alias("kind"), col("child_pointer").alias("line_id"), "l_orderkey")
     return rows.withColumn("kind", F.lit("line")).unionByName(links, allowMissingColumns=True)

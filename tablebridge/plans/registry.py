@@ -30,9 +30,9 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(self.path(name))
 
-    def derive(self, text: str) -> DataFrame:
-        """A derived input from SQL that names its tables in braces."""
-        used = {n: getattr(self, n) for n in TABLES if "{" + n + "}" in text}
+    def derive(self, text: str, **dealt: DataFrame) -> DataFrame:
+        """A derived input from SQL that names its tables in braces; `dealt` holds tables with their rows dealt to tasks otherwise."""
+        used = {n: dealt.get(n, getattr(self, n)) for n in TABLES if "{" + n + "}" in text}
         return self.spark.sql(text, **used)
 
 

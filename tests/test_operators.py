@@ -323,3 +323,16 @@ def test_codes_are_reduced_before_rows_are_remapped(spark):
     found = shape.dictionary_remap(rows, "code", codes, "upper")
     assert "Aggregate" not in plan_of(found)
     assert data(found.select("i", F.coalesce("code", F.lit("-")))) == [(1, "y"), (2, "B"), (3, "-"), (4, "-")]
+
+
+def test_replaced_lines_are_dealt_by_order(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 5, raising=False)
+    lines = [(o, n, 10 * o + n, o, 5.0 if n == 1 else 30.0, float(n)) for o in range(1, 21) for n in (1, 2)]
+    spark.createDataFrame(lines, "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(o, "F" if o % 2 else "O") for o in range(1, 21)], "o_orderkey bigint, o_orderstatus string").write.parquet(f"{tmp_path}/orders.parquet")
+    out = QUERIES["replace_children"](spark, str(tmp_path))
+    assert "RepartitionByExpression [l_orderkey" in plan_of(out)
+    found = [tuple(r) for r in out.select("kind", "line_id", "l_orderkey", "part").collect()]
+    assert {r for r in found if r[0] == "line" and r[2] % 2 == 0} == {("line", o * 10 + n, o, 10 * o + n) for o in range(2, 21, 2) for n in (1, 2)}
+    assert {r for r in found if r[0] == "line" and r[2] % 2} == {("line", 202 + i, o, 10 * o + 2) for i, o in enumerate(range(1, 21, 2), 1)}
+    assert {r for r in found if r[0] == "pointer"} == {("pointer", 202 + i, o, None) for i, o in enumerate(range(1, 21, 2), 1)}
