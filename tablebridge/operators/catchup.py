@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablebridge.operators.dedup import distinct_on
 from tablebridge.operators.ids import assign_ids
 from tablebridge.operators.skew import rank_in_group
 from tablebridge.session import cut_lineage
@@ -54,9 +55,9 @@ def unit_plan(
 
     Actions: `send` (no row held), `replace` or `partial` (some held), `unsendable` (the id can't be put
     into a request), `not_found` (the source no longer has the unit), `postponed` (beyond the lowest
-    `max_units` of those that would be loaded).
+    `max_units` of those that would be loaded). The units short of rows are written once, as they are read twice.
     """
-    short = (
+    short = cut_lineage(
         shortages(snapshot, target, spec)
         .groupBy(spec.unit)
         .agg(F.sum(F.greatest(F.col("need") - F.col("have"), F.lit(0))).alias("missing_rows"), F.sum("have").alias("held_rows"))
@@ -97,16 +98,22 @@ def catch_up_units(
     A unit that is due is written as one: its rows in the target give way to the source's rows. Equal keys
     are settled by ordinal: the k-th row of a key takes the id of the k-th held row of that key (by id), the
     others get ids behind the highest one, and held rows beyond the source's are gone. Without `multiset`
-    the first row of a key in `order` counts. Only rows of due units are ranked; the rest of the target is
+    the first row of a key in `order` counts, so nothing is ranked. Only rows of due units are ranked; the rest of the target is
     read once and never shuffled by its keys.
     """
     plan = cut_lineage(unit_plan(snapshot, target, source, spec, sendable, max_units))
     due = plan.filter(F.col("action").isin("send", "replace")).select(spec.unit)
-    incoming = rank_in_group(source.join(due, spec.unit, "left_semi").dropna(subset=spec.row_key), spec.row_key, order, "_ordinal")
-    if not spec.multiset:
-        incoming = incoming.filter("_ordinal = 1")
-    held = rank_in_group(target.join(due, spec.unit, "left_semi").select(*spec.row_key, id_col), spec.row_key, [F.col(id_col)], "_ordinal")
-    at = [*spec.row_key, "_ordinal"]
+    incoming = source.join(due, spec.unit, "left_semi").dropna(subset=spec.row_key)
+    held = target.join(due, spec.unit, "left_semi").select(*spec.row_key, id_col)
+    at = list(spec.row_key)
+    if spec.multiset:
+        at.append("_ordinal")
+        incoming = rank_in_group(incoming, spec.row_key, order, "_ordinal", even=False)
+        held = rank_in_group(held, spec.row_key, [F.col(id_col)], "_ordinal", even=False)
+    else:
+        incoming = distinct_on(incoming, spec.row_key, order)
+        # As a struct, so that an id that is null comes first, as in an ordering.
+        held = held.groupBy(*spec.row_key).agg(F.min(F.struct(id_col)).alias("_held")).select(*spec.row_key, f"_held.{id_col}")
     # The ids are taken from the held rows; an id column of the source has no say.
     paired = cut_lineage(incoming.drop(id_col).join(held, at, "left"))
     types = {f.name: f.dataType for f in target.schema.fields}

@@ -66,3 +66,21 @@ def test_log_rows_are_appended_by_ordinal(spark):
     out, plan = catchup.catch_up_rows(source, snapshot, log([("a", 1), ("z", 9)]), ["k"], [F.col("at")])
     assert rows(out) == [("a", 1, "appended"), ("a", 1, "kept"), ("a", 2, "appended"), ("b", 1, "appended"), ("c", 1, "appended"), ("z", 9, "kept")]
     assert rows(plan) == [("a", 2, 1, 2, "partial"), ("b", 1, 0, 1, "loaded"), ("c", 2, 0, 1, "not_found")]
+
+
+def test_keys_that_count_once_are_not_ranked(spark, tables, monkeypatch):
+    monkeypatch.setattr(catchup, "rank_in_group", None)
+    out, _ = run(tables, CatchUpSpec("exam", ["child"]))
+    assert rows(out) == sorted([
+        (6, "3", 1, "e", "kept"), (8, None, 1, "blank", "kept"), (5, "1", 2, "b", "replaced"), (9, "1", 1, "a", "inserted"), (10, "2", 1, "d", "inserted"),
+    ], key=str)
+    # Of held rows of a key one without an id comes first, as in an ordering.
+    twice = tables[2].unionByName(spark.createDataFrame([(None, "1", 2, "y"), (4, "1", 2, "z")], SCHEMA))
+    out, _ = run([*tables[:2], twice], CatchUpSpec("exam", ["child"]))
+    assert (10, "1", 2, "b", "inserted") in rows(out)
+
+
+def test_snapshot_and_target_are_counted_once(tables):
+    source, snapshot, target = tables
+    plan = catchup.unit_plan(snapshot, target, source, CatchUpSpec("exam", ["child"], multiset=True))
+    assert "Union" not in plan._jdf.queryExecution().optimizedPlan().toString()
