@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tablebridge.operators.merge_flags import changed
 from tablebridge.operators.skew import left_lookup, rank_in_group
+from tablebridge.session import cut_lineage
 
 # Elements per array. A group above it continues in further parts, so no row grows without bound.
 MAX_ITEMS = 10_000
@@ -118,13 +119,14 @@ def build_snapshot_doc(
     """One JSON document per parent: its fields and one array per child table.
 
     Children of the chosen parents are aggregated on their own before they meet the parent. A parent whose children
-    exceed `max_items` gets further numbered parts instead of a cut or an endless row.
+    exceed `max_items` gets further numbered parts instead of a cut or an endless row. Parents may come from a long plan,
+    which every collection would run again, so they are written once.
     """
     chosen = parent if eligible is None else parent.filter(eligible)
-    doc = chosen.select(F.col(key).alias("_doc"), F.struct(*fields).alias("_head"))
+    doc = cut_lineage(chosen.select(F.col(key).alias("_doc"), F.struct(*fields).alias("_head")))
     lists = []
     for child in children:
-        grouped = child.parts(chosen.select(F.col(key).alias(child.fk)), max_items)
+        grouped = child.parts(doc.select(F.col("_doc").alias(child.fk)), max_items)
         lists.append(grouped.withColumnRenamed(child.fk, "_doc"))
     kids = lists[0]
     for grouped in lists[1:]:

@@ -336,3 +336,13 @@ def test_replaced_lines_are_dealt_by_order(spark, monkeypatch, tmp_path):
     assert {r for r in found if r[0] == "line" and r[2] % 2 == 0} == {("line", o * 10 + n, o, 10 * o + n) for o in range(2, 21, 2) for n in (1, 2)}
     assert {r for r in found if r[0] == "line" and r[2] % 2} == {("line", 202 + i, o, 10 * o + 2) for i, o in enumerate(range(1, 21, 2), 1)}
     assert {r for r in found if r[0] == "pointer"} == {("pointer", 202 + i, o, None) for i, o in enumerate(range(1, 21, 2), 1)}
+
+
+def test_documents_run_the_plan_of_their_parents_once(spark):
+    parents = spark.createDataFrame([([1, 2],)], "ks array<int>").select(F.explode("ks").alias("k"))
+    kids = spark.createDataFrame([(1, i) for i in range(3)], "k int, v int")
+    docs = document.build_snapshot_doc(parents, "k", [document.ChildCollection(n, kids, "k", ["v"], ["v"]) for n in ("a", "b")], ["k"], max_items=2)
+    assert "Generate" not in plan_of(docs)
+    assert data(docs) == [
+        (1, 0, '{"k":1,"a":[{"v":0},{"v":1}],"b":[{"v":0},{"v":1}]}'), (1, 1, '{"k":1,"a":[{"v":2}],"b":[{"v":2}]}'), (2, 0, '{"k":2,"a":[],"b":[]}'),
+    ]
