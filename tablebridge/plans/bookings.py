@@ -62,8 +62,9 @@ class BookingLoad:
         return cut_lineage(upgraded.drop("_folded", ACTION))
 
     @cached_property
-    def _resolved(self) -> tuple[DataFrame, DataFrame]:
-        """(rows with patient and whether that is a real person, generated people to create)."""
+    def _found(self) -> tuple[DataFrame, DataFrame]:
+        """(rows with patient, whether that is a real person and whether it is shared by name and phone; generated people to
+        create: match_key, id)."""
         known = self._real.select("id", "pid").groupBy(F.lower(norm_key(F.col("pid"))).alias("_folded")).agg(F.min("id").alias("patient"))
         with_pid = left_lookup(self.rows.filter("pid is not null").withColumn("_folded", F.lower("pid")), known, ["_folded"]).drop("_folded")
         unnamed = self.rows.filter("pid is null")
@@ -80,20 +81,28 @@ class BookingLoad:
         # New ids come after those of the real people made above.
         everyone = everyone.unionByName(self.people_made.select(F.lit(None).cast("string").alias("match_key"), "id"))
         grouped, created = resolve.find_or_create_entity(lone, key, "booking", everyone, "id")
-        first = distinct_on(cut_lineage(grouped), ["id"], [F.col("booking")]).select("id", "first_name", "last_name", "phone")
-        generated = created.select("id").join(first, "id").withColumn("pid", F.concat(F.lit("K"), F.col("id").cast("string"))).withColumn("is_generated", F.lit(True))
         real_rows = with_pid.unionByName(found.filter("patient is not null")).withColumn("is_real", F.lit(True))
         others = grouped.select(*self.rows.columns, F.col("id").alias("patient")).withColumn("is_real", F.lit(False))
-        return cut_lineage(real_rows.unionByName(others).unionByName(own)), cut_lineage(generated)
+        held_or_real = real_rows.unionByName(own).withColumn("is_grouped", F.lit(False))
+        return cut_lineage(held_or_real.unionByName(others.withColumn("is_grouped", F.lit(True)))), created
 
     @property
+    def _resolved(self) -> DataFrame:
+        return self._found[0]
+
+    @cached_property
     def people_generated(self) -> DataFrame:
-        return self._resolved[1]
+        """Generated people to create, with what their first booking tells. Bookings alone do without."""
+        made = self._found[1].select("id")
+        named = self._resolved.filter("is_grouped").withColumnRenamed("patient", "id").join(made, "id", "left_semi")
+        first = distinct_on(named, ["id"], [F.col("booking")], ["id", "first_name", "last_name", "phone"])
+        generated = made.join(first, "id").withColumn("pid", F.concat(F.lit("K"), F.col("id").cast("string"))).withColumn("is_generated", F.lit(True))
+        return cut_lineage(generated)
 
     @cached_property
     def booking_rows(self) -> DataFrame:
         """The new target: relinked, kept and inserted bookings with their action."""
-        source = self._resolved[0]
+        source = self._resolved
         with_user = resolve.attribute_by_login(source.withColumn("user_id", F.lit(None).cast(self.users.schema["user_id"].dataType)), "login", self.users, "login", {"user_id": "user_id"})
         pairs = source.filter("is_real").select("booking", F.col("patient").alias("real_id"))
         moved, _ = resolve.relink_fk(self.bookings, "booking", "patient", pairs, self.people.filter("is_generated"), "id")
@@ -116,7 +125,7 @@ class BookingLoad:
         """The new people table: real ones, generated ones still in use, and the attribute of the last booking."""
         generated = self.people.filter("is_generated").join(self.people_freed.select("id"), "id", "left_anti")
         everyone = self._real.unionByName(generated.select(*self.people.columns)).unionByName(self.people_generated, allowMissingColumns=True)
-        last = self._resolved[0].select(F.col("patient").alias("id"), F.col(self.attribute).alias("_value"), "visit_at", "booking")
+        last = self._resolved.select(F.col("patient").alias("id"), F.col(self.attribute).alias("_value"), "visit_at", "booking")
         out = merge.last_wins_attribute(everyone, last, "id", "_value", [F.col("visit_at"), F.col("booking")], self.attribute)
         return out.select(*self.people.columns)
 
