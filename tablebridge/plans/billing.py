@@ -85,7 +85,7 @@ class BillingLoad:
     def _exam_facts(self) -> DataFrame:
         """One row per exam id; of repeated ids the first in order of booking, place and date."""
         order = [x for n in ("appointment", "location", "exam_date") for x in (F.col(n).isNull(), F.col(n))]
-        return distinct_on(self.exams.filter("id is not null"), ["id"], order, ["id", "appointment", "location", "exam_date"])
+        return cut_lineage(distinct_on(self.exams.filter("id is not null"), ["id"], order, ["id", "appointment", "location", "exam_date"]))
 
     def _with_booking(self, rows: DataFrame) -> DataFrame:
         return left_lookup(rows, self._exam_facts.select(F.col("id").alias("exam"), "appointment"), ["exam"], sparse=True)

@@ -89,3 +89,10 @@ def test_a_second_run_makes_nothing(spark, folder):
     # Bills of the new system are as they were.
     new = bills.filter("old_exam_id is null")
     assert new.count() > 0 and new.exceptAll(after).count() == 0
+
+
+def test_facts_of_exams_are_gathered_once(spark, folder):
+    exams = spark.createDataFrame([(1, 5, None, None), (1, 4, None, None), (None, 3, None, None)], "id bigint, appointment bigint, location bigint, exam_date timestamp_ntz")
+    facts = BillingLoad(None, None, exams, None, None, None, None)._exam_facts
+    assert "Aggregate" not in facts._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r)[:2] for r in facts.collect()] == [(1, 4)]
