@@ -85,11 +85,12 @@ def shape_rows(spec: TableSpec, staging: DataFrame) -> DataFrame:
         *[F.col(c).alias(f"_raw_{c}") for c in sorted(raw)],
         *[f.clean(F.col(f.source)).alias(f.name) for f in spec.fields],
     )
-    for key in spec.keys:
-        base = base.filter(F.col(key).isNotNull())
     if spec.keys and spec.mode != "append":
         kept = [f.name for f in spec.fields] + sorted({f"_raw_{r.source}" for r in spec.relations})
         base = distinct_on(base, spec.keys, [F.col(f"_raw_{c}") for c in spec.order], kept)
+    # Behind the aggregate: before it, the filter would cleanse every key a second time.
+    for key in spec.keys:
+        base = base.filter(F.col(key).isNotNull())
     for r in spec.relations:
         source = asked_key(replace(r, source=f"_raw_{r.source}"))
         if r.placeholder is not None:
