@@ -8,10 +8,8 @@ from __future__ import annotations
 
 import math
 import re
-import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +18,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tablebridge.llm.staging import rows_of
+from tablebridge.llm.staging import gathered, parts_of, rows_of
 
 SPACE = "▁"
 #: Longest stretch of letters (or other characters, or spaces) that is segmented in one go, in code points.
@@ -28,7 +26,7 @@ LONGEST = 256
 #: A unit: spaces and the letters, or the other characters, after them. No piece of the vocabulary joins letters and others, or letters before a space.
 UNIT = re.compile(rf"{SPACE}{{0,{LONGEST}}}[^\W\d_]{{1,{LONGEST}}}|{SPACE}{{0,{LONGEST}}}(?:(?!{SPACE})[\W\d_]){{1,{LONGEST}}}|{SPACE}{{1,{LONGEST}}}")
 #: Characters of text in a block of documents that share one list of units.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 16_000_000
 #: Buckets of units by hash, and partitions that they are dealt to at least: few units each, so that the lattice is sorted in memory.
 BUCKETS, PARTITIONS = 4096, 256
 #: The model's scores are ranks of merges, not chances; a piece of rank r weighs -log(EVEN + r). A character without a piece weighs the least of them less PENALTY.
@@ -47,76 +45,84 @@ def pieces(path: str) -> list[tuple[str, float]]:
     return out
 
 
-#: A number as four bytes.
-NUMBER = struct.Struct("<I").pack
-
-
 def units_of(text: str) -> list[str]:
     return UNIT.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
-@lru_cache(200_000)
-def units_of_word(word: str) -> tuple[str, ...]:
+def units_of_word(word: str) -> list[str]:
     """The units of a word after a single space; letters alone are one."""
-    return (SPACE + word,) if word.isalpha() and len(word) <= LONGEST else tuple(UNIT.findall(SPACE + word))
+    return [SPACE + word] if word.isalpha() and len(word) <= LONGEST else UNIT.findall(SPACE + word)
+
+
+def plain(text: str) -> bool:
+    """No unit goes over a single space, so words stand alone."""
+    return bool(text) and text[0] != " " and text[-1] != " " and "  " not in text and SPACE not in text
 
 
 class Block:
     """The distinct units of a stretch of documents, numbered as they come, and its documents as numbers."""
 
     def __init__(self) -> None:
-        self.units: dict[str, int] = {}
-        self.words: dict[str, bytes] = {}
-        self.docs: list[tuple[int | None, int, bytes]] = []
+        self.docs: list[int | None] = []
+        self.texts: list[str] = []
         self.size = 0
 
-    def numbers(self, units: list[str]) -> bytes:
-        known = self.units
-        return np.array([known.setdefault(u, len(known)) for u in units], np.uint32).tobytes()
-
     def add(self, doc: int | None, text: str) -> None:
-        if not text or text[0] == " " or text[-1] == " " or "  " in text or SPACE in text:
-            own = self.numbers(units_of(text))
-        else:  # no unit goes over a single space, so words are looked up
-            words = text.split(" ")
-            known = self.units
-            for w in set(words).difference(self.words):
-                self.words[w] = b"".join([NUMBER(known.setdefault(u, len(known))) for u in units_of_word(w)])
-            own = b"".join(map(self.words.__getitem__, words))
-        self.docs.append((doc, xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")), own))
+        self.docs.append(doc)
+        self.texts.append(text)
         self.size += len(text)
 
+    def numbered(self) -> tuple[list[str], list[np.ndarray]]:
+        """The units and the numbers of each document. Distinct words are cut once; a text that can't be cut at its spaces counts as one word."""
+        whole = [not plain(t) for t in self.texts]
+        words, at, n_words = parts_of(pa.array([None if w else t for t, w in zip(self.texts, whole, strict=True)], pa.large_string()), " ")
+        each = [units_of_word(w) for w in words] + [units_of(t) for t, w in zip(self.texts, whole, strict=True) if w]
+        units: dict[str, int] = {}
+        flat = np.array([units.setdefault(u, len(units)) for some in each for u in some], np.uint32)
+        size = np.fromiter(map(len, each), np.int64, len(each))
+        ends = np.cumsum(n_words)
+        word = np.insert(at.astype(np.int64), ends[whole], np.arange(len(words), len(each)))
+        ends = np.cumsum(np.where(whole, 1, n_words))
+        numbers = gathered(flat, np.cumsum(size) - size, size, word)
+        return list(units), np.split(numbers, np.insert(np.cumsum(size[word]), 0, 0)[ends[:-1]]) if len(ends) else []
+
     def closed(self, block: int) -> Iterator[pa.RecordBatch]:
         """A row for each bucket with its units in order, then one with the documents, whose numbers follow the order of buckets and units."""
-        units = list(self.units)
+        units, docs = self.numbered()
+        units = units or [SPACE]  # so that each block has an answer
         bucket = np.fromiter(map(zlib.crc32, map(str.encode, units)), np.uint32, len(units)) % BUCKETS
         order = np.argsort(bucket, kind="stable")
         place = np.empty(len(order), np.uint32)
         place[order] = np.arange(len(order), dtype=np.uint32)
         bucket, units = bucket[order], [units[i] for i in order.tolist()]
-        edges = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(units)] if units else [0]
-        lists = [" ".join(units[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
-        yield self.batch([bucket[edges[:-1]].tolist(), [block] * len(lists), lists, [None] * len(lists)])
+        edges = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(units)]
+        lists = [" ".join(units[a:b]).encode() for a, b in zip(edges, edges[1:], strict=False)]
+        yield self.batch([bucket[edges[:-1]].tolist(), [block] * len(lists), lists])
         table = pa.table(
             [
-                pa.array([d for d, _, _ in self.docs], pa.int64()), pa.array([h for _, h, _ in self.docs], pa.uint64()),
-                pa.array([place[np.frombuffer(n, np.uint32)].tobytes() for _, _, n in self.docs], pa.binary()),
+                pa.array(self.docs, pa.int64()), pa.array([xxhash.xxh64_intdigest(t.encode()) for t in self.texts], pa.uint64()),
+                pa.array([place[n].tobytes() for n in docs], pa.binary()),
             ],
             ["doc_id", "sum", "numbers"],
         )
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, table.schema) as out:
             out.write_table(table, 1000)
-        yield self.batch([[-1], [block], [None], [zstandard.ZstdCompressor(3).compress(sink.getvalue())]])
+        yield self.batch([[home(block)], [block], [zstandard.ZstdCompressor(3).compress(sink.getvalue())]])
 
     @staticmethod
     def batch(cols: list[list]) -> pa.RecordBatch:
-        kinds = (pa.int32(), pa.int64(), pa.string(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds, strict=True)], ["bucket", "block", "units", "pack"])
+        kinds = (pa.int64(), pa.int64(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds, strict=True)], ["bucket", "block", "held"])
+
+
+def home(block):
+    """The bucket of a block's documents; those of units are 0 and more."""
+    return -1 - block
 
 
 def coded(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) -> (bucket, block, units, pack): each block's distinct units by buckets of their hash, joined by spaces, and its documents.
+    """(doc_id, text) -> (bucket, block, held): each block's distinct units by buckets of their hash, joined by spaces, and its documents in a bucket below 0.
 
     A block is a bounded stretch of one partition; its name is the partition and the place in it, the
     same whenever a lost task runs again.
@@ -133,7 +139,7 @@ def coded(docs: DataFrame) -> DataFrame:
         if block.docs:
             yield from block.closed(name)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "bucket int, block long, units string, pack binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "bucket long not null, block long, held binary")
 
 
 def viterbi(edges: Column) -> Column:
@@ -199,8 +205,7 @@ class Spelling:
         self.start, self.size = begins[heads], np.add.reduceat(each, heads) if len(ids) else heads
 
     def of(self, numbers: np.ndarray) -> np.ndarray:
-        size = self.size[numbers]
-        return self.flat[np.repeat(self.start[numbers] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+        return gathered(self.flat, self.start, self.size, numbers)
 
 
 def bytes_of(table: list[tuple[str, float]]) -> list[bytes]:
@@ -228,20 +233,22 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     have no pieces and decode to an empty text. Repeated rows and null ids stay. Other columns are not
     read. An empty table gives an empty one. Units travel in lists, once for each block that holds
     them, so a frequent word brings one entry a block. Buckets of hashes are dealt out once: distinct
-    units, lattice, fold and answers need no further shuffle of units.
+    units, lattice, fold and answers need no further shuffle of units. The same shuffle holds the
+    documents: both readers of `both` take all its columns and rows, so that Spark reuses one exchange,
+    and the texts are cut once. Answers travel to where their block's documents lie.
     """
     spark: SparkSession = docs.sparkSession
     table = pieces(path)
-    both = coded(docs)
     parts = max(PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    listed = both.where("pack is null").select("bucket", "block", "units").repartition(parts, "bucket")
-    placed = listed.select("bucket", "block", F.posexplode(F.split("units", " ")).alias("at", "unit"))
+    both = coded(docs).repartition(parts, "bucket")
+    # Outer, as a filter on what is exploded must not move below the shuffle.
+    listed = F.split(F.when(F.col("bucket") >= 0, F.col("held").cast("string")), " ")
+    placed = both.select("bucket", "block", F.posexplode_outer(listed).alias("at", "unit")).where("unit is not null")
     distinct = placed.groupBy("bucket", "unit").agg(F.collect_list(F.struct("block", "at")).alias("kept"))
     answers = segmented(distinct, table).select("bucket", F.array_join("ids", " ").alias("ids"), F.explode("kept").alias("p"))
     told = answers.groupBy("bucket", "p.block").agg(F.array_sort(F.collect_list(F.struct("p.at", "ids"))).alias("l"))
-    told = told.select("block", "bucket", F.array_join(F.transform("l", lambda x: x["ids"]), ",").alias("ids"))
-    lists = told.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "ids"))).alias("l")).select("block", F.col("l.ids").alias("ids"))
-    packs = both.where("pack is not null").select("block", "pack")
+    told = told.select(home(F.col("block")).alias("home"), F.col("bucket").alias("of"), F.array_join(F.transform("l", lambda x: x["ids"]), ",").alias("ids"))
+    lists = told.repartition(parts, "home").groupBy("home").agg(F.array_sort(F.collect_list(F.struct("of", "ids"))).alias("l")).select("home", F.col("l.ids").alias("ids"))
     sent, byte = spark.sparkContext.broadcast(table), first_byte(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,9 +257,9 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         names = [x.split()[0] for x in SCHEMA.split(", ")]
         for b in batches:
             for k in range(b.num_rows):
-                units = Spelling([x for bucket in b.column(1)[k].as_py() or () for x in bucket.split(",")], byte)
+                units = Spelling([x for bucket in b.column(2)[k].as_py() for x in bucket.split(",")], byte)
                 rows, size = [], 0
-                for batch in pa.ipc.open_stream(open_(b.column(0)[k].as_py())):
+                for batch in pa.ipc.open_stream(open_(b.column(1)[k].as_py())):
                     for doc, total, numbers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                         joined = units.of(np.frombuffer(numbers, np.uint32))
                         text = text_of(joined.tolist(), raw)
@@ -264,4 +271,4 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    return packs.join(lists, "block", "left").select("pack", "ids").mapInArrow(run, SCHEMA)
+    return both.join(lists, F.col("bucket") == F.col("home")).select("block", "held", "ids").mapInArrow(run, SCHEMA)

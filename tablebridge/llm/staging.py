@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -34,3 +35,16 @@ def rows_of(batches: Iterator[pa.RecordBatch], at_most: int = 4096, chars: int =
             total += n
         if sizes:
             yield batch.slice(start)
+
+
+def parts_of(texts: pa.Array, mark: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Texts cut at a mark: the distinct parts, the number of each part as they come, and how many parts each text has (null: none)."""
+    lists = pc.split_pattern(texts, mark)
+    found = lists.flatten().dictionary_encode()
+    return found.dictionary.to_pylist(), found.indices.to_numpy(zero_copy_only=False), pc.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False)
+
+
+def gathered(flat: np.ndarray, start: np.ndarray, size: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """The stretches of flat that numbers name by their start and size, one after another."""
+    n = size[numbers]
+    return flat[np.repeat(start[numbers] - (np.cumsum(n) - n), n) + np.arange(n.sum())]

@@ -58,3 +58,22 @@ def test_round_trips(spark, monkeypatch):
 def test_the_space_sign_is_told_from_a_space(spark):
     df = spark.createDataFrame([(1, "a▁b"), (1, "a▁b"), (2, "a b")], "doc_id long, text string")
     assert sorted((x.doc_id, x.decoded, x.exact) for x in p.encode(df, PATH).collect()) == [(1, "a b", False)] * 2 + [(2, "a b", True)]
+
+
+def test_texts_are_cut_once_and_shuffled_once(spark):
+    df = spark.createDataFrame([(i, f"some words of text {i}") for i in range(50)], "doc_id long, text string")
+    found = p.encode(df, PATH)
+    assert all(x.exact for x in found.collect())
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") == 1 and plan.count("MapInArrow run(doc_id") == 1
+
+
+def test_numbers_of_a_block_name_the_units_of_each_text():
+    texts = ["a b c.", "  x", "", "aa, bb", " ", "a a a", "b  b", "1a é!\n日本 x", "x " * 300 + "y", "z▁z"]
+    for some in (texts, texts[::-1], [""], ["", " "], ["a"]):
+        block = p.Block()
+        for t in some:
+            block.add(None, t)
+        units, docs = block.numbered()
+        assert [[units[i] for i in n] for n in docs] == [p.units_of(t) for t in some]
+    assert len(list(p.Block().closed(0))) == 2
