@@ -25,17 +25,35 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tablebridge.llm.staging import rows_of, stage
+from tablebridge.llm.staging import gathered, parts_of, rows_of, stage
 from tablebridge.session import new_run_folder
 
 BITS, LANES, STEPS, BLOCK = 20, 1024, 128, 524_288
 LOW = np.uint64(1 << 31)
 HEAD = struct.Struct("<4sBBHQIIIII")
 #: After so many distinct words a Python worker lays them aside; it forgets those laid aside before.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 600_000
+
+
+class Spelled:
+    """The ids of numbered words in one array."""
+
+    def __init__(self, dtype: np.dtype) -> None:
+        self.number: dict[str, int] = {}
+        self.flat, self.start, self.size = np.zeros(0, dtype), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, words: list[str], flat: list[int] | np.ndarray, size: list[int] | np.ndarray) -> None:
+        size = np.asarray(size, np.int64)
+        self.number.update(zip(words, range(len(self.size), len(self.size) + len(words)), strict=True))
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
+        self.flat, self.size = np.concatenate([self.flat, np.asarray(flat, self.flat.dtype)]), np.concatenate([self.size, size])
+
+    def of(self, numbers: np.ndarray) -> np.ndarray:
+        return gathered(self.flat, self.start, self.size, numbers)
 
 
 class Encoder:
@@ -55,49 +73,77 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.library, self.dtype, self.words, self.older = Tokenizer.from_file(path), np.dtype(dtype), {}, {}
+        self.library, self.dtype = Tokenizer.from_file(path), np.dtype(dtype)
+        self.words, self.older = Spelled(self.dtype), Spelled(self.dtype)
         self.model, kept = self.library.model, [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in kept]
         self.letters = {b: b for b in kept} | {b: 256 + i for i, b in enumerate(rest)}  # the byte-level alphabet
 
-    def raw(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.dtype).tobytes() for x in found]
+    def raw(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, words: list[str]) -> None:
         """Words of Latin letters after a space are one piece for the splitter, so the merges alone encode them."""
-        plain = [w for w in words if w[1:].isalpha() and w[0] == " " and max(w) < "\u0250"]
-        for w in plain:
-            found = self.model.tokenize(w.encode().decode("latin-1").translate(self.letters))
-            self.words[w] = np.array([x.id for x in found], self.dtype).tobytes()
-        rest = list(set(words).difference(plain))
-        self.words.update(zip(rest, self.raw(rest), strict=True))
-
-    def remember(self, wanted: set[str]) -> None:
-        if len(self.words) > KEPT_WORDS:
-            self.older, self.words = self.words, {}
-        missing = wanted.difference(self.words)
-        for w in missing & self.older.keys():
-            self.words[w] = self.older[w]
-        missing.difference_update(self.older)
-        ended = {w: s for w in missing if (s := w.rstrip(self.ENDS)) != w and s[-1:].isalpha()}
-        stems, tails = set(ended.values()), {w[len(s) :] for w, s in ended.items()}
-        plain = ((missing - ended.keys()) | stems | tails).difference(self.words)
-        self.learn(list(plain))
-        for w, s in ended.items():
-            self.words[w] = self.words[s] + self.words[w[len(s) :]]
+        plain, rest, flat, size = [], [], [], []
+        tokenize, letters = self.model.tokenize, self.letters
+        for w in words:
+            if w[0] != " " or not w[1:].isalpha():
+                rest.append(w)
+                continue
+            if w.isascii():
+                found = tokenize("\u0120" + w[1:])
+            elif max(w) < "\u0250":
+                found = tokenize(w.encode().decode("latin-1").translate(letters))
+            else:
+                rest.append(w)
+                continue
+            plain.append(w)
+            flat += [x.id for x in found]
+            size.append(len(found))
+        self.words.add(plain, flat, size)
+        found = self.raw(rest)
+        self.words.add(rest, [i for x in found for i in x], [len(x) for x in found])
+
+    def meet(self, words: list[str]) -> None:
+        """Add distinct words that `self.words` has not."""
+        older = self.older.number
+        if older:
+            again = [w for w in words if w in older]
+            at = np.array([older[w] for w in again], np.int64)
+            self.words.add(again, self.older.of(at), self.older.size[at])
+            words = [w for w in words if w not in older]
+        ended = {w: s for w in words if not w[-1].isalnum() and (s := w.rstrip(self.ENDS)) != w and s[-1:].isalpha()}
+        self.learn([w for w in words if w not in ended] if ended else words)
+        if ended:
+            stems, tails = list(ended.values()), [w[len(s) :] for w, s in ended.items()]
+            self.meet(list({*stems, *tails}.difference(self.words.number)))
+            at = np.array([self.words.number[x] for both in zip(stems, tails, strict=True) for x in both], np.int64)
+            self.words.add(list(ended), self.words.of(at), self.words.size[at].reshape(-1, 2).sum(axis=1))
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """Where `self.words` has distinct words; new ones are learnt first."""
+        if len(self.words.number) > KEPT_WORDS:
+            self.older, self.words = self.words, Spelled(self.dtype)
+        at = list(map(self.words.number.get, words))
+        missing = [w for w, n in zip(words, at, strict=True) if n is None]
+        if missing:
+            self.meet(missing)
+            known = iter(map(self.words.number.__getitem__, missing))
+            at = [next(known) if n is None else n for n in at]
+        return np.array(at, np.int64)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        parts: list[list[str] | None] = []
-        for t in texts:
-            odd = t and (t[0] in " \n" or t[-1] in " \n" or any(x in t for x in self.ODD))
-            parts.append(None if odd else t.replace("\n", "\x1c\n").replace(" ", "\x1c ").split("\x1c") if t else [])
-        self.remember(set().union(*(p for p in parts if p)))
-        get = self.words.__getitem__
-        out = [b"" if p is None else b"".join(map(get, p)) for p in parts]
-        whole = [i for i, p in enumerate(parts) if p is None]
+        odd = [bool(t) and (t[0] in " \n" or t[-1] in " \n" or any(x in t for x in self.ODD)) for t in texts]
+        cut = pa.array([t if t and not o else None for t, o in zip(texts, odd, strict=True)], pa.large_string())
+        cut = pc.replace_substring(pc.replace_substring(cut, "\n", "\x1c\n"), " ", "\x1c ")
+        words, at, n_words = parts_of(cut, "\x1c")
+        each = self.numbers(words)[at]
+        flat = self.words.of(each).tobytes()
+        ends = np.insert(np.cumsum(self.words.size[each]), 0, 0)[np.cumsum(n_words)] * self.dtype.itemsize
+        out = [flat[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
+        whole = [i for i, o in enumerate(odd) if o]
         for i, x in zip(whole, self.raw([texts[i] for i in whole]), strict=True):
-            out[i] = x
+            out[i] = np.array(x, self.dtype).tobytes()
         return out
 
 
@@ -112,7 +158,7 @@ def token_ids(docs: DataFrame, path: str, end_id: int, dtype: str = "<u2") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = encoder_of(path, dtype), np.array([end_id], dtype).tobytes()
-        for b in rows_of(batches, chars=4_000_000):
+        for b in rows_of(batches, chars=8_000_000):
             ids = [x + end for x in encoder.encode(b.column(1).to_pylist())]
             n = [len(x) // encoder.dtype.itemsize for x in ids]
             crc = [zlib.crc32(np.frombuffer(x, dtype).astype("<u4").tobytes()) for x in ids]

@@ -27,6 +27,23 @@ def test_ids_equal_the_library():
         assert np.frombuffer(got, "<u2").tolist() == want.ids, repr(t)
 
 
+def test_words_are_learnt_once_and_kept_over_a_change_of_generations(monkeypatch):
+    monkeypatch.setattr(rans, "KEPT_WORDS", 30)
+    r, mine, library = random.Random(8), rans.Encoder(PATH, "<u2"), Tokenizer.from_file(PATH)
+    words = [f"{''.join(r.choice('abcdé') for _ in range(3))}{e}" for _ in range(20) for e in ("", ".", "?!", "),")]
+    seen = []
+    real = mine.learn
+    mine.learn = lambda some: seen.append(some) or real(some)
+    for k in range(40):
+        texts = [" ".join(r.choice(words) for _ in range(8)) + "\nx." for _ in range(k % 3)] + [None, "", " odd  "]
+        got = [np.frombuffer(x, "<u2").tolist() for x in mine.encode(texts)]
+        assert got == [x.ids for x in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert all(len(set(some)) == len(some) for some in seen) and len(mine.older.number) > 30
+    learnt = sum(map(len, seen))
+    mine.encode([t for t in texts if t])
+    assert sum(map(len, seen)) == learnt
+
+
 @pytest.mark.parametrize("n", [1, 255, 256, 257, rans.LANES * rans.STEPS, rans.LANES * rans.STEPS * 2 + 77])
 def test_blocks_decode_whole_and_from_checkpoints(n):
     rng = np.random.default_rng(n)
