@@ -18,7 +18,7 @@ POSITIVES, NEGATIVES, LOW, HIGH = 5, 3, 50, 95
 #: Rows whose lists are sorted together, and anchors that visit them together: the memory of a task, at every size of the table.
 SHARD, BATCH = 4096, 1024
 #: Depths of sorted access taken in the first step; each further step takes twice as many.
-FIRST_STEP = 16
+FIRST_STEP = 64
 
 
 def whole(vector: Column) -> Column:
@@ -58,8 +58,16 @@ class Lists:
     def __init__(self, rows: pa.StructArray, width: int):
         self.ids, self.labels = np.asarray(rows.field("vec_id")), np.asarray(rows.field("label"))
         self.q = matrix(rows.field("q"), width)
-        self.order = np.argsort(self.q, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(self.q, self.order, axis=0)
+        self.real, self.most = self.q.astype(float), float(np.abs(self.q).max(initial=0))
+        self.order = np.argsort(self.q.T, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(self.q.T, self.order, axis=1)
+
+    def exact(self, anchor: np.ndarray) -> bool:
+        """Scores and thresholds are whole numbers that doubles hold."""
+        return len(anchor) * self.most * float(np.abs(anchor).max(initial=0)) < 2**53
+
+    def scores(self, rows: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+        return (self.real[rows] @ anchor.astype(float)).astype(np.int64) if self.exact(anchor) else self.q[rows] @ anchor
 
     def visit(self, anchor: np.ndarray, enough: Callable[[np.ndarray, np.ndarray, int], bool]) -> tuple[np.ndarray, np.ndarray]:
         """Row numbers seen and their scores when `enough(numbers, scores, threshold)` holds.
@@ -71,20 +79,21 @@ class Lists:
         n = len(self.ids)
         used = np.flatnonzero(anchor)
         up = anchor[used] > 0
+        high, low, part, exact = used[up], used[~up], anchor[used], self.exact(anchor)
         seen = np.zeros(n, bool)
         numbers, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
         depth, step = 0, FIRST_STEP
         while depth < n and len(used):
             end = min(n, depth + step)
-            read = np.concatenate([self.order[n - end : n - depth, used[up]].ravel(), self.order[depth:end, used[~up]].ravel()])
             fresh = np.zeros(n, bool)
-            fresh[read] = True
+            fresh[self.order[high, n - end : n - depth]] = True
+            fresh[self.order[low, depth:end]] = True
             new = np.flatnonzero(fresh & ~seen)
             seen |= fresh
-            numbers, scores = np.concatenate([numbers, new]), np.concatenate([scores, product(self.q[new], anchor)])
-            at = np.where(up, self.sorted[n - end, used], self.sorted[end - 1, used])
+            numbers, scores = np.concatenate([numbers, new]), np.concatenate([scores, self.scores(new, anchor)])
+            at = np.where(up, self.sorted[used, n - end], self.sorted[used, end - 1])
             depth, step = end, 2 * step
-            if len(numbers) == n or enough(numbers, scores, sum(int(x) * int(y) for x, y in zip(anchor[used], at, strict=True))):
+            if len(numbers) == n or enough(numbers, scores, int(part @ at) if exact else sum(int(x) * int(y) for x, y in zip(part, at, strict=True))):
                 return numbers, scores
         return np.arange(n), product(self.q, anchor)
 

@@ -88,3 +88,21 @@ def test_nulls_repeats_odd_vectors_and_empty_tables(spark):
 def test_large_components_are_exact():
     big = np.array([[2**28, -(2**28) + 1]], np.int64)
     assert hard_negatives.product(big, big[0]).tolist() == [2**56 + (2**28 - 1) ** 2]
+
+
+def test_scores_come_from_one_copy_in_doubles_unless_they_would_not_be_exact():
+    import pyarrow as pa
+
+    r = np.random.default_rng(6)
+    for most in (100, 2**28):
+        rows = [{"vec_id": i, "label": 1, "q": r.integers(-most, most, 5).tolist()} for i in range(300)]
+        lists = hard_negatives.Lists(pa.array(rows), 5)
+        for anchor in (r.integers(-most, most, 5), np.array([0, 3, 0, -2, 0]), np.zeros(5, np.int64)):
+            want = [sum(int(x) * int(y) for x, y in zip(row["q"], anchor, strict=True)) for row in rows]
+            assert lists.scores(np.arange(300), anchor).tolist() == want
+            numbers, scores = lists.visit(anchor, lambda n, s, t: False)
+            assert sorted(numbers.tolist()) == list(range(300)) and scores.tolist() == [want[i] for i in numbers]
+            seen = []
+            lists.visit(anchor, lambda n, s, t: seen.append((set(n.tolist()), t)) or False)
+            assert all(want[i] <= t for some, t in seen for i in range(300) if i not in some)
+        assert lists.exact(np.array([100] * 5)) and lists.exact(np.array([2**28] * 5)) == (most == 100)
