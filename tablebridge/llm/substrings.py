@@ -8,8 +8,9 @@ window's sampled word pair ("minimizer") names its shard, so that equal windows
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import tee
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,8 @@ SPAN, GRAM = 13, 5
 REACH = SPAN - GRAM + 1
 #: Reference words in one automaton.
 SHARD_WORDS = 150_000
+#: Bytes of words that are hashed together.
+TOGETHER = 100_000
 ODD, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
@@ -44,23 +47,56 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     begins = np.cumsum(lengths) - lengths
     codes = np.frombuffer(b"".join(words), np.uint8).astype(np.uint64) + np.uint64(1)
     at = np.arange(len(codes)) - np.repeat(begins, lengths)
-    codes *= powers()[at & 4095] ^ (at >> 12).astype(np.uint64)
+    codes *= powers()[at] if lengths.max() <= 4096 else powers()[at & 4095] ^ (at >> 12).astype(np.uint64)
     return mix(np.add.reduceat(codes, begins))
 
 
 def samples(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows that share their least gram: (gram hash as signed, first window, windows). Equal windows have equal grams."""
-    if len(words) < SPAN:
-        return (np.zeros(0, np.int64),) * 3
-    h = word_hashes(words)
+    return next(samples_of([words]))
+
+
+def samples_of(texts: Iterable[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For the words of each text, runs of windows that share their least gram: (gram hash as signed, first window, windows). Equal windows have equal grams.
+
+    Short texts are hashed together, up to some TOGETHER bytes; no window goes over the end of a text.
+    """
+    held, size = [], 0
+    for words in texts:
+        held.append(words)
+        size += sum(map(len, words)) if len(words) < TOGETHER else TOGETHER
+        if size >= TOGETHER:
+            yield from sampled(held)
+            held, size = [], 0
+    if held:
+        yield from sampled(held)
+
+
+def sampled(texts: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    windows = np.array([max(0, len(words) - SPAN + 1) for words in texts])
+    ends = np.cumsum(windows)
+    if not ends[-1]:
+        yield from [(np.zeros(0, np.int64),) * 3] * len(texts)
+        return
+    h = word_hashes([w for words, n in zip(texts, windows.tolist(), strict=True) if n for w in words])
     n = len(h) - GRAM + 1
     grams = np.zeros(n, np.uint64)
     for j in range(GRAM):
         grams = grams * STEP + h[j : j + n]
     grams = mix(grams)
-    at = np.lib.stride_tricks.sliding_window_view(grams, REACH).argmin(axis=1) + np.arange(n - REACH + 1)
-    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    return grams[at[first]].view(np.int64), first, np.diff(np.append(first, len(at)))
+    m = n - REACH + 1
+    least, at = grams[:m].copy(), np.arange(m)
+    for j in range(1, REACH):
+        less = grams[j : j + m] < least
+        np.copyto(least, grams[j : j + m], where=less)
+        at[less] = np.flatnonzero(less) + j
+    begins = np.cumsum(np.where(windows > 0, windows + SPAN - 1, 0)) - np.where(windows > 0, windows + SPAN - 1, 0)
+    own = np.arange(ends[-1]) - np.repeat(ends - windows, windows)  # a window's place in its text
+    at = at[own + np.repeat(begins, windows)]
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]) | (own == 0))
+    gram, many, first_own = grams[at[first]].view(np.int64), np.diff(np.append(first, len(at))), own[first]
+    cuts = np.searchsorted(first, ends)
+    for x, y in zip([0, *cuts.tolist()], cuts.tolist(), strict=False):
+        yield gram[x:y], first_own[x:y], many[x:y]
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -77,7 +113,8 @@ def asked(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows_of(batches, chars=16_000_000):
-            found = [(doc, np.unique(samples(words_of(t))[0])) for doc, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if doc is not None]
+            named = [(doc, t) for doc, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if doc is not None]
+            found = [(doc, np.unique(s[0])) for (doc, _), s in zip(named, samples_of(words_of(t) for _, t in named), strict=True)]
             if not found:
                 continue
             gram = np.concatenate([g for _, g in found])
@@ -153,11 +190,9 @@ def fragments(texts: DataFrame) -> DataFrame:
         names = [x.split()[0] for x in FRAGMENT.split(", ")]
         for b in batches:
             rows: list[tuple] = []
-            for doc, key, pack, grams, copied in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if not grams or key in (copied or ()):
-                    continue
-                words = open_(pack).split()
-                gram, first, n = samples(words)
+            some = [x for x in zip(*(c.to_pylist() for c in b.columns), strict=True) if x[3] and x[1] not in (x[4] or ())]
+            first_read, second_read = tee(open_(pack).split() for _, _, pack, _, _ in some)
+            for (doc, key, _, grams, _), words, (gram, first, n) in zip(some, first_read, samples_of(second_read), strict=True):
                 for k in np.flatnonzero(np.isin(gram, np.array(grams, np.int64))).tolist():
                     f = b" ".join(words[first[k] : first[k] + n[k] + SPAN - 1])
                     rows.append((doc, key, int(first[k]), int(gram[k]), digest_of(f), f))

@@ -1,5 +1,6 @@
 """Repeated passages against brute force."""
 
+import itertools
 import random
 
 from tablebridge.llm import substrings as s
@@ -76,3 +77,14 @@ def test_shards_larger_than_an_automaton(monkeypatch):
     whole = s.judged(parts)
     monkeypatch.setattr(s, "SHARD_WORDS", 100)
     assert s.judged(parts) == whole
+
+
+def test_texts_sampled_together_sample_what_they_sample_alone(monkeypatch):
+    r = random.Random(12)
+    texts = [[b"%d" % r.randrange(6) for _ in range(r.choice((0, 1, 12, 13, 14, 40, 300)))] for _ in range(200)] + [[b"x" * 9000] * 20, [b"a"] * 50]
+    alone = [[x.tolist() for x in s.samples(words)] for words in texts]
+    for together in (1, 700, s.TOGETHER):
+        monkeypatch.setattr(s, "TOGETHER", together)
+        assert [[x.tolist() for x in found] for found in s.samples_of(texts)] == alone
+    for words, (gram, first, n) in zip(texts, alone, strict=True):
+        assert sum(n) == max(0, len(words) - s.SPAN + 1) and first == [0, *itertools.accumulate(n)][: len(gram)]
