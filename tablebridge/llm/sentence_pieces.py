@@ -25,8 +25,8 @@ SPACE = "▁"
 LONGEST = 256
 #: A unit: spaces and the letters, or the other characters, after them. No piece of the vocabulary joins letters and others, or letters before a space.
 UNIT = re.compile(rf"{SPACE}{{0,{LONGEST}}}[^\W\d_]{{1,{LONGEST}}}|{SPACE}{{0,{LONGEST}}}(?:(?!{SPACE})[\W\d_]){{1,{LONGEST}}}|{SPACE}{{1,{LONGEST}}}")
-#: Characters of text in a block of documents that share one list of units.
-BLOCK_CHARS = 16_000_000
+#: Characters of text in a block of documents that share one list of units, distinct units after which it is closed all the same, and characters that are cut at once.
+BLOCK_CHARS, BLOCK_UNITS, CUT_CHARS = 16_000_000, 500_000, 4_000_000
 #: Buckets of units by hash, and partitions that they are dealt to at least: few units each, so that the lattice is sorted in memory.
 BUCKETS, PARTITIONS = 4096, 256
 #: The model's scores are ranks of merges, not chances; a piece of rank r weighs -log(EVEN + r). A character without a piece weighs the least of them less PENALTY.
@@ -60,31 +60,48 @@ def plain(text: str) -> bool:
 
 
 class Block:
-    """The distinct units of a stretch of documents, numbered as they come, and its documents as numbers."""
+    """The distinct units of a stretch of documents, numbered as they come, and its documents as numbers. Texts are dropped once their units are numbered."""
 
     def __init__(self) -> None:
         self.docs: list[int | None] = []
-        self.texts: list[str] = []
-        self.size = 0
+        self.sums: list[int] = []
+        self.numbers: list[np.ndarray] = []
+        self.units: dict[str, int] = {}
+        self.waiting: list[str] = []
+        self.size = self.waits = 0
 
     def add(self, doc: int | None, text: str) -> None:
         self.docs.append(doc)
-        self.texts.append(text)
+        self.sums.append(xxhash.xxh64_intdigest(text.encode()))
+        self.waiting.append(text)
         self.size += len(text)
-
-    def numbered(self) -> tuple[list[str], list[np.ndarray]]:
-        """The units and the numbers of each document. Distinct words are cut once; a text that can't be cut at its spaces counts as one word."""
-        whole = [not plain(t) for t in self.texts]
-        words, at, n_words = parts_of(pa.array([None if w else t for t, w in zip(self.texts, whole, strict=True)], pa.large_string()), " ")
-        each = [units_of_word(w) for w in words] + [units_of(t) for t, w in zip(self.texts, whole, strict=True) if w]
-        units: dict[str, int] = {}
+        self.waits += len(text)
+        if self.waits >= CUT_CHARS:
+            self.cut()
+
+    def full(self) -> bool:
+        return self.size >= BLOCK_CHARS or len(self.units) >= BLOCK_UNITS
+
+    def cut(self) -> None:
+        """Number the units of the texts that wait. Distinct words are cut once; a text that can't be cut at its spaces counts as one word."""
+        texts, units = self.waiting, self.units
+        whole = [not plain(t) for t in texts]
+        words, at, n_words = parts_of(pa.array([None if w else t for t, w in zip(texts, whole, strict=True)], pa.large_string()), " ")
+        each = [units_of_word(w) for w in words] + [units_of(t) for t, w in zip(texts, whole, strict=True) if w]
         flat = np.array([units.setdefault(u, len(units)) for some in each for u in some], np.uint32)
         size = np.fromiter(map(len, each), np.int64, len(each))
         ends = np.cumsum(n_words)
         word = np.insert(at.astype(np.int64), ends[whole], np.arange(len(words), len(each)))
         ends = np.cumsum(np.where(whole, 1, n_words))
         numbers = gathered(flat, np.cumsum(size) - size, size, word)
-        return list(units), np.split(numbers, np.insert(np.cumsum(size[word]), 0, 0)[ends[:-1]]) if len(ends) else []
+        if texts:
+            self.numbers += np.split(numbers, np.insert(np.cumsum(size[word]), 0, 0)[ends[:-1]])
+        self.waiting, self.waits = [], 0
+
+    def numbered(self) -> tuple[list[str], list[np.ndarray]]:
+        """The units and the numbers of each document."""
+        self.cut()
+        return list(self.units), self.numbers
 
     def closed(self, block: int) -> Iterator[pa.RecordBatch]:
         """A row for each bucket with its units in order, then one with the documents, whose numbers follow the order of buckets and units."""
@@ -100,7 +117,7 @@ class Block:
         yield self.batch([bucket[edges[:-1]].tolist(), [block] * len(lists), lists])
         table = pa.table(
             [
-                pa.array(self.docs, pa.int64()), pa.array([xxhash.xxh64_intdigest(t.encode()) for t in self.texts], pa.uint64()),
+                pa.array(self.docs, pa.int64()), pa.array(self.sums, pa.uint64()),
                 pa.array([place[n].tobytes() for n in docs], pa.binary()),
             ],
             ["doc_id", "sum", "numbers"],
@@ -133,7 +150,7 @@ def coded(docs: DataFrame) -> DataFrame:
         for b in rows_of(batches, chars=2_000_000):
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 block.add(doc, text or "")
-                if block.size >= BLOCK_CHARS:
+                if block.full():
                     yield from block.closed(name)
                     name, block = name + 1, Block()
         if block.docs:

@@ -77,3 +77,23 @@ def test_numbers_of_a_block_name_the_units_of_each_text():
         units, docs = block.numbered()
         assert [[units[i] for i in n] for n in docs] == [p.units_of(t) for t in some]
     assert len(list(p.Block().closed(0))) == 2
+
+
+def test_texts_of_a_block_are_cut_in_steps_and_dropped(monkeypatch):
+    monkeypatch.setattr(p, "CUT_CHARS", 50)
+    texts = [f"w{i % 7} some  text {i % 3}" if i % 5 else f"x{i} y" for i in range(200)]
+    block = p.Block()
+    for t in texts:
+        block.add(None, t)
+        assert sum(map(len, block.waiting)) < 50
+    units, docs = block.numbered()
+    assert [[units[i] for i in n] for n in docs] == [p.units_of(t) for t in texts]
+
+
+def test_a_block_of_many_distinct_units_is_full(monkeypatch):
+    monkeypatch.setattr(p, "CUT_CHARS", 1)
+    monkeypatch.setattr(p, "BLOCK_UNITS", 3)
+    block = p.Block()
+    for t, full in (("a b", False), ("b a", False), ("c", True)):
+        block.add(None, t)
+        assert block.full() == full
