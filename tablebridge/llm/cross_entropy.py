@@ -173,7 +173,8 @@ def groups(batches: Iterator[pa.RecordBatch], by: int) -> Iterator[list[tuple]]:
     """Rows in the order of column `by`, gathered by its values."""
     rows: list[tuple] = []
     for b in batches:
-        for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+        for k in range(b.num_rows):  # one row at a time, so that blobs are not held twice
+            row = tuple(c[k].as_py() for c in b.columns)
             if rows and rows[0][by] != row[by]:
                 yield rows
                 rows = []
@@ -182,26 +183,48 @@ def groups(batches: Iterator[pa.RecordBatch], by: int) -> Iterator[list[tuple]]:
         yield rows
 
 
+def numbered(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of all parts in order, and where each value of each part stands; the parts are given up."""
+    joined = np.concatenate(parts)
+    parts.clear()
+    order = np.argsort(joined)
+    joined = joined[order]
+    first = np.concatenate([[True], joined[1:] != joined[:-1]])
+    at = np.empty(len(order), np.uint32)
+    at[order] = np.cumsum(first, dtype=np.uint32) - np.uint32(1)
+    return joined[first], at
+
+
 def answered(requests: DataFrame, parts: int) -> DataFrame:
-    """The same rows with each key's counts over all chunks instead of the keys; and one row (null, words that end a pair, empty) a bucket."""
+    """The same rows with each key's counts over all chunks instead of the keys; and one row (null, words that end a pair, empty) a bucket.
+
+    Each bucket below `parts` has a task of its own: buckets that meet by hash would take the memory of several.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in groups(batches, 1):
-            names, columns = [r[:2] for r in rows], [list(c) for c in zip(*(unpack(r[2], 3) for r in rows), strict=True)]
-            rows.clear()  # what is packed, and each column once it is summed, makes room for the next step
+            names, columns = [r[:2] for r in rows], ([], [], [])
+            rows.reverse()
+            while rows:  # what is packed, and each column once it is used, makes room for the next
+                keys, *counts = unpack(rows.pop()[2], 3)
+                columns[0].append(np.cumsum(keys, dtype=np.uint64))
+                for column, n in zip(columns[1:], counts, strict=True):
+                    column.append(n.astype(np.uint32))  # a chunk has fewer words than that
             ends = np.cumsum([0, *(len(x) for x in columns[0])]).tolist()
-            sums = columns.pop(0)
-            for k, x in enumerate(sums):
-                sums[k] = np.cumsum(x, dtype=np.uint64)
-            joined = np.concatenate(sums)
-            del sums
-            keys, at = np.unique(joined, return_inverse=True)
-            del joined
-            totals = [np.bincount(at, np.concatenate(columns.pop(0), dtype=float, casting="unsafe"), len(keys)).astype(np.uint64) for _ in range(2)]
-            out = [(*name, pack(*(t[at[i:j]] for t in totals))) for name, i, j in zip(names, ends, ends[1:], strict=False)]
-            yield blobs([*out, (None, int((keys & ONE)[totals[1] > 0].sum()), b"")])
-
-    return requests.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(run, BLOB)
+            keys, at = numbered(columns[0])
+            totals = []
+            for column in columns[1:]:
+                total = np.zeros(len(keys), np.uint64)
+                for n, i, j in zip(column, ends, ends[1:], strict=False):
+                    total[at[i:j]] += n  # a chunk has a key once
+                totals.append(total)
+                column.clear()
+            yield blobs([(None, int((keys & ONE)[totals[1] > 0].sum()), b"")])
+            del keys
+            for k in range(0, len(names), 64):
+                yield blobs([(*name, pack(*(t[at[i:j]] for t in totals))) for name, i, j in zip(names[k : k + 64], ends[k:], ends[k + 1 :], strict=False)])
+
+    return requests.repartitionById(parts, F.col("bucket").cast("int")).sortWithinPartitions("bucket").mapInArrow(run, BLOB)
 
 
 SCHEMA = "doc_id long, n_tokens long, target_loss double, background_loss double, difference double"

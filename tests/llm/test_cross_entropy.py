@@ -4,7 +4,9 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tablebridge.llm import cross_entropy as ce
 
@@ -69,3 +71,22 @@ def test_rare_words_tell_texts_apart(spark, monkeypatch):
         assert got[i].n_tokens == len(ids) - 1 and (t is None) == (got[i].target_loss is None)
         assert t is None or (got[i].target_loss == pytest.approx(t) and got[i].background_loss == pytest.approx(b))
     assert got[2].difference < got[3].difference - 1
+
+
+def test_each_bucket_has_a_task_of_its_own(spark):
+    keys = [np.array(x, np.uint64) for x in ([3, 5, 9], [5, 9, 11], [2])]
+    rows = [(c, b, ce.pack(np.diff(k, prepend=np.uint64(0)), k % np.uint64(2), np.full(len(k), c + 1, np.uint64))) for b in range(16) for c, k in enumerate(keys)]
+    found = ce.answered(spark.createDataFrame(rows, ce.BLOB), 16).withColumn("task", F.spark_partition_id()).collect()
+    assert len({x.task for x in found}) == 16 and len(found) == 16 * 4
+    for b in range(16):
+        got = {x.chunk: [c.tolist() for c in ce.unpack(x.blob, 2)] for x in found if x.bucket == b and x.chunk is not None and x.blob}
+        assert got == {0: [[1, 2, 2], [1, 3, 3]], 1: [[2, 2, 1], [3, 3, 2]], 2: [[0], [3]]}
+    assert sorted(x.bucket for x in found if x.chunk is None) == [4] * 16
+
+
+def test_values_are_numbered_in_order():
+    r = np.random.default_rng(4)
+    parts = [np.unique(r.integers(0, 50, n).astype(np.uint64)) for n in (0, 1, 30, 60)]
+    keys, at = np.unique(np.concatenate(parts), return_inverse=True)
+    got = ce.numbered(list(parts))
+    assert got[0].tolist() == keys.tolist() and got[1].tolist() == at.tolist()
