@@ -184,24 +184,27 @@ def viterbi(edges: Column) -> Column:
 def segmented(units: DataFrame, table: list[tuple[str, float]]) -> DataFrame:
     """(bucket, unit, kept) of distinct units -> (bucket, unit, ids, kept); a character without a piece stands as minus its code point less one.
 
-    Rows that come partitioned by bucket stay where they are. Substring 0 of a unit is none: it
-    carries `kept` past the explosion. The piece table is the vocabulary's: its size is fixed by the
-    model, so it is broadcast.
+    Rows that come partitioned by bucket stay where they are. Units are numbered, so that the lattice
+    is sorted by numbers and not by strings; no number leaves its task. Substring 0 of a unit is none:
+    it carries the unit and `kept` past the explosion. The piece table is the vocabulary's: its size is
+    fixed by the model, so it is broadcast.
     """
     spark, longest = units.sparkSession, max(len(p) for p, w in table if not math.isnan(w))
     known = [(p, i, w) for i, (p, w) in enumerate(table) if not math.isnan(w)]
     lookup = spark.createDataFrame(known, "piece string, id int, weight double")
     least = min(w for _, _, w in known) - PENALTY
     n = F.length("unit")
-    starts = units.select("bucket", "unit", "kept", F.explode(F.sequence(F.lit(-1), n - 1)).alias("start"))
-    starts = starts.select("bucket", "unit", "start", F.when(F.col("start") < 0, F.col("kept")).alias("kept"))
+    starts = units.select("bucket", "unit", "kept", F.monotonically_increasing_id().alias("no")).select("*", F.explode(F.sequence(F.lit(-1), n - 1)).alias("start"))
+    starts = starts.select("bucket", "no", "unit", "start", F.when(F.col("start") < 0, F.struct("unit", "kept")).alias("own"))
     sizes = F.when(F.col("start") < 0, F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), F.least(n - F.col("start"), F.lit(longest))))
-    spans = starts.select("bucket", "unit", "kept", "start", F.explode(sizes).alias("size"))
-    found = spans.withColumn("piece", F.expr("substring(unit, start + 1, size)")).join(F.broadcast(lookup), "piece", "left").where("id is not null or size < 2")
+    spans = starts.select("*", F.explode(sizes).alias("size"))
+    spans = spans.select("bucket", "no", "own", "start", "size", F.expr("substring(unit, start + 1, size)").alias("piece"))
+    found = spans.join(F.broadcast(lookup), "piece", "left").where("id is not null or size < 2")
     code = -F.ascii("piece") - 1
     edge = F.struct((F.col("start") + F.col("size")).alias("end"), "start", F.coalesce("id", code).alias("id"), F.coalesce("weight", F.lit(least)).alias("weight"))
-    gathered = found.groupBy("bucket", "unit").agg(F.array_sort(F.collect_list(F.when(F.col("size") > 0, edge))).alias("edges"), F.first("kept", ignorenulls=True).alias("kept"))
-    return gathered.select("bucket", "unit", viterbi(F.col("edges")).alias("ids"), "kept")
+    edges = found.select("bucket", "no", "own", F.when(F.col("size") > 0, edge).alias("edge"))
+    gathered = edges.groupBy("bucket", "no").agg(F.sort_array(F.collect_list("edge")).alias("edges"), F.first("own", ignorenulls=True).alias("own"))
+    return gathered.select("bucket", "own.unit", viterbi(F.col("edges")).alias("ids"), "own.kept")
 
 
 class Spelling:
@@ -263,9 +266,9 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     placed = both.select("bucket", "block", F.posexplode_outer(listed).alias("at", "unit")).where("unit is not null")
     distinct = placed.groupBy("bucket", "unit").agg(F.collect_list(F.struct("block", "at")).alias("kept"))
     answers = segmented(distinct, table).select("bucket", F.array_join("ids", " ").alias("ids"), F.explode("kept").alias("p"))
-    told = answers.groupBy("bucket", "p.block").agg(F.array_sort(F.collect_list(F.struct("p.at", "ids"))).alias("l"))
+    told = answers.groupBy("bucket", "p.block").agg(F.sort_array(F.collect_list(F.struct("p.at", "ids"))).alias("l"))
     told = told.select(home(F.col("block")).alias("home"), F.col("bucket").alias("of"), F.array_join(F.transform("l", lambda x: x["ids"]), ",").alias("ids"))
-    lists = told.repartition(parts, "home").groupBy("home").agg(F.array_sort(F.collect_list(F.struct("of", "ids"))).alias("l")).select("home", F.col("l.ids").alias("ids"))
+    lists = told.repartition(parts, "home").groupBy("home").agg(F.sort_array(F.collect_list(F.struct("of", "ids"))).alias("l")).select("home", F.col("l.ids").alias("ids"))
     sent, byte = spark.sparkContext.broadcast(table), first_byte(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
