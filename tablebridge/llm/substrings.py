@@ -10,12 +10,12 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import tee
+from itertools import compress, tee
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tablebridge.llm.staging import rows_of, stage
 
@@ -144,15 +144,14 @@ def digest_of(raw: bytes) -> bytes:
     return hashlib.blake2b(raw, digest_size=16).digest()
 
 
-def keys(docs: DataFrame) -> DataFrame:
-    """(doc_id, key): a digest of each text."""
+def key_of(text: str) -> Column:
+    """A digest of a text's UTF-8 bytes (null: of none)."""
+    return F.substring(F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256)), 1, 16)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in rows_of(batches):
-            found = [digest_of((t or "").encode("utf-8", "surrogatepass")) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], ["doc_id", "key"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, key binary")
+def keys(docs: DataFrame) -> DataFrame:
+    """(doc_id, key): a digest of each text."""
+    return docs.select("doc_id", key_of("text").alias("key"))
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -161,11 +160,10 @@ def packed(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(3).compress
         for b in rows_of(batches):
-            raw = [(t or "").encode("utf-8", "surrogatepass") for t in b.column(1).to_pylist()]
-            found = [digest_of(x) for x in raw]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary()), pa.array([squeeze(x) for x in raw], pa.binary())], ["doc_id", "key", "pack"])
+            packs = [squeeze((t or "").encode("utf-8", "surrogatepass")) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(packs, pa.binary())], ["doc_id", "key", "pack"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, key binary, pack binary")
+    return docs.select("doc_id", "text", key_of("text").alias("key")).mapInArrow(run, "doc_id long, key binary, pack binary")
 
 
 def copies(texts: DataFrame) -> DataFrame:
@@ -228,30 +226,48 @@ class Automaton:
             p = self.link[p]
         return c
 
-    def add(self, words: list[bytes], doc: int) -> None:
-        last = 0
+    def add(self, words: list[bytes], doc: int) -> list[int]:
+        """The states of the sequence's prefixes: each stays the state of its prefix whatever is added later."""
+        last, passed = 0, []
+        moves, link, size, least = self.next, self.link, self.size, self.least
         for word in words:
-            q = self.next[last].get(word)
+            q = moves[last].get(word)
             if q is not None:
-                last = q if self.size[q] == self.size[last] + 1 else self.split(last, word, q)
+                last = q if size[q] == size[last] + 1 else self.split(last, word, q)
             else:
-                new, p = self.state(self.size[last] + 1, 0, {}), last
-                while p >= 0 and word not in self.next[p]:
-                    self.next[p][word] = new
-                    p = self.link[p]
+                new, p = len(size), last
+                moves.append({})
+                link.append(0)
+                size.append(size[last] + 1)
+                least.append(1 << 63)
+                while p >= 0 and word not in moves[p]:
+                    moves[p][word] = new
+                    p = link[p]
                 if p >= 0:
-                    q = self.next[p][word]
-                    self.link[new] = q if self.size[q] == self.size[p] + 1 else self.split(p, word, q)
+                    q = moves[p][word]
+                    link[new] = q if size[q] == size[p] + 1 else self.split(p, word, q)
                 last = new
-            if doc < self.least[last]:
-                self.least[last] = doc
+            if doc < least[last]:
+                least[last] = doc
+            passed.append(last)
+        return passed
 
     def close(self) -> None:
-        """Hand each state's document down to the states of its suffixes."""
-        for v in sorted(range(1, len(self.size)), key=self.size.__getitem__, reverse=True):
-            up = self.link[v]
-            if self.least[v] < self.least[up]:
-                self.least[up] = self.least[v]
+        """Hand each state's document down to the states of its suffixes, the longest first."""
+        size, link, least = np.array(self.size), np.array(self.link), np.array(self.least, np.uint64)
+        order = np.argsort(-size, kind="stable")[:-1]  # without the start
+        for states in np.split(order, np.flatnonzero(np.diff(size[order])) + 1):
+            np.minimum.at(least, link[states], least[states])
+        self.least = least.tolist()
+
+    def windows_at(self, passed: list[int], span: int = SPAN) -> np.ndarray:
+        """For each state of a prefix the least document that holds the prefix's last `span` words. A prefix in the automaton matches whole, so
+        its matching statistic is its length: only the cut at the span is left, which goes along the suffix links."""
+        size, link = np.array(self.size), np.array(self.link)
+        v = np.array(passed, np.int64)
+        while len(longer := np.flatnonzero(size[link[v]] >= span)):
+            v[longer] = link[v[longer]]
+        return np.array(self.least, np.uint64)[v]
 
     def windows(self, words: list[bytes], span: int = SPAN) -> list[int]:
         """For each window of the sequence the least document that holds it, or 2**63: matching statistics, cut at the span."""
@@ -274,14 +290,20 @@ def judged(parts: list[tuple[bytes, list[bytes], int]]) -> list[tuple[bytes, lis
     best = [[1 << 63] * (len(words) - SPAN + 1) for _, words, _ in parts]
     at = 0
     while at < len(parts):
-        automaton, held, n = Automaton(), 0, at
+        automaton, held, n, passed = Automaton(), 0, at, []
         while n < len(parts) and (n == at or held + len(parts[n][1]) <= SHARD_WORDS):
-            automaton.add(parts[n][1], parts[n][2])
+            passed += automaton.add(parts[n][1], parts[n][2])[SPAN - 1 :]
             held += len(parts[n][1])
             n += 1
         automaton.close()
+        own, i = automaton.windows_at(passed).tolist(), 0
         for k, (_, words, _) in enumerate(parts):
-            best[k] = list(map(min, best[k], automaton.windows(words)))
+            if at <= k < n:
+                found = own[i : i + len(best[k])]
+                i += len(found)
+            else:
+                found = automaton.windows(words)
+            best[k] = found if at == 0 else list(map(min, best[k], found))
         at = n
     return [(digest, b) for (digest, _, _), b in zip(parts, best, strict=True)]
 
@@ -316,13 +338,15 @@ def first_documents(distinct: DataFrame) -> DataFrame:
 
 
 def repeated_windows(texts: DataFrame) -> DataFrame:
-    """(doc_id, key, pack, grams, copied) -> (doc_id, spans): for each text key, windows (first, how many) that a smaller id holds too."""
-    rows = fragments(texts)
+    """(doc_id, key, pack, grams, copied) -> (doc_id, spans): for each text key, where the windows start that a smaller id holds too."""
+    rows = stage(fragments(texts), "fragments")
     distinct = rows.groupBy("gram", "digest").agg(F.min("doc_id").alias("doc_id"), F.first("fragment").alias("fragment"))
     least = stage(first_documents(distinct), "least")
     own = rows.select("doc_id", "key", "first", "digest")
     hits = own.join(least, "digest").withColumn("at", F.filter(F.sequence(F.lit(0), F.size("least") - 1), lambda i: F.element_at("least", i + 1) < F.col("doc_id")))
-    return hits.where(F.size("at") > 0).groupBy("doc_id").agg(F.collect_list(F.struct("key", "first", "at")).alias("spans"))
+    hits = hits.where(F.size("at") > 0).select("doc_id", "key", F.transform("at", lambda i: i + F.col("first")).alias("starts"))
+    each = hits.groupBy("doc_id", "key").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    return each.groupBy("doc_id").agg(F.collect_list(F.struct("key", "starts")).alias("spans"))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
@@ -335,7 +359,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """
     texts = packed(docs)
     side = stage(shared(asked(docs)).join(copies(keys(docs)), "doc_id", "full_outer"), "shared")
-    spans = stage(repeated_windows(stage(texts.join(side.where("grams is not null"), "doc_id"), "candidates", "none")), "spans")
+    spans = stage(repeated_windows(texts.join(side.where("grams is not null"), "doc_id")), "spans")
     answers = side.select("doc_id", "copied").join(spans, "doc_id", "full_outer").where("copied is not null or spans is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -344,15 +368,15 @@ def deduplicated(docs: DataFrame) -> DataFrame:
             rows = []
             for doc, key, pack, copied, found in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 words = open_(pack).split()
-                gone = np.zeros(len(words), bool)
-                if key in (copied or ()) and len(words) >= SPAN:
-                    gone[:] = True
+                n, kept = len(words), words
+                if key in (copied or ()) and n >= SPAN:
+                    kept = []
                 for s in found or ():
-                    if s["key"] == key:
-                        for i in s["at"]:
-                            gone[s["first"] + i : s["first"] + i + SPAN] = True
-                kept = b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g])
-                rows.append((doc, len(words), int(gone.sum()), kept))
+                    if s["key"] == key and kept:
+                        starts = np.array(s["starts"])
+                        begun = np.bincount(starts, minlength=n + 1) - np.bincount(starts + SPAN, minlength=n + 1)
+                        kept = list(compress(words, (np.cumsum(begun)[:n] == 0).tolist()))
+                rows.append((doc, n, n - len(kept), b" ".join(kept)))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["doc_id", "n_words", "n_removed", "kept"])
 

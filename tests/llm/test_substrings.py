@@ -88,3 +88,23 @@ def test_texts_sampled_together_sample_what_they_sample_alone(monkeypatch):
         assert [[x.tolist() for x in found] for found in s.samples_of(texts)] == alone
     for words, (gram, first, n) in zip(texts, alone, strict=True):
         assert sum(n) == max(0, len(words) - s.SPAN + 1) and first == [0, *itertools.accumulate(n)][: len(gram)]
+
+
+def test_prefixes_kept_while_adding_give_the_windows_of_a_search():
+    r = random.Random(7)
+    for _ in range(40):
+        parts = [([b"abc"[k : k + 1] for k in (r.randrange(3) for _ in range(r.randrange(4, 40)))], r.randrange(50)) for _ in range(8)]
+        a = s.Automaton()
+        passed = [a.add(words, doc)[3:] for words, doc in parts]
+        a.close()
+        for (words, _), p in zip(parts, passed, strict=True):
+            assert a.windows_at(p, 4).tolist() == a.windows(words, 4)
+
+
+def test_texts_are_cut_into_fragments_once(spark, monkeypatch):
+    tried = []
+    monkeypatch.setattr(s, "stage", lambda df, purpose, *a, f=s.stage: tried.append((purpose, df)) or f(df, purpose, *a))
+    df = spark.createDataFrame([(i, " ".join(f"w{k}" for k in range(i, i + 30))) for i in range(9)], "doc_id long, text string")
+    assert sum(x.n_removed > 0 for x in s.deduplicated(df).collect()) == 8
+    plans = [d._jdf.queryExecution().optimizedPlan().toString() for _, d in tried]
+    assert sum("fragment" in x and "MapInArrow run(doc_id" in x for x in plans) == 1
