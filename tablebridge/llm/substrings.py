@@ -7,6 +7,7 @@ window's sampled word pair ("minimizer") names its shard, so that equal windows
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -317,9 +318,13 @@ def first_documents(distinct: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def told(parts: list) -> pa.RecordBatch:
-            found = judged(parts)
-            lists = [[min(x, (1 << 63) - 1) for x in b] for _, b in found]
-            return pa.RecordBatch.from_arrays([pa.array([d for d, _ in found], pa.binary()), pa.array(lists, pa.list_(pa.int64()))], ["digest", "least"])
+            gc.disable()  # an automaton has no cycles; the collector would walk its states again and again
+            try:
+                found = judged(parts)
+            finally:
+                gc.enable()
+            # Each window is in its own fragment, so that it has a least document.
+            return pa.RecordBatch.from_arrays([pa.array([d for d, _ in found], pa.binary()), pa.array([b for _, b in found], pa.list_(pa.int64()))], ["digest", "least"])
 
         parts, size, last = [], 0, None
         for b in batches:
