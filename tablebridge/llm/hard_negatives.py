@@ -15,8 +15,10 @@ from tablebridge.llm.staging import stage
 SCALE, ANCHORS, MOVED, LABELS = 256, 50, 7, 10
 #: Positives of an anchor, negatives of a positive, and the window of negative scores in per cent of the positive's score.
 POSITIVES, NEGATIVES, LOW, HIGH = 5, 3, 50, 95
-#: Rows whose lists are sorted together, and anchors that visit them together: the memory of a task, at every size of the table.
+#: Rows whose lists are sorted together, and anchors whose finds are handed on together.
 SHARD, BATCH = 4096, 1024
+#: Shards and batches that meet in one task at most. It holds these anchors and one shard: its memory, at every size of the table.
+HELD = 16
 #: Depths of sorted access taken in the first step; each further step takes twice as many.
 FIRST_STEP = 64
 
@@ -38,11 +40,21 @@ def usable(rows: DataFrame) -> DataFrame:
     return least.select("vec_id", "row.label", "row.q")
 
 
-def packed(rows: DataFrame, at_most: int, name: str) -> DataFrame:
-    """Rows dealt by a hash of the id into parts of about `at_most` rows, one row a part: (name, rows)."""
-    parts = -(-rows.count() // at_most) or 1
-    part = F.pmod(F.xxhash64("vec_id"), F.lit(parts)).alias(name)
-    return rows.select(part, F.struct(*rows.columns).alias("row")).groupBy(name).agg(F.collect_list("row").alias("rows"))
+def parts(n_rows: int, n_anchors: int, least: int) -> tuple[int, int]:
+    """Into how many parts rows and anchors are dealt, as each part of the rows meets each part of the anchors in a task of its own.
+
+    A part has HELD shards or batches at most. Until there are `least` tasks the side is cut further that costs fewer copies, down to a shard or a batch.
+    """
+    n_shards, n_batches = -(-n_rows // SHARD) or 1, -(-n_anchors // BATCH) or 1
+    of_rows, of_anchors = -(-n_shards // HELD), -(-n_batches // HELD)
+    while of_rows * of_anchors < least:
+        if of_rows < n_shards and (of_anchors == n_batches or n_anchors * of_rows <= n_rows * of_anchors):
+            of_rows += 1
+        elif of_anchors < n_batches:
+            of_anchors += 1
+        else:
+            break
+    return of_rows, of_anchors
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -156,28 +168,60 @@ def local_negatives(lists: Lists, anchor: dict, vector: np.ndarray) -> Iterator[
             yield anchor["vec_id"], positive, score, int(lists.ids[some[i]]), int(of[i])
 
 
-def cells(anchors: DataFrame, shards: DataFrame, n_shards: int, width: int, local: Callable[[Lists, dict, np.ndarray], Iterator[tuple]]) -> DataFrame:
-    """Every batch of anchors meets every shard once: (anchor_id, positive_id, positive_score, id, score), the shard's best rows of each window.
+def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """(shard, its rows) of rows that are sorted by shard."""
+    last, some = None, []
+    for b in batches:
+        shard = np.asarray(b.column("shard"))
+        cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
+        for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+            if start == end:
+                continue
+            if some and shard[start] != last:
+                yield last, pa.concat_batches(some)
+                some = []
+            last = int(shard[start])
+            some.append(b.slice(start, end - start))
+    if some:
+        yield last, pa.concat_batches(some)
+
+
+def dealt(anchors: DataFrame, rows: DataFrame, of_rows: int, of_anchors: int, n_shards: int) -> DataFrame:
+    """One partition for each pair of parts, with its anchors (shard -1) before its rows by shard.
 
-    The anchors are a stated share of the rows, so this is a search in blocks; a task holds one shard and one batch.
+    Copies go through one shuffle, none through the driver: a join would let Spark broadcast all copies of the anchors, which it takes for as small as their file.
     """
-    names = ["anchor_id", "positive_id", "positive_score", "id", "score"]
+    shard = F.pmod(F.xxhash64("vec_id"), F.lit(n_shards))
+    part = F.pmod(F.xxhash64("vec_id"), F.lit(of_anchors))
+    copies = lambda n: F.explode(F.expr(f"sequence(0L, {n - 1}L)"))
+    asked = anchors.select(copies(of_rows).alias("of_rows"), part.alias("of_anchors"), F.lit(-1).cast("long").alias("shard"), *anchors.columns)
+    met = rows.select(F.floor(shard * of_rows / n_shards).alias("of_rows"), copies(of_anchors).alias("of_anchors"), shard.alias("shard"), *rows.columns)
+    both = asked.unionByName(met, allowMissingColumns=True).withColumn("cell", (F.col("of_rows") * of_anchors + F.col("of_anchors")).cast("int"))
+    return both.repartitionById(of_rows * of_anchors, "cell").drop("cell", "of_rows", "of_anchors").sortWithinPartitions("shard")
+
+
+def cells(anchors: DataFrame, rows: DataFrame, width: int, local: Callable[[Lists, dict, np.ndarray], Iterator[tuple]]) -> DataFrame:
+    """Every anchor meets every shard once: (anchor_id, positive_id, positive_score, id, score), the shard's best rows of each window.
+
+    The anchors are a stated share of the rows, so this is a search in blocks; a task holds one part of the anchors and one shard at a time.
+    """
+    names, batch = ["anchor_id", "positive_id", "positive_score", "id", "score"], BATCH
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, lists = None, None
-        for b in batches:
-            for i in range(b.num_rows):
-                if b.column(0)[i].as_py() != last:
-                    last, lists = b.column(0)[i].as_py(), Lists(b.column(1)[i].values, width)
-                some = b.column(2)[i].values
-                for anchor, vector in zip(some.to_pylist(), matrix(some.field("q"), width), strict=True):
-                    found = list(local(lists, anchor, vector))
-                    if found:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names)
-
-    visits = anchors.select(F.explode(F.expr(f"sequence(0L, {n_shards - 1}L)")).alias("shard"), F.col("rows").alias("anchors"))
-    both = shards.join(visits, "shard").select("shard", "rows", "anchors").sortWithinPartitions("shard")
-    return both.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+        asked, vectors = [], np.zeros((0, width), np.int64)
+        for shard, some in stretches(batches):
+            if shard < 0:
+                asked, vectors = some.drop_columns(["shard", "q"]).to_pylist(), matrix(some.column("q"), width)
+                continue
+            lists = Lists(some.to_struct_array(), width) if asked else None
+            for start in range(0, len(asked), batch):
+                found = [x for i in range(start, min(start + batch, len(asked))) for x in local(lists, asked[i], vectors[i])]
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names)
+
+    n_rows, least = rows.count(), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    of_rows, of_anchors = parts(n_rows, anchors.count(), least)
+    return dealt(anchors, rows, of_rows, of_anchors, -(-n_rows // SHARD) or 1).mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def first(found: DataFrame, keys: list[str], k: int) -> DataFrame:
@@ -196,11 +240,9 @@ def mined(rows: DataFrame) -> DataFrame:
     """
     some = stage(usable(rows), "vectors")
     width = some.agg(F.max(F.size("q"))).first()[0] or 0
-    shards = stage(packed(some, SHARD, "shard"), "shards")
-    n_shards = -(-some.count() // SHARD) or 1
     anchors = stage(some.where(F.col("vec_id") % ANCHORS == 0), "anchors")
-    near = first(cells(packed(anchors, BATCH, "batch"), shards, n_shards, width, local_positives), ["anchor_id"], POSITIVES)
+    near = first(cells(anchors, some, width, local_positives), ["anchor_id"], POSITIVES)
     of = near.groupBy(F.col("anchor_id").alias("vec_id")).agg(F.collect_list(F.struct("id", "score")).alias("positives"))
-    asking = stage(anchors.join(of, "vec_id"), "asking")
-    found = first(cells(packed(asking, BATCH, "batch"), shards, n_shards, width, local_negatives), ["anchor_id", "positive_id"], NEGATIVES)
+    asking = stage(anchors.hint("merge").join(of, "vec_id"), "asking")
+    found = first(cells(asking, some, width, local_negatives), ["anchor_id", "positive_id"], NEGATIVES)
     return found.select("anchor_id", "positive_id", F.col("rank"), F.col("id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))

@@ -106,3 +106,37 @@ def test_scores_come_from_one_copy_in_doubles_unless_they_would_not_be_exact():
             lists.visit(anchor, lambda n, s, t: seen.append((set(n.tolist()), t)) or False)
             assert all(want[i] <= t for some, t in seen for i in range(300) if i not in some)
         assert lists.exact(np.array([100] * 5)) and lists.exact(np.array([2**28] * 5)) == (most == 100)
+
+
+def test_no_row_is_broadcast_and_parts_meet_once(spark, monkeypatch):
+    monkeypatch.setattr(hard_negatives, "SHARD", 70)
+    monkeypatch.setattr(hard_negatives, "BATCH", 2)
+    rows = made(5, 400, 4, 0.5)
+    df = spark.createDataFrame([(*x, 1, "x") for x in rows], SCHEMA)
+    plans, real = [], hard_negatives.stage
+    monkeypatch.setattr(hard_negatives, "stage", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df, name))
+    for held in (1, 2, 100):
+        monkeypatch.setattr(hard_negatives, "HELD", held, raising=False)
+        found = mined(df)
+        assert sorted(tuple(x) for x in found.collect()) == brute(rows)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        # Copies of the anchors are many times what Spark takes them for.
+        assert not [p for p in plans if "Broadcast" in p]
+
+
+def test_parts_are_bounded_and_send_few_copies():
+    parts = hard_negatives.parts
+    assert parts(0, 0, 12) == (1, 1) and parts(4096, 82, 200) == (1, 1)
+    assert parts(51_282, 1_026, 12) == (12, 1)  # a task for each partition asked for
+    assert parts(4097, 4097, 200) == (2, 5)  # never less than a shard or a batch
+    for n in (10**5, 10**6, 10**8):
+        for share in (1, 50):
+            of_rows, of_anchors = parts(n, n // share, 200)
+            assert n / of_rows <= 4096 * 16 and n / share / of_anchors <= 1024 * 16 and of_rows * of_anchors >= min(200, n / 4096 * n / share / 1024)
+
+
+def test_stretches_join_a_shard_over_batches():
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_pydict({"shard": pa.array(s, pa.int64()), "x": pa.array(x, pa.int64())}) for s, x in (([-1, -1, 0], [1, 2, 3]), ([], []), ([0, 2], [4, 5]), ([2], [6]))]
+    assert [(s, b.column("x").to_pylist()) for s, b in hard_negatives.stretches(iter(batches))] == [(-1, [1, 2]), (0, [3, 4]), (2, [5, 6])]
